@@ -6,34 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slipstream.catalog import field
-from slipstream.plans import race
-
-ROUNDED = 6
-
-
-def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to six decimals, so that both engines print the same digits."""
-    return df.select(
-        *[
-            F.round(F.col(f"`{c}`"), ROUNDED).alias(c) if t == "double" else F.col(f"`{c}`")
-            for c, t in df.dtypes
-        ]
-    )
-
-
-def prepared_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    laps = race.prepare_laps(field.laps(spark, sf_dir))
-    return rounded(
-        laps.select(
-            "Season", "Round", "Driver", "LapNumber", "Position", "LapTimeCalculated", "Sector1", "Sector2", "Sector3",
-            "TyreLife", "SpeedI1", "SpeedI2", "SpeedFL", "SpeedST", "Stint", "PitEntryTime", "PitExitTime", "PitTime",
-            "PitInLap", "PitOutLap", "PitOutLagLap", "Pit", "DNF", "PrevLapPosition", "PositionChange", "Flag", "OTable",
-            "CompoundFactor",
-        )
-    )
-
-
-QUERIES = {"prepared_laps": prepared_laps}
+from slipstream.catalog.registry import Registry
+from slipstream.operators import roles
+from slipstream.plans import attempts, race
 
 _GAPS = ["TyreLife", "SpeedI1", "SpeedI2", "SpeedFL", "SpeedST"]
 _CAR = '"Season", "Round", "Driver"'
@@ -98,19 +73,140 @@ prepared AS (
   FROM stopped)
 """
 
-_PREPARED_OUT = (
-    ["Season", "Round", "Driver"],
-    ["LapNumber", "Position", "LapTimeCalculated", "Sector1", "Sector2", "Sector3", *_GAPS, "Stint", "PitEntryTime",
-     "PitExitTime", "PitTime", "DNF", "PrevLapPosition", "PositionChange"],
-    ["PitInLap", "PitOutLap", "PitOutLagLap", "Pit", "Flag", "OTable", "CompoundFactor"],
-)
 
+def _delta(measure: str) -> str:
+    return f'''"{measure}" - CASE WHEN "Role" = 'Overtaker' THEN max(CASE WHEN "Role" = 'Passed' THEN "{measure}" END) OVER grp
+        ELSE max(CASE WHEN "Role" = 'Overtaker' THEN "{measure}" END) OVER grp END'''
+
+
+def _deltas(pairs: dict[str, str]) -> str:
+    return ", ".join(f'{_delta(m)} AS "{d}"' for m, d in pairs.items())
+
+
+def _mover(column: str) -> str:
+    return f'''max(CASE WHEN "Role" = 'Overtaker' THEN "{column}" END) OVER grp'''
 
-def sql_rounded(columns) -> str:
-    return ", ".join(f'round("{c}", {ROUNDED}) AS "{c}"' for c in columns)
 
+def _filled_session(source: str) -> str:
+    return f"""SELECT * REPLACE (coalesce("Sector3SessionTime", "Sector2SessionTime" + "Sector3") AS "Sector3SessionTime") FROM (
+      SELECT * REPLACE (coalesce("Sector2SessionTime", "Sector1SessionTime" + "Sector2") AS "Sector2SessionTime") FROM (
+        SELECT * REPLACE (coalesce("Sector1SessionTime", "LapStartTime" + "Sector1") AS "Sector1SessionTime") FROM {source}))"""
 
-ORACLES = {
-    "prepared_laps": f"""WITH {PREPARED_SQL}
-SELECT {_quoted(_PREPARED_OUT[0])}, {sql_rounded(_PREPARED_OUT[1])}, {_quoted(_PREPARED_OUT[2])} FROM prepared""",
-}
+
+_D1, _D2, _D3 = (_mover(f"DeltaSector{i}SessionTime") for i in (1, 2, 3))
+
+OVERTAKES_SQL = f"""{PREPARED_SQL},
+passes AS (
+  SELECT a."Season", a."Round", a."Driver", p."Driver" AS "PassedDriver", a."LapNumber" AS "BaseLap",
+    row_number() OVER (PARTITION BY a."Season", a."Round" ORDER BY a."Driver", a."LapNumber", p."Driver") AS "OvertakeID"
+  FROM prepared a JOIN prepared p ON a."Season" = p."Season" AND a."Round" = p."Round" AND a."LapNumber" = p."LapNumber"
+    AND a."PrevLapPosition" > p."PrevLapPosition" AND a."Position" <= p."PrevLapPosition"
+  WHERE a."Driver" <> p."Driver" AND a."PositionChange" < 0 AND a."LapNumber" > 1 AND a."OTable" = 1
+    AND a."PitInLap" = 0 AND a."PitOutLap" = 0 AND p."PitInLap" = 0 AND p."PitOutLap" = 0 AND p."PitOutLagLap" = 0
+    AND p."DNF" = 0 AND p."Position" >= p."PrevLapPosition"),
+pass_roles AS (
+  SELECT "Season", "Round", "OvertakeID", "BaseLap", r AS "Role", CASE WHEN r = 'Overtaker' THEN "Driver" ELSE "PassedDriver" END AS "Driver",
+    "BaseLap" - k AS "LapNumber"
+  FROM passes, unnest(['Overtaker', 'Passed']) t(r), unnest([0, 1, 2]) s(k) WHERE "BaseLap" - k >= 1),
+pass_laps AS (SELECT * FROM pass_roles LEFT JOIN prepared USING ("Season", "Round", "Driver", "LapNumber")),
+pass_filled AS ({_filled_session("pass_laps")}),
+pass_deltas AS (
+  SELECT *, {_deltas({**race.START_DELTA, **race.LAP_DELTAS, **race.SESSION_DELTAS})} FROM pass_filled
+  WINDOW grp AS (PARTITION BY "Season", "Round", "OvertakeID", "LapNumber")),
+pass_sector AS (
+  SELECT *, CASE WHEN {_D1} < 0 THEN 1 WHEN {_D1} > 0 AND {_D2} < 0 THEN 2
+      WHEN {_D1} > 0 AND {_D2} > 0 AND {_D3} < 0 THEN 3 ELSE 0 END AS "OTSector"
+  FROM pass_deltas WINDOW grp AS (PARTITION BY "Season", "Round", "OvertakeID", "LapNumber")),
+overtakes AS (
+  SELECT *,
+    CASE WHEN "BaseLap" <> "LapNumber" THEN NULL WHEN "OTSector" = 1 THEN {_mover("LapStartTime")}
+      WHEN "OTSector" = 2 THEN {_mover("Sector1SessionTime")} WHEN "OTSector" = 3 THEN {_mover("Sector2SessionTime")} END AS "OvertakeIntervall_Bottom",
+    CASE WHEN "BaseLap" <> "LapNumber" THEN NULL WHEN "OTSector" = 1 THEN {_mover("Sector1SessionTime")}
+      WHEN "OTSector" = 2 THEN {_mover("Sector2SessionTime")} WHEN "OTSector" = 3 THEN {_mover("Time")} END AS "OvertakeIntervall_Upper",
+    1 AS "Sikeres"
+  FROM pass_sector WINDOW grp AS (PARTITION BY "Season", "Round", "OvertakeID", "LapNumber"))
+"""
+
+FAILED_SQL = f"""{PREPARED_SQL},
+pairs AS (
+  SELECT a."Season", a."Round", a."LapNumber", a."Driver" AS ahead, b."Driver" AS behind
+  FROM prepared a JOIN prepared b ON a."Season" = b."Season" AND a."Round" = b."Round" AND a."LapNumber" = b."LapNumber"
+    AND b."Position" - a."Position" = 1
+  WHERE a."OTable" = 1 AND a."TrackStatus" = '1'),
+runs AS (
+  SELECT *, row_number() OVER (PARTITION BY "Season", "Round" ORDER BY ahead, behind, "LapNumber") AS "FailedID" FROM (
+    SELECT *, lag("LapNumber", 1) OVER w AS l1, lag("LapNumber", 2) OVER w AS l2 FROM pairs
+    WINDOW w AS (PARTITION BY "Season", "Round", ahead, behind ORDER BY "LapNumber"))
+  WHERE "LapNumber" = l1 + 1 AND l1 = l2 + 1),
+run_roles AS (
+  SELECT "Season", "Round", "FailedID", "LapNumber" AS "BaseLap", r AS "Role",
+    CASE WHEN r = 'Overtaker' THEN behind ELSE ahead END AS "Driver", "LapNumber" - k AS "LapNumber"
+  FROM runs, unnest(['Overtaker', 'Passed']) t(r), unnest([0, 1, 2]) s(k)),
+run_laps AS (SELECT * FROM run_roles LEFT JOIN prepared USING ("Season", "Round", "Driver", "LapNumber")),
+run_gaps AS (SELECT *, {_deltas(race.START_DELTA)} FROM run_laps
+  WINDOW grp AS (PARTITION BY "Season", "Round", "FailedID", "LapNumber")),
+run_close AS (SELECT * FROM run_gaps WHERE abs("DeltaSessionTime") < 1.5),
+battles AS (
+  SELECT "Season", "Round", "FailedID", "BaseLap", max(CASE WHEN "Role" = 'Overtaker' THEN "Driver" END) AS ov,
+    max(CASE WHEN "Role" = 'Passed' THEN "Driver" END) AS pa,
+    max(CASE WHEN "Role" = 'Overtaker' AND "LapNumber" = "BaseLap" THEN abs("DeltaSessionTime") END) AS gap
+  FROM run_close GROUP BY 1, 2, 3, 4 HAVING count(*) = 6),
+spells AS (
+  SELECT *, sum(CASE WHEN "BaseLap" - before > 3 THEN 1 ELSE 0 END) OVER w AS streak FROM (
+    SELECT *, lag("BaseLap") OVER (PARTITION BY "Season", "Round", ov, pa ORDER BY "BaseLap") AS before FROM battles)
+  WINDOW w AS (PARTITION BY "Season", "Round", ov, pa ORDER BY "BaseLap")),
+best AS (
+  SELECT "Season", "Round", "FailedID" FROM spells
+  QUALIFY row_number() OVER (PARTITION BY "Season", "Round", ov, pa, streak ORDER BY gap, "BaseLap") = 1),
+run_kept AS (SELECT * FROM run_close SEMI JOIN best USING ("Season", "Round", "FailedID")),
+run_filled AS ({_filled_session("run_kept")}),
+failed AS (SELECT *, {_deltas({**race.SESSION_DELTAS, **race.LAP_DELTAS})}, 0 AS "Sikeres" FROM run_filled
+  WINDOW grp AS (PARTITION BY "Season", "Round", "FailedID", "LapNumber"))
+"""
+
+_ATTEMPT_COLUMNS = """i:BaseLap d:LapNumber DeltaSessionTime DeltaLapTime DeltaS1Time DeltaS2Time DeltaS3Time DeltaTyreLife
+  DeltaSpeedI1 DeltaSpeedI2 DeltaSpeedFL DeltaSpeedST Sector1SessionTime Sector2SessionTime Sector3SessionTime
+  DeltaSector1SessionTime DeltaSector2SessionTime DeltaSector3SessionTime i:Sikeres"""
+
+registry = Registry()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
+
+
+@registry.add(
+    "prepared_laps",
+    """i:Season Round s:Driver d:LapNumber Position LapTimeCalculated Sector1 Sector2 Sector3 TyreLife SpeedI1 SpeedI2 SpeedFL
+    SpeedST Stint PitEntryTime PitExitTime PitTime DNF PrevLapPosition PositionChange i:PitInLap PitOutLap PitOutLagLap Pit Flag
+    OTable CompoundFactor""",
+    f"WITH {PREPARED_SQL} SELECT * FROM prepared",
+)
+def prepared_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return race.prepare_laps(field.laps(spark, sf_dir))
+
+
+@registry.add(
+    "overtakes",
+    f"""i:Season Round OvertakeID s:Role Driver {_ATTEMPT_COLUMNS} OTSector d:OvertakeIntervall_Bottom OvertakeIntervall_Upper""",
+    f"WITH {OVERTAKES_SQL} SELECT * FROM overtakes",
+)
+def overtakes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return race.find_overtakes(field.laps(spark, sf_dir))
+
+
+@registry.add(
+    "failed_attempts",
+    f"i:Season Round FailedID s:Role Driver {_ATTEMPT_COLUMNS}",
+    f"WITH {FAILED_SQL} SELECT * FROM failed",
+)
+def failed_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return race.find_failed_attempts(field.laps(spark, sf_dir))
+
+
+@registry.add(
+    "overtakes_per_race",
+    "i:Season Round n_distinct_overtakes",
+    f"""WITH {OVERTAKES_SQL} SELECT "Season", "Round", count(DISTINCT "OvertakeID") AS n_distinct_overtakes
+    FROM overtakes GROUP BY 1, 2""",
+)
+def overtakes_per_race(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = race.find_overtakes(field.laps(spark, sf_dir))
+    return found.groupBy("Season", "Round").agg(F.countDistinct("OvertakeID").alias("n_distinct_overtakes"))
