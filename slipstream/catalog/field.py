@@ -240,7 +240,8 @@ weather AS (
       25 + CAST({_CENTS} % 300 AS DOUBLE) / 10 AS "TrackTemp", CAST({_CENTS} % 360 AS INTEGER) AS "WindDirection",
       CAST({_CENTS} % 80 AS DOUBLE) / 10 AS "WindSpeed"
     FROM events WHERE event_type = 'error')
-  ORDER BY "Season", "Race", "Time", "AirTemp", "Humidity", "Pressure", "Rainfall", "TrackTemp", "WindDirection", "WindSpeed"),
+  ORDER BY "Season", "Race", "Time", "AirTemp" DESC, "Humidity" DESC, "Pressure" DESC, "Rainfall" DESC, "TrackTemp" DESC,
+    "WindDirection" DESC, "WindSpeed" DESC),
 sheet AS (
   SELECT ({_sql_list(LOCATIONS)})[n_nationkey + 1] AS "Location",
     ({_sql_list(DIFFICULTY)})[n_nationkey % {len(DIFFICULTY)} + 1] AS "Overtaking",

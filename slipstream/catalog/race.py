@@ -210,3 +210,235 @@ def failed_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def overtakes_per_race(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = race.find_overtakes(field.laps(spark, sf_dir))
     return found.groupBy("Season", "Round").agg(F.countDistinct("OvertakeID").alias("n_distinct_overtakes"))
+
+
+def _drs(low: str, high: str) -> str:
+    return f"""CASE WHEN EXISTS (SELECT 1 FROM telemetry t WHERE t."Season" = o."Season" AND t."Round" = o."Round"
+      AND t."Driver" = o."Driver" AND t."SessionTime" >= o."{low}" AND t."SessionTime" <= o."{high}"
+      AND t."DRS" BETWEEN 10 AND 14) THEN 1 ELSE 0 END"""
+
+
+_WEATHER_OUT = ", ".join([f'w."{c}"' for c in race.WEATHER] + ['w."Time" AS "Weather_Time"'])
+
+
+def _with_weather(source: str, time: str) -> str:
+    return f"""SELECT o.*, {_WEATHER_OUT} FROM {source} o ASOF LEFT JOIN weather w
+      ON o."Season" = w."Season" AND o."Round" = w."Race" AND o."{time}" >= w."Time" """
+
+
+def _conformed(source: str, id_column: str) -> str:
+    columns = [c for c in ["Driver", "Team", "Role", "BaseLap", *attempts.MEASURES, "EventName", "Country", "Location",
+               "Weather_Time", *race.WEATHER, "Sikeres"]]
+    return f"""SELECT "Season" || '_' || "Round" || '_' || "Sikeres" || '_' || "{id_column}" AS "AttemptID",
+      "Season", "Round", {_quoted(columns)} FROM {source}"""
+
+
+_CHANGE = [
+    'abs("DeltaSector1SessionTime" - "DeltaSessionTime")',
+    'abs("DeltaSector2SessionTime" - "DeltaSector1SessionTime")',
+    'abs("DeltaSector3SessionTime" - "DeltaSector2SessionTime")',
+]
+_LEAST = f"least({', '.join(_CHANGE)})"
+
+
+def _try_bound(ends: list[str]) -> str:
+    cases = " ".join(f'WHEN {c} = {_LEAST} THEN "{e}"' for c, e in zip(_CHANGE, ends))
+    return f'CASE WHEN "LapNumber" <> "BaseLap" THEN NULL {cases} END'
+
+
+_TRY = f"""SELECT *, {_try_bound(["LapStartTime", "Sector1SessionTime", "Sector2SessionTime"])} AS "TryIntervall_Bottom",
+    {_try_bound(["Sector1SessionTime", "Sector2SessionTime", "Sector3SessionTime"])} AS "TryIntervall_Upper",
+    max(CASE WHEN "Role" = 'Overtaker' AND "LapNumber" = "BaseLap" THEN "Time" END)
+      OVER (PARTITION BY "Season", "Round", "FailedID") AS base_time
+  FROM failed"""
+
+ATTEMPTS_SQL = f"""{OVERTAKES_SQL},
+{FAILED_SQL[len(PREPARED_SQL) + 2:]},
+won_drs AS (SELECT o.*, {_drs("OvertakeIntervall_Bottom", "OvertakeIntervall_Upper")} AS "DRS_OTSector",
+  {_drs("LapStartTime", "Time")} AS "DRS_Lap" FROM overtakes o),
+won AS ({_with_weather("won_drs", "OvertakeIntervall_Bottom")}),
+tried AS ({_TRY}),
+lost_drs AS (SELECT o.*, {_drs("TryIntervall_Bottom", "TryIntervall_Upper")} AS "DRS_OTSector",
+  {_drs("LapStartTime", "Time")} AS "DRS_Lap" FROM tried o),
+lost AS ({_with_weather("lost_drs", "base_time")}),
+attempt_laps AS ({_conformed("won", "OvertakeID")} UNION ALL {_conformed("lost", "FailedID")})
+"""
+
+
+def _attempt_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attempts.attempt_laps(
+        field.laps(spark, sf_dir), field.telemetry(spark, sf_dir), field.weather(spark, sf_dir)
+    )
+
+
+def _wide_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = attempts.track_features(field.schedule(spark, sf_dir), field.track_sheet(spark, sf_dir))
+    return attempts.attach_track(_attempt_laps(spark, sf_dir), features)
+
+
+_MEASURE_KINDS = " ".join(
+    ("i:" if m in ("CompoundFactor", "DRS_OTSector", "DRS_Lap") else "b:" if m == "FreshTyre" else "d:") + m
+    for m in attempts.MEASURES
+)
+
+
+@registry.add(
+    "attempt_laps",
+    f"""s:AttemptID i:Season Round s:Driver Team Role d:BaseLap {_MEASURE_KINDS} s:EventName Country Location
+    d:Weather_Time AirTemp Humidity Pressure TrackTemp WindDirection WindSpeed b:Rainfall i:Sikeres""",
+    f"WITH {ATTEMPTS_SQL} SELECT * FROM attempt_laps",
+)
+def attempt_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _attempt_laps(spark, sf_dir)
+
+
+_KNOWN = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in attempts.maps.LOCATION_ALIAS.items())
+
+
+def known(column: str) -> str:
+    return f"CASE {column} {_KNOWN} ELSE {column} END"
+
+
+_BRAKING = " ".join(
+    f"WHEN \"Location\" IN ({', '.join(repr(p) for p in places)}) THEN {level}"
+    for level, places in attempts.maps.BRAKING_LEVEL.items()
+)
+TRACK_SQL = f"""
+races AS (SELECT n_name || ' Grand Prix' AS "EventName", ({field._sql_list(field.LOCATIONS)})[n_nationkey + 1] AS "Location" FROM nation),
+features AS (
+  SELECT "EventName", {known('r."Location"')} AS place, CASE {_BRAKING.replace('"Location"', 'r."Location"')} END AS "BrakingLevel",
+    regexp_replace("Overtaking", '^Overtaking\\s+', '') AS "OvertakingDifficulty",
+    regexp_replace("Speed", '^Speed\\s+', '') AS "SpeedDescription", "Corners",
+    "S1" AS "S1Description", "S2" AS "S2Description", "S3" AS "S3Description"
+  FROM races r LEFT JOIN sheet s ON {known('r."Location"')} = {known('s."Location"')})"""
+
+_INDICES = (1, 2, 3)
+
+
+def _cell(measure: str, role: str, lap: int) -> str:
+    return f"""max(CASE WHEN "Role" = '{role}' AND li = {lap} THEN "{measure}" END)"""
+
+
+_FLAT_MEASURES = [
+    m for m in attempts.MEASURES if not m.startswith("Sector") and m not in ("LapNumber", "DRS_OTSector")
+]
+
+
+def _flat_columns() -> list[tuple[str, str, str]]:
+    """(output, kind, SQL) of the measures kept in the flat table."""
+    out = []
+    for m in _FLAT_MEASURES:
+        kind = {"CompoundFactor": "i", "DRS_Lap": "i", "FreshTyre": "b"}.get(m, "d")
+        for role in ("Overtaker", "Passed"):
+            if m.startswith("Delta") and role == "Passed":
+                continue
+            if m in ("CompoundFactor", "FreshTyre", "Position", "Stint"):
+                name = "Compound" if m == "CompoundFactor" else m
+                out.append((f"{name}_{role}", kind, _cell(m, role, 1)))
+            else:
+                out += [(f"{m}_{role}_{k}", kind, _cell(m, role, k)) for k in (1, 2)]
+    out += [(f"LapNumber{k}", "d", _cell("LapNumber", "Overtaker", k)) for k in (1, 2)]
+    return out
+
+
+_FLAT = _flat_columns()
+_WEATHER_KINDS = [(c, "b" if c == "Rainfall" else "d") for c in race.WEATHER]
+_BASE = """max(CASE WHEN "LapNumber" = "BaseLap" THEN "{c}" END)"""
+
+FLAT_SQL = f"""{ATTEMPTS_SQL},{TRACK_SQL},
+placed AS (
+  SELECT a.*, f.* EXCLUDE ("EventName", place), CASE WHEN "Season" < 2022 THEN 0 ELSE 1 END AS "Era"
+  FROM attempt_laps a LEFT JOIN features f ON a."EventName" = f."EventName" AND {known('a."Location"')} = f.place),
+indexed_laps AS (SELECT *, row_number() OVER (PARTITION BY "AttemptID", "Role" ORDER BY "LapNumber") AS li FROM placed),
+flat AS (
+  SELECT "AttemptID", "Season", "Location", coalesce("BrakingLevel", 0) AS "BrakingLevel", "OvertakingDifficulty",
+    "SpeedDescription", coalesce("Corners", 0) AS "Corners", "S1Description", "S2Description", "S3Description",
+    "Sikeres" || '_' || "Era" AS "Stratify", "Sikeres",
+    max(CASE WHEN "Role" = 'Overtaker' THEN "Driver" END) AS "Driver_Overtaker",
+    max(CASE WHEN "Role" = 'Passed' THEN "Driver" END) AS "Driver_Passed",
+    max(CASE WHEN "Role" = 'Overtaker' THEN "Team" END) AS "Team_Overtaker",
+    max(CASE WHEN "Role" = 'Passed' THEN "Team" END) AS "Team_Passed",
+    max(CASE WHEN "Role" = 'Overtaker' THEN "BaseLap" END) AS "BaseLap",
+    max(CASE WHEN "Role" = 'Passed' THEN "BaseLap" END) AS "BaseLap_Passed",
+    coalesce({_cell("DRS_OTSector", "Overtaker", 3)}, CASE
+      WHEN abs({_cell("DeltaSector3SessionTime", "Overtaker", 2)}) < 1 THEN 1
+      WHEN abs({_cell("DeltaSector3SessionTime", "Overtaker", 2)}) > 1 THEN 0 END, 0) AS "DRS_OTSector_Overtaker",
+    {", ".join(f'coalesce({_BASE.format(c=c)}, {"false" if k == "b" else 0}) AS "{c}"' for c, k in _WEATHER_KINDS)},
+    {", ".join(f'coalesce({sql}, {"false" if k == "b" else 0}) AS "{n}"' for n, k, sql in _FLAT)}
+  FROM indexed_laps
+  GROUP BY "AttemptID", "Season", "Location", "BrakingLevel", "OvertakingDifficulty", "SpeedDescription", "Corners",
+    "S1Description", "S2Description", "S3Description", "Era", "Sikeres")
+"""
+
+# the passed car's flap flag is left out: where it is missing it is a seeded random draw
+_FLAT_OUT = f"""s:AttemptID i:Season s:Location i:BrakingLevel s:OvertakingDifficulty SpeedDescription i:Corners
+  s:S1Description S2Description S3Description Stratify Driver_Overtaker Driver_Passed Team_Overtaker Team_Passed
+  d:BaseLap BaseLap_Passed i:DRS_OTSector_Overtaker {" ".join(f"{k}:{c}" for c, k in _WEATHER_KINDS)}
+  {" ".join(f"{k}:{n}" for n, k, _ in _FLAT)} i:Sikeres"""
+
+
+@registry.add("attempts_wide", _FLAT_OUT, f"WITH {FLAT_SQL} SELECT * FROM flat")
+def attempts_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attempts.flatten(_wide_input(spark, sf_dir))
+
+
+def _map_case(column: str, table: dict) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN {v!r}" for k, v in table.items()) + " END"
+
+
+def _team(side: str) -> str:
+    c = f'"Team_{side}"'
+    return f"replace(coalesce({_map_case(c, attempts.maps.TEAM_LINEAGE)}, {c}), ' ', '')"
+
+
+_VARIANT_COMMON = f"""* REPLACE (CAST("Rainfall" AS INTEGER) AS "Rainfall", CAST("FreshTyre_Overtaker" AS INTEGER) AS "FreshTyre_Overtaker",
+    CAST("FreshTyre_Passed" AS INTEGER) AS "FreshTyre_Passed", {_team("Overtaker")} AS "Team_Overtaker", {_team("Passed")} AS "Team_Passed",
+    {_map_case('"OvertakingDifficulty"', attempts.maps.DIFFICULTY_LEVEL)} AS "OvertakingDifficulty",
+    {_map_case('"SpeedDescription"', attempts.maps.SPEED_LEVEL)} AS "SpeedDescription", {known('"Location"')} AS "Location")"""
+
+_LONGEST = "|".join(
+    w.replace("'", "''") for w in sorted(attempts.text.PHRASE_STOP_WORDS, key=lambda w: (-len(w), w))
+)
+
+
+def _phrase(c: str) -> str:
+    kept = f"""regexp_replace(lower("{c}"), '\\b({_LONGEST})\\b', '', 'g')"""
+    return f"""replace(trim(regexp_replace(regexp_replace({kept}, '\\p{{P}}', '', 'g'), '\\s+', ' ', 'g')), ' ', '_') AS "{c}" """
+
+
+_CHARACTER_OUT = f"""i:Season s:Location i:BrakingLevel OvertakingDifficulty SpeedDescription Corners
+  s:S1Description S2Description S3Description Stratify Driver_Overtaker Driver_Passed Team_Overtaker Team_Passed
+  d:BaseLap BaseLap_Passed i:DRS_OTSector_Overtaker {" ".join(f"{'i' if k == 'b' else k}:{c}" for c, k in _WEATHER_KINDS)}
+  {" ".join(f"{'i' if k == 'b' else k}:{n}" for n, k, _ in _FLAT)} i:Sikeres"""
+
+
+@registry.add(
+    "model_input_character",
+    _CHARACTER_OUT,
+    f"""WITH {FLAT_SQL}, named AS (SELECT {_VARIANT_COMMON} FROM flat)
+    SELECT * REPLACE ({", ".join(_phrase(f"S{i}Description") for i in (1, 2, 3))}) FROM named""",
+)
+def model_input_character(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attempts.model_variant(attempts.flatten(_wide_input(spark, sf_dir)), **attempts.VARIANTS["character"])
+
+
+_DELTA_NAMES = {f"{d}_{k}": f"{d}_Overtaker_{k}" for d in (
+    "DeltaLapTime", "DeltaS1Time", "DeltaS2Time", "DeltaS3Time", "DeltaSector1SessionTime", "DeltaSector2SessionTime",
+    "DeltaSector3SessionTime", "DeltaSpeedFL", "DeltaSpeedI1", "DeltaSpeedI2", "DeltaSpeedST") for k in (1, 2)}
+
+
+@registry.add(
+    "model_input_delta",
+    f"""i:Season BrakingLevel OvertakingDifficulty SpeedDescription Corners s:Stratify TrackDescription Driver_Overtaker
+    Driver_Passed Team_Overtaker Team_Passed d:BaseLap TargetPosition {" ".join(_DELTA_NAMES)} DeltaTyreLife
+    i:Compound_Overtaker Compound_Passed FreshTyre_Overtaker FreshTyre_Passed Rainfall Sikeres""",
+    f"""WITH {FLAT_SQL}, named AS (SELECT {_VARIANT_COMMON} FROM flat)
+    SELECT *, {", ".join(f'"{old}" AS "{new}"' for new, old in _DELTA_NAMES.items())},
+      "DeltaTyreLife_Overtaker_2" AS "DeltaTyreLife", "Position_Passed" AS "TargetPosition",
+      regexp_replace(lower(concat_ws(' ', "Location", coalesce("S1Description", 'NA'), coalesce("S2Description", 'NA'),
+        coalesce("S3Description", 'NA'))), '\\bcorners?\\b', '', 'g') AS "TrackDescription"
+    FROM named""",
+)
+def model_input_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = attempts.flatten(_wide_input(spark, sf_dir))
+    return attempts.model_variant(flat, **attempts.VARIANTS["delta_without_corners"])

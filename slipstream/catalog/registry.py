@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 DIGITS = 6
 _SPARK = {"i": "bigint", "d": "double", "s": "string", "b": "boolean"}
@@ -36,11 +35,12 @@ class Registry:
         def wrap(query: Callable[[SparkSession, str], DataFrame]):
             def run(spark: SparkSession, sf_dir: str) -> DataFrame:
                 found = query(spark, sf_dir)
-                out = []
-                for column, kind in pairs:
-                    value = F.col(f"`{column}`").cast(_SPARK[kind])
-                    out.append((F.round(value, DIGITS) if kind == "d" else value).alias(column))
-                return found.select(*out)
+                return found.selectExpr(
+                    *[
+                        f"round(CAST(`{c}` AS DOUBLE), {DIGITS}) AS `{c}`" if k == "d" else f"CAST(`{c}` AS {_SPARK[k]}) AS `{c}`"
+                        for c, k in pairs
+                    ]
+                )
 
             self.QUERIES[name] = run
             if sql is not None:

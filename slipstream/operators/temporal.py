@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slipstream.operators.scans import SPLIT_ROWS, first_per_group, latest, ordered_scan, running_total
+from slipstream.operators.scans import SPLIT_ROWS, latest, ordered_scan, running_total
 
 
 def asof_left(
@@ -23,15 +23,14 @@ def asof_left(
 
     ``values`` maps fact columns to output names. Both inputs share the ``keys`` columns. A probe with
     a null time, or with no earlier fact, keeps null values. Of several facts at one instant, the
-    smallest by value is taken, so that the result does not depend on row order.
-    Probes and facts are stacked and scanned once in time order; no pair is ever built.
+    largest by value is taken, so that the result does not depend on row order.
+    Probes and facts are stacked and scanned once in time order: one shuffle, and no pair is ever built.
     """
     keys = list(keys)
     taken = [F.col(c).alias(n) for c, n in values.items()]
     facts = facts.where(F.col(fact_time).isNotNull()).select(
         *keys, F.col(fact_time).alias("__at"), F.struct(*taken).alias("__fact")
     )
-    facts = first_per_group(facts, [*keys, "__at"], ["__fact"])
     row = F.struct(*[F.col(f"`{c}`") for c in probes.columns])
     timed = probes.where(F.col(probe_time).isNotNull()).select(
         *keys, F.col(probe_time).alias("__at"), row.alias("__probe")
@@ -39,7 +38,8 @@ def asof_left(
     stacked = facts.withColumn("__late", F.lit(0)).unionByName(
         timed.withColumn("__late", F.lit(1)), allowMissingColumns=True
     )
-    scanned = ordered_scan(stacked, keys, ["__at", "__late"], {"__hit": latest(F.col("__fact"))}, split_rows)
+    order = ["__at", "__late", "__fact"]
+    scanned = ordered_scan(stacked, keys, order, {"__hit": latest(F.col("__fact"))}, split_rows)
     found = scanned.where(F.col("__late") == 1).select("__probe.*", *[F.col(f"__hit.{n}").alias(n) for n in values.values()])
     untimed = probes.where(F.col(probe_time).isNull())
     return found.unionByName(untimed, allowMissingColumns=True)
@@ -61,7 +61,7 @@ def interval_flags(
     ``low``, so one as-of lookup answers each interval without a range join.
     """
     out = rows
-    moments = samples.select(*keys, sample_time).distinct()
+    moments = samples.select(*keys, sample_time)
     for flag, (low, high) in intervals.items():
         seen = f"__seen_{flag}"
         out = asof_left(out, moments, keys, high, sample_time, {sample_time: seen}, split_rows)

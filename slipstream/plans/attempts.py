@@ -9,7 +9,9 @@ from pyspark.sql.window import Window
 from slipstream.functions import maps, text
 from slipstream.operators import reshape, roles
 from slipstream.operators.scans import first_per_group
+from slipstream.plans import race
 from slipstream.plans.race import RACE, WEATHER
+from slipstream.session import staged
 
 # The columns both kinds of attempt are brought to, in order.
 MEASURES = [
@@ -27,6 +29,9 @@ TRACK = [
 SIDES = [roles.OVERTAKER, roles.PASSED]
 
 
+_CONTEXT = ["DRS_OTSector", "DRS_Lap", "Weather_Time", *WEATHER]
+
+
 def conform(df: DataFrame, id_column: str) -> DataFrame:
     """Bring either kind of attempt to the common columns; a missing column is an error."""
     attempt = F.concat_ws("_", *[F.col(c).cast("string") for c in (*RACE, "Sikeres", id_column)])
@@ -35,7 +40,31 @@ def conform(df: DataFrame, id_column: str) -> DataFrame:
 
 
 def merge_attempts(overtakes: DataFrame, failed: DataFrame) -> DataFrame:
-    return conform(overtakes, "OvertakeID").unionByName(conform(failed, "FailedID"), allowMissingColumns=True)
+    """Both kinds of attempt, each with its context attached, as common rows."""
+    return conform(overtakes, "OvertakeID").unionByName(conform(failed, "FailedID"))
+
+
+def attempt_laps(laps: DataFrame, telemetry: DataFrame, weather: DataFrame, **options) -> DataFrame:
+    """Both kinds of attempt from the raw tables, with flap flags and weather, as common rows.
+
+    The prepared laps feed six branches; they are stored once and each branch reads its own columns.
+    The two kinds are stacked before their context is attached, so telemetry and weather are scanned
+    once for both.
+    """
+    prepared = staged(race.prepare_laps(laps, **options), "prepared-laps")
+    won = race.describe_overtakes(prepared, race.passes(prepared)).withColumnsRenamed(
+        {"OvertakeIntervall_Bottom": "__low", "OvertakeIntervall_Upper": "__high", "OvertakeID": "__id"}
+    )
+    won = won.withColumn("__sky", F.col("__low"))
+    lost = race.describe_failed_attempts(prepared, race.following_runs(prepared))
+    lost = race.base_lap_time(roles.attempt_interval(lost), "FailedID", "Time", "__sky").withColumnsRenamed(
+        {"TryIntervall_Bottom": "__low", "TryIntervall_Upper": "__high", "FailedID": "__id"}
+    )
+    known = [c for c in MEASURES if c not in _CONTEXT]
+    slim = [*RACE, "__id", "Driver", "Team", "Role", "BaseLap", *known, *EVENT, "Sikeres"]
+    slim += ["LapStartTime", "Time", "__low", "__high", "__sky"]
+    both = won.select(*slim).unionByName(lost.select(*slim))
+    return conform(race.attach_weather(race.attach_drs(both, telemetry, "__low", "__high"), weather, "__sky"), "__id")
 
 
 def redo_speed_delta(df: DataFrame, chosen: Column, measure: str = "SpeedI2", delta: str = "DeltaSpeedI2") -> DataFrame:

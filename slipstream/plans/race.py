@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from slipstream.functions import maps
 from slipstream.operators import roles, sequence, temporal
 from slipstream.operators.reshape import lap_window, unpivot_roles
-from slipstream.operators.scans import first_per_group
+from slipstream.operators.scans import first_per_group, needed_split
 
 RACE = ["Season", "Round"]
 CAR = [*RACE, "Driver"]
@@ -203,8 +203,13 @@ def attach_drs(
     high: str,
     split_rows: int | None = temporal.SPLIT_ROWS,
 ) -> DataFrame:
-    """Was the flap open in the interval of the attempt, and at any time on the row's own lap?"""
+    """Was the flap open in the interval of the attempt, and at any time on the row's own lap?
+
+    The attempts of one car in one race are few; only telemetry can crowd a key, so that is measured,
+    on the table as read and not on the plan built so far.
+    """
     open_samples = telemetry.where(F.col("DRS").between(*DRS_OPEN)).select(*CAR, "SessionTime")
+    split_rows = needed_split(open_samples, CAR, split_rows)
     return temporal.interval_flags(
         attempts,
         open_samples,
@@ -227,6 +232,7 @@ def attach_weather(
     """Latest weather sample of the same race at or before ``time``."""
     facts = weather.withColumnRenamed("Race", "Round").withColumnRenamed("Time", "__sampled")
     values = {"__sampled": "Weather_Time", **{c: c for c in WEATHER}}
+    split_rows = needed_split(facts, RACE, split_rows)
     return temporal.asof_left(attempts, facts, RACE, time, "__sampled", values, split_rows)
 
 

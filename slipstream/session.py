@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -33,6 +34,8 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # recording the Python call site of every column costs more than building the column
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
@@ -64,3 +67,15 @@ def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint in the shared folder: later branches read the same stored rows."""
     checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def staged(df, name: str):
+    """Write a frame that several branches read to the shared folder, and read it back.
+
+    Unlike a checkpoint the stored copy is columnar, so each branch reads only its own columns. The
+    folder is new on every call; whoever owns the shared folder expires its old content.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
