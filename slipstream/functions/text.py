@@ -77,3 +77,15 @@ def stop_words_found(df: DataFrame, columns: Sequence[str], stop_words: Sequence
 def mean_words(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mean number of words of each text column, missing texts left out."""
     return df.agg(*[F.avg(F.when(F.col(c).isNotNull(), word_count(F.col(c)))).alias(c) for c in columns])
+
+
+def document_frequency(df: DataFrame, column: str) -> DataFrame:
+    """Documents that contain each word, and the smoothed inverse document frequency.
+
+    Words are made distinct inside a document before the shuffle, so a count is enough after it.
+    """
+    seen = df.select(F.explode(F.array_distinct(words(F.col(column)))).alias("word"))
+    counted = seen.groupBy("word").agg(F.count("*").alias("df"))
+    total = df.agg(F.count("*").alias("__docs"))
+    idf = F.log((F.col("__docs") + 1) / (F.col("df") + 1)) + 1
+    return counted.crossJoin(F.broadcast(total)).select("word", "df", idf.alias("idf"))  # one row on the right

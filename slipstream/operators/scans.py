@@ -23,8 +23,7 @@ SPLIT_ROWS = 5_000_000
 # The most slices one group is cut into; a group gets as many as its size calls for.
 SLICES = 4096
 
-_KEY = "__group"
-_SLICE = "__slice"
+_SLICE = "__scan_slice"
 
 
 @dataclass(frozen=True)
@@ -101,7 +100,7 @@ def _finish(df: DataFrame, scans: dict[str, Scan]) -> DataFrame:
 
 def large_groups(df: DataFrame, keys: Sequence[str], split_rows: int) -> DataFrame:
     """Keys of groups above ``split_rows`` rows: at most (all rows / split_rows) of them."""
-    return df.groupBy(*keys).agg(F.count("*").alias("__rows")).where(F.col("__rows") > split_rows)
+    return df.groupBy(*keys).agg(F.count("*").alias("__scan_rows")).where(F.col("__scan_rows") > split_rows)
 
 
 def needed_split(df: DataFrame, keys: Sequence[str], split_rows: int | None) -> int | None:
@@ -111,24 +110,30 @@ def needed_split(df: DataFrame, keys: Sequence[str], split_rows: int | None) ->
     if keys:
         sizes = large_groups(df, keys, split_rows)
     else:
-        sizes = df.agg(F.count("*").alias("__rows")).where(F.col("__rows") > split_rows)
+        sizes = df.agg(F.count("*").alias("__scan_rows")).where(F.col("__scan_rows") > split_rows)
     return None if sizes.isEmpty() else split_rows
 
 
 def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     condition = F.lit(True)
     for k in keys:
-        condition = condition & left[k].eqNullSafe(right[f"__k_{k}"])
+        condition = condition & left[k].eqNullSafe(right[f"__scan_k_{k}"])
     return condition
 
 
+def _position(df: DataFrame, along: Column) -> Column:
+    """The cutting column as a double; dates and zone-less times go through a timestamp."""
+    kind = df.select(along.alias("a")).dtypes[0][1]
+    return along.cast("timestamp").cast("double") if kind in ("date", "timestamp_ntz") else along.cast("double")
+
+
 def ordered_scan(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence,
     scans: dict[str, Scan],
     split_rows: int | None = SPLIT_ROWS,
-    slices: int = SLICES,
+    slices: int | None = None,
 ) -> DataFrame:
     """Add the scan outputs to ``df``.
 
@@ -142,31 +147,32 @@ def ordered_scan(
         return _finish(_windowed(df, keys, order, scans), scans)
 
     sizes = large_groups(df, keys, split_rows)
-    large = sizes.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__rows")
-    position = order[0].cast("double")
-    cut_at = [i / slices for i in range(1, slices)]
+    large = sizes.select(*[F.col(k).alias(f"__scan_k_{k}") for k in keys], "__scan_rows")
+    position = _position(df, order[0])
+    slices = slices or SLICES
+    fractions = F.expr("array(" + ", ".join(f"{i / slices!r}D" for i in range(1, slices)) + ")")
     picked = df.join(large, _same_key(df, large, keys)) if keys else df.crossJoin(F.broadcast(large))
-    borders = picked.groupBy(*[F.col(f"__k_{k}") for k in keys]).agg(
-        F.percentile_approx(position, cut_at, 10 * slices).alias("__all"),
-        F.least(F.ceil(F.max("__rows") / F.lit(split_rows)) + 1, F.lit(slices)).cast("int").alias("__wanted"),
+    borders = picked.groupBy(*[F.col(f"__scan_k_{k}") for k in keys]).agg(
+        F.percentile_approx(position, fractions, 10 * slices).alias("__scan_all"),
+        F.least(F.ceil(F.max("__scan_rows") / F.lit(split_rows)) + 1, F.lit(slices)).cast("int").alias("__scan_wanted"),
     )
     cuts = borders.select(
-        *[f"__k_{k}" for k in keys],
+        *[f"__scan_k_{k}" for k in keys],
         F.transform(
-            F.sequence(F.lit(1), F.col("__wanted") - 1),
-            lambda i: F.element_at(F.col("__all"), F.floor(i * F.lit(slices) / F.col("__wanted")).cast("int")),
-        ).alias("__cuts"),
+            F.sequence(F.lit(1), F.col("__scan_wanted") - 1),
+            lambda i: F.element_at(F.col("__scan_all"), F.floor(i * F.lit(slices) / F.col("__scan_wanted")).cast("int")),
+        ).alias("__scan_cuts"),
     )
     cuts = cut_lineage(cuts)  # the slice borders, fixed before two branches use them
 
     if keys:
         # no broadcast hint: the optimizer broadcasts this side only if its stored size allows it
-        marked = df.join(cuts, _same_key(df, cuts, keys), "left").drop(*[f"__k_{k}" for k in keys])
+        marked = df.join(cuts, _same_key(df, cuts, keys), "left").drop(*[f"__scan_k_{k}" for k in keys])
     else:
         marked = df.crossJoin(F.broadcast(cuts))  # exactly one row
     marked = marked.withColumn(
-        _SLICE, F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(bin_index(position, F.col("__cuts"), slices - 1))
-    ).drop("__cuts")
+        _SLICE, F.when(F.col("__scan_cuts").isNull(), F.lit(0)).otherwise(bin_index(position, F.col("__scan_cuts"), slices - 1))
+    ).drop("__scan_cuts")
 
     local = _windowed(marked, keys + [_SLICE], order, scans)
     return _add_carries(local, marked, keys, order, scans)
@@ -187,7 +193,7 @@ def _add_carries(
                 summaries[name] = pick(scan.value, F.when(scan.value.isNotNull(), rank))
             else:
                 summaries[name] = pick(F.struct(scan.value.alias("v")), rank)
-    per_slice = marked.groupBy(*keys, _SLICE).agg(*[v.alias(f"__s_{n}") for n, v in summaries.items()])
+    per_slice = marked.groupBy(*keys, _SLICE).agg(*[v.alias(f"__scan_s_{n}") for n, v in summaries.items()])
 
     # at most SLICES rows per group here, whatever the group holds
     walk = Window.partitionBy(*keys).orderBy(_SLICE)
@@ -196,21 +202,21 @@ def _add_carries(
     carries = {}
     for name, scan in scans.items():
         frame = after if scan.backward else before
-        summary = F.col(f"__s_{name}")
+        summary = F.col(f"__scan_s_{name}")
         if scan.kind == "sum":
-            carries[f"__c_{name}"] = F.sum(summary).over(frame)
+            carries[f"__scan_c_{name}"] = F.sum(summary).over(frame)
         else:
             pick = F.first if scan.backward else F.last
-            carries[f"__c_{name}"] = pick(summary, ignorenulls=True).over(frame)
+            carries[f"__scan_c_{name}"] = pick(summary, ignorenulls=True).over(frame)
     carry = per_slice.withColumns(carries).select(
-        *[F.col(k).alias(f"__k_{k}") for k in keys], F.col(_SLICE).alias("__k_slice"), *carries
+        *[F.col(k).alias(f"__scan_k_{k}") for k in keys], F.col(_SLICE).alias("__scan_k_slice_no"), *carries
     )
 
-    matched = _same_key(local, carry, keys) & (local[_SLICE] == carry["__k_slice"])
+    matched = _same_key(local, carry, keys) & (local[_SLICE] == carry["__scan_k_slice_no"])
     joined = local.join(carry, matched, "left")
     merged = {}
     for name, scan in scans.items():
-        here, carried = F.col(f"`{name}`"), F.col(f"__c_{name}")
+        here, carried = F.col(f"`{name}`"), F.col(f"__scan_c_{name}")
         merged[name] = here + F.coalesce(carried, F.lit(0)) if scan.kind == "sum" else F.coalesce(here, carried)
     joined = joined.withColumns(merged).select(*[F.col(f"`{c}`") for c in local.columns if c != _SLICE])
     return _finish(joined, scans)
