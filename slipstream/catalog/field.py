@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 CARS = 20
 LOCATIONS = [
@@ -36,116 +35,94 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _race_columns() -> dict[str, Column]:
-    race_no = F.floor(F.col("user_id") / CARS)
-    return {
-        "race_no": race_no,
-        "Season": (F.lit(2018) + race_no % 8).cast("int"),
-        "Round": (F.floor(race_no / 8) + 1).cast("int"),
-        "Driver": F.concat(F.lit("D"), F.col("user_id").cast("string")),
-    }
+_RACE_EXPR = [
+    f"CAST(2018 + (user_id div {CARS}) % 8 AS INT) AS Season",
+    f"CAST((user_id div {CARS}) div 8 + 1 AS INT) AS Round",
+    "concat('D', user_id) AS Driver",
+]
+_DAY_EXPR = "datediff(CAST(ts AS DATE), DATE '2024-01-01')"
+_CENTS_EXPR = "CAST(round(value * 100) AS BIGINT)"
+_SESSION_EXPR = f"(({_DAY_EXPR} + 1) * 86400 + hour(ts) * 3600 + minute(ts) * 60 + second(ts)) / 864D"
 
 
-def _day_and_cents(events: DataFrame) -> DataFrame:
-    return events.withColumns(
-        {
-            "day": F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")),
-            "cents": F.round(F.col("value") * 100).cast("long"),
-        }
-    )
+def _array(values: list) -> str:
+    return "array(" + ", ".join("NULL" if v is None else f"'{v}'" for v in values) + ")"
 
 
 def laps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per car and day up to the car's last event; days between events are filled in.
+
+    Events are combined per car and day before they are shuffled, then brought together by race; each
+    row spreads over the days since the one before it, so the gaps need no join.
+    """
     events = table(spark, sf_dir, "events").select("user_id", "ts", "value")
-    daily = (
-        _day_and_cents(events).groupBy("user_id", "day").agg(F.sum("cents").alias("c"), F.count("*").alias("n"))
+    daily = events.groupBy("user_id", F.expr(f"{_DAY_EXPR} AS last")).agg(
+        F.expr(f"sum({_CENTS_EXPR}) AS cents"), F.expr("count(*) AS events")
+    )
+    daily = daily.selectExpr("*", f"user_id div {CARS} AS race_no", *_RACE_EXPR).repartition("Season", "Round")
+    car = "PARTITION BY Season, Round, Driver"
+    spread = daily.selectExpr("*", f"lag(last) OVER ({car} ORDER BY last) AS before").selectExpr(
+        "*", "explode(sequence(coalesce(before, -1) + 1, last)) AS day"
+    )
+    known = spread.selectExpr("*", "CASE WHEN day = last THEN cents END AS c", "CASE WHEN day = last THEN events END AS n")
+    ranked = known.selectExpr("*", f"sum(coalesce(c, 0)) OVER ({car} ORDER BY day) AS total").selectExpr(
+        "*", "row_number() OVER (PARTITION BY Season, Round, day ORDER BY total DESC, user_id) AS pos", "day + 1 AS lap"
     )
-    span = daily.groupBy("user_id").agg(F.max("day").alias("last"))
-    grid = span.select("user_id", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("day"))
-    full = grid.join(daily, ["user_id", "day"], "left").withColumns(_race_columns()).repartition("Season", "Round")
-    by_car = Window.partitionBy("Season", "Round", "Driver").orderBy("day")
-    full = full.withColumn("total", F.sum(F.coalesce("c", F.lit(0))).over(by_car))
-    by_lap = Window.partitionBy("Season", "Round", "day").orderBy(F.desc("total"), "user_id")
-    full = full.withColumn("pos", F.row_number().over(by_lap)).withColumn("lap", F.col("day") + 1)
-
-    u, c, n, lap, pos = (F.col(x) for x in ("user_id", "c", "n", "lap", "pos"))
-    tenths = lap * 1000 + pos * 9 + (u * 7 + lap * 3) % 10
-    at = lambda more: (tenths + more) / F.lit(10.0)
-    known = lambda modulus, value: F.when(c % modulus != 0, value)
-    hidden = (F.col("Season") == 2025) & (F.col("Round") == 1)
-    return full.select(
+    timed = ranked.selectExpr("*", "user_id AS u", "lap * 1000 + pos * 9 + (user_id * 7 + lap * 3) % 10 AS tenths")
+    return timed.selectExpr(
         "Season",
         "Round",
-        F.concat(F.lit("NATION_"), (F.col("race_no") % 25).cast("string"), F.lit(" Grand Prix")).alias("EventName"),
-        F.concat(F.lit("NATION_"), (F.col("race_no") % 25).cast("string")).alias("Country"),
-        _pick(LOCATIONS, F.col("race_no") % 25).alias("Location"),
-        F.date_add(F.make_date("Season", F.lit(3), F.lit(1)), F.col("Round")).cast("timestamp").alias("EventDate"),
+        "concat('NATION_', race_no % 25, ' Grand Prix') AS EventName",
+        "concat('NATION_', race_no % 25) AS Country",
+        f"element_at({_array(LOCATIONS)}, CAST(race_no % 25 + 1 AS INT)) AS Location",
+        "CAST(date_add(make_date(Season, 3, 1), Round) AS TIMESTAMP) AS EventDate",
         "Driver",
-        u.cast("string").alias("DriverNumber"),
-        _pick(TEAMS, F.floor((u % CARS) / 2)).alias("Team"),
-        lap.cast("double").alias("LapNumber"),
-        pos.cast("double").alias("Position"),
-        F.when(u % 3 != 0, (F.floor((lap - 1) / 11) + 1).cast("double")).alias("Stint"),
-        at(0).alias("LapStartTime"),
-        at(F.lit(860) + F.coalesce(c, F.lit(0)) % 61).alias("Time"),
-        F.when(n % 3 != 2, (F.lit(8300) + c % 300 + c % 400 + c % 200) / F.lit(100.0)).alias("LapTime"),
-        known(19, (F.lit(2500) + c % 300) / F.lit(100.0)).alias("Sector1Time"),
-        known(23, (F.lit(3000) + c % 400) / F.lit(100.0)).alias("Sector2Time"),
-        known(7, (F.lit(2800) + c % 200) / F.lit(100.0)).alias("Sector3Time"),
-        known(5, at(F.lit(250) + c % 31)).alias("Sector1SessionTime"),
-        known(11, at(F.lit(560) + c % 41)).alias("Sector2SessionTime"),
-        known(13, at(F.lit(850) + c % 51)).alias("Sector3SessionTime"),
-        F.when((u + lap) % 13 == 0, at(840)).alias("PitInTime"),
-        F.when(((u + lap) % 13 == 1) & (lap > 1), at(30)).alias("PitOutTime"),
-        known(4, (lap % 11 + 1).cast("double")).alias("TyreLife"),
-        known(6, F.lit(250) + (c % 800) / F.lit(10.0)).alias("SpeedI1"),
-        F.when(~hidden, known(9, F.lit(240) + (c % 700) / F.lit(10.0))).alias("SpeedI2"),
-        known(8, F.lit(260) + (c % 600) / F.lit(10.0)).alias("SpeedFL"),
-        known(10, F.lit(270) + (c % 500) / F.lit(10.0)).alias("SpeedST"),
-        _pick(COMPOUNDS, u % len(COMPOUNDS)).alias("Compound"),
-        (u % 2 == 0).alias("FreshTyre"),
-        _pick(STATUS, (F.col("race_no") + lap) % len(STATUS)).alias("TrackStatus"),
+        "CAST(u AS STRING) AS DriverNumber",
+        f"element_at({_array(TEAMS)}, CAST((u % {CARS}) div 2 + 1 AS INT)) AS Team",
+        "CAST(lap AS DOUBLE) AS LapNumber",
+        "CAST(pos AS DOUBLE) AS Position",
+        "CASE WHEN u % 3 <> 0 THEN CAST((lap - 1) div 11 + 1 AS DOUBLE) END AS Stint",
+        "tenths / 10D AS LapStartTime",
+        "(tenths + 860 + coalesce(c, 0) % 61) / 10D AS Time",
+        "CASE WHEN n % 3 <> 2 THEN (8300 + c % 300 + c % 400 + c % 200) / 100D END AS LapTime",
+        "CASE WHEN c % 19 <> 0 THEN (2500 + c % 300) / 100D END AS Sector1Time",
+        "CASE WHEN c % 23 <> 0 THEN (3000 + c % 400) / 100D END AS Sector2Time",
+        "CASE WHEN c % 7 <> 0 THEN (2800 + c % 200) / 100D END AS Sector3Time",
+        "CASE WHEN c % 5 <> 0 THEN (tenths + 250 + c % 31) / 10D END AS Sector1SessionTime",
+        "CASE WHEN c % 11 <> 0 THEN (tenths + 560 + c % 41) / 10D END AS Sector2SessionTime",
+        "CASE WHEN c % 13 <> 0 THEN (tenths + 850 + c % 51) / 10D END AS Sector3SessionTime",
+        "CASE WHEN (u + lap) % 13 = 0 THEN (tenths + 840) / 10D END AS PitInTime",
+        "CASE WHEN (u + lap) % 13 = 1 AND lap > 1 THEN (tenths + 30) / 10D END AS PitOutTime",
+        "CASE WHEN c % 4 <> 0 THEN CAST(lap % 11 + 1 AS DOUBLE) END AS TyreLife",
+        "CASE WHEN c % 6 <> 0 THEN 250 + (c % 800) / 10D END AS SpeedI1",
+        "CASE WHEN NOT (Season = 2025 AND Round = 1) AND c % 9 <> 0 THEN 240 + (c % 700) / 10D END AS SpeedI2",
+        "CASE WHEN c % 8 <> 0 THEN 260 + (c % 600) / 10D END AS SpeedFL",
+        "CASE WHEN c % 10 <> 0 THEN 270 + (c % 500) / 10D END AS SpeedST",
+        f"element_at({_array(COMPOUNDS)}, CAST(u % {len(COMPOUNDS)} + 1 AS INT)) AS Compound",
+        "u % 2 = 0 AS FreshTyre",
+        f"element_at({_array(STATUS)}, CAST((race_no + lap) % {len(STATUS)} + 1 AS INT)) AS TrackStatus",
     )
 
 
-def _session_seconds() -> Column:
-    second = F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
-    return ((F.col("day") + 1) * 86400 + second) / F.lit(864.0)
-
-
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select("user_id", "ts", "value")
-    return (
-        _day_and_cents(events)
-        .withColumns(_race_columns())
-        .select(
-            "Season",
-            "Round",
-            "Driver",
-            _session_seconds().alias("SessionTime"),
-            (F.lit(8) + F.col("cents") % 8).cast("int").alias("DRS"),
-        )
-    )
+    events = table(spark, sf_dir, "events")
+    return events.selectExpr(*_RACE_EXPR, f"{_SESSION_EXPR} AS SessionTime", f"CAST(8 + {_CENTS_EXPR} % 8 AS INT) AS DRS")
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").where("event_type = 'error'").select("user_id", "ts", "value")
-    c = F.col("cents")
-    return (
-        _day_and_cents(events)
-        .withColumns(_race_columns())
-        .select(
-            "Season",
-            F.col("Round").alias("Race"),
-            _session_seconds().alias("Time"),
-            (F.lit(15) + (c % 200) / F.lit(10.0)).alias("AirTemp"),
-            (F.lit(40) + c % 50).cast("double").alias("Humidity"),
-            (F.lit(1000) + c % 20).cast("double").alias("Pressure"),
-            (c % 5 == 0).alias("Rainfall"),
-            (F.lit(25) + (c % 300) / F.lit(10.0)).alias("TrackTemp"),
-            (c % 360).cast("int").alias("WindDirection"),
-            ((c % 80) / F.lit(10.0)).alias("WindSpeed"),
-        )
+    errors = table(spark, sf_dir, "events").where("event_type = 'error'")
+    c = _CENTS_EXPR
+    return errors.selectExpr(
+        _RACE_EXPR[0],
+        _RACE_EXPR[1].replace("AS Round", "AS Race"),
+        f"{_SESSION_EXPR} AS Time",
+        f"15 + ({c} % 200) / 10D AS AirTemp",
+        f"CAST(40 + {c} % 50 AS DOUBLE) AS Humidity",
+        f"CAST(1000 + {c} % 20 AS DOUBLE) AS Pressure",
+        f"{c} % 5 = 0 AS Rainfall",
+        f"25 + ({c} % 300) / 10D AS TrackTemp",
+        f"CAST({c} % 360 AS INT) AS WindDirection",
+        f"({c} % 80) / 10D AS WindSpeed",
     )
 
 

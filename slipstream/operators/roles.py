@@ -25,16 +25,16 @@ def counterpart_delta(df: DataFrame, group: Sequence[str], measures: dict[str, s
 
     Each role's measures travel as one struct, so the group is windowed once for all of them.
     """
-    packed = F.struct(F.lit(1).alias("there"), *[F.col(m).cast("double").alias(m) for m in measures])
+    fields = ", ".join(f"'{m}', CAST(`{m}` AS DOUBLE)" for m in measures)
+    packed = F.expr(f"named_struct('there', 1, {fields})")
     both = df.withColumns(
         {
             "__mover": role_value(packed, OVERTAKER, group),
             "__target": role_value(packed, PASSED, group),
         }
     )
-    leads = F.col("Role") == OVERTAKER
     deltas = {
-        out: F.col(m) - F.when(leads, F.col(f"__target.{m}")).otherwise(F.col(f"__mover.{m}"))
+        out: F.expr(f"`{m}` - CASE WHEN Role = '{OVERTAKER}' THEN __target.`{m}` ELSE __mover.`{m}` END")
         for m, out in measures.items()
     }
     return both.withColumns(deltas).drop("__mover", "__target")

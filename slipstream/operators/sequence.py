@@ -46,9 +46,8 @@ def interpolate(
     filled = {}
     for c in columns:
         lo, hi = f"__lo_{c}", f"__hi_{c}"
-        slope = (F.col(f"{hi}.v") - F.col(f"{lo}.v")) / (F.col(f"{hi}.i") - F.col(f"{lo}.i"))
-        between = F.col(f"{lo}.v") + slope * (F.col("__i") - F.col(f"{lo}.i"))
-        filled[c] = F.when(F.col(c).isNull(), between).otherwise(F.col(c))
+        line = f"`{lo}`.v + (`{hi}`.v - `{lo}`.v) / (`{hi}`.i - `{lo}`.i) * (__i - `{lo}`.i)"
+        filled[c] = F.expr(f"CASE WHEN `{c}` IS NULL THEN {line} ELSE `{c}` END")
     return around.withColumns(filled).select(*df.columns)
 
 

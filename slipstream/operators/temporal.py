@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from slipstream.operators.scans import SPLIT_ROWS, latest, ordered_scan, running_total
 
+# Groups that rows without a time are spread over.
+SPREAD = 1024
+
 
 def asof_left(
     probes: DataFrame,
@@ -32,17 +35,20 @@ def asof_left(
         *keys, F.col(fact_time).alias("__at"), F.struct(*taken).alias("__fact")
     )
     row = F.struct(*[F.col(f"`{c}`") for c in probes.columns])
-    timed = probes.where(F.col(probe_time).isNotNull()).select(
-        *keys, F.col(probe_time).alias("__at"), row.alias("__probe")
+    # a probe without a time finds nothing: it is kept away from the facts, spread by a few other columns
+    others = [c for c in probes.columns if c not in (*keys, probe_time)][:3]
+    aside = F.when(F.col(probe_time).isNull(), F.pmod(F.xxhash64(*others), F.lit(SPREAD)) + 1)
+    asking = probes.select(
+        *keys, F.col(probe_time).alias("__at"), row.alias("__probe"), F.coalesce(aside, F.lit(0)).alias("__salt")
     )
-    stacked = facts.withColumn("__late", F.lit(0)).unionByName(
-        timed.withColumn("__late", F.lit(1)), allowMissingColumns=True
+    stacked = facts.withColumns({"__late": F.lit(0), "__salt": F.lit(0).cast("long")}).unionByName(
+        asking.withColumn("__late", F.lit(1)), allowMissingColumns=True
     )
     order = ["__at", "__late", "__fact"]
-    scanned = ordered_scan(stacked, keys, order, {"__hit": latest(F.col("__fact"))}, split_rows)
-    found = scanned.where(F.col("__late") == 1).select("__probe.*", *[F.col(f"__hit.{n}").alias(n) for n in values.values()])
-    untimed = probes.where(F.col(probe_time).isNull())
-    return found.unionByName(untimed, allowMissingColumns=True)
+    scanned = ordered_scan(stacked, [*keys, "__salt"], order, {"__hit": latest(F.col("__fact"))}, split_rows)
+    return scanned.where(F.col("__late") == 1).select(
+        "__probe.*", *[F.col(f"__hit.{n}").alias(n) for n in values.values()]
+    )
 
 
 def interval_flags(
@@ -137,35 +143,27 @@ def count_in_rank_range(
     """How many ``others`` have a rank in [low, high), without building the matches.
 
     The number below a rank is a running count along the rank axis, so each mover needs two lookups:
-    below ``high`` minus below ``low``. Linear in the input however many matches there are.
+    below ``high`` minus below ``low``. Linear in the input however many matches there are. The rows of
+    ``movers`` are distinct.
     """
     keys = list(keys)
     marks = others.where(F.col(rank).isNotNull()).select(
         *keys, F.col(rank).cast("double").alias("__at"), F.lit(1).alias("__one"), F.lit(1).alias("__late")
     )
     row = F.struct(*[F.col(f"`{c}`") for c in movers.columns])
-    moving = movers.where(F.col(low) < F.col(high)).select(*keys, row.alias("__row"), low, high)
-    edges = moving.select(
-        *keys,
-        "__row",
-        F.explode(
-            F.array(
-                F.struct(F.col(low).cast("double").alias("__at"), F.lit(-1).alias("__sign")),
-                F.struct(F.col(high).cast("double").alias("__at"), F.lit(1).alias("__sign")),
-            )
-        ).alias("__edge"),
-    ).select(*keys, "__row", "__edge.__at", "__edge.__sign", F.lit(0).alias("__one"), F.lit(0).alias("__late"))
-    stacked = marks.unionByName(edges, allowMissingColumns=True)
-    scanned = ordered_scan(
-        stacked, keys, ["__at", "__late"], {"__below": running_total(F.col("__one"))}, split_rows
+    at_low = F.struct(F.col(low).cast("double").alias("__at"), F.lit(-1).alias("__sign"))
+    at_high = F.struct(F.col(high).cast("double").alias("__at"), F.lit(1).alias("__sign"))
+    # an empty or unknown interval asks nothing of the scan and counts 0
+    nothing = F.array(F.struct(F.lit(None).cast("double").alias("__at"), F.lit(0).alias("__sign")))
+    asked = F.when(F.col(low) < F.col(high), F.array(at_low, at_high)).otherwise(nothing)
+    edges = movers.select(*keys, row.alias("__row"), F.explode(asked).alias("__edge")).select(
+        *keys, "__row", "__edge.__at", "__edge.__sign", F.lit(0).alias("__one"), F.lit(0).alias("__late")
     )
-    counted = (
+    stacked = marks.unionByName(edges, allowMissingColumns=True)
+    scanned = ordered_scan(stacked, keys, ["__at", "__late"], {"__below": running_total(F.col("__one"))}, split_rows)
+    return (
         scanned.where(F.col("__late") == 0)
         .groupBy("__row")
         .agg(F.sum(F.col("__sign") * F.col("__below")).cast("long").alias(out))
         .select("__row.*", out)
     )
-    still = movers.where(~F.coalesce(F.col(low) < F.col(high), F.lit(False))).withColumn(out, F.lit(0).cast("long"))
-    return counted.unionByName(still)
-
-

@@ -142,12 +142,11 @@ def widen(df: DataFrame, laps: int = 2, window: int = 3, relative: bool = False,
             for lap in range(1, window + 1):
                 if measure in kept and lap > laps:
                     continue
-                here = (F.col("Role") == role) & (F.col("Lap_Index") == lap)
-                cells.append(F.max(F.when(here, F.col(measure))).alias(f"{measure}_{role}_{lap}"))
+                here = f"Role = '{role}' AND Lap_Index = {lap}"
+                cells.append(F.expr(f"max(CASE WHEN {here} THEN {measure} END) AS {measure}_{role}_{lap}"))
     for value in ("Driver", "Team", "BaseLap"):
-        cells += [F.max(F.when(F.col("Role") == role, F.col(value))).alias(f"{value}_{role}") for role in SIDES]
-    on_base = F.col("LapNumber") == F.col("BaseLap")
-    cells += [F.max(F.when(on_base, F.col(c))).alias(c) for c in WEATHER]
+        cells += [F.expr(f"max(CASE WHEN Role = '{role}' THEN {value} END) AS {value}_{role}") for role in SIDES]
+    cells += [F.expr(f"max(CASE WHEN LapNumber = BaseLap THEN {c} END) AS {c}") for c in WEATHER]
     wide = indexed.groupBy(*ids).agg(*cells)
 
     gap = F.abs(f"DeltaSector3SessionTime_Overtaker_{laps}")
