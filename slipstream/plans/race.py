@@ -14,6 +14,7 @@ from slipstream.functions import maps
 from slipstream.operators import roles, sequence, temporal
 from slipstream.operators.reshape import lap_window, unpivot_roles
 from slipstream.operators.scans import first_per_group, needed_split
+from slipstream.session import staged
 
 RACE = ["Season", "Round"]
 CAR = [*RACE, "Driver"]
@@ -114,8 +115,11 @@ def _number_in_race(df: DataFrame, order: list[str], out: str) -> DataFrame:
 
 
 def find_overtakes(laps: DataFrame, **options) -> DataFrame:
-    """Successful passes as role-by-lap rows: the base lap and the two before, for both cars."""
-    prepared = prepare_laps(laps, **options)
+    """Successful passes as role-by-lap rows: the base lap and the two before, for both cars.
+
+    Movers, targets and lap details all come from the prepared laps, which are stored once.
+    """
+    prepared = staged(prepare_laps(laps, **options), "prepared-laps")
     return describe_overtakes(prepared, passes(prepared))
 
 
@@ -150,7 +154,7 @@ def find_failed_attempts(
     **options,
 ) -> DataFrame:
     """Failed attempts as role-by-lap rows: the closest moment of each spell of close following."""
-    prepared = prepare_laps(laps, **options)
+    prepared = staged(prepare_laps(laps, **options), "prepared-laps")
     return describe_failed_attempts(
         prepared, following_runs(prepared, run_length, lap_step), max_gap, run_length, streak_gap
     )

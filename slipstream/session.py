@@ -34,6 +34,8 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # small local inputs still use every core
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         # recording the Python call site of every column costs more than building the column
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
