@@ -477,7 +477,7 @@ def distinct_counts(spark, sf_dir):
     events = table(spark, sf_dir, "events").selectExpr("user_id", "event_type", "CAST(ts AS DATE) AS day")
     total = profile.distinct_tuples(events, ["user_id", "event_type", "day"], "total")
     users = profile.distinct_per_group(events, ["event_type"], "user_id", "users")
-    return users.crossJoin(F.broadcast(total))  # one row
+    return users.withColumn("total", total.scalar())
 
 
 _CUMULATIVE = """SELECT {c}, n AS "Gyakorisag", 100.0 * n / sum(n) OVER () AS "Szazalek",

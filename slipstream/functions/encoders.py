@@ -22,9 +22,9 @@ def fit_scaler(df: DataFrame, columns: Sequence[str], sample: bool = False) -> D
 
 def apply_scaler(df: DataFrame, fitted: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Subtract the mean and divide by the deviation; a constant column is only centred."""
-    joined = df.crossJoin(F.broadcast(fitted))  # one row
+    joined = df.withColumn("__fit", fitted.select(F.struct("*")).scalar())
     scaled = {
-        c: (F.col(c) - F.col(f"__mean_{c}")) / F.when(F.col(f"__sd_{c}") == 0, 1.0).otherwise(F.col(f"__sd_{c}"))
+        c: F.expr(f"(`{c}` - __fit.`__mean_{c}`) / CASE WHEN __fit.`__sd_{c}` = 0 THEN 1 ELSE __fit.`__sd_{c}` END")
         for c in columns
     }
     return joined.withColumns(scaled).select(*df.columns)
@@ -33,9 +33,9 @@ def apply_scaler(df: DataFrame, fitted: DataFrame, columns: Sequence[str]) -> Da
 def fit_frequent(df: DataFrame, column: str, min_frequency: float = 0.02) -> DataFrame:
     """Levels with at least ``min_frequency`` of the rows: at most 1 / min_frequency of them."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("__n"))
-    total = df.agg(F.count("*").alias("__all"))
-    # one row on the right; the kept levels are few whatever the data holds
-    kept = counts.crossJoin(F.broadcast(total)).where(F.col("__n") >= F.col("__all") * min_frequency)
+    total = df.agg(F.count("*")).scalar()
+    # the kept levels are few whatever the data holds
+    kept = counts.where(F.col("__n") >= total * min_frequency)
     return kept.select(F.col(column).alias("__level"))
 
 
@@ -79,7 +79,6 @@ def target_encode(
     out: str,
     smooth: float | str = "auto",
     test: DataFrame | None = None,
-    k: int = 5,
 ):
     """Out-of-fold target means of a 0/1 label: each row is encoded without its own fold.
 
@@ -90,13 +89,15 @@ def target_encode(
         F.count("*").alias("__n"), F.sum(label).alias("__s")
     )
     folds = cells.groupBy(F.col("__fold").alias("__f")).agg(F.sum("__n").alias("__fn"), F.sum("__s").alias("__fs"))
-    whole = folds.agg(F.sum("__fn").alias("__gn"), F.sum("__fs").alias("__gs"))
-    per_fold = folds.crossJoin(F.broadcast(whole)).select(
-        "__f", (F.col("__gn") - F.col("__fn")).alias("__on"), (F.col("__gs") - F.col("__fs")).alias("__os")
+    rows, positives = (folds.agg(F.sum(c)).scalar() for c in ("__fn", "__fs"))
+    per_fold = folds.select(
+        "__f", (rows - F.col("__fn")).alias("__on"), (positives - F.col("__fs")).alias("__os")
     )
+    every_fold = per_fold.agg(F.collect_list(F.struct("__f", "__on", "__os"))).scalar()  # k entries
     levels = cells.groupBy(F.col("__level").alias("__lv")).agg(F.sum("__n").alias("__ln"), F.sum("__s").alias("__ls"))
     others = (
-        levels.crossJoin(F.broadcast(per_fold))  # k rows
+        levels.withColumn("__folds", every_fold)
+        .select("__lv", "__ln", "__ls", F.inline("__folds"))
         .join(cells, F.col("__lv").eqNullSafe(F.col("__level")) & (F.col("__f") == F.col("__fold")), "left")
         .select(
             "__lv",
@@ -115,11 +116,10 @@ def target_encode(
     if test is None:
         return encoded
     mean_code = others.groupBy("__lv").agg(F.avg("__code").alias("__code"))
-    unseen = per_fold.agg(F.avg(F.col("__os") / F.col("__on")).alias("__unseen"))
+    unseen = per_fold.agg(F.avg(F.col("__os") / F.col("__on"))).scalar()
     scored = (
         test.join(mean_code, F.col(column).eqNullSafe(F.col("__lv")), "left")
-        .crossJoin(F.broadcast(unseen))
-        .withColumn(out, F.coalesce("__code", "__unseen"))
+        .withColumn(out, F.coalesce(F.col("__code"), unseen))
         .select(*test.columns, out)
     )
     return encoded, scored

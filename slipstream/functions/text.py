@@ -86,6 +86,5 @@ def document_frequency(df: DataFrame, column: str) -> DataFrame:
     """
     seen = df.select(F.explode(F.array_distinct(words(F.col(column)))).alias("word"))
     counted = seen.groupBy("word").agg(F.count("*").alias("df"))
-    total = df.agg(F.count("*").alias("__docs"))
-    idf = F.log((F.col("__docs") + 1) / (F.col("df") + 1)) + 1
-    return counted.crossJoin(F.broadcast(total)).select("word", "df", idf.alias("idf"))  # one row on the right
+    documents = df.agg(F.count("*")).scalar()
+    return counted.select("word", "df", (F.log((documents + 1) / (F.col("df") + 1)) + 1).alias("idf"))

@@ -196,11 +196,10 @@ def permutation_importance(
     ranked = hash_rank(hash_rank(df, [], key, seed, "__a", **options), [], key, seed + 1, "__b", **options)
     donor = ranked.select(F.col("__b").alias("__a"), F.struct(*features).alias("__other"))
     paired = staged(ranked.join(donor, "__a").drop("__a", "__b"), "shuffled-columns")
-    base = evaluation.roc_auc(scored(model, paired), LABEL, PROBABILITY).withColumnRenamed("auc", "base")
+    base = evaluation.roc_auc(scored(model, paired), LABEL, PROBABILITY)
     drops = None
     for f in features:
         mixed = paired.withColumn(f, F.col(f"__other.{f}"))
         drop = evaluation.roc_auc(scored(model, mixed), LABEL, PROBABILITY).select(F.lit(f).alias("Feature"), "auc")
         drops = drop if drops is None else drops.unionByName(drop)
-    compared = drops.crossJoin(F.broadcast(base))  # one row
-    return compared.select("Feature", (F.col("base") - F.col("auc")).alias("Importance"))
+    return drops.select("Feature", (base.scalar() - F.col("auc")).alias("Importance"))

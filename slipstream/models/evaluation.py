@@ -108,10 +108,9 @@ def roc_points(df: DataFrame, label: str, score: str, split_rows: int | None = S
     ranked = ordered_scan(
         counts, [], ["__down"], {"tp": running_total(F.col("pos")), "fp": running_total(F.col("neg"))}, split_rows
     )
-    totals = counts.agg(F.sum("pos").alias("__p"), F.sum("neg").alias("__n"))
-    joined = ranked.crossJoin(F.broadcast(totals))  # one row
-    return joined.select(
-        F.col("score").alias("threshold"), (F.col("fp") / F.col("__n")).alias("fpr"), (F.col("tp") / F.col("__p")).alias("tpr")
+    positives, negatives = (counts.agg(F.sum(c)).scalar() for c in ("pos", "neg"))
+    return ranked.select(
+        F.col("score").alias("threshold"), (F.col("fp") / negatives).alias("fpr"), (F.col("tp") / positives).alias("tpr")
     )
 
 

@@ -101,7 +101,8 @@ def duplicated(df: DataFrame, keys: Sequence[str] | None = None, out: str = "n")
 def same_values(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row: how many distinct values only one side has, and whether there are none."""
     only_left, only_right = left.subtract(right), right.subtract(left)
-    counts = only_left.agg(F.count("*").alias("only_left")).crossJoin(only_right.agg(F.count("*").alias("only_right")))
+    counts = only_left.agg(F.count("*").alias("only_left"))
+    counts = counts.withColumn("only_right", only_right.agg(F.count("*")).scalar())
     return counts.withColumn("equal", (F.col("only_left") == 0) & (F.col("only_right") == 0))
 
 

@@ -73,16 +73,18 @@ def class_weights(df: DataFrame, label: str, mode: str = "balanced") -> DataFram
     """Weight per label value: rows / (classes * rows of the class), or negatives / positives for 1."""
     counts = df.groupBy(label).agg(F.count("*").alias("n"))
     totals = counts.agg(
-        F.sum("n").alias("__all"),
-        F.count("*").alias("__classes"),
-        F.sum(F.when(F.col(label) == 0, F.col("n"))).alias("__neg"),
-        F.sum(F.when(F.col(label) == 1, F.col("n"))).alias("__pos"),
+        F.struct(
+            F.sum("n").alias("all"),
+            F.count("*").alias("classes"),
+            F.sum(F.when(F.col(label) == 0, F.col("n"))).alias("neg"),
+            F.sum(F.when(F.col(label) == 1, F.col("n"))).alias("pos"),
+        )
     )
-    both = counts.crossJoin(F.broadcast(totals))  # totals is one row
+    both = counts.withColumn("__t", totals.scalar())
     if mode == "balanced":
-        weight = F.col("__all") / (F.col("__classes") * F.col("n"))
+        weight = F.col("__t.all") / (F.col("__t.classes") * F.col("n"))
     elif mode == "positive":
-        weight = F.when(F.col(label) == 1, F.col("__neg") / F.col("__pos")).otherwise(F.lit(1.0))
+        weight = F.when(F.col(label) == 1, F.col("__t.neg") / F.col("__t.pos")).otherwise(F.lit(1.0))
     else:
         raise ValueError("mode is 'balanced' or 'positive'")
     return both.select(label, "n", weight.alias("weight"))

@@ -151,7 +151,7 @@ def ordered_scan(
     position = _position(df, order[0])
     slices = slices or SLICES
     fractions = F.expr("array(" + ", ".join(f"{i / slices!r}D" for i in range(1, slices)) + ")")
-    picked = df.join(large, _same_key(df, large, keys)) if keys else df.crossJoin(F.broadcast(large))
+    picked = df.join(large, _same_key(df, large, keys)) if keys else df.withColumn("__scan_rows", large.scalar())
     borders = picked.groupBy(*[F.col(f"__scan_k_{k}") for k in keys]).agg(
         F.percentile_approx(position, fractions, 10 * slices).alias("__scan_all"),
         F.least(F.ceil(F.max("__scan_rows") / F.lit(split_rows)) + 1, F.lit(slices)).cast("int").alias("__scan_wanted"),
@@ -169,7 +169,7 @@ def ordered_scan(
         # no broadcast hint: the optimizer broadcasts this side only if its stored size allows it
         marked = df.join(cuts, _same_key(df, cuts, keys), "left").drop(*[f"__scan_k_{k}" for k in keys])
     else:
-        marked = df.crossJoin(F.broadcast(cuts))  # exactly one row
+        marked = df.withColumn("__scan_cuts", cuts.scalar())
     marked = marked.withColumn(
         _SLICE, F.when(F.col("__scan_cuts").isNull(), F.lit(0)).otherwise(bin_index(position, F.col("__scan_cuts"), slices - 1))
     ).drop("__scan_cuts")
