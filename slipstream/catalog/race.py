@@ -9,6 +9,7 @@ from slipstream.catalog import field
 from slipstream.catalog.registry import Registry
 from slipstream.operators import roles
 from slipstream.plans import attempts, race
+from slipstream.session import staged
 
 _GAPS = ["TyreLife", "SpeedI1", "SpeedI2", "SpeedFL", "SpeedST"]
 _CAR = '"Season", "Round", "Driver"'
@@ -442,3 +443,9 @@ _DELTA_NAMES = {f"{d}_{k}": f"{d}_Overtaker_{k}" for d in (
 def model_input_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = attempts.flatten(_wide_input(spark, sf_dir))
     return attempts.model_variant(flat, **attempts.VARIANTS["delta_without_corners"])
+
+
+@registry.add("speed_imputed", "s:AttemptID Role d:LapNumber SpeedI2 DeltaSpeedI2")
+def speed_imputed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The speed trap that was out in round 1 of 2025, filled from alike laps."""
+    return attempts.impute_speed(staged(_attempt_laps(spark, sf_dir), "attempt-laps"), 2025, 1)

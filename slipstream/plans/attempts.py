@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from slipstream.functions import maps, text
-from slipstream.operators import reshape, roles
+from slipstream.operators import reshape, roles, statistics
 from slipstream.operators.scans import first_per_group
 from slipstream.plans import race
 from slipstream.plans.race import RACE, WEATHER
@@ -74,6 +74,19 @@ def redo_speed_delta(df: DataFrame, chosen: Column, measure: str = "SpeedI2", de
     return again.withColumn(delta, F.when(chosen, F.col("__new")).otherwise(F.col("__kept"))).select(*df.columns)
 
 
+SPEED_PREDICTORS = ["Season", "Round", "Sector1", "Sector2", "Sector3", "SpeedI1", "SpeedST", "LapNumber"]
+
+
+def impute_speed(df: DataFrame, season: int = 2025, race_round: int = 22, draws: int = 10, seed: int = 123) -> DataFrame:
+    """Fill a speed trap that was out for one race from alike laps of all races, and redo its delta there."""
+    chosen = (F.col("Season") == season) & (F.col("Round") == race_round)
+    keyed = df.withColumn("__row", F.concat_ws("|", "AttemptID", "Role", F.col("LapNumber").cast("string")))
+    filled = statistics.impute_by_matching(
+        keyed, "__row", "SpeedI2", SPEED_PREDICTORS, draws=draws, seed=seed, where=chosen
+    ).drop("__row")
+    return redo_speed_delta(filled, chosen)
+
+
 def track_features(schedule: DataFrame, sheet: DataFrame) -> DataFrame:
     """One row per event and location: braking level from the list, the rest from the sheet.
 
@@ -187,6 +200,7 @@ def model_variant(
     text_mode: str = "combined",
     trimmed: bool = True,
     laps: int = 2,
+    keep_id: bool = False,
 ) -> DataFrame:
     """One of the model input tables.
 
@@ -195,6 +209,7 @@ def model_variant(
     raw           keep lap times, speeds and tyre ages beside their deltas
     corner_words  keep the words corner and corners in the combined text
     trimmed       shorten names and drop columns that repeat one another
+    keep_id       keep AttemptID, which splits and folds are drawn by
     """
     if text_mode not in ("combined", "character"):
         raise ValueError("text_mode is 'combined' or 'character'")
@@ -212,12 +227,13 @@ def model_variant(
     sectors = ["S1Description", "S2Description", "S3Description"]
     if text_mode == "character":
         out = out.withColumns({c: text.phrase(F.col(c)) for c in sectors})
-        return reshape.last_column(out.drop("AttemptID"), "Sikeres")
+        return reshape.last_column(out if keep_id else out.drop("AttemptID"), "Sikeres")
 
     described = text.joined_text(*[F.col(c) for c in ("Location", *sectors)])
     if not corner_words:
         described = text.strip_corner_words(described)
-    out = out.withColumn("TrackDescription", described).drop("AttemptID", "Location", *sectors)
+    out = out.withColumn("TrackDescription", described).drop("Location", *sectors)
+    out = out if keep_id else out.drop("AttemptID")
     indices = range(1, laps + 1)
     if trimmed:
         out = out.drop(
