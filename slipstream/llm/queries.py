@@ -57,3 +57,44 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+def _held_out(column="doc_id"):
+    return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+@_query("op1_quality")
+def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from slipstream.llm import quality
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").where(~_held_out()).select("doc_id", F.col("quality").cast("double").alias("label"))
+    scored = quality.score(docs, quality.train(docs, labels))
+    return scored.select("doc_id", _held_out().alias("held_out"), "score", "predicted")
+
+
+@_query("op6_language")
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from slipstream.llm import language
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs.where(~_held_out()))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
+
+
+@_query("op3_fingerprints")
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from slipstream.llm import fingerprint
+
+    found = fingerprint.compare_neighbours(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    written = {c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")}
+    return found.withColumns(written)
+
+
+@_query("op9_main_text")
+def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from slipstream.llm.html_text import main_text
+
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return main_text(pages).select("page_id", "url", "text", "n_chars")
