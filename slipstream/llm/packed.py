@@ -51,16 +51,26 @@ def bucket_of(codes: np.ndarray, n: int) -> np.ndarray:
     return ((codes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int32)
 
 
+def blocks(spark: SparkSession) -> int:
+    """Blocks of documents: an odd number, so that ids with a common stride do not share a block."""
+    return buckets(spark) + 1
+
+
 def block_of(ids: np.ndarray, n: int) -> np.ndarray:
-    """The block of documents that an id belongs to; the same as `block_column`."""
-    h = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return ((h >> np.uint64(33)) % np.uint64(n)).astype(np.int32)
+    """The block of documents that an id belongs to; `block_column` is the same as a column."""
+    h = ids.astype(np.int64).view(np.uint64)
+    h = (h ^ (h >> np.uint64(17)) ^ (h >> np.uint64(34))) & np.uint64(2**62 - 1)
+    return (h % np.uint64(n)).astype(np.int32)
+
+
+def order_column(key: str):
+    """The id as a 64-bit number; a null id comes behind all others."""
+    return F.coalesce(F.col(key).cast("bigint"), F.lit(int(NULL_ID)))
 
 
 def block_column(key: str, n: int):
-    """`block_of` as a column."""
-    h = F.expr(f"coalesce(CAST(`{key}` AS DECIMAL(20)), {int(NULL_ID)}) * 11400714819323198485BD")
-    return F.lit(0) if n == 1 else h  # pragma: no cover
+    """The block of an id made by `order_column`."""
+    return F.expr(f"CAST(((`{key}` ^ shiftrightunsigned(`{key}`, 17) ^ shiftrightunsigned(`{key}`, 34)) & {2**62 - 1}L) % {n} AS INT)")
 
 
 def cut(part: np.ndarray) -> Iterator[tuple[int, slice]]:
@@ -93,5 +103,88 @@ def dealt(rows: DataFrame, *order: str) -> DataFrame:
     return rows.repartition(n, order[0]).sortWithinPartitions(*order)
 
 
-def per_task(rows: DataFrame, function: Callable, schema: str) -> DataFrame:
-    return rows.mapInArrow(function, schema)
+#: Rows of an exchange. ``kind`` 0: numbers for the reducer of bucket ``part``; 1: notes for the documents of block ``part``.
+#: ``ids`` are packed, the other columns are plain arrays with one entry for each id.
+SCHEMA = "kind int, part int, n int, ids binary, codes binary, checks binary, places binary"
+_ARROW = pa.schema(
+    [("kind", pa.int32()), ("part", pa.int32()), ("n", pa.int32()), *((c, pa.binary()) for c in ("ids", "codes", "checks", "places"))]
+)
+
+
+def rows_of(kind: int, part: np.ndarray, ids: np.ndarray, **columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One row for each bucket or block with its numbers; ids of one part in ascending order."""
+    order = np.lexsort((ids, part))
+    part, ids = part[order], ids[order]
+    columns = {k: v[order] for k, v in columns.items()}
+    out = {c: [] for c in _ARROW.names}
+    for value, rows in cut(part):
+        out["kind"].append(kind)
+        out["part"].append(value)
+        out["n"].append(rows.stop - rows.start)
+        out["ids"].append(pack_ids(ids[rows]))
+        for c in ("codes", "checks", "places"):
+            out[c].append(columns[c][rows].tobytes() if c in columns else None)
+    if out["part"]:
+        yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in _ARROW], schema=_ARROW)
+
+
+def numbers(batches: list[pa.RecordBatch], **kinds: type) -> dict[str, np.ndarray]:
+    """The numbers of exchange rows as flat arrays: ids and the columns named with their types."""
+    rows = [r for b in batches for r in b.to_pylist()]
+    out = {"ids": np.concatenate([np.zeros(0, np.int64), *(unpack_ids(r["ids"], r["n"]) for r in rows)])}
+    for c, kind in kinds.items():
+        out[c] = np.frombuffer(b"".join(r[c] for r in rows), kind)
+    return out
+
+
+def reduced(rows: DataFrame, function: Callable) -> DataFrame:
+    """``function(batches of one bucket)`` yields notes; notes among the rows pass unchanged."""
+
+    def run(batches):
+        for _, held in grouped(batches, 1):
+            found = []
+            for batch in held:
+                kind = batch.column(0).to_numpy(zero_copy_only=False)
+                if (kind == 1).any():
+                    yield batch.filter(pa.array(kind == 1))
+                if (kind == 0).any():
+                    found.append(batch.filter(pa.array(kind == 0)))
+            if found:
+                yield from function(found)
+
+    return dealt(rows.select("kind", "part", "n", "ids", "codes", "checks", "places"), "part", "kind").mapInArrow(run, SCHEMA)
+
+
+def visited(docs: DataFrame, notes: DataFrame, function: Callable, schema: str, key: str, text: str, n: int) -> DataFrame:
+    """Documents meet the notes of their block: ``function(documents, notes)`` gets an iterator over
+    (batch of id, text; notes of the block as exchange rows) and yields record batches."""
+    ours = docs.select(order_column(key).alias("id"), F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    ours = ours.withColumn("part", block_column("id", n)).withColumn("kind", F.lit(2))
+    both = ours.select("part", "kind", "id", "key", "text").unionByName(notes.select("part", "kind", "n", "ids", "codes", "checks", "places"), True)
+
+    def run(batches):
+        def blocks_of_documents():
+            for _, held in grouped_stream(batches):
+                yield held
+
+        yield from function(blocks_of_documents())
+
+    return dealt(both, "part", "kind").mapInArrow(run, schema)
+
+
+def grouped_stream(batches) -> Iterator[tuple[int, tuple[pa.RecordBatch, list[pa.RecordBatch]]]]:
+    """(block, (documents, notes of the block)) in pieces; the notes of a block come before its documents."""
+    current, notes = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        for value, rows in cut(batch.column(0).to_numpy(zero_copy_only=False)):
+            if value != current:
+                current, notes = value, []
+            piece = batch.slice(rows.start, rows.stop - rows.start)
+            kind = piece.column(1).to_numpy(zero_copy_only=False)
+            split = int(np.searchsorted(kind, 2))
+            if split:
+                notes = [*notes, piece.slice(0, split).select(["n", "ids", "codes", "checks", "places"])]
+            if split < piece.num_rows:
+                yield value, (piece.slice(split).select(["id", "key", "text"]), notes)

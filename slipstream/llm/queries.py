@@ -15,6 +15,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Arrow batches small enough that a batch of very long texts stays far below a worker's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    # what an execution has shuffled goes when it ends: stages that write and read back never hold two exchanges of texts
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 
@@ -98,3 +100,11 @@ def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
+@_query("op4_substring_dedup")
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from slipstream.llm.substring import remove_repeats
+
+    found = remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
