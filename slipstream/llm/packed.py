@@ -128,6 +128,12 @@ def rows_of(kind: int, part: np.ndarray, ids: np.ndarray, **columns: np.ndarray)
         yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in _ARROW], schema=_ARROW)
 
 
+def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+    """Exchange rows (kind, part, n, ids, codes, checks, places) as a batch."""
+    columns = list(zip(*rows)) if rows else [()] * len(_ARROW)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW)
+
+
 def numbers(batches: list[pa.RecordBatch], **kinds: type) -> dict[str, np.ndarray]:
     """The numbers of exchange rows as flat arrays: ids and the columns named with their types."""
     rows = [r for b in batches for r in b.to_pylist()]

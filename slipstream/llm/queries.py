@@ -108,3 +108,11 @@ def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@_query("op7_suffix_dedup")
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from slipstream.llm.suffix import remove_repeats
+
+    found = remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
