@@ -116,3 +116,11 @@ def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query("op8_decontamination")
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from slipstream.llm.decontaminate import leaks
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return leaks(docs, _table(spark, sf_dir, "benchmark").select("item_id", "text"))
