@@ -124,3 +124,12 @@ def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return leaks(docs, _table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+@_query("op2_jaccard_join")
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fractions import Fraction
+
+    from slipstream.llm.jaccard import link
+
+    return link(_table(spark, sf_dir, "documents").select("doc_id", "text"), words=3, threshold=Fraction(9, 10))
