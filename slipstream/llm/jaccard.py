@@ -231,8 +231,7 @@ def _describe(docs: DataFrame, words: int, t: Fraction, key: str, text: str) ->
     """Exchange rows of top node names (kind 0) and one row for each document with its set's size and names (kind 2)."""
     spark = docs.sparkSession
     buckets = packed.buckets(spark)
-    kind = docs.schema[key].dataType.simpleString()
-    names = ["kind", "part", "n", "ids", "codes", "checks", "places", "id", "key", "size", "h1", "h2"]
+    names = ["kind", "part", "n", "ids", "codes", "checks", "places", "id", "row", "size", "h1", "h2"]
 
     def run(batches):
         windows, chunk = Windows(t), Chunk()
@@ -243,12 +242,12 @@ def _describe(docs: DataFrame, words: int, t: Fraction, key: str, text: str) ->
             codes, h1, ids = codes[order], h1[order], ids[order]
             own = np.flatnonzero(~same_as_before(codes, h1))  # equal sets of the chunk go as one
             for out in packed.rows_of(0, packed.bucket_of(codes[own], buckets), ids[own], codes=codes[own].astype(np.uint32)):
-                nothing = [pa.nulls(out.num_rows, x) for x in (pa.int64(), key_type, pa.int64(), pa.int64(), pa.int64())]
+                nothing = [pa.nulls(out.num_rows, x) for x in (pa.int64(), row_type, pa.int64(), pa.int64(), pa.int64())]
                 yield pa.RecordBatch.from_arrays([*out.columns, *nothing], names)
 
         for batch in batches:
             data, offsets = arrow.flat(batch.column(2))
-            ids, key_type = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).type
+            ids, row_type = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).type
             sizes, first, second = (np.zeros(len(ids), k) for k in (np.int64, np.uint64, np.uint64))
             for i, j in arrow.pieces(offsets):
                 h, row = shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words)
@@ -272,8 +271,8 @@ def _describe(docs: DataFrame, words: int, t: Fraction, key: str, text: str) ->
         if chunk.size:
             yield from flush()
 
-    rows = docs.select(packed.order_column(key).alias("id"), F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, f"{packed.SCHEMA}, id bigint, key {kind}, size bigint, h1 bigint, h2 bigint")
+    rows = docs.select(packed.order_column(key).alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("row"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    return rows.mapInArrow(run, f"{packed.SCHEMA}, id bigint, row {packed.row_type(docs, text)}, size bigint, h1 bigint, h2 bigint")
 
 
 def _nodes(rows: DataFrame) -> DataFrame:
@@ -422,12 +421,13 @@ def link(docs: DataFrame, words: int = 5, threshold: Fraction = Fraction(4, 5),
 
     Two documents link when the Jaccard similarity of their shingle sets is at least ``threshold``. A null or empty text has
     no shingles and is linked with nothing. A null key comes behind all others and is never the smallest of a component with
-    another one. Keys are integers. Result: the key, n_shingles, component_id (the smallest key that the document reaches by
-    links, itself included); one row for each row, other columns are left out.
+    another one. Keys are integers. Result: all columns but the text, and n_shingles, component_id (the smallest key that the
+    document reaches by links, itself included) and component (a number that the documents of one component share; null
+    without shingles), which replace columns of their names; one row for each row.
     """
     t = Fraction(threshold)
     rows = staged(_describe(docs, words, t, key, text), "shingles")
-    described = rows.where("kind = 2").select("id", "key", "size", "h1", "h2")
+    described = rows.where("kind = 2").select("id", "row", "size", "h1", "h2")
     reps = described.where("size > 0").groupBy(F.col("h1").alias("set")).agg(F.min("id").alias("rep"))
     signed = staged(_signed(docs, _members(rows, described), reps, words, key, text), "signed")
 
@@ -464,15 +464,12 @@ def link(docs: DataFrame, words: int = 5, threshold: Fraction = Fraction(4, 5),
     found = components(every)
     least = found.join(reps, F.col("node") == F.col("set")).groupBy("root").agg(F.min("rep").alias("least"))
     of_set = reps.join(found, F.col("set") == F.col("node"), "left").join(least, "root", "left")
-    component = of_set.select(F.col("set").alias("h1"), F.coalesce("least", "rep").alias("component"))
+    named = of_set.select(F.col("set").alias("h1"), F.coalesce("least", "rep").alias("least"), F.coalesce("root", "set").alias("component"))
     # a text without shingles has no set, so no name to be joined by
-    out = described.withColumn("h1", F.when(F.col("size") > 0, F.col("h1"))).join(component, "h1", "left")
-    smallest = F.coalesce("component", "id")
-    return out.select(
-        F.col("key").alias(key),
-        F.col("size").alias("n_shingles"),
-        F.when(smallest != F.lit(int(packed.NULL_ID)), smallest).alias("component_id"),
-    )
+    out = described.withColumn("h1", F.when(F.col("size") > 0, F.col("h1"))).join(named, "h1", "left")
+    smallest = F.coalesce("least", "id")
+    out = out.withColumns({"n_shingles": F.col("size"), "component_id": F.when(smallest != F.lit(int(packed.NULL_ID)), smallest)})
+    return packed.unpacked(out, docs, text, "n_shingles", "component_id", "component")
 
 
 def _rooted(signed: DataFrame, links: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ BUCKETS = 1 << 14
 SPECTRUM = (1, 2, 3)
 TRAIN_ROWS = 400  # distinct texts of each language that training takes at most, by the hash of the text
 LANDMARKS = 32  # of each language, out of those
+SALTS = 64  # parts that the texts of a language are ranked in
 RIDGE = 1e-2
 GROUP = 256  # texts in one matrix product
 
@@ -95,8 +96,10 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", rows: int = T
     """
     known = docs.select(F.col(lang).alias("l"), F.col(text).alias("t")).where("l IS NOT NULL AND t IS NOT NULL AND t <> ''")
     distinct = known.select("l", F.xxhash64("t").alias("h")).groupBy("l", "h").agg(F.lit(1).alias("one"))
-    # ranks up to a limit are cut before the shuffle, so a frequent language moves no more than a rare one
-    chosen = distinct.withColumn("k", F.row_number().over(Window.partitionBy("l").orderBy("h"))).where(F.col("k") <= rows).select("l", "h")
+    # the first of each of many parts, then the first of those: a frequent language is ranked in as many tasks as a rare one
+    parts = distinct.withColumn("p", F.pmod("h", F.lit(SALTS)))
+    first = parts.withColumn("k", F.row_number().over(Window.partitionBy("l", "p").orderBy("h"))).where(F.col("k") <= rows)
+    chosen = first.withColumn("k", F.row_number().over(Window.partitionBy("l").orderBy("h"))).where(F.col("k") <= rows).select("l", "h")
     picked = known.withColumn("h", F.xxhash64("t")).join(F.broadcast(chosen), ["l", "h"]).select("l", "h", "t")  # `rows` of each language
 
     def bits(batches):

@@ -162,11 +162,12 @@ def reduced(rows: DataFrame, function: Callable) -> DataFrame:
 
 
 def visited(docs: DataFrame, notes: DataFrame, function: Callable, schema: str, key: str, text: str, n: int) -> DataFrame:
-    """Documents meet the notes of their block: ``function(documents, notes)`` gets an iterator over
-    (batch of id, text; notes of the block as exchange rows) and yields record batches."""
-    ours = docs.select(order_column(key).alias("id"), F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    """Documents meet the notes of their block. ``function`` gets an iterator over (batch of id, row and text; the notes of
+    the block as exchange rows) and yields record batches; ``row`` holds all columns but the text."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text])
+    ours = docs.select(order_column(key).alias("id"), row.alias("row"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     ours = ours.withColumn("part", block_column("id", n)).withColumn("kind", F.lit(2))
-    both = ours.select("part", "kind", "id", "key", "text").unionByName(notes.select("part", "kind", "n", "ids", "codes", "checks", "places"), True)
+    both = ours.select("part", "kind", "id", "row", "text").unionByName(notes.select("part", "kind", "n", "ids", "codes", "checks", "places"), True)
 
     def run(batches):
         def blocks_of_documents():
@@ -178,6 +179,17 @@ def visited(docs: DataFrame, notes: DataFrame, function: Callable, schema: str,
     return dealt(both, "part", "kind").mapInArrow(run, schema)
 
 
+def row_type(docs: DataFrame, text: str) -> str:
+    """The type of ``row`` in `visited`."""
+    return docs.drop(text).schema.simpleString()
+
+
+def unpacked(found: DataFrame, docs: DataFrame, text: str, *names: str) -> DataFrame:
+    """The columns of ``docs`` but the text out of ``row``, then the new ones, which replace any of their names."""
+    kept = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != text and c not in names]
+    return found.select(*kept, *names)
+
+
 def grouped_stream(batches) -> Iterator[tuple[int, tuple[pa.RecordBatch, list[pa.RecordBatch]]]]:
     """(block, (documents, notes of the block)) in pieces; the notes of a block come before its documents."""
     current, notes = None, []
@@ -193,4 +205,4 @@ def grouped_stream(batches) -> Iterator[tuple[int, tuple[pa.RecordBatch, list[pa
             if split:
                 notes = [*notes, piece.slice(0, split).select(["n", "ids", "codes", "checks", "places"])]
             if split < piece.num_rows:
-                yield value, (piece.slice(split).select(["id", "key", "text"]), notes)
+                yield value, (piece.slice(split).select(["id", "row", "text"]), notes)

@@ -61,7 +61,7 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _held_out(column="doc_id"):
+def held_out(column="doc_id"):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
@@ -70,9 +70,9 @@ def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from slipstream.llm import quality
 
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = _table(spark, sf_dir, "labels").where(~_held_out()).select("doc_id", F.col("quality").cast("double").alias("label"))
+    labels = _table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", F.col("quality").cast("double").alias("label"))
     scored = quality.score(docs, quality.train(docs, labels))
-    return scored.select("doc_id", _held_out().alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
 @_query("op6_language")
@@ -80,9 +80,9 @@ def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from slipstream.llm import language
 
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    model = language.train(docs.where(~_held_out()))
+    model = language.train(docs.where(~held_out()))
     found = language.identify(docs.select("doc_id", "text"), model)
-    return found.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
 @_query("op3_fingerprints")
@@ -132,4 +132,4 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from slipstream.llm.jaccard import link
 
-    return link(_table(spark, sf_dir, "documents").select("doc_id", "text"), words=3, threshold=Fraction(9, 10))
+    return link(_table(spark, sf_dir, "documents").select("doc_id", "text"), words=3, threshold=Fraction(9, 10)).drop("component")

@@ -218,12 +218,11 @@ def remove_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text:
     Words are runs of anything but space and U+0009 to U+000D. A window is ``window`` consecutive words of one document; it is
     repeated if the same words in sequence also start in a document with a smaller key. Windows are judged on the input. A null
     text has no words. A null key comes behind all others; rows of one key are no earlier than each other. Keys are integers.
-    Result: the key, n_words, n_removed, kept (the other words, joined by one space); one row for each row, other columns are
-    left out.
+    Result: all columns but the text, and n_words, n_removed, kept (the other words, joined by one space), which replace
+    columns of their names; one row for each row.
     """
     spark = docs.sparkSession
     blocks = packed.blocks(spark)
-    kind = docs.schema[key].dataType.simpleString()
     flagged = repeated_windows(docs, window, key, text)
 
     def keep(pieces):
@@ -247,8 +246,8 @@ def remove_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text:
                 kept.append(b" ".join(words))
             yield pa.RecordBatch.from_arrays(
                 [docs_.column(1), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
-                ["key", "n_words", "n_removed", "kept"],
+                ["row", "n_words", "n_removed", "kept"],
             )
 
-    out = packed.visited(docs, flagged, keep, f"key {kind}, n_words bigint, n_removed bigint, kept string", key, text, blocks)
-    return out.withColumnRenamed("key", key)
+    schema = f"row {packed.row_type(docs, text)}, n_words bigint, n_removed bigint, kept string"
+    return packed.unpacked(packed.visited(docs, flagged, keep, schema, key, text, blocks), docs, text, "n_words", "n_removed", "kept")

@@ -205,11 +205,10 @@ def remove_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text
     A string of ``length`` bytes of one document is repeated if it also starts earlier: in a document with a smaller key, or
     in the same one at an earlier byte. Overlaps count; strings are judged on the input. A null text has no bytes. A null key
     comes behind all others; rows of one key are no earlier than each other at the same byte. Keys are integers.
-    Result: the key, n_bytes, n_removed, n_spans (maximal removed runs), kept (binary); one row for each row, other columns
-    are left out.
+    Result: all columns but the text, and n_bytes, n_removed, n_spans (maximal removed runs), kept (binary), which replace
+    columns of their names; one row for each row.
     """
     blocks = packed.blocks(docs.sparkSession)
-    kind = docs.schema[key].dataType.simpleString()
     flagged = repeated_strings(docs, length, key, text)
 
     def keep(pieces):
@@ -237,8 +236,9 @@ def remove_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text
                 kept.append(own[~gone].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [docs_.column(1), pa.array(np.diff(offsets), pa.int64()), pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(kept, pa.binary())],
-                ["key", "n_bytes", "n_removed", "n_spans", "kept"],
+                ["row", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
-    schema = f"key {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
-    return packed.visited(docs, flagged, keep, schema, key, text, blocks).withColumnRenamed("key", key)
+    schema = f"row {packed.row_type(docs, text)}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
+    found = packed.visited(docs, flagged, keep, schema, key, text, blocks)
+    return packed.unpacked(found, docs, text, "n_bytes", "n_removed", "n_spans", "kept")
