@@ -58,7 +58,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     prepare(spark)
     found = suffix.remove_repeats(docs.withColumn("_null", F.col("text").isNull()), REPEAT_BYTES)
-    whole = F.when(~F.col("_null"), _characters("kept"))
+    whole = F.when(~F.col("_null"), F.arrow_udf(_characters, "string")("kept"))
     cut = F.col("n_removed") > 0
     out = found.withColumn("text", whole).where(~cut | (F.length("text") > 0))
     if "n_chars" in docs.columns:
@@ -66,7 +66,6 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select(*docs.columns)
 
 
-@F.arrow_udf("string")
 def _characters(column: pa.Array) -> pa.Array:
     return pa.array([None if b is None else b.decode("utf-8", "ignore") for b in column.to_pylist()], pa.string())
 
