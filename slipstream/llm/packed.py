@@ -18,8 +18,8 @@ NULL_ID = np.int64(2**63 - 1)  # order of a null id: behind all others
 
 
 def buckets(spark: SparkSession) -> int:
-    """Four for each shuffle partition, so that one that is large does not fill a task by itself."""
-    return max(256, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    """One for each shuffle partition, so a bucket is as large as a partition is meant to be."""
+    return max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def pack_ids(ids: np.ndarray) -> bytes:
@@ -146,7 +146,7 @@ def numbers(batches: list[pa.RecordBatch], **kinds: type) -> dict[str, np.ndarra
 def reduced(rows: DataFrame, function: Callable) -> DataFrame:
     """``function(batches of one bucket)`` yields notes; notes among the rows pass unchanged."""
 
-    def run(batches):
+    def reduce_buckets(batches):
         for _, held in grouped(batches, 1):
             found = []
             for batch in held:
@@ -158,7 +158,7 @@ def reduced(rows: DataFrame, function: Callable) -> DataFrame:
             if found:
                 yield from function(found)
 
-    return dealt(rows.select("kind", "part", "n", "ids", "codes", "checks", "places"), "part", "kind").mapInArrow(run, SCHEMA)
+    return dealt(rows.select("kind", "part", "n", "ids", "codes", "checks", "places"), "part", "kind").mapInArrow(reduce_buckets, SCHEMA)
 
 
 def visited(docs: DataFrame, notes: DataFrame, function: Callable, schema: str, key: str, text: str, n: int) -> DataFrame:
@@ -169,14 +169,14 @@ def visited(docs: DataFrame, notes: DataFrame, function: Callable, schema: str,
     ours = ours.withColumn("part", block_column("id", n)).withColumn("kind", F.lit(2))
     both = ours.select("part", "kind", "id", "row", "text").unionByName(notes.select("part", "kind", "n", "ids", "codes", "checks", "places"), True)
 
-    def run(batches):
+    def visit(batches):
         def blocks_of_documents():
             for _, held in grouped_stream(batches):
                 yield held
 
         yield from function(blocks_of_documents())
 
-    return dealt(both, "part", "kind").mapInArrow(run, schema)
+    return dealt(both, "part", "kind").mapInArrow(visit, schema)
 
 
 def row_type(docs: DataFrame, text: str) -> str:
