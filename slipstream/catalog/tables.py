@@ -27,7 +27,7 @@ _BOARD = f"""WITH {field.LAPS_SQL}, board AS (
 def _board(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Position of each car on each lap and on the one before."""
     laps = field.laps(spark, sf_dir).select("Season", "Round", "Driver", "LapNumber", "Position")
-    return sequence.position_change(laps, race.CAR, ["LapNumber"], split_rows=None)
+    return sequence.position_change(laps, race.CAR, ["LapNumber"], spread=False)
 
 
 def _targets(board: DataFrame) -> DataFrame:
@@ -63,7 +63,7 @@ def overtakes_per_lap(spark, sf_dir):
     board = _board(spark, sf_dir).select(*race.CAR, "LapNumber", "Position", "PrevLapPosition")
     lap = [*race.RACE, "LapNumber"]
     return temporal.count_in_rank_range(
-        board, _targets(board), lap, "Position", "PrevLapPosition", "PassedPrev", "passed", split_rows=None
+        board, _targets(board), lap, "Position", "PrevLapPosition", "PassedPrev", "passed", spread=False
     )
 
 
@@ -93,7 +93,7 @@ def _close_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     board = _board(spark, sf_dir)
     pairs = temporal.adjacent_pairs(board, board, [*race.RACE, "LapNumber"], "Position", ["Driver"])
     pair = [*race.RACE, "Driver_Ahead", "Driver_Behind"]
-    return sequence.consecutive_runs(pairs, pair, "LapNumber", length=2, step=15, split_rows=None)
+    return sequence.consecutive_runs(pairs, pair, "LapNumber", length=2, step=15, spread=False)
 
 
 @registry.add(
@@ -109,7 +109,7 @@ def _close_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def failed_streaks(spark, sf_dir):
     pair = [*race.RACE, "Driver_Ahead", "Driver_Behind"]
-    spells = sequence.streaks(_close_runs(spark, sf_dir), pair, "LapNumber", 3, split_rows=None)
+    spells = sequence.streaks(_close_runs(spark, sf_dir), pair, "LapNumber", 3, spread=False)
     return sequence.best_per_group(spells, [*pair, "Streak_ID"], ["LapNumber"])
 
 

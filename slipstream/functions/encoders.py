@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slipstream.operators.profile import text_position
-from slipstream.operators.scans import SPLIT_ROWS, numbered
+from slipstream.operators.scans import numbered
 
 INFREQUENT = "__infrequent__"
 
@@ -46,11 +45,10 @@ def apply_frequent(df: DataFrame, fitted: DataFrame, column: str, out: str) -> D
     return joined.withColumn(out, F.coalesce("__level", F.lit(INFREQUENT))).drop("__level")
 
 
-def fit_ordinal(df: DataFrame, column: str, split_rows: int | None = SPLIT_ROWS) -> DataFrame:
+def fit_ordinal(df: DataFrame, column: str, spread: bool = True) -> DataFrame:
     """Code of each level in alphabetical order, from 1."""
     levels = df.where(F.col(column).isNotNull()).select(F.col(column).alias("__level")).distinct()
-    placed = levels.withColumn("__at", text_position("__level"))
-    return numbered(placed, [], ["__at", "__level"], "__code", split_rows).drop("__at")
+    return numbered(levels, [], ["__level"], "__code", spread)
 
 
 def apply_ordinal(df: DataFrame, fitted: DataFrame, column: str, out: str) -> DataFrame:

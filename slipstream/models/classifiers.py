@@ -185,14 +185,14 @@ def importance(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def permutation_importance(
-    model, df: DataFrame, key: str, features: Sequence[str], seed: int = 42, split_rows: int | None = None
+    model, df: DataFrame, key: str, features: Sequence[str], seed: int = 42, spread: bool = False
 ) -> DataFrame:
     """Loss of AUC when one input column is shuffled, for each column.
 
     A shuffle is an exact permutation: rows are ranked in two independent hash orders and the values of
     one order are joined to the other. One join shuffles all columns; each scoring uses one of them.
     """
-    options = {} if split_rows is None else {"split_rows": split_rows}
+    options = {"spread": spread}
     ranked = hash_rank(hash_rank(df, [], key, seed, "__a", **options), [], key, seed + 1, "__b", **options)
     donor = ranked.select(F.col("__b").alias("__a"), F.struct(*features).alias("__other"))
     paired = staged(ranked.join(donor, "__a").drop("__a", "__b"), "shuffled-columns")

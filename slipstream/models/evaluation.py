@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from slipstream.operators.scans import SPLIT_ROWS, bin_index, ordered_scan, running_total
+from slipstream.operators.scans import bin_index, ordered_scan, running_total
 
 
 def thresholds(start: float, stop: float, step: float) -> list[float]:
@@ -94,19 +94,19 @@ def _by_score(df: DataFrame, label: str, score: str) -> DataFrame:
     )
 
 
-def roc_auc(df: DataFrame, label: str, score: str, split_rows: int | None = SPLIT_ROWS) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, spread: bool = True) -> DataFrame:
     """Exact area under the ROC curve; a tie counts half."""
     counts = _by_score(df, label, score)
-    ranked = ordered_scan(counts, [], ["score"], {"__below": running_total(F.col("neg"))}, split_rows)
+    ranked = ordered_scan(counts, [], ["score"], {"__below": running_total(F.col("neg"))}, spread)
     beaten = F.col("pos") * (F.col("__below") - F.col("neg") / 2)
     return ranked.agg((F.sum(beaten) / (F.sum("pos") * F.sum("neg"))).alias("auc"))
 
 
-def roc_points(df: DataFrame, label: str, score: str, split_rows: int | None = SPLIT_ROWS) -> DataFrame:
+def roc_points(df: DataFrame, label: str, score: str, spread: bool = True) -> DataFrame:
     """False and true positive rate at each distinct score, taken as the threshold."""
     counts = _by_score(df, label, score).withColumn("__down", -F.col("score"))
     ranked = ordered_scan(
-        counts, [], ["__down"], {"tp": running_total(F.col("pos")), "fp": running_total(F.col("neg"))}, split_rows
+        counts, [], ["__down"], {"tp": running_total(F.col("pos")), "fp": running_total(F.col("neg"))}, spread
     )
     positives, negatives = (counts.agg(F.sum(c)).scalar() for c in ("pos", "neg"))
     return ranked.select(

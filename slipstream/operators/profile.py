@@ -6,15 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from slipstream.operators.scans import SPLIT_ROWS, ordered_scan, running_total
-
-
-def text_position(column: str):
-    """A number that orders like the first six bytes of a text, to cut large sets of texts into slices."""
-    head = F.rpad(F.hex(F.substring(F.encode(F.col(column), "UTF-8"), 1, 6)), 12, "0")
-    return F.conv(head, 16, 10).cast("long")
+from slipstream.operators.scans import ordered_scan, running_total
 
 
 def more_than(df: DataFrame, keys: Sequence[str], limit: int, out: str = "n") -> DataFrame:
@@ -55,35 +48,18 @@ def frequency(df: DataFrame, column: str, out: str = "n") -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias(out))
 
 
-def cumulative_frequency(df: DataFrame, column: str, split_rows: int | None = SPLIT_ROWS) -> DataFrame:
+def cumulative_frequency(df: DataFrame, column: str, spread: bool = True) -> DataFrame:
     """Frequency, percent of the total and cumulative percent, the rarest value first.
 
-    Equal frequencies are ordered by value. The running total is taken over the distinct frequencies
-    (at most the square root of twice the row count) and, inside one frequency, by position: neither
-    step puts all values in one task.
+    Equal frequencies are ordered by value, as text. The running total is a spread scan in the order of frequency and
+    value, so no frequency puts its values in one task.
     """
     counted = frequency(df, column, "Gyakorisag")
-    per_frequency = counted.groupBy(F.col("Gyakorisag").alias("__f")).agg(
-        (F.count("*") * F.col("Gyakorisag")).alias("__rows")
-    )
-    upward = Window.orderBy("__f")
-    steps = per_frequency.withColumns(
-        {
-            "__below": F.sum("__rows").over(upward) - F.col("__rows"),
-            "__all": F.sum("__rows").over(Window.partitionBy()),
-        }
-    ).drop("__rows")
-    placed = counted.withColumn("__text", F.col(column).cast("string")).withColumn("__at", text_position("__text"))
-    ranked = ordered_scan(
-        placed, ["Gyakorisag"], ["__at", "__text"], {"__i": running_total(F.lit(1).cast("long"))}, split_rows
-    )
-    joined = ranked.join(steps, F.col("Gyakorisag") == F.col("__f"))
-    share = F.lit(100.0) / F.col("__all")
-    return joined.select(
-        column,
-        "Gyakorisag",
-        (F.col("Gyakorisag") * share).alias("Szazalek"),
-        ((F.col("__below") + F.col("__i") * F.col("Gyakorisag")) * share).alias("Kumulativ_Szazalek"),
+    placed = counted.withColumn("__text", F.col(column).cast("string"))
+    ranked = ordered_scan(placed, [], ["Gyakorisag", "__text"], {"__upto": running_total(F.col("Gyakorisag"))}, spread)
+    share = F.lit(100.0) / df.agg(F.count("*")).scalar()
+    return ranked.select(
+        column, "Gyakorisag", (F.col("Gyakorisag") * share).alias("Szazalek"), (F.col("__upto") * share).alias("Kumulativ_Szazalek")
     )
 
 

@@ -1,7 +1,7 @@
 """Repeatable samples, exact stratified splits and folds, class weights.
 
 The order inside a stratum is the order of a hash, so it is uniform and the same on every run. A
-stratum may hold most of the rows: its ranks come from the ordered scan, which cuts it into slices.
+stratum may hold most of the rows: its ranks come from a spread scan.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slipstream.operators.scans import SPLIT_ROWS, first_per_group, numbered
+from slipstream.operators.scans import Scan, first_per_group, numbered, ordered_scan, running_total
 
 
 def hash_text(key: str, seed: int) -> Column:
@@ -24,11 +24,11 @@ def hash_position(digest: Column) -> Column:
 
 
 def hash_rank(
-    df: DataFrame, strata: Sequence[str], key: str, seed: int, out: str, split_rows: int | None = SPLIT_ROWS
+    df: DataFrame, strata: Sequence[str], key: str, seed: int, out: str, spread: bool = True
 ) -> DataFrame:
     """Rank from 1 inside each stratum, in hash order of a unique key."""
     hashed = df.withColumn("__hash", hash_text(key, seed))
-    return numbered(hashed, strata, [hash_position(F.col("__hash")), "__hash"], out, split_rows).drop("__hash")
+    return numbered(hashed, strata, ["__hash"], out, spread).drop("__hash")
 
 
 def stratified_split(
@@ -38,16 +38,15 @@ def stratified_split(
     fraction: float,
     seed: int = 42,
     out: str = "is_test",
-    split_rows: int | None = SPLIT_ROWS,
+    spread: bool = True,
 ) -> DataFrame:
     """Mark ``fraction`` of every stratum, rounded to whole rows, with 1 and the rest with 0."""
-    ranked = hash_rank(df, strata, key, seed, "__rank", split_rows)
-    sizes = df.groupBy(*[F.col(s).alias(f"__s_{s}") for s in strata]).agg(F.count("*").alias("__n"))
-    same = F.lit(True)
-    for s in strata:
-        same = same & F.col(s).eqNullSafe(F.col(f"__s_{s}"))
-    held = F.col("__rank") <= F.floor(F.col("__n") * fraction + 0.5)
-    return ranked.join(sizes, same).withColumn(out, held.cast("int")).select(*df.columns, out)
+    hashed = df.withColumn("__hash", hash_text(key, seed))
+    one = F.lit(1).cast("long")
+    scans = {"__rank": running_total(one), "__rest": Scan("sum", one, backward=True)}  # the stratum's size, without a join
+    ranked = ordered_scan(hashed, strata, ["__hash"], scans, spread)
+    held = F.col("__rank") <= F.floor((F.col("__rank") + F.col("__rest") - 1) * fraction + 0.5)
+    return ranked.withColumn(out, held.cast("int")).select(*df.columns, out)
 
 
 def stratified_folds(
@@ -57,18 +56,13 @@ def stratified_folds(
     k: int = 5,
     seed: int = 42,
     out: str = "fold",
-    split_rows: int | None = SPLIT_ROWS,
+    spread: bool = True,
 ) -> DataFrame:
     """Fold number 0 to k-1, dealt out in turn inside each stratum."""
-    ranked = hash_rank(df, strata, key, seed, "__rank", split_rows)
+    ranked = hash_rank(df, strata, key, seed, "__rank", spread)
     return ranked.withColumn(out, ((F.col("__rank") - 1) % k).cast("int")).drop("__rank")
 
 
-def shuffled_folds(df: DataFrame, key: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
-    """Folds without strata: the hash of the key alone decides, so no rank is needed."""
-    return df.withColumn(out, (hash_position(hash_text(key, seed)) % k).cast("int"))
-
-
 def class_weights(df: DataFrame, label: str, mode: str = "balanced") -> DataFrame:
     """Weight per label value: rows / (classes * rows of the class), or negatives / positives for 1."""
     counts = df.groupBy(label).agg(F.count("*").alias("n"))

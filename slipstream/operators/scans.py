@@ -1,10 +1,10 @@
 """Ordered scans inside groups that stay parallel when one group holds most of the rows.
 
-A plain window function sends a whole group to one task. That is the right plan for ordinary groups
-and the wrong one for a group of a billion rows. ``ordered_scan`` measures first: groups above
-``split_rows`` rows are cut into slices of similar size along the order column, each slice is
-scanned on its own, and the effect of earlier slices arrives as one small carry row per slice.
-Both ways give the same values.
+A plain window function sends a whole group to one task. That is the right plan for groups that are
+bounded by what they are (the laps of a driver in a race) and the wrong one for any other. A spread
+scan deals rows out by ranges of (keys, order), so a group of any size lies in as many ranges as it
+calls for; each range is scanned on its own, and what came before arrives as one small carry row for
+a group that crosses a border between ranges. There is one way for groups of every size.
 """
 
 from __future__ import annotations
@@ -16,14 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from slipstream.session import cut_lineage
+from slipstream.session import staged
 
-# A group of up to this many rows is scanned by one task.
-SPLIT_ROWS = 5_000_000
-# The most slices one group is cut into; a group gets as many as its size calls for.
-SLICES = 4096
-
-_SLICE = "__scan_slice"
+_RANGE = "__scan_range"
 
 
 @dataclass(frozen=True)
@@ -75,17 +70,17 @@ def bin_index(value: Column, cuts: Column, most: int) -> Column:
 
 
 def _windowed(df: DataFrame, keys: list, order: list[Column], scans: dict[str, Scan]) -> DataFrame:
-    """The plain form: window functions over whole groups (or whole slices)."""
+    """The plain form: window functions over whole groups (or the part of a group in one range)."""
     forward = Window.partitionBy(*keys).orderBy(*order)
-    to_start = forward.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    to_end = forward.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    upto = forward.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     outputs = {}
     for name, scan in scans.items():
+        # a frame from here to the end would be computed anew for every row: the order is turned round instead
+        frame = upto if not scan.backward else _reversed(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         if scan.kind == "sum":
-            outputs[name] = F.sum(F.coalesce(scan.value, F.lit(0))).over(to_end if scan.backward else to_start)
+            outputs[name] = F.sum(F.coalesce(scan.value, F.lit(0))).over(frame)
         elif scan.kind == "last":
-            pick = F.first if scan.backward else F.last
-            outputs[name] = pick(scan.value, ignorenulls=True).over(to_end if scan.backward else to_start)
+            outputs[name] = F.last(scan.value, ignorenulls=True).over(frame)
         else:
             step = F.lead if scan.backward else F.lag
             # a struct is never null itself, so a missing row differs from a null value
@@ -93,27 +88,15 @@ def _windowed(df: DataFrame, keys: list, order: list[Column], scans: dict[str, S
     return df.withColumns(outputs)
 
 
+def _reversed(keys: list, order: list[Column]):
+    return Window.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in order])
+
+
 def _finish(df: DataFrame, scans: dict[str, Scan]) -> DataFrame:
     unwrap = {n: F.col(f"`{n}`.v") for n, s in scans.items() if s.kind == "prev"}
     return df.withColumns(unwrap) if unwrap else df
 
 
-def large_groups(df: DataFrame, keys: Sequence[str], split_rows: int) -> DataFrame:
-    """Keys of groups above ``split_rows`` rows: at most (all rows / split_rows) of them."""
-    return df.groupBy(*keys).agg(F.count("*").alias("__scan_rows")).where(F.col("__scan_rows") > split_rows)
-
-
-def needed_split(df: DataFrame, keys: Sequence[str], split_rows: int | None) -> int | None:
-    """``split_rows`` when some group is larger than that, else None (plain windows are fine)."""
-    if split_rows is None:
-        return None
-    if keys:
-        sizes = large_groups(df, keys, split_rows)
-    else:
-        sizes = df.agg(F.count("*").alias("__scan_rows")).where(F.col("__scan_rows") > split_rows)
-    return None if sizes.isEmpty() else split_rows
-
-
 def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     condition = F.lit(True)
     for k in keys:
@@ -121,112 +104,89 @@ def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return condition
 
 
-def _position(df: DataFrame, along: Column) -> Column:
-    """The cutting column as a double; dates and zone-less times go through a timestamp."""
-    kind = df.select(along.alias("a")).dtypes[0][1]
-    return along.cast("timestamp").cast("double") if kind in ("date", "timestamp_ntz") else along.cast("double")
-
+class OrderedRows:
+    """Rows in a total order inside groups, to which scans are added one after another.
 
-def ordered_scan(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence,
-    scans: dict[str, Scan],
-    split_rows: int | None = SPLIT_ROWS,
-    slices: int | None = None,
-) -> DataFrame:
-    """Add the scan outputs to ``df``.
-
-    ``order`` is a total order inside a group; its first entry must be numeric or a timestamp,
-    ascending, as large groups are cut along it. ``split_rows=None`` states that groups are bounded
-    by what they are (the laps of one driver in one race) and skips the measuring pass.
+    ``order`` is a total order inside a group, ascending, nulls first. ``spread=False`` states that
+    groups are bounded by what they are; the scans are then plain windows and nothing runs early.
+    Else the rows are dealt out by ranges and written once to the shared folder, so that all scans
+    agree on the ranges.
     """
-    keys = list(keys)
-    order = [_column(c) for c in order]
-    if needed_split(df, keys, split_rows) is None:
-        return _finish(_windowed(df, keys, order, scans), scans)
-
-    sizes = large_groups(df, keys, split_rows)
-    large = sizes.select(*[F.col(k).alias(f"__scan_k_{k}") for k in keys], "__scan_rows")
-    position = _position(df, order[0])
-    slices = slices or SLICES
-    fractions = F.expr("array(" + ", ".join(f"{i / slices!r}D" for i in range(1, slices)) + ")")
-    picked = df.join(large, _same_key(df, large, keys)) if keys else df.withColumn("__scan_rows", large.scalar())
-    borders = picked.groupBy(*[F.col(f"__scan_k_{k}") for k in keys]).agg(
-        F.percentile_approx(position, fractions, 10 * slices).alias("__scan_all"),
-        F.least(F.ceil(F.max("__scan_rows") / F.lit(split_rows)) + 1, F.lit(slices)).cast("int").alias("__scan_wanted"),
-    )
-    cuts = borders.select(
-        *[f"__scan_k_{k}" for k in keys],
-        F.transform(
-            F.sequence(F.lit(1), F.col("__scan_wanted") - 1),
-            lambda i: F.element_at(F.col("__scan_all"), F.floor(i * F.lit(slices) / F.col("__scan_wanted")).cast("int")),
-        ).alias("__scan_cuts"),
-    )
-    cuts = cut_lineage(cuts)  # the slice borders, fixed before two branches use them
-
-    if keys:
-        # no broadcast hint: the optimizer broadcasts this side only if its stored size allows it
-        marked = df.join(cuts, _same_key(df, cuts, keys), "left").drop(*[f"__scan_k_{k}" for k in keys])
-    else:
-        marked = df.withColumn("__scan_cuts", cuts.scalar())
-    marked = marked.withColumn(
-        _SLICE, F.when(F.col("__scan_cuts").isNull(), F.lit(0)).otherwise(bin_index(position, F.col("__scan_cuts"), slices - 1))
-    ).drop("__scan_cuts")
 
-    local = _windowed(marked, keys + [_SLICE], order, scans)
-    return _add_carries(local, marked, keys, order, scans)
+    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence, spread: bool = True):
+        self.keys, self.order, self.spread = list(keys), [_column(c) for c in order], spread
+        self._rows = df
+        if spread:
+            dealt = df.repartitionByRange(*[F.col(k) for k in self.keys], *self.order)
+            self._rows = self._stored = staged(dealt.withColumn(_RANGE, F.spark_partition_id()), "ranges")
+
+    @property
+    def rows(self) -> DataFrame:
+        return self._rows.drop(_RANGE)
+
+    def add(self, scans: dict[str, Scan]) -> OrderedRows:
+        """Add the outputs of some scans, which may use the outputs of earlier ones."""
+        if not self.spread:
+            self._rows = _finish(_windowed(self._rows, self.keys, self.order, scans), scans)
+            return self
+        local = _windowed(self._rows, [*self.keys, _RANGE], self.order, scans)
+        carry = self._carries(scans)
+        matched = _same_key(local, carry, self.keys) & (local[_RANGE] == carry["__scan_k_range"])
+        joined = local.join(F.broadcast(carry), matched, "left")  # at most two rows for each range
+        merged = {}
+        for name, scan in scans.items():
+            here, carried = F.col(f"`{name}`"), F.col(f"__scan_c_{name}")
+            merged[name] = here + F.coalesce(carried, F.lit(0)) if scan.kind == "sum" else F.coalesce(here, carried)
+        self._rows = _finish(joined.withColumns(merged).select(*[F.col(f"`{c}`") for c in local.columns]), scans)
+        return self
+
+    def _crossing(self) -> DataFrame:
+        """The parts of groups that lie in several ranges: such a group is the first or the last of each of its ranges."""
+        names = [f"__scan_k_{k}" for k in self.keys]
+        if not names:
+            return self._stored.select(F.col(_RANGE).alias("__scan_k_range")).distinct()
+        group = F.struct(*[F.col(k).alias(n) for k, n in zip(self.keys, names)])
+        ends = self._stored.groupBy(F.col(_RANGE).alias("__scan_k_range")).agg(F.min(group).alias("a"), F.max(group).alias("b"))
+        edge = ends.select("__scan_k_range", F.explode(F.array_distinct(F.array("a", "b"))).alias("g"))
+        several = edge.groupBy(F.col("g").alias("h")).agg(F.count("*").alias("n")).where("n > 1").select("h")
+        return edge.join(several, F.col("g").eqNullSafe(F.col("h"))).select("__scan_k_range", "g.*")
+
+    def _carries(self, scans: dict[str, Scan]) -> DataFrame:
+        """What the other ranges hold of each crossing group: one summary row per range, scanned per group."""
+        edges, names = self._crossing(), [f"__scan_k_{k}" for k in self.keys]
+        rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(self.order)])
+        summaries = {}
+        for name, scan in scans.items():
+            if scan.kind == "sum":
+                summaries[name] = F.sum(F.coalesce(scan.value, F.lit(0)))
+            else:
+                pick = F.min_by if scan.backward else F.max_by
+                if scan.kind == "last":
+                    summaries[name] = pick(scan.value, F.when(scan.value.isNotNull(), rank))
+                else:
+                    summaries[name] = pick(F.struct(scan.value.alias("v")), rank)
+        inside = _same_key(self._rows, edges, self.keys) & (self._rows[_RANGE] == edges["__scan_k_range"])
+        parts = self._rows.join(F.broadcast(edges), inside)  # at most two rows for each range
+        per_part = parts.groupBy("__scan_k_range", *names).agg(*[v.alias(f"__scan_s_{n}") for n, v in summaries.items()])
+        carries = {}
+        for name, scan in scans.items():
+            walk = F.col("__scan_k_range").desc() if scan.backward else F.col("__scan_k_range").asc()
+            frame = Window.partitionBy(*names).orderBy(walk).rowsBetween(Window.unboundedPreceding, -1)
+            summary = F.col(f"__scan_s_{name}")
+            carries[f"__scan_c_{name}"] = F.sum(summary).over(frame) if scan.kind == "sum" else F.last(summary, ignorenulls=True).over(frame)
+        return per_part.withColumns(carries).select("__scan_k_range", *names, *carries)
 
 
-def _add_carries(
-    local: DataFrame, marked: DataFrame, keys: list[str], order: list[Column], scans: dict[str, Scan]
+def ordered_scan(
+    df: DataFrame, keys: Sequence[str], order: Sequence, scans: dict[str, Scan], spread: bool = True
 ) -> DataFrame:
-    """Bring the effect of neighbouring slices in: one summary row per slice, scanned per group."""
-    rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
-    summaries = {}
-    for name, scan in scans.items():
-        if scan.kind == "sum":
-            summaries[name] = F.sum(F.coalesce(scan.value, F.lit(0)))
-        else:
-            pick = F.min_by if scan.backward else F.max_by
-            if scan.kind == "last":
-                summaries[name] = pick(scan.value, F.when(scan.value.isNotNull(), rank))
-            else:
-                summaries[name] = pick(F.struct(scan.value.alias("v")), rank)
-    per_slice = marked.groupBy(*keys, _SLICE).agg(*[v.alias(f"__scan_s_{n}") for n, v in summaries.items()])
-
-    # at most SLICES rows per group here, whatever the group holds
-    walk = Window.partitionBy(*keys).orderBy(_SLICE)
-    before = walk.rowsBetween(Window.unboundedPreceding, -1)
-    after = walk.rowsBetween(1, Window.unboundedFollowing)
-    carries = {}
-    for name, scan in scans.items():
-        frame = after if scan.backward else before
-        summary = F.col(f"__scan_s_{name}")
-        if scan.kind == "sum":
-            carries[f"__scan_c_{name}"] = F.sum(summary).over(frame)
-        else:
-            pick = F.first if scan.backward else F.last
-            carries[f"__scan_c_{name}"] = pick(summary, ignorenulls=True).over(frame)
-    carry = per_slice.withColumns(carries).select(
-        *[F.col(k).alias(f"__scan_k_{k}") for k in keys], F.col(_SLICE).alias("__scan_k_slice_no"), *carries
-    )
-
-    matched = _same_key(local, carry, keys) & (local[_SLICE] == carry["__scan_k_slice_no"])
-    joined = local.join(carry, matched, "left")
-    merged = {}
-    for name, scan in scans.items():
-        here, carried = F.col(f"`{name}`"), F.col(f"__scan_c_{name}")
-        merged[name] = here + F.coalesce(carried, F.lit(0)) if scan.kind == "sum" else F.coalesce(here, carried)
-    joined = joined.withColumns(merged).select(*[F.col(f"`{c}`") for c in local.columns if c != _SLICE])
-    return _finish(joined, scans)
+    """Add the scan outputs to ``df``; see `OrderedRows`."""
+    return OrderedRows(df, keys, order, spread).add(scans).rows
 
 
-def numbered(
-    df: DataFrame, keys: Sequence[str], order: Sequence, out: str, split_rows: int | None = SPLIT_ROWS
-) -> DataFrame:
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence, out: str, spread: bool = True) -> DataFrame:
     """Row number from 1 inside each group, in the given total order."""
-    return ordered_scan(df, keys, order, {out: running_total(F.lit(1).cast("long"))}, split_rows)
+    return ordered_scan(df, keys, order, {out: running_total(F.lit(1).cast("long"))}, spread)
 
 
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:

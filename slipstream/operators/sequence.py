@@ -1,7 +1,7 @@
 """Operators on ordered rows: repair of gaps, stops and stints, runs and streaks.
 
-Every operator takes the group keys and a total order explicitly. ``split_rows`` is passed on to
-the ordered scan: None for groups that are bounded by what they are.
+Every operator takes the group keys and a total order explicitly. ``spread`` is passed on to
+the ordered scan: False for groups that are bounded by what they are.
 """
 
 from __future__ import annotations
@@ -13,15 +13,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from slipstream.operators.scans import (
-    SPLIT_ROWS,
+    OrderedRows,
+    Scan,
     first_per_group,
     following,
     latest,
-    needed_split,
     ordered_scan,
     previous,
     running_total,
 )
+from slipstream.session import staged
 
 
 def interpolate(
@@ -29,20 +30,19 @@ def interpolate(
     keys: Sequence[str],
     order: Sequence,
     columns: Sequence[str],
-    split_rows: int | None = SPLIT_ROWS,
+    spread: bool = True,
 ) -> DataFrame:
     """Linear interpolation of nulls by row index between the known values around them.
 
     Leading and trailing nulls stay null, as does everything in a group with one known value.
     """
-    split_rows = needed_split(df, keys, split_rows)
-    numbered = ordered_scan(df, keys, order, {"__i": running_total(F.lit(1))}, split_rows)
+    ordered = OrderedRows(df, keys, order, spread).add({"__i": running_total(F.lit(1))})
     scans = {}
     for c in columns:
         known = F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"), F.col("__i").alias("i")))
         scans[f"__lo_{c}"] = latest(known)
         scans[f"__hi_{c}"] = latest(known, backward=True)
-    around = ordered_scan(numbered, keys, order, scans, split_rows)
+    around = ordered.add(scans).rows
     filled = {}
     for c in columns:
         lo, hi = f"__lo_{c}", f"__hi_{c}"
@@ -56,14 +56,14 @@ def fill_down_up(
     keys: Sequence[str],
     order: Sequence,
     columns: Sequence[str],
-    split_rows: int | None = SPLIT_ROWS,
+    spread: bool = True,
 ) -> DataFrame:
     """Fill nulls with the latest earlier value, and what is still null with the next later one."""
     scans = {}
     for c in columns:
         scans[f"__down_{c}"] = latest(F.col(c))
         scans[f"__up_{c}"] = latest(F.col(c), backward=True)
-    around = ordered_scan(df, keys, order, scans, split_rows)
+    around = ordered_scan(df, keys, order, scans, spread)
     filled = {c: F.coalesce(F.col(f"__down_{c}"), F.col(f"__up_{c}")) for c in columns}
     return around.withColumns(filled).select(*df.columns)
 
@@ -75,7 +75,7 @@ def pit_timing(
     start: str = "LapStartTime",
     pit_in: str = "PitInTime",
     pit_out: str = "PitOutTime",
-    split_rows: int | None = SPLIT_ROWS,
+    spread: bool = True,
 ) -> DataFrame:
     """Time spent on each stop and the 0/1 flags around it (in-lap, out-lap, lap after the out-lap)."""
     exit_time = F.col(pit_out) - F.col(start)
@@ -84,7 +84,7 @@ def pit_timing(
         "__next_exit": following(exit_time),
         "__prev_out": previous(F.col(pit_out)),
     }
-    around = ordered_scan(df, keys, order, scans, split_rows)
+    around = ordered_scan(df, keys, order, scans, spread)
     stopped_in, stopped_out = F.col(pit_in).isNotNull(), F.col(pit_out).isNotNull()
     entry_time = F.col("__next_start") - F.col(pit_in)
     return around.withColumns(
@@ -106,14 +106,14 @@ def stint_number(
     order: Sequence,
     stint: str = "Stint",
     flag: str = "Pit",
-    split_rows: int | None = SPLIT_ROWS,
+    spread: bool = True,
 ) -> DataFrame:
     """Fill a missing stint with 1 + the number of flagged rows before this one.
 
     With ``flag='Pit'`` both the in-lap and the out-lap count; pass ``PitOutLap`` to count a stop once.
     """
     flagged = F.coalesce(F.col(flag), F.lit(0))
-    counted = ordered_scan(df, keys, order, {"__flags": running_total(flagged)}, split_rows)
+    counted = ordered_scan(df, keys, order, {"__flags": running_total(flagged)}, spread)
     rebuilt = (F.col("__flags") - flagged + 1).cast("double")
     return counted.withColumn(stint, F.coalesce(F.col(stint).cast("double"), rebuilt)).drop("__flags")
 
@@ -142,10 +142,10 @@ def position_change(
     keys: Sequence[str],
     order: Sequence,
     position: str = "Position",
-    split_rows: int | None = SPLIT_ROWS,
+    spread: bool = True,
 ) -> DataFrame:
     """Position on the row before, and the change since then (negative is a gain)."""
-    around = ordered_scan(df, keys, order, {"PrevLapPosition": previous(F.col(position))}, split_rows)
+    around = ordered_scan(df, keys, order, {"PrevLapPosition": previous(F.col(position))}, spread)
     return around.withColumn("PositionChange", F.col(position) - F.col("PrevLapPosition"))
 
 
@@ -155,21 +155,16 @@ def consecutive_runs(
     lap: str,
     length: int = 3,
     step: int = 1,
-    split_rows: int | None = SPLIT_ROWS,
+    spread: bool = True,
 ) -> DataFrame:
     """Keep rows that end a run of ``length`` rows whose laps are at most ``step`` apart.
 
     ``step=1`` is the strict rule: each lap follows directly on the one before.
     """
-    split_rows = needed_split(df, keys, split_rows)
     # a row starts a new run unless it follows the row before closely enough
-    around = ordered_scan(df, keys, [lap], {"__before": previous(F.col(lap))}, split_rows)
+    ordered = OrderedRows(df, keys, [lap], spread).add({"__before": previous(F.col(lap)), "__rows": running_total(F.lit(1))})
     joined_on = F.coalesce(F.col(lap) - F.col("__before") <= step, F.lit(False))
-    marked = around.withColumn("__start", (~joined_on).cast("int"))
-    counted = ordered_scan(marked, keys, [lap], {"__rows": running_total(F.lit(1))}, split_rows)
-    started = ordered_scan(
-        counted, keys, [lap], {"__first": latest(F.when(F.col("__start") == 1, F.col("__rows")))}, split_rows
-    )
+    started = ordered.add({"__first": latest(F.when(~joined_on, F.col("__rows")))}).rows
     return started.where(F.col("__rows") - F.col("__first") + 1 >= length).select(*df.columns)
 
 
@@ -179,13 +174,12 @@ def streaks(
     lap: str,
     max_gap: float = 3,
     out: str = "Streak_ID",
-    split_rows: int | None = SPLIT_ROWS,
+    spread: bool = True,
 ) -> DataFrame:
     """Number the streaks of each group from 0: a gap above ``max_gap`` starts the next one."""
-    split_rows = needed_split(df, keys, split_rows)
-    around = ordered_scan(df, keys, [lap], {"__before": previous(F.col(lap))}, split_rows)
+    ordered = OrderedRows(df, keys, [lap], spread).add({"__before": previous(F.col(lap))})
     breaks = F.coalesce((F.col(lap) - F.col("__before") > max_gap).cast("int"), F.lit(0))
-    return ordered_scan(around, keys, [lap], {out: running_total(breaks)}, split_rows).drop("__before")
+    return ordered.add({out: running_total(breaks)}).rows.drop("__before")
 
 
 def best_per_group(df: DataFrame, keys: Sequence[str], by: Sequence[Column | str]) -> DataFrame:
@@ -197,15 +191,16 @@ def group_median_fill(
     df: DataFrame,
     keys: Sequence[str],
     columns: Sequence[str],
-    split_rows: int | None = SPLIT_ROWS,
+    spread: bool = True,
 ) -> DataFrame:
     """Replace nulls by the exact median of the group (null when the group has no value)."""
-    if split_rows is None:
+    if not spread:
         group = Window.partitionBy(*keys)
         return df.withColumns({c: F.coalesce(F.col(c), F.median(c).over(group)) for c in columns})
     out = df
     for c in columns:
-        middle = exact_median(df, keys, c, "__median", split_rows)
+        # stored, so that the join is planned by the size it has: broadcast if small, else sorted with skew handling
+        middle = staged(exact_median(df, keys, c, "__median", spread), "medians")
         renamed = middle.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__median")
         same = F.lit(True)
         for k in keys:
@@ -218,25 +213,17 @@ def group_median_fill(
     return out
 
 
-def exact_median(
-    df: DataFrame, keys: Sequence[str], column: str, out: str, split_rows: int | None = SPLIT_ROWS
-) -> DataFrame:
-    """Exact median per group from a running count over its distinct values.
+def exact_median(df: DataFrame, keys: Sequence[str], column: str, out: str, spread: bool = True) -> DataFrame:
+    """Exact median per group from running counts over its distinct values, from both ends.
 
     Equal values are combined before the shuffle and a group is never held in one place, unlike the
     built-in aggregate, whose buffer keeps every distinct value of a group.
     """
     counts = df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count("*").alias("__n"))
-    ranked = ordered_scan(counts, keys, [column], {"__upto": running_total(F.col("__n"))}, split_rows)
-    totals = counts.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys]).agg(F.sum("__n").alias("__all"))
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-    low, high = F.floor((F.col("__all") + 1) / 2), F.floor((F.col("__all") + 2) / 2)
+    scans = {"__upto": running_total(F.col("__n")), "__onward": Scan("sum", F.col("__n"), backward=True)}
+    ranked = ordered_scan(counts, keys, [column], scans, spread)
+    rows = F.col("__upto") + F.col("__onward") - F.col("__n")
+    low, high = F.floor((rows + 1) / 2), F.floor((rows + 2) / 2)
     holds = lambda at: (F.col("__upto") >= at) & (F.col("__upto") - F.col("__n") < at)
     middle = F.when(holds(low), F.col(column)), F.when(holds(high), F.col(column))
-    return (
-        ranked.join(totals, same)
-        .groupBy(*keys)
-        .agg(((F.max(middle[0]) + F.max(middle[1])) / 2).alias(out))
-    )
+    return ranked.groupBy(*keys).agg(((F.max(middle[0]) + F.max(middle[1])) / 2).alias(out))

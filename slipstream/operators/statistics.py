@@ -12,7 +12,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slipstream.operators.scans import SPLIT_ROWS, ordered_scan, running_total
+from slipstream.operators.scans import ordered_scan, running_total
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str], above: float | None = None) -> DataFrame:
@@ -84,7 +84,7 @@ def impute_by_matching(
     donors: int = 5,
     seed: int = 123,
     where=None,
-    split_rows: int | None = SPLIT_ROWS,
+    spread: bool = True,
 ) -> DataFrame:
     """Predictive mean matching: fill ``target`` with observed values of rows predicted alike.
 
@@ -112,7 +112,7 @@ def impute_by_matching(
         allowMissingColumns=True,
     )
     given = (F.col("__late") == 0).cast("long")
-    ranked = ordered_scan(stacked, [], order, {"__rank": running_total(given)}, split_rows)
+    ranked = ordered_scan(stacked, [], order, {"__rank": running_total(given)}, spread)
     donor = ranked.where("__late = 0").select("__rank", F.col("__at").alias("__donor_at"), "__value")
     near = ranked.where("__late = 1").select(
         F.col("__who").alias(key),

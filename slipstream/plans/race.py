@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from slipstream.functions import maps
 from slipstream.operators import roles, sequence, temporal
 from slipstream.operators.reshape import lap_window, unpivot_roles
-from slipstream.operators.scans import first_per_group, needed_split
+from slipstream.operators.scans import first_per_group
 from slipstream.session import staged
 
 RACE = ["Season", "Round"]
@@ -66,9 +66,9 @@ def repair_laps(laps: DataFrame, across_drivers: bool = False) -> DataFrame:
 def prepare_laps(laps: DataFrame, across_drivers: bool = False, count_stops_once: bool = False) -> DataFrame:
     """Repaired laps with stops, stints, retirement, position change, eligibility and tyre class."""
     laps = repair_laps(laps, across_drivers)
-    laps = sequence.pit_timing(laps, CAR, ["LapNumber"], split_rows=None)
+    laps = sequence.pit_timing(laps, CAR, ["LapNumber"], spread=False)
     laps = sequence.stint_number(
-        laps, CAR, ["LapNumber"], flag="PitOutLap" if count_stops_once else "Pit", split_rows=None
+        laps, CAR, ["LapNumber"], flag="PitOutLap" if count_stops_once else "Pit", spread=False
     )
     by_car, by_race = Window.partitionBy(*CAR), Window.partitionBy(*RACE)
     laps = laps.withColumn(
@@ -76,7 +76,7 @@ def prepare_laps(laps: DataFrame, across_drivers: bool = False, count_stops_once
     )
     reached = F.col("__top") >= F.max("LapNumber").over(by_race) - 1
     laps = laps.withColumn("DNF", F.when(reached, F.lit(0.0)).otherwise(F.col("__top").cast("double"))).drop("__top")
-    laps = sequence.position_change(laps, CAR, ["LapNumber"], split_rows=None)
+    laps = sequence.position_change(laps, CAR, ["LapNumber"], spread=False)
     return laps.withColumns(
         {
             "Flag": maps.status_flag(F.col("TrackStatus")),
@@ -139,7 +139,7 @@ def following_runs(prepared: DataFrame, length: int = 3, step: int = 1) -> DataF
     ahead = prepared.where((F.col("OTable") == 1) & (F.col("Flag") == 0))
     pairs = temporal.adjacent_pairs(ahead, prepared, [*RACE, "LapNumber"], "Position", ["Driver"])
     runs = sequence.consecutive_runs(
-        pairs, [*RACE, "Driver_Ahead", "Driver_Behind"], "LapNumber", length, step, split_rows=None
+        pairs, [*RACE, "Driver_Ahead", "Driver_Behind"], "LapNumber", length, step, spread=False
     )
     runs = _number_in_race(runs, ["Driver_Ahead", "Driver_Behind", "LapNumber"], "FailedID")
     return runs.select(*RACE, "FailedID", F.col("LapNumber").alias("BaseLap"), "Driver_Ahead", "Driver_Behind")
@@ -189,7 +189,7 @@ def describe_failed_attempts(
         .where((F.col("__rows") == 2 * run_length) & (F.col("__movers") == 1) & (F.col("__targets") == 1))
     )
     pair = [*RACE, "__Overtaker", "__Passed"]
-    spells = sequence.streaks(battles, pair, "BaseLap", streak_gap, split_rows=None)
+    spells = sequence.streaks(battles, pair, "BaseLap", streak_gap, spread=False)
     best = first_per_group(spells, [*pair, "Streak_ID"], ["__gap", "BaseLap"]).select(*attempt)
 
     kept = roles.session_times(close.join(best, attempt, "left_semi"))
@@ -205,22 +205,20 @@ def attach_drs(
     telemetry: DataFrame,
     low: str,
     high: str,
-    split_rows: int | None = temporal.SPLIT_ROWS,
+    spread: bool = True,
 ) -> DataFrame:
     """Was the flap open in the interval of the attempt, and at any time on the row's own lap?
 
-    The attempts of one car in one race are few; only telemetry can crowd a key, so that is measured,
-    on the table as read and not on the plan built so far.
+    The attempts of one car in one race are few; only telemetry can crowd a key, so the scan is spread.
     """
     open_samples = telemetry.where(F.col("DRS").between(*DRS_OPEN)).select(*CAR, "SessionTime")
-    split_rows = needed_split(open_samples, CAR, split_rows)
     return temporal.interval_flags(
         attempts,
         open_samples,
         CAR,
         "SessionTime",
         {"DRS_OTSector": (low, high), "DRS_Lap": ("LapStartTime", "Time")},
-        split_rows,
+        spread,
     )
 
 
@@ -231,13 +229,12 @@ def attach_weather(
     attempts: DataFrame,
     weather: DataFrame,
     time: str,
-    split_rows: int | None = temporal.SPLIT_ROWS,
+    spread: bool = True,
 ) -> DataFrame:
     """Latest weather sample of the same race at or before ``time``."""
     facts = weather.withColumnRenamed("Race", "Round").withColumnRenamed("Time", "__sampled")
     values = {"__sampled": "Weather_Time", **{c: c for c in WEATHER}}
-    split_rows = needed_split(facts, RACE, split_rows)
-    return temporal.asof_left(attempts, facts, RACE, time, "__sampled", values, split_rows)
+    return temporal.asof_left(attempts, facts, RACE, time, "__sampled", values, spread)
 
 
 def base_lap_time(attempts: DataFrame, attempt_id: str, time: str, out: str) -> DataFrame:

@@ -75,9 +75,11 @@ def staged(df, name: str):
     """Write a frame that several branches read to the shared folder, and read it back.
 
     Unlike a checkpoint the stored copy is columnar, so each branch reads only its own columns. The
-    folder is new on every call; whoever owns the shared folder expires its old content.
+    folder is new on every call and goes when the driver's JVM ends.
     """
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -31,19 +31,32 @@ def existing_paths(spark: SparkSession, patterns: Sequence[str]) -> tuple[list[s
 
 
 def read_parquet(
-    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None, lenient: bool = False
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    columns: Sequence[str] | None = None,
+    lenient: bool = False,
+    schema: T.StructType | str | None = None,
 ) -> DataFrame:
     """Parquet files or folders as one scan. Unknown columns are an error.
 
-    ``lenient`` skips files that are gone or cannot be read, for scans over many rounds.
+    Without a ``schema`` every footer is read to merge theirs. ``lenient`` skips files that are gone or cannot be read, for
+    scans over many rounds; `unreadable` lists them.
     """
-    reader = spark.read.option("mergeSchema", "true")
+    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", "true")
     if lenient:
         reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
     df = reader.parquet(*([paths] if isinstance(paths, str) else paths))
     return df if columns is None else require(df, columns)
 
 
+def unreadable(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Paths of files that a lenient scan skips: those that do not begin and end as Parquet files do."""
+    files = spark.read.format("binaryFile").load([paths] if isinstance(paths, str) else list(paths))
+    magic = F.lit(b"PAR1")
+    whole = (F.col("length") >= 12) & (F.substring("content", 1, 4) == magic) & (F.substring("content", -4, 4) == magic)
+    return files.where(~whole).select("path")
+
+
 def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The named columns, or an error that lists what is missing."""
     missing = [c for c in columns if c not in df.columns]
@@ -57,10 +70,25 @@ def from_path(pattern: str, group: int = 1) -> Column:
     return F.regexp_extract(F.col("_metadata.file_path"), pattern, group).cast("int")
 
 
-def read_seasons(spark: SparkSession, root: str, pattern: str = r"(\d{4})[^/]*\.parquet") -> DataFrame:
-    """All season files under a folder in one scan, with ``Season`` from the file name unless present."""
-    df = spark.read.option("recursiveFileLookup", "true").parquet(root)
-    return df if "Season" in df.columns else df.withColumn("Season", from_path(pattern))
+#: A year in the name of a file, not in the numbers and hashes that Spark names its own part files by.
+SEASON_FILE = r"/(?!part-)[^/]*?(?<!\d)((?:19|20)\d{2})(?!\d)[^/]*$"
+
+
+def read_seasons(spark: SparkSession, root: str, pattern: str = SEASON_FILE) -> DataFrame:
+    """All season files under a folder in one scan.
+
+    ``Season`` comes from the files or their ``Season=`` folders, so that a filter on it prunes folders. Only if neither has
+    it, it is taken from the file name; a name without a season is an error.
+    """
+    by_folder, _ = existing_paths(spark, [f"{root.rstrip('/')}/Season=*"])
+    reader = spark.read if by_folder else spark.read.option("recursiveFileLookup", "true")
+    df = reader.parquet(root)
+    if "Season" in df.columns:
+        return df
+    path = F.col("_metadata.file_path")
+    year = F.regexp_extract(path, pattern, 1)
+    none = F.raise_error(F.concat(F.lit("no season in the name of "), path)).cast("int")
+    return df.withColumn("Season", F.when(year != "", year.cast("int")).otherwise(none))
 
 
 def read_feather(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -73,8 +101,6 @@ def decode_feather(files: DataFrame, schema: T.StructType | None = None) -> Data
 
     The schema is taken from one file when not given.
     """
-    import io
-
     import pyarrow as pa
     import pyarrow.compute as pc
     import pyarrow.feather as feather
@@ -96,10 +122,17 @@ def decode_feather(files: DataFrame, schema: T.StructType | None = None) -> Data
         return table
 
     if schema is None:
-        first = files.select("content").head()
+        def describe(batches):
+            for batch in batches:
+                for content in batch.column("content"):
+                    fields = plain(feather.read_table(pa.BufferReader(content.as_buffer()))).schema
+                    yield pa.RecordBatch.from_arrays([pa.array([fields.serialize().to_pybytes()], pa.binary())], ["schema"])
+
+        # a file is read where it lies; only its schema comes here
+        first = files.select("content").limit(1).mapInArrow(describe, "schema binary").head()
         if first is None:
             raise FileNotFoundError("no feather files")
-        schema = from_arrow_schema(plain(feather.read_table(io.BytesIO(first[0]))).schema)
+        schema = from_arrow_schema(pa.ipc.read_schema(pa.BufferReader(first[0])))
     wanted = to_arrow_schema(schema)
 
     def decode(batches):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from slipstream.functions import encoders
 from slipstream.models import classifiers, evaluation, features
-from slipstream.operators import sampling, scans, statistics
+from slipstream.operators import sampling, statistics
 
 
 @pytest.fixture(scope="module")
@@ -18,14 +18,13 @@ def scored(spark):
     return rows, spark.createDataFrame(rows, "id long, y int, p double").cache()
 
 
-@pytest.mark.parametrize("split", [None, 20])
-def test_auc_counts_pairs(scored, split, monkeypatch):
-    monkeypatch.setattr(scans, "SLICES", 8)
+@pytest.mark.parametrize("spread", [False, True])
+def test_auc_counts_pairs(scored, spread):
     rows, df = scored
     pos, neg = ([p for _, y, p in rows if y == v] for v in (1, 0))
     want = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg) / (len(pos) * len(neg))
-    assert evaluation.roc_auc(df, "y", "p", split).head()[0] == pytest.approx(want)
-    points = evaluation.roc_points(df, "y", "p", split).orderBy("threshold").collect()
+    assert evaluation.roc_auc(df, "y", "p", spread).head()[0] == pytest.approx(want)
+    points = evaluation.roc_points(df, "y", "p", spread).orderBy("threshold").collect()
     assert points[0]["fpr"] == points[0]["tpr"] == 1.0
     t = points[40]["threshold"]
     assert points[40]["tpr"] == pytest.approx(sum(p >= t for p in pos) / len(pos))

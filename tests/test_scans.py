@@ -1,23 +1,22 @@
-"""The sliced way of an ordered scan gives what plain windows give, whatever the skew."""
+"""The spread way of an ordered scan gives what plain windows give, whatever the skew."""
 
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from slipstream.operators import profile, sampling, scans, sequence, temporal
+from slipstream.operators import profile, sampling, sequence, temporal
 from slipstream.operators.scans import (
     bin_index,
     first_per_group,
     following,
     latest,
-    needed_split,
     ordered_scan,
     previous,
     running_total,
 )
 
-HOT = {"split_rows": 25}
+SPREAD = {"spread": True}
 
 
 @pytest.fixture(scope="module")
@@ -49,28 +48,20 @@ def all_scans():
 
 
 @pytest.mark.parametrize("keys", [["k"], []])
-@pytest.mark.parametrize("slices", [4, 64])
-def test_sliced_equals_plain(rows, keys, slices):
+def test_spread_equals_plain(rows, keys):
     order = ["t", "id"]
     same(
-        ordered_scan(rows, keys, order, all_scans(), split_rows=None),
-        ordered_scan(rows, keys, order, all_scans(), slices=slices, **HOT),
+        ordered_scan(rows, keys, order, all_scans(), spread=False),
+        ordered_scan(rows, keys, order, all_scans(), **SPREAD),
     )
 
 
-def test_only_large_groups_need_a_split(rows):
-    assert needed_split(rows, ["k"], 10_000) is None
-    assert needed_split(rows, ["k"], 25) == 25
-    assert needed_split(rows, [], 25) == 25
-    assert needed_split(rows, [], None) is None
-
-
 def test_zoneless_times_can_be_cut(spark, rows):
     timed = rows.withColumn("ts", F.expr("CAST(timestamp_seconds(t) AS TIMESTAMP_NTZ)"))
     counted = {"n": running_total(F.lit(1))}
     same(
-        ordered_scan(timed, ["k"], ["ts", "id"], counted, None).select("id", "n"),
-        ordered_scan(timed, ["k"], ["ts", "id"], counted, **HOT).select("id", "n"),
+        ordered_scan(timed, ["k"], ["ts", "id"], counted, False).select("id", "n"),
+        ordered_scan(timed, ["k"], ["ts", "id"], counted, **SPREAD).select("id", "n"),
     )
 
 
@@ -93,12 +84,12 @@ def test_first_per_group(rows):
     [
         lambda d, s: sequence.interpolate(d.withColumn("v", F.col("v").cast("double")), ["k"], ["t", "id"], ["v"], s),
         lambda d, s: sequence.fill_down_up(d, ["k"], ["t", "id"], ["v"], s),
-        lambda d, s: sequence.streaks(d, ["k"], "id", 3, split_rows=s),
-        lambda d, s: sequence.consecutive_runs(d, ["k"], "id", 2, 3, split_rows=s),
-        lambda d, s: sequence.position_change(d, ["k"], ["t", "id"], "v", split_rows=s),
-        lambda d, s: sampling.stratified_folds(d, ["k"], "id", 4, split_rows=s),
-        lambda d, s: sampling.stratified_split(d, ["k"], "id", 0.3, split_rows=s),
-        lambda d, s: profile.cumulative_frequency(d, "id", split_rows=s),
+        lambda d, s: sequence.streaks(d, ["k"], "id", 3, spread=s),
+        lambda d, s: sequence.consecutive_runs(d, ["k"], "id", 2, 3, spread=s),
+        lambda d, s: sequence.position_change(d, ["k"], ["t", "id"], "v", spread=s),
+        lambda d, s: sampling.stratified_folds(d, ["k"], "id", 4, spread=s),
+        lambda d, s: sampling.stratified_split(d, ["k"], "id", 0.3, spread=s),
+        lambda d, s: profile.cumulative_frequency(d, "id", spread=s),
         lambda d, s: temporal.asof_left(
             d.withColumn("late", F.col("t") + 0.5), d.where("v is not null"), ["k"], "late", "t", {"v": "seen"}, s
         ),
@@ -110,18 +101,15 @@ def test_first_per_group(rows):
         ),
     ],
 )
-def test_operators_do_not_depend_on_the_split(rows, operator, monkeypatch):
-    monkeypatch.setattr(scans, "SLICES", 8)
+def test_operators_do_not_depend_on_the_spread(rows, operator):
     rows = rows.where("k is not null")
-    same(operator(rows, None), operator(rows, 25))
+    same(operator(rows, False), operator(rows, True))
 
 
-def test_exact_median(spark, rows, monkeypatch):
-    monkeypatch.setattr(scans, "SLICES", 8)
+def test_exact_median(spark, rows):
     want = rows.groupBy("k").agg(F.median("v").alias("m")).where("k is not null")
-    for split in (None, 25):
+    for split in (False, True):
         got = sequence.exact_median(rows.where("k is not null"), ["k"], "v", "m", split)
         same(want, got)
-    filled = [sequence.group_median_fill(rows, ["k"], ["v"], s) for s in (None, 5_000_000, 25)]
+    filled = [sequence.group_median_fill(rows, ["k"], ["v"], s) for s in (False, True)]
     same(filled[0], filled[1])
-    same(filled[0], filled[2])
