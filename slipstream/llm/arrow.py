@@ -53,8 +53,6 @@ def join(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     h = left * _ODD
     h += right
     h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(32)
     return h
 
 
@@ -62,11 +60,16 @@ def windows(first: np.ndarray, size: int) -> np.ndarray:
     """Hash of ``size`` consecutive entries at every place where they fit, by doubling."""
     if len(first) < size:
         return first[:0]
+    return several(first, size)[0]
+
+
+def several(first: np.ndarray, *sizes: int) -> list[np.ndarray]:
+    """`windows` of several sizes, none above twice the smallest, from the same doublings."""
     h, width = first, 1
-    while width * 2 <= size:
+    while width * 2 <= min(sizes):
         h = join(h[:-width], h[width:])
         width *= 2
-    return join(h[: len(h) - (size - width)], h[size - width :]) if width < size else h
+    return [h if size == width else join(h[: max(0, len(h) - (size - width))], h[size - width :]) for size in sizes]
 
 
 @functools.lru_cache(maxsize=4)

@@ -92,6 +92,7 @@ def _tree(page: str) -> tuple[_Node, list[_Node]]:
     nodes, stack, link, text, linked = [root], [root], None, [], 0
     skipping = 0  # how many open elements of the stack belong to a dropped one
     within = 0  # open article or main elements
+    muted = None  # a dropped inline element: [its tag, how many of that tag are open, the stack's height]
 
     def flush():
         nonlocal linked
@@ -105,7 +106,7 @@ def _tree(page: str) -> tuple[_Node, list[_Node]]:
             linked = 0
 
     def pop(depth: int):
-        nonlocal skipping, within, link
+        nonlocal skipping, within, link, muted
         flush()
         while len(stack) > depth:
             node = stack.pop()
@@ -113,12 +114,14 @@ def _tree(page: str) -> tuple[_Node, list[_Node]]:
             within -= node.tag in ("article", "main")
         if link is not None and link > len(stack):
             link = None
+        if muted is not None and muted[2] > len(stack):
+            muted = None
 
     at, size = 0, len(page)
     while at < size:
         m = _TOKEN.search(page, at)
         stop = m.start() if m else size
-        if stop > at and not skipping:
+        if stop > at and not skipping and muted is None:
             piece = html.unescape(page[at:stop]) if "&" in page[at:stop] else page[at:stop]
             text.append(piece)
             if link is not None:
@@ -144,17 +147,12 @@ def _tree(page: str) -> tuple[_Node, list[_Node]]:
             text.append(" ")
             continue
         if tag not in _BLOCK:
-            if not ending and tag not in _EMPTY and not skipping and m["attrs"]:  # an inline advert or hidden text
-                drop, names = _dropped(tag, m["attrs"], bool(within))
-                if drop:
-                    flush()
-                    stack.append(_Node(tag, stack[-1], names, True))
-                    skipping = 1
-            elif ending and skipping and any(n.tag == tag for n in stack[-skipping:]):
-                pop(max(i for i, n in enumerate(stack) if n.tag == tag))
-            elif not ending and skipping and tag not in _EMPTY and any(n.tag == tag for n in stack[-skipping:]):
-                stack.append(_Node(tag, stack[-1], "", True))  # of the same name inside a dropped one
-                skipping += 1
+            if muted is not None and tag == muted[0]:
+                muted[1] += -1 if ending else 1
+                muted = muted if muted[1] else None
+            elif muted is None and not ending and not skipping and tag not in _EMPTY and m["attrs"]:
+                if _dropped(tag, m["attrs"], bool(within))[0]:  # an inline advert or hidden text
+                    muted = [tag, 1, len(stack)]
             continue
         if ending:
             for depth in range(len(stack) - 1, 0, -1):

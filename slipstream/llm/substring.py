@@ -74,7 +74,7 @@ def pack_anchors(codes: np.ndarray, ids: np.ndarray, buckets: int, blocks: int,
     one copy goes on, so a very common anchor sends one number from each chunk.
 
     ``within``: repeats inside one document count as well."""
-    order = np.lexsort((ids, codes))
+    order = np.argsort(codes, kind="stable")  # the anchors of a document stay together
     codes, ids = codes[order], ids[order]
     same = same_as_before(codes)
     again = same_as_before(codes, ids)

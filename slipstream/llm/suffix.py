@@ -8,12 +8,14 @@ The order of suffixes is needed only up to their first `length` bytes, which sha
 2. One level of recursion is left: a repeated string of `length` bytes covers, at some shift below the period, a sampled
    suffix with the same name in each copy. Only suffixes around such samples can be equal in their first `length` bytes.
 3. Merge those remaining suffixes, sampled or not. Runs of them that share the smallest block name among their first bytes go
-   to one bucket as one stretch of text. There the suffixes are sorted by their first `length` bytes (a 128-bit name), and
-   adjacent ones are compared: in every run of equal prefixes all but the earliest are repeats.
+   to one bucket as one stretch of text. There the suffixes are sorted by the name of their first `length` bytes, and
+   adjacent ones are compared, byte by byte: in every run of equal prefixes all but the earliest are repeats.
 """
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,20 +28,26 @@ BLOCK = 24  # bytes of the blocks whose smallest name decides where a suffix is
 SORTED = 4_000_000  # suffixes that are sorted at a time
 
 
+@functools.lru_cache(maxsize=4)
+def _cover_places(v: int, upto: int) -> np.ndarray:
+    """The cover positions below a power of two."""
+    return np.flatnonzero(np.tile(cover(v), -(-upto // v))[:upto])
+
+
 def _samples(data: np.ndarray, offsets: np.ndarray, length: int, v: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(triple name, row, position) of the sampled suffixes of documents that hold a string of ``length`` bytes."""
     size = length - v + 1
     third = -(-size // 3)
-    first, last = arrow.windows(data, third), arrow.windows(data, size - 2 * third)
-    n = max(0, len(data) - size + 1)
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     sizes = np.diff(offsets)
-    row = np.repeat(np.arange(len(sizes)), sizes)[:n]
-    place = np.arange(n) - offsets[:-1][row]
-    take = np.flatnonzero(cover(v)[place % v] & (place + size <= sizes[row]) & (sizes[row] >= length))
-    names = arrow.join(arrow.join(first[take], first[take + third]), last[take + 2 * third])
-    return names, row[take], place[take]
+    known = _cover_places(v, 1 << int(sizes.max(initial=1)).bit_length())
+    count = np.where(sizes >= length, np.searchsorted(known, sizes - size, side="right"), 0)
+    row = np.repeat(np.arange(len(sizes)), count)
+    place = known[np.arange(len(row)) - (np.cumsum(count) - count)[row]] if len(row) else np.zeros(0, np.int64)
+    if not len(row):
+        return np.zeros(0, np.uint64), row, place
+    first, last = arrow.several(data, third, size - 2 * third)
+    take = offsets[:-1][row] + place
+    return arrow.mix(arrow.join(arrow.join(first[take], first[take + third]), last[take + 2 * third])), row, place
 
 
 def _smallest(names: np.ndarray, width: int) -> np.ndarray:
@@ -57,6 +65,16 @@ def _gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nda
     return data[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
 
 
+def _same_bytes(data: np.ndarray, at: np.ndarray, source: np.ndarray, length: int) -> np.ndarray:
+    """Whether the bytes themselves are equal where the names are, run by run of neighbouring places."""
+    first, count = _runs(at, at - source)
+    sizes = count + length - 1
+    equal = _gather(data, at[first], sizes) == _gather(data, source[first], sizes)
+    wrong = np.concatenate([[0], np.cumsum(~equal)])
+    begin = np.repeat(np.cumsum(sizes) - sizes, count) + np.arange(len(at)) - np.repeat(first, count)
+    return wrong[begin + length] == wrong[begin]
+
+
 def _runs(places: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first entry, length) of the runs of consecutive places with equal columns."""
     if not len(places):
@@ -103,11 +121,15 @@ def repeated_strings(docs: DataFrame, length: int, key: str, text: str) -> DataF
         starts = np.flatnonzero(np.cumsum(edge)[: max(0, len(part) - length + 1)] > 0)
         if not len(starts):
             return None
-        smallest = _smallest(arrow.mix(arrow.windows(wide, block)), length - block + 1)[starts]
+        # the names of blocks are needed only where suffixes remain: their bytes are put together first
+        first, count = _runs(starts)
+        begin, sizes = starts[first], count + length - 1
+        near = _gather(wide, begin, sizes)
+        inner = np.repeat(np.cumsum(sizes) - sizes, count) + np.arange(len(starts)) - np.repeat(first, count)
+        smallest = _smallest(arrow.mix(arrow.windows(near, block)), length - block + 1)[inner]
         first, count = _runs(starts, smallest)
-        begin = starts[first]
+        begin, sizes = starts[first], count + length - 1
         row = np.searchsorted(offsets, begin, side="right") - 1
-        sizes = count + length - 1
         hashes = [arrow.spans_hash(part, begin, begin + sizes, w) for w in (0, 1)]
         return smallest[first], ids[row], begin - offsets[row], count, *hashes, begin, sizes
 
@@ -163,33 +185,39 @@ def repeated_strings(docs: DataFrame, length: int, key: str, text: str) -> DataF
 
     def merge(batches):
         found = packed.numbers(batches, codes=np.uint8, checks=np.uint32, places=np.uint32)
-        data, sizes, ids, places = found["codes"], found["checks"].astype(np.int64), found["ids"], found["places"].astype(np.int64)
+        # in the order of documents and places, so that of equal prefixes the earliest comes first
+        sizes, order = found["checks"].astype(np.int64), np.lexsort((found["places"], found["ids"]))
+        data = _gather(found["codes"], (np.cumsum(sizes) - sizes)[order], sizes[order])
+        sizes, ids, places = sizes[order], found["ids"][order], found["places"].astype(np.int64)[order]
         offsets = np.concatenate([[0], np.cumsum(sizes)])
         rounds = 1 + len(data) // SORTED  # a bucket that is too large for one sort is sorted by parts of the names
         for turn in range(rounds):
-            kept = []
+            names, at = [], []
             for i, j in arrow.pieces(offsets):
-                part = data[offsets[i] : offsets[j]].astype(np.uint64)
-                name = arrow.windows(part, length)
-                row = np.repeat(np.arange(i, j), sizes[i:j])[: len(name)]
-                inner = np.arange(len(name)) + offsets[i] - offsets[row]
-                take = inner + length <= sizes[row]
+                name = arrow.mix(arrow.windows(data[offsets[i] : offsets[j]].astype(np.uint64), length))
+                last = np.repeat(offsets[i + 1 : j + 1] - length, sizes[i:j])[: len(name)]
+                take = np.arange(len(name)) + offsets[i] <= last
                 if rounds > 1:
                     take &= (name % np.uint64(rounds)) == turn
-                other = arrow.windows(part * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x632BE59BD9B4E019), length)
-                kept.append((name[take], other[take], ids[row[take]], places[row[take]] + inner[take]))
-            name, other, who, where = (np.concatenate(c) for c in zip(*kept))
-            order = np.lexsort((where, who, other, name))
-            name, other, who, where = name[order], other[order], who[order], where[order]
-            same = same_as_before(name, other)
-            first = np.maximum.accumulate(np.where(same, 0, np.arange(len(name))))
-            later = same & ((who > who[first]) | (where > where[first]))
-            who, where = who[later], where[later]
-            order = np.lexsort((where, who))
-            who, where = who[order], where[order]
-            at, count = _runs(where, who)
+                at.append(np.flatnonzero(take) + offsets[i])
+                names.append(name[take])
+            name, at = np.concatenate(names), np.concatenate(at)
+            order = np.argsort(name, kind="stable")
+            name, at = name[order], at[order]
+            same = same_as_before(name)
+            source = at[np.maximum.accumulate(np.where(same, 0, np.arange(len(name))))] if len(name) else at
+            at, source = at[same], source[same]
+            order = np.argsort(at)
+            at, source = at[order], source[order]
+            same = _same_bytes(data, at, source, length)
+            at, source = at[same], source[same]
+            row, before = (np.searchsorted(offsets, x, side="right") - 1 for x in (at, source))
+            where, there = places[row] + at - offsets[row], places[before] + source - offsets[before]
+            later = (ids[row] > ids[before]) | (where > there)  # rows of one key are no earlier at the same byte
+            who, where = ids[row][later], where[later]
+            first, count = _runs(where, who)
             yield from packed.rows_of(
-                1, packed.block_of(who[at], blocks), who[at], places=where[at].astype(np.uint32), checks=count.astype(np.uint32)
+                1, packed.block_of(who[first], blocks), who[first], places=where[first].astype(np.uint32), checks=count.astype(np.uint32)
             )
 
     rows = docs.select(packed.order_column(key).alias("id"), docs[text].cast("string").alias("text"))
