@@ -25,7 +25,8 @@ from slipstream.llm.substring import Chunk, cover, for_id, noted, pack_anchors,
 from slipstream.session import staged
 
 BLOCK = 24  # bytes of the blocks whose smallest name decides where a suffix is merged
-SORTED = 4_000_000  # suffixes that are sorted at a time
+SORTED = 2_000_000  # suffixes that are sorted at a time
+COMPARED = 2_000_000  # bytes that are compared at a time
 
 
 @functools.lru_cache(maxsize=4)
@@ -68,11 +69,15 @@ def _gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nda
 def _same_bytes(data: np.ndarray, at: np.ndarray, source: np.ndarray, length: int) -> np.ndarray:
     """Whether the bytes themselves are equal where the names are, run by run of neighbouring places."""
     first, count = _runs(at, at - source)
-    sizes = count + length - 1
-    equal = _gather(data, at[first], sizes) == _gather(data, source[first], sizes)
-    wrong = np.concatenate([[0], np.cumsum(~equal)])
-    begin = np.repeat(np.cumsum(sizes) - sizes, count) + np.arange(len(at)) - np.repeat(first, count)
-    return wrong[begin + length] == wrong[begin]
+    out = [np.zeros(0, bool)]
+    offsets = np.concatenate([[0], np.cumsum(count + length - 1)])
+    for i, j in arrow.pieces(offsets, COMPARED):
+        some, sizes, n = first[i:j], count[i:j] + length - 1, count[i:j]
+        equal = _gather(data, at[some], sizes) == _gather(data, source[some], sizes)
+        wrong = np.concatenate([[0], np.cumsum(~equal)])
+        begin = np.repeat(np.cumsum(sizes) - sizes - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        out.append(wrong[begin + length] == wrong[begin])
+    return np.concatenate(out)
 
 
 def _runs(places: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,7 +176,7 @@ def repeated_strings(docs: DataFrame, length: int, key: str, text: str) -> DataF
             1, packed.block_of(ids[some], blocks), ids[some], places=places[some].astype(np.uint32), checks=count[some].astype(np.uint32)
         )
         rest = np.flatnonzero(~again)
-        part = packed.bucket_of(arrow.mix(route[rest].copy()), buckets)
+        part = packed.bucket_of(arrow.mix(route[rest].copy()), 2 * buckets)  # stretches are longer than names
         order = np.lexsort((places[rest], ids[rest], part))
         part, rest = part[order], rest[order]
         out = []
