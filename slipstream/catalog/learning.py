@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +11,7 @@ from slipstream.catalog.field import table
 from slipstream.catalog.registry import Registry
 from slipstream.models import classifiers, evaluation, features
 from slipstream.operators import sampling
-from slipstream.session import checkpoint_folder
+from slipstream.session import fresh_folder, staged
 from slipstream.sources import ingest, readers, sinks
 
 registry = Registry()
@@ -23,12 +20,12 @@ QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 # --- evaluation ----------------------------------------------------------------------------------------
 
 _SCORED = """s AS (SELECT CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y,
-  round(o_totalprice / 600000, 3) AS p FROM orders)"""
+  CAST(o_totalprice AS DOUBLE) / 600000 AS p FROM orders)"""
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(
-        "CAST(o_orderstatus = 'F' AS INT) AS y", "round(o_totalprice / 600000, 3) AS p"
+        "CAST(o_orderstatus = 'F' AS INT) AS y", "CAST(o_totalprice AS DOUBLE) / 600000 AS p"
     )
 
 
@@ -166,6 +163,9 @@ def abs_top_k(spark, sf_dir):
 
 # --- models: is a document of good quality? ------------------------------------------------------------
 
+# Budgets of the registered fits: words in a vocabulary, trees, steps and shape of the network, drawn configurations, folds.
+MAX_FEATURES, TREES, STEPS, HIDDEN, DRAWS, FOLDS = 500, 20, 100, [32, 16], 4, 3
+
 _NUMBERS = ["n_chars", "n_lines", "n_digits", "mean_word"]
 _CATEGORIES = ["lang", "source"]
 
@@ -183,31 +183,31 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     joined = documents.join(labels, "doc_id")
     split = sampling.stratified_split(joined, ["Stratify"], "doc_id", 0.2)
-    folded = sampling.stratified_folds(split, ["Stratify", "is_test"], "doc_id", 3)
-    return classifiers.with_class_weights(folded).cache()
+    folded = sampling.stratified_folds(split, ["Stratify", "is_test"], "doc_id", FOLDS)
+    return staged(classifiers.with_class_weights(folded), "labelled")
 
 
 def _train_test(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where("is_test = 0"), df.where("is_test = 1")
 
 
-def _linear() -> Pipeline:
-    stages = features.feature_stages(_NUMBERS, _CATEGORIES, "text", max_features=200, max_ngram=2)
-    return Pipeline(stages=[*stages, classifiers.logistic(strength=1.0, rows=300, maxIter=50)])
+def _linear(train: DataFrame) -> Pipeline:
+    stages = features.feature_stages(_NUMBERS, _CATEGORIES, "text", max_features=MAX_FEATURES, max_ngram=2)
+    return Pipeline(stages=[*stages, classifiers.logistic(strength=1.0, rows=train.count(), maxIter=50)])
 
 
 def _bayes() -> Pipeline:
-    return Pipeline(stages=[*features.feature_stages(text="text", max_features=200), classifiers.naive_bayes(0.5)])
+    return Pipeline(stages=[*features.feature_stages(text="text", max_features=MAX_FEATURES), classifiers.naive_bayes(0.5)])
 
 
-def _trees(validation: str | None = None, trees: int = 10, **more) -> Pipeline:
+def _trees(validation: str | None = None, trees: int = TREES, **more) -> Pipeline:
     stages = features.feature_stages(_NUMBERS, _CATEGORIES, one_hot=False, scaled=False)
     return Pipeline(stages=[*stages, classifiers.boosted_trees(trees, validation, maxDepth=3, maxBins=64, seed=42, **more)])
 
 
-def _fit_and_score(spark: SparkSession, sf_dir: str, pipeline: Pipeline) -> DataFrame:
+def _fit_and_score(spark: SparkSession, sf_dir: str, pipeline) -> DataFrame:
     train, test = _train_test(_documents(spark, sf_dir))
-    return classifiers.scored(pipeline.fit(train), test)
+    return classifiers.scored(pipeline(train).fit(train), test)
 
 
 _SCORES = "i:doc_id label d:p i:prediction"
@@ -215,12 +215,12 @@ _SCORES = "i:doc_id label d:p i:prediction"
 
 @registry.add("lr_fit", _SCORES)
 def lr_fit(spark, sf_dir):
-    return _fit_and_score(spark, sf_dir, _linear())
+    return _fit_and_score(spark, sf_dir, _linear)
 
 
 @registry.add("nb_fit", _SCORES)
 def nb_fit(spark, sf_dir):
-    return _fit_and_score(spark, sf_dir, _bayes())
+    return _fit_and_score(spark, sf_dir, lambda _: _bayes())
 
 
 @registry.add("gbt_fit", _SCORES)
@@ -229,46 +229,43 @@ def gbt_fit(spark, sf_dir):
     train, test = _train_test(_documents(spark, sf_dir))
     sliced = sampling.stratified_split(train, ["Stratify"], "doc_id", 0.15, seed=7, out="held")
     sliced = sliced.withColumn("held", F.col("held") == 1)
-    return classifiers.scored(_trees("held", trees=20).fit(sliced), test)
+    return classifiers.scored(_trees("held").fit(sliced), test)
 
 
 @registry.add("mlp_fit", _SCORES)
 def mlp_fit(spark, sf_dir):
     train, test = _train_test(_documents(spark, sf_dir))
-    encode = Pipeline(stages=features.feature_stages(_NUMBERS, _CATEGORIES)).fit(train)
-    encoded = encode.transform(train)
-    inputs = encoded.schema["features"].metadata["ml_attr"]["num_attrs"]
-    model = classifiers.network(inputs, (16, 8), maxIter=40, seed=42).fit(encoded)
-    return classifiers.scored(model, encode.transform(test))
+    net = classifiers.EncodedNetwork(features.feature_stages(_NUMBERS, _CATEGORIES), hidden=HIDDEN, maxIter=STEPS, seed=42)
+    return classifiers.scored(net.fit(train), test)
 
 
 @registry.add("random_search", "i:config s:params d:mean_test_score std_test_score i:rank_test_score")
 def random_search(spark, sf_dir):
     train, _ = _train_test(_documents(spark, sf_dir))
-    stages = features.feature_stages(_NUMBERS, _CATEGORIES, "text", max_features=200)
+    stages = features.feature_stages(_NUMBERS, _CATEGORIES, "text", max_features=MAX_FEATURES)
     pipeline = Pipeline(stages=[*stages, classifiers.logistic(maxIter=15)])
     last, counts = pipeline.getStages()[-1], next(s for s in pipeline.getStages() if s.hasParam("vocabSize"))
     space = {
         last.regParam: classifiers.log_uniform(1e-4, 1.0),
         last.elasticNetParam: classifiers.choice(0.0, 1.0),
-        counts.vocabSize: classifiers.integer(50, 200),
+        counts.vocabSize: classifiers.integer(50, MAX_FEATURES),
     }
-    return classifiers.random_search(train, pipeline, space, n=2, folds=3, scoring="f1")[1]
+    return classifiers.random_search(train, pipeline, space, n=DRAWS, folds=FOLDS, scoring="f1")[1]
 
 
 @registry.add("oof_stack", "i:doc_id is_test label d:text_p")
 def oof_stack(spark, sf_dir):
     train, test = _train_test(_documents(spark, sf_dir))
-    stages = features.feature_stages(text="text", max_features=100)
-    pipeline = Pipeline(stages=[*stages, classifiers.logistic(rows=300, weighted=False, maxIter=30)])
-    inside, outside = classifiers.stacked_text(train, test, pipeline, "text_p", folds=3)
+    stages = features.feature_stages(text="text", max_features=MAX_FEATURES)
+    pipeline = Pipeline(stages=[*stages, classifiers.logistic(rows=train.count(), weighted=False, maxIter=30)])
+    inside, outside = classifiers.stacked_text(train, test, pipeline, "text_p", folds=FOLDS)
     return inside.unionByName(outside)
 
 
 @registry.add("importance", "s:feature elojel d:coefficient")
 def importance(spark, sf_dir):
     train, _ = _train_test(_documents(spark, sf_dir))
-    return evaluation.top_by_magnitude(classifiers.importance(_linear().fit(train), train), "coefficient", "feature", 15)
+    return evaluation.top_by_magnitude(classifiers.importance(_linear(train).fit(train), train), "coefficient", "feature", 15)
 
 
 @registry.add("tree_importance", "s:feature d:coefficient")
@@ -287,7 +284,7 @@ def permutation_importance(spark, sf_dir):
 @registry.add("model_size", "s:model i:parameters leaves splits")
 def model_size(spark, sf_dir):
     train, _ = _train_test(_documents(spark, sf_dir))
-    sizes = [{"model": n, **classifiers.model_size(p.fit(train))} for n, p in (("linear", _linear()), ("trees", _trees()))]
+    sizes = [{"model": n, **classifiers.model_size(p.fit(train))} for n, p in (("linear", _linear(train)), ("trees", _trees()))]
     rows = [(s["model"], s["parameters"], s.get("leaves"), s.get("splits")) for s in sizes]
     return spark.createDataFrame(rows, "model string, parameters long, leaves long, splits long")
 
@@ -303,21 +300,13 @@ def category_codes(spark, sf_dir):
 # --- sources and sinks: written and read back -------------------------------------------------------------
 
 
-def _fresh(spark: SparkSession, name: str) -> str:
-    """A new folder beside the shared checkpoints (local sessions: in the temporary folder)."""
-    root = checkpoint_folder(spark)
-    if root.startswith("/"):
-        return tempfile.mkdtemp(prefix=f"{name}-", dir=root) + "/out"
-    return f"{root}/{name}-{uuid.uuid4().hex}"
-
-
 @registry.add(
     "partitioned_sink",
     "i:year n d:total",
     "SELECT year(o_orderdate) AS year, count(*) AS n, sum(o_totalprice) AS total FROM orders GROUP BY 1",
 )
 def partitioned_sink(spark, sf_dir):
-    path = _fresh(spark, "orders")
+    path = fresh_folder(spark, "orders")
     sinks.write_parquet(table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate")), path, ["year"])
     back = readers.read_parquet(spark, path, ["year", "o_totalprice"], lenient=True)
     return back.groupBy("year").agg(F.count("*").alias("n"), F.sum("o_totalprice").alias("total"))
@@ -325,7 +314,7 @@ def partitioned_sink(spark, sf_dir):
 
 @registry.add("csv_sink", "i:p_partkey s:p_name d:p_retailprice", "SELECT * FROM part")
 def csv_sink(spark, sf_dir):
-    path = _fresh(spark, "report")
+    path = fresh_folder(spark, "report")
     sinks.write_report(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice"), path)
     return readers.read_lookup(spark, path, "p_partkey BIGINT, p_name STRING, p_retailprice DOUBLE")
 
@@ -336,7 +325,7 @@ def csv_sink(spark, sf_dir):
     "SELECT count(*) AS rows, avg(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS share FROM orders",
 )
 def json_metrics(spark, sf_dir):
-    path = _fresh(spark, "metrics")
+    path = fresh_folder(spark, "metrics")
     found = table(spark, sf_dir, "orders").agg(F.count("*").alias("rows"), F.expr("avg(CAST(o_orderstatus = 'F' AS INT)) AS share"))
     sinks.write_metrics(spark, found.head().asDict(), path)
     return spark.read.json(path)
@@ -348,13 +337,11 @@ def json_metrics(spark, sf_dir):
     "SELECT 2018 + l_linenumber AS \"Season\", count(*) AS n, sum(l_quantity) AS total FROM lineitem GROUP BY 1",
 )
 def multi_file_scan(spark, sf_dir):
-    """One folder per season, read back in one scan with the season taken from the path."""
-    path = _fresh(spark, "seasons")
+    """One folder per season, read back in one scan; the season is that of the folder."""
+    path = fresh_folder(spark, "seasons")
     lines = table(spark, sf_dir, "lineitem").select("l_linenumber", "l_quantity")
-    sinks.write_parquet(lines.withColumn("folder", F.expr("2018 + l_linenumber")), path, ["folder"])
-    found, _ = readers.existing_paths(spark, [f"{path}/folder=*"])
-    seasons = spark.read.parquet(*found).withColumn("Season", readers.from_path(r"folder=(\d{4})"))
-    return seasons.groupBy("Season").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("total"))
+    sinks.write_parquet(lines.withColumn("Season", F.expr("2018 + l_linenumber")), path, ["Season"])
+    return readers.read_seasons(spark, path).groupBy("Season").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("total"))
 
 
 @registry.add(
@@ -363,19 +350,10 @@ def multi_file_scan(spark, sf_dir):
     "SELECT * FROM events",
 )
 def feather_scan(spark, sf_dir):
-    """Events packed as feather by the tasks that hold them, and decoded on the executors."""
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
-
-    def pack(batches):
-        import pyarrow as pa
-        import pyarrow.feather as feather
-
-        for batch in batches:
-            out = pa.BufferOutputStream()
-            feather.write_feather(pa.Table.from_batches([batch]), out)
-            yield pa.RecordBatch.from_pydict({"content": [out.getvalue().to_pybytes()]})
-
-    return readers.decode_feather(events.mapInArrow(pack, "content binary"), events.schema)
+    """Events landed as feather files, one for each task that holds some, and read back."""
+    path = fresh_folder(spark, "feather")
+    sinks.write_feather(table(spark, sf_dir, "events").select("event_id", "user_id", "value"), path)
+    return readers.read_feather(spark, f"{path}/*.feather")
 
 
 @registry.add(

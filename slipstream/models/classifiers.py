@@ -11,7 +11,7 @@ import math
 import random
 from collections.abc import Callable, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
@@ -20,6 +20,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +38,8 @@ def logistic(strength: float = 1.0, rows: int = 1, l1: float = 0.0, weighted: bo
     """Logistic regression; ``strength`` is the inverse penalty, so regParam is 1 / (strength * rows)."""
     if weighted:
         more["weightCol"] = WEIGHT
+    # the penalty is on the columns as they come: numbers are scaled before, TF-IDF and one-hot columns are not
+    more.setdefault("standardization", False)
     return LogisticRegression(labelCol=LABEL, regParam=1.0 / (strength * rows), elasticNetParam=l1, **more)
 
 
@@ -45,14 +48,54 @@ def naive_bayes(alpha: float = 1.0) -> NaiveBayes:
 
 
 def boosted_trees(trees: int = 300, validation: str | None = None, tolerance: float = 1e-4, **more) -> GBTClassifier:
-    """Boosted trees on indexed categories; with ``validation`` a 0/1 column stops the boosting early."""
+    """Boosted trees on indexed categories; with ``validation`` a true/false column stops the boosting early.
+
+    The tolerance is set in any case, so that it holds when a validation column is named later.
+    """
     if validation is not None:
-        more |= {"validationIndicatorCol": validation, "validationTol": tolerance}
-    return GBTClassifier(labelCol=LABEL, maxIter=trees, **more)
+        more["validationIndicatorCol"] = validation
+    return GBTClassifier(labelCol=LABEL, maxIter=trees, validationTol=tolerance, **more)
 
 
-def network(inputs: int, hidden: Sequence[int] = (64, 32), **more) -> MultilayerPerceptronClassifier:
-    return MultilayerPerceptronClassifier(labelCol=LABEL, layers=[inputs, *hidden, 2], **more)
+class EncodedNetwork(Estimator):
+    """Encoders and a perceptron fitted together: the width of the network follows from the rows it is fitted on.
+
+    Inside a cross-validation no encoder has seen the held-out fold. The solver is gradient descent, the one whose step size
+    acts.
+    """
+
+    hidden = Param(Params._dummy(), "hidden", "units of the hidden layers", TypeConverters.toListInt)
+    stepSize = Param(Params._dummy(), "stepSize", "step of the descent", TypeConverters.toFloat)
+    blockSize = Param(Params._dummy(), "blockSize", "rows in a batch", TypeConverters.toInt)
+    maxIter = Param(Params._dummy(), "maxIter", "steps of the descent", TypeConverters.toInt)
+    seed = Param(Params._dummy(), "seed", "seed of the weights", TypeConverters.toInt)
+
+    def __init__(self, stages: Sequence = (), **values):
+        super().__init__()
+        self._stages = list(stages)
+        self._setDefault(hidden=[64, 32], stepSize=0.03, blockSize=128, maxIter=100, seed=42)
+        self._set(**values)
+
+    def copy(self, extra=None):
+        found = super().copy(extra)
+        found._stages = self._stages
+        return found
+
+    def _fit(self, df: DataFrame) -> PipelineModel:
+        encode = Pipeline(stages=self._stages).fit(df)
+        coded = encode.transform(df)
+        width = coded.schema["features"].metadata["ml_attr"]["num_attrs"]
+        value = self.getOrDefault
+        net = MultilayerPerceptronClassifier(
+            labelCol=LABEL,
+            layers=[width, *value(self.hidden), 2],
+            solver="gd",
+            stepSize=value(self.stepSize),
+            blockSize=value(self.blockSize),
+            maxIter=value(self.maxIter),
+            seed=value(self.seed),
+        )
+        return PipelineModel([*encode.stages, net.fit(coded)])
 
 
 def with_class_weights(df: DataFrame, label: str = LABEL, mode: str = "balanced") -> DataFrame:
@@ -174,14 +217,17 @@ def model_size(model: PipelineModel) -> dict[str, int]:
     return {"parameters": last.numFeatures + 1}
 
 
-def importance(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Signed coefficients, or the gain share of each feature for trees, by feature name."""
+def importance(model: PipelineModel, df: DataFrame, sign: str = "elojel") -> DataFrame:
+    """Signed coefficients, or the gain share of each feature for trees, by feature name.
+
+    ``sign`` names the column of the sign; the default is a fixed value, the report's own name.
+    """
     last = model.stages[-1]
     names = feature_names(model, model.transform(df.limit(0)))
     values = last.featureImportances.toArray() if hasattr(last, "trees") else last.coefficients.toArray()
     rows = [(n, float(v)) for n, v in zip(names, values)]
     table = df.sparkSession.createDataFrame(rows, "feature string, coefficient double")
-    return table.withColumn("elojel", F.when(F.col("coefficient") >= 0, "positive").otherwise("negative"))
+    return table.withColumn(sign, F.when(F.col("coefficient") >= 0, "positive").otherwise("negative"))
 
 
 def permutation_importance(

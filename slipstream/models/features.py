@@ -48,6 +48,17 @@ class SmoothIdf(Estimator, HasInputCol, HasOutputCol):
         )
 
 
+def _ngram_statement(out: str, longest: int) -> str:
+    parts = ", ".join(f"`{out}_w{n}`" for n in range(1, longest + 1))
+    return f"SELECT *, concat({parts}) AS `{out}_terms` FROM __THIS__"
+
+
+def ngram_statements(out: str, longest: str) -> list[str]:
+    """The statements of all n-gram lengths up to the one of a given statement, to search over."""
+    n = longest.count(f"`{out}_w")
+    return [_ngram_statement(out, k) for k in range(1, n + 1)]
+
+
 def tfidf_stages(
     column: str, out: str, max_features: int = 500, max_ngram: int = 1, stop_words: bool = True
 ) -> list:
@@ -60,8 +71,7 @@ def tfidf_stages(
     if max_ngram > 1:
         sizes = range(2, max_ngram + 1)
         stages += [NGram(n=n, inputCol=f"{out}_w1", outputCol=f"{out}_w{n}") for n in sizes]
-        parts = ", ".join(f"`{out}_w{n}`" for n in range(1, max_ngram + 1))
-        stages.append(SQLTransformer(statement=f"SELECT *, concat({parts}) AS `{out}_terms` FROM __THIS__"))
+        stages.append(SQLTransformer(statement=_ngram_statement(out, max_ngram)))
         terms = f"{out}_terms"
     return stages + [
         CountVectorizer(inputCol=terms, outputCol=f"{out}_tf", vocabSize=max_features),

@@ -1,9 +1,8 @@
 """The three modelling jobs on a model input table: split, search, refit, threshold, test metrics.
 
 Input tables keep ``AttemptID`` (``model_variant(..., keep_id=True)``), which splits are drawn by. Nothing is
-fitted on the test rows. The encoders of the linear and tree jobs sit inside the cross-validated pipeline;
-those of the network are fitted once on all train rows, as its input width must be known. Search budgets
-are arguments.
+fitted on the test rows: rows are divided first. All encoders sit inside the cross-validated estimator. Search budgets are
+arguments, with the sizes of the full jobs as defaults.
 """
 
 from __future__ import annotations
@@ -81,28 +80,37 @@ def _chosen(search_model, pipeline: Pipeline, smallest: bool = False) -> Pipelin
     return pipeline.copy(search_model.getEstimatorParamMaps()[best])
 
 
+def _text_space(stages: list, most: int = 500) -> dict:
+    """Draws of the vocabulary size and of the longest word n-gram, for the TF-IDF stages among these."""
+    counts = next(s for s in stages if s.hasParam("vocabSize"))
+    space = {counts.vocabSize: classifiers.choice(*range(50, most + 1, 10))}
+    joined = next((s for s in stages if s.hasParam("statement")), None)
+    if joined is not None:
+        space[joined.statement] = classifiers.choice(*features.ngram_statements("tfidf", joined.getStatement()))
+    return space
+
+
 def linear_job(
-    df: DataFrame, n: int = 300, folds: int = 5, max_ngram: int = 1, limit: float = 10.0, seed: int = 42
+    df: DataFrame, n: int = 300, folds: int = 5, max_ngram: int = 2, limit: float = 10.0, seed: int = 42
 ) -> Result:
     """Logistic regression on columns that pass the inflation test, rare drivers pooled, track text as TF-IDF.
 
-    The threshold is the best F1 of out-of-fold scores on the train rows.
+    The longest n-gram, up to ``max_ngram``, is searched. The threshold is the best F1 of out-of-fold scores on the train rows.
     """
-    kept = [r["Feature"] for r in statistics.prune_by_inflation(df, _numbers(df), limit).collect()]
-    df = df.dropna(subset=[*kept, TEXT, *DRIVERS, *TEAMS, TARGET]).select(KEY, STRATUM, TARGET, TEXT, *DRIVERS, *TEAMS, *kept)
+    df = df.dropna(subset=[TEXT, *DRIVERS, *TEAMS, TARGET])
     train, test = _divide(df, 0.2, folds, TARGET, seed)
+    kept = [r["Feature"] for r in statistics.prune_by_inflation(train, _numbers(train), limit).collect()]
+    own = [KEY, STRATUM, TARGET, LABEL, TEXT, *DRIVERS, *TEAMS, *kept]
+    train = train.dropna(subset=kept).select(*own, "fold", classifiers.WEIGHT)
+    test = test.dropna(subset=kept).select(*own)
     frequent = {c: encoders.fit_frequent(train, c, 0.02) for c in DRIVERS}
     train, test = (features.bucket_rare(d, DRIVERS, frequent) for d in (train, test))
     rows = train.count()
     numbers = [c for c in kept if c in train.columns]
     stages = features.feature_stages(numbers, [*DRIVERS, *TEAMS], TEXT, max_features=500, max_ngram=max_ngram)
     pipeline = Pipeline(stages=[*stages, classifiers.logistic(1.0, rows)])
-    counts = next(s for s in stages if s.hasParam("vocabSize"))
     strength = classifiers.log_uniform(1e-3, 1e2)
-    space = {
-        pipeline.getStages()[-1].regParam: lambda rng: 1.0 / (strength(rng) * rows),
-        counts.vocabSize: classifiers.choice(*range(50, 501, 10)),
-    }
+    space = {pipeline.getStages()[-1].regParam: lambda rng: 1.0 / (strength(rng) * rows), **_text_space(stages)}
     best, table = classifiers.random_search(train, pipeline, space, n, folds=folds, scoring="f1", seed=seed)
     outside = classifiers.out_of_fold(train, _chosen(best, pipeline), folds=folds)
     cut = _best_cut(outside, evaluation.evenly_spaced(0.3, 0.7, 101))
@@ -117,7 +125,7 @@ def linear_job(
 
 
 def trees_job(
-    df: DataFrame, n: int = 600, folds: int = 5, trees: int = 300, most_trees: int = 2000, seed: int = 42
+    df: DataFrame, n: int = 600, folds: int = 5, trees: int = 300, most_trees: int = 2000, text_n: int = 20, seed: int = 42
 ) -> Result:
     """Boosted trees on native categories, with the track text as one out-of-fold probability.
 
@@ -126,9 +134,12 @@ def trees_job(
     """
     train, test = _divide(df, 0.2, folds, STRATUM, seed)
     rows = train.count()
-    text_model = Pipeline(
-        stages=[*features.feature_stages(text=TEXT), classifiers.logistic(1.0, rows, weighted=False, maxIter=50)]
-    )
+    text_stages = features.feature_stages(text=TEXT, max_ngram=2)
+    text_model = Pipeline(stages=[*text_stages, classifiers.logistic(1.0, rows, weighted=False, maxIter=50)])
+    strength = classifiers.log_uniform(1e-3, 1e2)
+    text_space = {text_model.getStages()[-1].regParam: lambda rng: 1.0 / (strength(rng) * rows), **_text_space(text_stages)}
+    searched, _ = classifiers.random_search(train, text_model, text_space, text_n, folds=folds, scoring="roc_auc", seed=seed)
+    text_model = _chosen(searched, text_model)
     train, test = classifiers.stacked_text(train, test, text_model, "TrackDesc_LR", folds=folds)
     train, test = staged(train, "train-stacked"), staged(test, "test-stacked")
     numbers = _numbers(train)
@@ -142,6 +153,7 @@ def trees_job(
         booster.minInstancesPerNode: classifiers.integer(1, 15),
         booster.subsamplingRate: classifiers.uniform(0.5, 0.5),
         booster.minInfoGain: classifiers.log_uniform(1e-4, 5.0),
+        booster.featureSubsetStrategy: lambda rng: f"{rng.uniform(0.5, 1.0):.3f}",  # share of the columns at each split
     }
     pipeline = Pipeline(stages=[*stages, booster])
     best, table = classifiers.random_search(train, pipeline, space, n, folds=folds, scoring="roc_auc", seed=seed)
@@ -165,26 +177,20 @@ def trees_job(
 def network_job(df: DataFrame, n: int = 100, folds: int = 3, epochs: int = 100, seed: int = 42) -> Result:
     """Perceptron on scaled numbers and one-hot categories; the threshold is the best F1 of a 15% slice."""
     train, test = _divide(df, 0.15, folds, STRATUM, seed)
-    numbers, categories = _numbers(train), [*DRIVERS, *TEAMS, *PLACES]
-    stages = features.feature_stages(numbers, categories)
-    # code sets come from the train rows, with one place for levels unseen in them
-    encode = Pipeline(stages=stages).fit(train)
-    width = encode.transform(train.limit(0)).schema["features"].metadata["ml_attr"]["num_attrs"]
-    shapes = [(64,), (128,), (64, 32), (128, 64), (128, 64, 32)]
-    net = classifiers.network(width, shapes[0], maxIter=epochs, seed=seed)
+    # codes come from the rows of each fit, with one place for levels unseen in them
+    stages = features.feature_stages(_numbers(train), [*DRIVERS, *TEAMS, *PLACES])
+    shapes = [[64], [128], [64, 32], [128, 64], [128, 64, 32]]
+    net = classifiers.EncodedNetwork(stages, maxIter=epochs, seed=seed)
     space = {
-        net.layers: lambda rng: [width, *rng.choice(shapes), 2],
+        net.hidden: classifiers.choice(*shapes),
         net.stepSize: classifiers.log_uniform(1e-4, 1e-2),
         net.blockSize: classifiers.choice(32, 64, 128),
     }
-    coded = staged(encode.transform(train).select(KEY, STRATUM, LABEL, "fold", "features"), "train-coded")
-    best, table = classifiers.random_search(
-        coded, Pipeline(stages=[net]), space, n, folds=folds, scoring="log_loss", seed=seed
-    )
-    sliced = sampling.stratified_split(coded, [STRATUM], KEY, 0.15, seed + 1, "__held")
-    model = _chosen(best, Pipeline(stages=[net]), smallest=True).fit(sliced.where("__held = 0"))
+    best, table = classifiers.random_search(train, net, space, n, folds=folds, scoring="log_loss", seed=seed)
+    sliced = staged(sampling.stratified_split(train, [STRATUM], KEY, 0.15, seed + 1, "__held"), "train-sliced")
+    model = _chosen(best, net, smallest=True).fit(sliced.where("__held = 0"))
     cut = _best_cut(classifiers.scored(model, sliced.where("__held = 1")), evaluation.thresholds(0.35, 0.65, 0.025))
-    scored = classifiers.scored(model, encode.transform(test))
+    scored = classifiers.scored(model, test)
     metrics = {
         **classifiers.model_size(model),
         **_search_metrics(table, "log_loss"),

@@ -71,6 +71,14 @@ def cut_lineage(df, eager: bool = True):
     return df.checkpoint(eager=eager)
 
 
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """The path of a new folder beside the shared checkpoints, which goes when the driver's JVM ends."""
+    path = f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
+
+
 def staged(df, name: str):
     """Write a frame that several branches read to the shared folder, and read it back.
 
@@ -78,8 +86,6 @@ def staged(df, name: str):
     folder is new on every call and goes when the driver's JVM ends.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    path = fresh_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

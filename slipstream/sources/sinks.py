@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def write_parquet(df: DataFrame, path: str, by: Sequence[str] = ("Season",)) -> None:
@@ -31,3 +33,24 @@ def metrics_frame(spark: SparkSession, metrics: dict) -> DataFrame:
 def write_metrics(spark: SparkSession, metrics: dict, path: str) -> None:
     metrics_frame(spark, metrics).write.mode("overwrite").json(path)
 
+
+
+def write_feather(df: DataFrame, path: str) -> None:
+    """Feather files written by the tasks that hold the rows, into a folder that executors reach as a file system of Arrow's
+    (a shared mount, HDFS, an object store)."""
+    schema = to_arrow_schema(df.schema)
+
+    def land(batches):
+        import pyarrow as pa
+        import pyarrow.feather as feather
+        from pyarrow import fs
+
+        rows = list(batches)  # one partition is one file, which a repeated task writes again
+        if rows:
+            store, folder = fs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else path.replace(":", "://", 1))
+            store.create_dir(folder, recursive=True)
+            with store.open_output_stream(f"{folder}/part-{TaskContext.get().partitionId():05d}.feather") as out:
+                feather.write_feather(pa.Table.from_batches(rows).cast(schema), out)
+        yield pa.RecordBatch.from_pydict({"n": pa.array([sum(r.num_rows for r in rows)], pa.int64())})
+
+    df.mapInArrow(land, "n bigint").agg({"n": "sum"}).collect()

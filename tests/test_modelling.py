@@ -36,13 +36,40 @@ def test_linear(spark, table, tmp_path):
     assert "DeltaLapTime_1" in names
 
 
-_scores = ["tfidf_w1", "tfidf_all", "tfidf_tf", "tfidf_idf", "tfidf", "features", "rawPrediction", "probability", "prediction", "p",
+_scores = ["tfidf_w1", "tfidf_w2", "tfidf_terms", "tfidf_all", "tfidf_tf", "tfidf_idf", "tfidf", "features", "rawPrediction", "probability", "prediction", "p",
            "numbers", "numbers_raw"] + [f"{c}_{k}" for c in modelling.DRIVERS + modelling.TEAMS for k in ("code", "hot")]
 
 
 def test_trees(spark, table, tmp_path):
-    check(modelling.trees_job(table, n=1, folds=2, trees=3, most_trees=5), tmp_path, spark)
+    result = modelling.trees_job(table, n=1, folds=2, trees=3, most_trees=12, text_n=1)
+    check(result, tmp_path, spark)
+    assert len(result.model.stages[-1].trees) > 1  # early stopping does not end after the first tree
 
 
 def test_network(spark, table, tmp_path):
     check(modelling.network_job(table, n=1, folds=2, epochs=10), tmp_path, spark)
+
+
+def test_draws_of_the_step_size_act(spark, table):
+    """Two draws that differ in the step alone give different networks."""
+    from slipstream.models import features
+
+    df = table.withColumn("label", F.col("Sikeres").cast("double"))
+    stages = features.feature_stages(["DeltaLapTime_1", "DeltaLapTime_2"], ["Location"])
+    fitted = [classifiers.EncodedNetwork(stages, hidden=[4], maxIter=5, stepSize=s).fit(df).stages[-1].weights for s in (0.001, 0.1)]
+    assert fitted[0] != fitted[1]
+
+
+def test_encoders_are_fitted_with_the_network(spark, table):
+    """A level that a fit has not seen widens neither its codes nor its network."""
+    from slipstream.models import features
+
+    df = table.withColumn("label", F.col("Sikeres").cast("double"))
+    net = classifiers.EncodedNetwork(features.feature_stages([], ["Location"]), hidden=[4], maxIter=2)
+    some, every = net.fit(df.where("Location <> 'P4'")), net.fit(df)
+    assert some.stages[-1].getLayers()[0] + 1 == every.stages[-1].getLayers()[0]
+    assert some.transform(df).count() == df.count()
+
+
+def test_penalty_is_not_in_units_of_deviation():
+    assert not classifiers.logistic().getStandardization()

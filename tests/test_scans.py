@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from slipstream.operators import profile, sampling, sequence, temporal
+from slipstream.operators import profile, sampling, scans, sequence, temporal
 from slipstream.operators.scans import (
     bin_index,
     first_per_group,
@@ -113,3 +113,28 @@ def test_exact_median(spark, rows):
         same(want, got)
     filled = [sequence.group_median_fill(rows, ["k"], ["v"], s) for s in (False, True)]
     same(filled[0], filled[1])
+
+
+def test_backward_scan_of_one_large_group_is_linear(spark):
+    """One group of a million rows in one task: a frame to the end of the group would take days."""
+    rows = spark.range(1_000_000).selectExpr("1 AS k", "id", "IF(id % 1000 = 7, id, NULL) AS v")
+    found = ordered_scan(rows, ["k"], ["id"], {"up": latest(F.col("v"), backward=True), "rest": scans.Scan("sum", F.lit(1), True)}, spread=False)
+    row = found.agg(F.sum("up").alias("s"), F.max("rest").alias("m"), F.count("up").alias("n")).first()
+    assert (row.m, row.n) == (1_000_000, 999_008)
+    assert row.s == sum(7 * 1 + 0 for _ in range(8)) + sum((1000 * b + 7) * 1000 for b in range(1, 1000))
+
+
+def test_no_frame_runs_to_the_end_of_a_group():
+    import pathlib
+
+    import slipstream
+
+    root = pathlib.Path(slipstream.__file__).parent
+    assert not [p for p in root.rglob("*.py") if "unboundedFollowing" in p.read_text()]
+
+
+def test_texts_with_one_prefix_are_spread(spark):
+    rows = spark.range(400).selectExpr("concat('Customer#000000', lpad(id % 200, 9, '0')) AS t")
+    got = {r.t: r for r in profile.cumulative_frequency(rows, "t").collect()}
+    names = sorted(got)
+    assert [round(got[n].Kumulativ_Szazalek, 6) for n in names] == [round(0.5 * (i + 1), 6) for i in range(200)]

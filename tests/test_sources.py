@@ -91,3 +91,30 @@ def test_durations(spark):
     assert tuple(readers.durations_to_seconds(df).head()) == (90.5, 1.5)
     stamp = spark.range(1).select(readers.nanos_to_timestamp(F.lit(1_500_000_000_000)).alias("t")).head()[0]
     assert stamp == datetime.datetime(1970, 1, 1, 0, 25)
+
+
+def test_seasons_come_from_folders_or_names(spark, tmp_path):
+    laps = spark.createDataFrame([(2018, 1.0), (2019, 2.0), (2019, 3.0)], "Season int, x double")
+    sinks.write_parquet(laps, str(tmp_path / "own"))
+    back = readers.read_seasons(spark, str(tmp_path / "own"))
+    assert sorted(map(tuple, back.select("Season", "x").collect())) == [(2018, 1.0), (2019, 2.0), (2019, 3.0)]
+    plan = back.where("Season = 2018")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(Season" in plan
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    (tmp_path / "named").mkdir()
+    for year in (2020, 2021):
+        pq.write_table(pa.table({"x": [float(year)]}), tmp_path / "named" / f"laps_{year}.parquet")
+    named = readers.read_seasons(spark, str(tmp_path / "named"))
+    assert sorted(map(tuple, named.select("Season", "x").collect())) == [(2020, 2020.0), (2021, 2021.0)]
+    laps.select("x").write.parquet(str(tmp_path / "nameless"))
+    with pytest.raises(Exception, match="no season"):
+        readers.read_seasons(spark, str(tmp_path / "nameless")).collect()
+
+
+def test_unreadable_files_are_listed(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "good"))
+    (tmp_path / "bad.parquet").write_bytes(b"not a table at all")
+    found = readers.unreadable(spark, [str(tmp_path / "bad.parquet"), str(tmp_path / "good" / "*.parquet")])
+    assert [r.path.rsplit("/", 1)[1] for r in found.collect()] == ["bad.parquet"]

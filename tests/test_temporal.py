@@ -73,3 +73,26 @@ def test_range_join_is_an_equality_join(spark):
     others = spark.range(10).select(F.lit(1).alias("g"), F.col("id").alias("r"))
     plan = temporal.rank_range_join(movers, others, ["g"], "lo", "hi", "r")._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_null_keys_match_nothing(spark):
+    probes = spark.createDataFrame([("a", 5.0, 6.0), (None, 5.0, 6.0), ("a", None, 6.0)], "k string, t double, u double")
+    facts = spark.createDataFrame([("a", 4.0, 1), (None, 4.0, 7)], "k string, s double, v int")
+    got = temporal.asof_left(probes, facts, ["k"], "t", "s", {"v": "seen"})
+    assert sorted(((r.k, r.t, r.seen) for r in got.collect()), key=str) == sorted([("a", 5.0, 1), (None, 5.0, None), ("a", None, None)], key=str)
+    flags = temporal.interval_flags(probes.withColumn("low", F.lit(3.0)), facts, ["k"], "s", {"f": ("low", "t"), "g": ("t", "u")})
+    assert sorted(((r.k, r.t, r.f, r.g) for r in flags.collect()), key=str) == sorted([("a", 5.0, 1, 0), (None, 5.0, 0, 0), ("a", None, 0, 0)], key=str)
+
+
+def test_equal_movers_each_get_their_count(spark):
+    movers = spark.createDataFrame([("a", 1, 4)] * 2 + [(None, 1, 4), ("a", 3, 3), ("a", None, 4)], "k string, low int, high int")
+    others = spark.createDataFrame([("a", 1), ("a", 3), ("a", 4), (None, 2)], "k string, r int")
+    got = temporal.count_in_rank_range(movers, others, ["k"], "low", "high", "r", "n")
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted([("a", 1, 4, 2)] * 2 + [(None, 1, 4, 0), ("a", 3, 3, 0), ("a", None, 4, 0)], key=str)
+
+
+def test_wide_intervals_are_not_repeated_per_rank(spark):
+    movers = spark.createDataFrame([("a", 0, 100_000_000), ("a", 10, 12)], "k string, low long, high long")
+    others = spark.createDataFrame([("a", 11), ("a", 99_999_999), ("a", 100_000_000)], "k string, r long")
+    got = temporal.rank_range_join(movers, others, ["k"], "low", "high", "r")
+    assert sorted((r.low, r.r) for r in got.collect()) == [(0, 11), (0, 99_999_999), (10, 11)]
