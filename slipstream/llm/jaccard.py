@@ -397,12 +397,13 @@ def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, words: int, t:
             for i in range(batch.num_rows):
                 a, b, name = (batch.column(c)[i].as_py() for c in range(3))
                 if name not in seen:
-                    seen.clear()  # rows of one set follow each other
-                    seen[name] = next(_sets(batch.column(3).slice(i, 1), words))
-                found, own = seen[name]
-                if found == name:
-                    for column, value in zip(out, (a, b, name, own.view(np.int64))):
-                        column.append(value)
+                    found, own = next(_sets(batch.column(3).slice(i, 1), words))
+                    if found != name:  # another text under the same key
+                        continue
+                    seen.clear()  # rows of one set often follow each other
+                    seen[name] = own
+                for column, value in zip(out, (a, b, name, seen[name].view(np.int64))):
+                    column.append(value)
             yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.list_(pa.int64()))], ["a", "b", "set", "own"])
 
     joined = _with_text(docs, sides, reps, key, text).select("a", "b", "set", "text")

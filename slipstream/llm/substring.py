@@ -132,7 +132,7 @@ def _anchors(word: np.ndarray, row: np.ndarray, rows: int, window: int, v: int)
 
 
 def repeated_windows(docs: DataFrame, window: int, key: str, text: str) -> DataFrame:
-    """Notes of the places of all windows that also start in a document with a smaller id."""
+    """Notes (place, part of the hash) of all windows that also start in a document with a smaller id."""
     spark = docs.sparkSession
     buckets, blocks, v = packed.buckets(spark), packed.blocks(spark), period(window)
     size = window - v + 1
@@ -187,7 +187,7 @@ def repeated_windows(docs: DataFrame, window: int, key: str, text: str) -> DataF
         order = np.lexsort((ids, checks, codes))
         codes, checks, ids, places = codes[order], checks[order], ids[order], places[order]
         later = _later(codes, checks, ids)
-        yield from packed.rows_of(1, packed.block_of(ids[later], blocks), ids[later], places=places[later])
+        yield from packed.rows_of(1, packed.block_of(ids[later], blocks), ids[later], codes=codes[later].astype(np.uint32), places=places[later])
         here = ~later
         yield from packed.rows_of(0, packed.bucket_of(codes[here], buckets), ids[here], codes=codes[here], checks=checks[here], places=places[here])
 
@@ -196,7 +196,7 @@ def repeated_windows(docs: DataFrame, window: int, key: str, text: str) -> DataF
         order = np.lexsort((found["ids"], found["checks"], found["codes"]))
         codes, checks, ids, places = (found[c][order] for c in ("codes", "checks", "ids", "places"))
         later = _later(codes, checks, ids)
-        yield from packed.rows_of(1, packed.block_of(ids[later], blocks), ids[later], places=places[later])
+        yield from packed.rows_of(1, packed.block_of(ids[later], blocks), ids[later], codes=codes[later].astype(np.uint32), places=places[later])
 
     rows = docs.select(packed.order_column(key).alias("id"), docs[text].cast("string").alias("text"))
     shared = packed.reduced(rows.mapInArrow(sample, packed.SCHEMA), reduce_anchors(blocks))
@@ -229,15 +229,20 @@ def remove_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text:
         known, found = None, None
         for docs_, notes in pieces:
             if notes and notes is not known:
-                known, found = notes, noted(notes, places=np.uint32)
+                known, found = notes, noted(notes, codes=np.uint32, places=np.uint32)
             n_words, n_removed, kept = [], [], []
             for key_, value in zip(docs_.column(0).to_pylist(), docs_.column(2).to_pylist()):
                 words = value.encode().split()
                 starts = for_id(found, "places", key_) if notes else ()
                 n_words.append(len(words))
                 if len(starts):
+                    # another text under the same key has its own notes: the windows must be the same
+                    data = np.frombuffer(b" ".join(words), np.uint8)
+                    here = arrow.windows(_word_codes(data, np.array([0, len(data)]))[0], window).astype(np.uint32)
+                    starts, codes = starts.astype(np.int64), for_id(found, "codes", key_)[starts < len(here)]
+                    starts = starts[starts < len(here)]
+                    starts = starts[here[starts] == codes]
                     edge = np.zeros(len(words) + window + 1, np.int64)
-                    starts = starts[starts + window <= len(words)]  # rows of one key may differ
                     np.add.at(edge, starts, 1)
                     np.add.at(edge, starts + window, -1)
                     stays = np.cumsum(edge)[: len(words)] == 0

@@ -15,6 +15,7 @@ The order of suffixes is needed only up to their first `length` bytes, which sha
 from __future__ import annotations
 
 import functools
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -92,7 +93,7 @@ def _runs(places: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def repeated_strings(docs: DataFrame, length: int, key: str, text: str) -> DataFrame:
-    """Notes (place, how many) of the starts of all strings of ``length`` bytes that also start earlier."""
+    """Notes (the text's checksum, place, how many) of the starts of all strings of ``length`` bytes that also start earlier."""
     spark = docs.sparkSession
     buckets, blocks, v = packed.buckets(spark), packed.blocks(spark), period(length)
     size = length - v + 1
@@ -111,7 +112,8 @@ def repeated_strings(docs: DataFrame, length: int, key: str, text: str) -> DataF
             yield from pack_anchors(*chunk.take(), buckets, blocks, True)
 
     def around(part, offsets, ids, found):
-        """The stretches of remaining suffixes in some documents: (smallest name, id, place, length, two hashes, bytes)."""
+        """The stretches of remaining suffixes in some documents: (smallest name, id, place, suffixes, the text's checksum,
+        two hashes, first byte, bytes)."""
         wide = part.astype(np.uint64)
         names, at, place = _samples(wide, offsets, length, v)
         edge = np.zeros(len(part) + 1, np.int64)
@@ -136,7 +138,10 @@ def repeated_strings(docs: DataFrame, length: int, key: str, text: str) -> DataF
         begin, sizes = starts[first], count + length - 1
         row = np.searchsorted(offsets, begin, side="right") - 1
         hashes = [arrow.spans_hash(part, begin, begin + sizes, w) for w in (0, 1)]
-        return smallest[first], ids[row], begin - offsets[row], count, *hashes, begin, sizes
+        tags = np.zeros(len(ids), np.uint32)
+        for k in np.unique(row).tolist():
+            tags[k] = zlib.crc32(part[offsets[k] : offsets[k + 1]])
+        return smallest[first], ids[row], begin - offsets[row], count, tags[row], *hashes, begin, sizes
 
     def extend(pieces):
         held, total = [], 0
@@ -163,7 +168,7 @@ def repeated_strings(docs: DataFrame, length: int, key: str, text: str) -> DataF
 
     def pack_stretches(held):
         """Of equal stretches in the chunk only the earliest goes on; all suffixes of the others are repeats."""
-        route, ids, places, count, h1, h2, sizes, data = (np.concatenate(c) for c in zip(*held))
+        route, ids, places, count, tags, h1, h2, sizes, data = (np.concatenate(c) for c in zip(*held))
         begin = np.cumsum(sizes) - sizes
         order = np.lexsort((places, ids, sizes, h2, h1))
         again = np.zeros(len(order), bool)
@@ -173,8 +178,9 @@ def repeated_strings(docs: DataFrame, length: int, key: str, text: str) -> DataF
         again[order] = same & ((ids_ > ids_[first]) | (places_ > places_[first]))
         some = np.flatnonzero(again)
         yield from packed.rows_of(
-            1, packed.block_of(ids[some], blocks), ids[some], places=places[some].astype(np.uint32), checks=count[some].astype(np.uint32)
-        )
+            1, packed.block_of(ids[some], blocks), ids[some],
+            codes=tags[some], places=places[some].astype(np.uint32), checks=count[some].astype(np.uint32),
+        )
         rest = np.flatnonzero(~again)
         part = packed.bucket_of(arrow.mix(route[rest].copy()), 2 * buckets)  # stretches are longer than names
         order = np.lexsort((places[rest], ids[rest], part))
@@ -183,17 +189,20 @@ def repeated_strings(docs: DataFrame, length: int, key: str, text: str) -> DataF
         for value, rows in packed.cut(part):
             r = rest[rows]
             out.append(
-                (0, value, len(r), packed.pack_ids(ids[r]), _gather(data, begin[r], sizes[r]).tobytes(),
+                (0, value, len(r), packed.pack_ids(ids[r]), tags[r].tobytes() + _gather(data, begin[r], sizes[r]).tobytes(),
                  sizes[r].astype(np.uint32).tobytes(), places[r].astype(np.uint32).tobytes())
             )
         yield packed.batch_of(out)
 
     def merge(batches):
-        found = packed.numbers(batches, codes=np.uint8, checks=np.uint32, places=np.uint32)
+        found = packed.numbers(batches, checks=np.uint32, places=np.uint32)
+        rows = [(n, c) for b in batches for n, c in zip(b.column("n").to_pylist(), b.column("codes").to_pylist())]
+        tags = np.concatenate([np.frombuffer(c, np.uint32, n) for n, c in rows])
+        texts = np.frombuffer(b"".join([c[4 * n :] for n, c in rows]), np.uint8)
         # in the order of documents and places, so that of equal prefixes the earliest comes first
         sizes, order = found["checks"].astype(np.int64), np.lexsort((found["places"], found["ids"]))
-        data = _gather(found["codes"], (np.cumsum(sizes) - sizes)[order], sizes[order])
-        sizes, ids, places = sizes[order], found["ids"][order], found["places"].astype(np.int64)[order]
+        data = _gather(texts, (np.cumsum(sizes) - sizes)[order], sizes[order])
+        sizes, ids, tags, places = sizes[order], found["ids"][order], tags[order], found["places"].astype(np.int64)[order]
         offsets = np.concatenate([[0], np.cumsum(sizes)])
         rounds = 1 + len(data) // SORTED  # a bucket that is too large for one sort is sorted by parts of the names
         for turn in range(rounds):
@@ -219,11 +228,12 @@ def repeated_strings(docs: DataFrame, length: int, key: str, text: str) -> DataF
             row, before = (np.searchsorted(offsets, x, side="right") - 1 for x in (at, source))
             where, there = places[row] + at - offsets[row], places[before] + source - offsets[before]
             later = (ids[row] > ids[before]) | (where > there)  # rows of one key are no earlier at the same byte
-            who, where = ids[row][later], where[later]
-            first, count = _runs(where, who)
+            who, tag, where = ids[row][later], tags[row][later], where[later]
+            first, count = _runs(where, who, tag)
             yield from packed.rows_of(
-                1, packed.block_of(who[first], blocks), who[first], places=where[first].astype(np.uint32), checks=count.astype(np.uint32)
-            )
+                1, packed.block_of(who[first], blocks), who[first],
+                codes=tag[first], places=where[first].astype(np.uint32), checks=count.astype(np.uint32),
+            )
 
     rows = docs.select(packed.order_column(key).alias("id"), docs[text].cast("string").alias("text"))
     names = packed.reduced(rows.mapInArrow(sample, packed.SCHEMA), reduce_anchors(blocks))
@@ -248,18 +258,21 @@ def remove_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text
         known, found = None, None
         for docs_, notes in pieces:
             if notes and notes is not known:
-                known, found = notes, noted(notes, places=np.uint32, checks=np.uint32)
+                known, found = notes, noted(notes, codes=np.uint32, places=np.uint32, checks=np.uint32)
             data, offsets = arrow.flat(docs_.column(2))
             n_removed, n_spans, kept = [], [], []
             for k, key_ in enumerate(docs_.column(0).to_pylist()):
                 own = data[offsets[k] : offsets[k + 1]]
-                starts = for_id(found, "places", key_).astype(np.int64) if notes else ()
+                starts, own_notes = (), ()
+                if notes and len(for_id(found, "codes", key_)):  # another text under the same key has its own notes
+                    own_notes = for_id(found, "codes", key_) == zlib.crc32(own)
+                    starts = for_id(found, "places", key_)[own_notes].astype(np.int64)
                 if not len(starts):
                     n_removed.append(0)
                     n_spans.append(0)
                     kept.append(own.tobytes())
                     continue
-                count = for_id(found, "checks", key_).astype(np.int64)
+                count = for_id(found, "checks", key_)[own_notes].astype(np.int64)
                 edge = np.zeros(len(own) + 1, np.int64)
                 np.add.at(edge, np.minimum(starts, len(own)), 1)
                 np.add.at(edge, np.minimum(starts + count + length - 1, len(own)), -1)
