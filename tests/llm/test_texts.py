@@ -138,7 +138,7 @@ def planted(edge_rows):
                 found[p : p + 1] = rng.choice([[], ["q"], [found[p], "w"]])
             passage = "".join(found)
             cut = text.index(" ", rng.randrange(len(text) // 2)) if k > 2 else 0
-            text = text[:cut] + " " + (passage.upper() if k % 3 else passage.replace(" ", " \n ")) + " " + text[cut:]
+            text = text[:cut] + " " + ("".join(c if c == "ß" else c.upper() for c in passage) if k % 3 else passage.replace(" ", " \n ")) + " " + text[cut:]
             truth.append((k, i))
         texts.append(text)
     return items, texts, truth
