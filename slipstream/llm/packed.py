@@ -112,9 +112,10 @@ _ARROW = pa.schema(
 
 
 def rows_of(kind: int, part: np.ndarray, ids: np.ndarray, **columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One row for each bucket or block with its numbers, in the order they came."""
+    """One row for each bucket or block with its numbers; ids of one part in ascending order, so that they pack well."""
+    order = np.argsort(ids, kind="stable")
     few = len(part) and int(part.max()) < 1 << 16  # sorted by digits
-    order = np.argsort(part.astype(np.uint16) if few else part, kind="stable")
+    order = order[np.argsort((part.astype(np.uint16) if few else part)[order], kind="stable")]
     part, ids = part[order], ids[order]
     columns = {k: v[order] for k, v in columns.items()}
     out = {c: [] for c in _ARROW.names}
