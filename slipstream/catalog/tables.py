@@ -235,7 +235,7 @@ _LINES = """SELECT l_orderkey, l_linestatus AS "Role", li AS "Lap_Index", l_quan
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_linestatus", "Role")
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
-    return numbered(lines, ["l_orderkey", "Role"], order, "Lap_Index")
+    return numbered(lines, ["l_orderkey", "Role"], order, "Lap_Index", spread=False)  # an order has few lines
 
 
 @registry.add(
@@ -568,18 +568,29 @@ def schema_diff(spark, sf_dir):
 # --- values and projections --------------------------------------------------------------------------
 
 
-def _cases(column: str, mapping: dict) -> str:
-    return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN {v!r}" for k, v in mapping.items()) + " END"
+# The twin has its own copy of the values, so that a wrong entry of the maps shows.
+_VALUE_MAPS = """CASE WHEN "Compound" IN ('SOFT', 'ULTRASOFT', 'SUPERSOFT', 'HYPERSOFT') THEN 1 WHEN "Compound" = 'MEDIUM' THEN 2
+        WHEN "Compound" = 'HARD' THEN 3 WHEN "Compound" IN ('WET', 'INTERMEDIATE') THEN 4 ELSE 0 END AS "CompoundFactor",
+      replace(CASE WHEN "Team" IN ('Force India', 'Racing Point') THEN 'Aston Martin'
+        WHEN "Team" IN ('Sauber', 'Alfa Romeo', 'Alfa Romeo Racing') THEN 'Kick Sauber'
+        WHEN "Team" IN ('Toro Rosso', 'AlphaTauri', 'RB') THEN 'Racing Bulls'
+        WHEN "Team" = 'Renault' THEN 'Alpine' ELSE "Team" END, ' ', '') AS "Team",
+      CASE "Location" WHEN 'Yas Island' THEN 'Yas Marina' WHEN 'Monte Carlo' THEN 'Monaco' WHEN 'Miami Gardens' THEN 'Miami'
+        ELSE "Location" END AS "Location",
+      CASE WHEN "Location" IN ('Monza', 'Sakhir') THEN 5
+        WHEN "Location" IN ('Istanbul', 'Spielberg', 'Spa-Francorchamps', 'Montréal', 'Jeddah', 'Mexico City', 'Baku') THEN 4
+        WHEN "Location" IN ('Le Castellet', 'Portimão', 'Nürburgring', 'Sochi', 'Mugello', 'Singapore', 'Monte Carlo',
+          'Miami Gardens', 'Marina Bay', 'Shanghai', 'Monaco', 'Miami', 'Melbourne', 'Las Vegas', 'Imola', 'Budapest', 'Lusail',
+          'Austin', 'Yas Island') THEN 3
+        WHEN "Location" IN ('Hockenheim', 'Zandvoort', 'São Paulo', 'Barcelona') THEN 2
+        WHEN "Location" IN ('Suzuka', 'Silverstone') THEN 1 END AS "BrakingLevel","""
 
 
 @registry.add(
     "value_maps",
     "i:Season Round s:Driver i:CompoundFactor s:Team Location i:BrakingLevel Era",
     f"""WITH {field.LAPS_SQL} SELECT DISTINCT "Season", "Round", "Driver",
-      coalesce({_cases('"Compound"', maps.COMPOUND_CLASS)}, 0) AS "CompoundFactor",
-      replace(coalesce({_cases('"Team"', maps.TEAM_LINEAGE)}, "Team"), ' ', '') AS "Team",
-      coalesce({_cases('"Location"', maps.LOCATION_ALIAS)}, "Location") AS "Location",
-      CASE {" ".join(f'WHEN "Location" IN ({", ".join(repr(p) for p in ps)}) THEN {n}' for n, ps in maps.BRAKING_LEVEL.items())} END AS "BrakingLevel",
+      {_VALUE_MAPS}
       CASE WHEN "Season" < 2022 THEN 0 ELSE 1 END AS "Era" FROM laps""",
 )
 def value_maps(spark, sf_dir):

@@ -79,12 +79,3 @@ def last_column(df: DataFrame, column: str) -> DataFrame:
 def fill_missing(df: DataFrame, value: int = 0) -> DataFrame:
     """Replace nulls by 0 in numeric columns and by false in boolean ones."""
     return df.fillna(value).fillna(bool(value))
-
-
-def matrix_pairs(df: DataFrame, names: Sequence[str], row: str = "Variable_1") -> DataFrame:
-    """Long form of a square matrix: each unordered pair once, without the diagonal.
-
-    ``df`` has one row per variable, named in ``row``, and one column per variable.
-    """
-    long = df.unpivot([row], list(names), "Variable_2", "Value")
-    return long.where(F.col(row) < F.col("Variable_2"))

@@ -39,11 +39,6 @@ def conform(df: DataFrame, id_column: str) -> DataFrame:
     return df.select(attempt.alias("AttemptID"), *columns)
 
 
-def merge_attempts(overtakes: DataFrame, failed: DataFrame) -> DataFrame:
-    """Both kinds of attempt, each with its context attached, as common rows."""
-    return conform(overtakes, "OvertakeID").unionByName(conform(failed, "FailedID"))
-
-
 def attempt_laps(laps: DataFrame, telemetry: DataFrame, weather: DataFrame, **options) -> DataFrame:
     """Both kinds of attempt from the raw tables, with flap flags and weather, as common rows.
 
