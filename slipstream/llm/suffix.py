@@ -204,6 +204,7 @@ def repeated_strings(docs: DataFrame, length: int, key: str, text: str) -> DataF
         data = _gather(texts, (np.cumsum(sizes) - sizes)[order], sizes[order])
         sizes, ids, tags, places = sizes[order], found["ids"][order], tags[order], found["places"].astype(np.int64)[order]
         offsets = np.concatenate([[0], np.cumsum(sizes)])
+        repeated = np.zeros(len(data), bool)  # where a repeat starts
         rounds = 1 + len(data) // SORTED  # a bucket that is too large for one sort is sorted by parts of the names
         for turn in range(rounds):
             names, at = [], []
@@ -227,13 +228,15 @@ def repeated_strings(docs: DataFrame, length: int, key: str, text: str) -> DataF
             at, source = at[same], source[same]
             row, before = (np.searchsorted(offsets, x, side="right") - 1 for x in (at, source))
             where, there = places[row] + at - offsets[row], places[before] + source - offsets[before]
-            later = (ids[row] > ids[before]) | (where > there)  # rows of one key are no earlier at the same byte
-            who, tag, where = ids[row][later], tags[row][later], where[later]
-            first, count = _runs(where, who, tag)
-            yield from packed.rows_of(
-                1, packed.block_of(who[first], blocks), who[first],
-                codes=tag[first], places=where[first].astype(np.uint32), checks=count.astype(np.uint32),
-            )
+            repeated[at[(ids[row] > ids[before]) | (where > there)]] = True  # rows of one key are no earlier at the same byte
+        at = np.flatnonzero(repeated)
+        row = np.searchsorted(offsets, at, side="right") - 1
+        who, tag, where = ids[row], tags[row], places[row] + at - offsets[row]
+        first, count = _runs(where, who, tag)
+        yield from packed.rows_of(
+            1, packed.block_of(who[first], blocks), who[first],
+            codes=tag[first], places=where[first].astype(np.uint32), checks=count.astype(np.uint32),
+        )
 
     rows = docs.select(packed.order_column(key).alias("id"), docs[text].cast("string").alias("text"))
     names = packed.reduced(rows.mapInArrow(sample, packed.SCHEMA), reduce_anchors(blocks))
