@@ -111,7 +111,6 @@ def align(item: bytes, region: bytes, first: int, width: int, limit: int) -> tup
         new, origin = np.where(inside, cost + differs, big), start.copy()
         drop = np.append(cost[1:] + 1, big)  # a byte of the item that the text lacks
         better = (drop < new) & (at + 1 <= n) & (at + 1 >= 0)
-        better[:-1] |= False
         new, origin = np.where(better, drop, new), np.where(better, np.append(start[1:], 0), origin)
         # a byte of the text that the item lacks, any number in a row: running minimum along the diagonals
         run = new - step
@@ -120,6 +119,8 @@ def align(item: bytes, region: bytes, first: int, width: int, limit: int) -> tup
         new, origin = low + step, origin[source]
         outside = (at + 1 < 0) | (at + 1 > n)
         cost, start = np.where(outside, big, new), origin
+        if i % 8 == 7 and cost.min() > limit:  # the fewest edits never fall from row to row
+            return None
     best = int(cost.argmin())
     if cost[best] > limit:
         return None
