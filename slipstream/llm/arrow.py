@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20  # bytes of text that are worked on at a time; a longer text is a piece by itself
+PIECE = 1 << 19  # bytes of text that are worked on at a time; a longer text is a piece by itself
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASES = (0x5851F42D4C957F2D, 0xD1342543DE82EF95)

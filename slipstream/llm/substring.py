@@ -27,7 +27,7 @@ COVERS = {
     57: (0, 1, 3, 13, 32, 36, 43, 52),
     73: (0, 1, 3, 7, 15, 31, 36, 54, 63),
 }
-CHUNK = 2_000_000  # numbers that a task gathers before it packs them
+CHUNK = 1_000_000  # numbers that a task gathers before it packs them
 
 
 def period(window: int) -> int:

@@ -26,8 +26,8 @@ from slipstream.llm.substring import Chunk, cover, for_id, noted, pack_anchors,
 from slipstream.session import staged
 
 BLOCK = 24  # bytes of the blocks whose smallest name decides where a suffix is merged
-SORTED = 2_000_000  # suffixes that are sorted at a time
-COMPARED = 2_000_000  # bytes that are compared at a time
+SORTED = 1_000_000  # suffixes that are sorted at a time
+COMPARED = 1_000_000  # bytes that are compared at a time
 
 
 @functools.lru_cache(maxsize=4)
@@ -160,7 +160,7 @@ def repeated_strings(docs: DataFrame, length: int, key: str, text: str) -> DataF
                     *numbers, begin, sizes = got
                     held.append((*numbers, sizes, _gather(part, begin, sizes)))
                     total += int(sizes.sum())
-                if total >= 8 << 20:
+                if total >= 4 << 20:
                     yield from pack_stretches(held)
                     held, total = [], 0
         if held:
