@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from slipstream.llm import unicode_classes as uc
 
-CACHED = 250_000  # pre-tokens a worker remembers
+CACHED = 100_000  # pre-tokens a worker remembers
 _NEVER = np.int32(2**31 - 1)
 
 
@@ -43,7 +43,6 @@ class Vocabulary:
         self.decoder = (spec.get("decoder") or {}).get("type")
         self.names = {i: t for t, i in (self.ids | self.added).items()}
         merges = [tuple(m.split(" ", 1)) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.merges = merges
         signs = uc.byte_alphabet()
         self.inner = np.array([self.ids[signs[b]] for b in range(256)], np.int32)
         self.last = np.array([self.ids[signs[b] + self.suffix] for b in range(256)], np.int32)
@@ -263,8 +262,6 @@ class Tokenizer:
     """Texts to ids and back: splitting as the file says, words from the cache or through the transducer."""
 
     def __init__(self, content: str, ahead: int, cached: int = CACHED):
-        from tokenizers import Tokenizer as Library
-
         self.vocabulary = Vocabulary(content)
         self.encoder, self.decoder = Encoder(self.vocabulary, ahead), Decoder(self.vocabulary)
         self.cached, self.seen = cached, {}
@@ -273,7 +270,13 @@ class Tokenizer:
         spec = json.loads(content)
         self.lower = self.normal_form(spec.get("normalizer"))
         self.words = uc.bare_words if self.lower else uc.spaced_words
-        self.library = Library.from_str(content)
+
+    @functools.cached_property
+    def library(self):
+        """The library's own splitter, loaded only where a text calls for it."""
+        from tokenizers import Tokenizer as Library
+
+        return Library.from_str(self.vocabulary.content)
 
     @staticmethod
     def normal_form(spec) -> bool:
