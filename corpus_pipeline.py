@@ -19,7 +19,7 @@ from slipstream.session import staged
 
 MIN_LANGUAGE_SCORE = 0.25  # a text that no language claims this far is rejected
 TOKENIZER = "word_bpe_49k.json"
-REPEAT_BYTES = 200  # strings of this many bytes that also start earlier are cut; fifty words are longer
+REPEAT_BYTES = 100  # strings of this many bytes that also start earlier are cut, as in op7; 51 words of one byte are 101 bytes
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

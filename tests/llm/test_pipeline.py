@@ -64,6 +64,14 @@ def test_repeats_are_cut(spark, docs, edge_rows, sf_dir):
     assert rows_of(kept, "doc_id", "text", "n_chars") == sorted(want, key=repr)
 
 
+def test_a_repeated_passage_of_51_short_words_is_cut(spark):
+    passage = " ".join("abcdefghijklmnopqrstuvwxyz"[k * 7 % 26] for k in range(51))
+    assert len(passage.encode()) == 101
+    docs = spark.createDataFrame([(1, f"First {passage}. End"), (2, f"Second {passage}! Stop")], "doc_id long, text string")
+    kept = dict(rows_of(pipeline.cut_repeats(spark, docs, ""), "doc_id", "text"))
+    assert kept[1] == f"First {passage}. End" and passage not in kept[2] and len(kept[2]) < 20
+
+
 def test_benchmark_passages(spark, docs, sf_dir):
     kept = pipeline.decontaminate_benchmark(spark, docs, sf_dir)
     assert kept.columns == COLUMNS
