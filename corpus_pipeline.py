@@ -17,7 +17,7 @@ from slipstream.llm import bpe, decontaminate, jaccard, language, suffix
 from slipstream.llm.queries import held_out, prepare
 from slipstream.session import staged
 
-MIN_LANGUAGE_SCORE = 0.25  # a text that no language claims this far is rejected
+LANGUAGE_CLAIMS = ((60, 0.25), (200, 0.4))  # a text of so many characters or more is rejected if `language.claim` is lower
 TOKENIZER = "word_bpe_49k.json"
 REPEAT_BYTES = 100  # strings of this many bytes that also start earlier are cut, as in op7; 51 words of one byte are 101 bytes
 
@@ -25,14 +25,17 @@ REPEAT_BYTES = 100  # strings of this many bytes that also start earlier are cut
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of no language: null texts, texts without letters, and texts that no learned language claims.
 
-    With nothing to learn from, only null texts and texts without letters go.
+    A text under 60 characters is too short to tell; of those, and with nothing to learn from, only null texts and texts
+    without letters go.
     """
     prepare(spark)
     model = language.train(docs.where(~held_out()))
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    found = language.identify(docs.withColumn("_id", F.lit(0)), model).withColumnRenamed("score", "_score")
-    return found.where((F.col("lang_pred") != "und") & (F.col("_score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    found = language.claim(docs, model, "_claim").where("_claim IS NOT NULL")
+    for size, least in LANGUAGE_CLAIMS:
+        found = found.where((F.char_length("text") < size) | (F.col("_claim") >= least))
+    return found.select(*docs.columns)
 
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,6 +39,31 @@ def test_language(spark, docs, sf_dir):
     assert pipeline.identify_language(spark, docs.limit(0), sf_dir).isEmpty()
 
 
+def test_texts_of_other_languages_go_and_labelled_ones_stay(spark):
+    import base64
+    import random
+
+    rng = random.Random(3)
+    foreign = [
+        "все люди рождаются свободными и равными в своем достоинстве и правах они наделены разумом и совестью",
+        "人人生而自由在尊严和权利上一律平等他们赋有理性和良心并应以兄弟关系的精神相对待" * 2,
+        "يولد جميع الناس أحرارا متساوين في الكرامة والحقوق وقد وهبوا عقلا وضميرا وعليهم أن يعامل بعضهم بعضا",
+        "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem",
+        "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki",
+        "".join(rng.choice("abcdefghijklmnopqrstuvwxyz   ") for _ in range(400)),
+        base64.b64encode(rng.randbytes(300)).decode(),
+        rng.randbytes(300).hex(),
+        "q" * 400,
+    ]
+    own = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*COLUMNS)
+    planted = spark.createDataFrame([(-k, t, None, "p", len(t)) for k, t in enumerate(foreign, 1)], own.schema)
+    kept = pipeline.identify_language(spark, own.unionByName(planted), "").select("doc_id").collect()
+    kept = {r.doc_id for r in kept}
+    assert not {k for k in kept if k < 0}
+    held = own.where(pipeline.held_out()).where("lang IS NOT NULL AND text rlike '[a-zA-Z]'").select("doc_id").collect()
+    assert len(held) > 200 and {r.doc_id for r in held} <= kept
+
+
 def test_near_copies(spark, docs, edge_rows, sf_dir):
     kept = pipeline.join_near_copies(spark, docs, sf_dir)
     assert kept.columns == COLUMNS
