@@ -228,27 +228,27 @@ def _first_round(nodes: np.ndarray, sizes: np.ndarray, maps: np.ndarray, center:
 
 
 def _describe(docs: DataFrame, words: int, t: Fraction, key: str, text: str) -> DataFrame:
-    """Exchange rows of top node names (kind 0) and one row for each document with its set's size and names (kind 2)."""
+    """Exchange rows of top node names (kind 0) and one row for each document with its set's size and name and its text's hash (kind 2)."""
     spark = docs.sparkSession
     buckets = packed.buckets(spark)
-    names = ["kind", "part", "n", "ids", "codes", "checks", "places", "id", "row", "size", "h1", "h2"]
+    names = ["kind", "part", "n", "ids", "codes", "checks", "places", "id", "row", "size", "h1", "hash"]
 
     def run(batches):
         windows, chunk = Windows(t), Chunk()
 
         def flush():
-            codes, h1, ids = chunk.take()
-            order = np.lexsort((ids, h1, codes))
-            codes, h1, ids = codes[order], h1[order], ids[order]
+            codes, h1 = chunk.take()
+            order = np.lexsort((h1, codes))
+            codes, h1 = codes[order], h1[order]
             own = np.flatnonzero(~same_as_before(codes, h1))  # equal sets of the chunk go as one
-            for out in packed.rows_of(0, packed.bucket_of(codes[own], buckets), ids[own], codes=codes[own].astype(np.uint32)):
+            for out in packed.rows_of(0, packed.bucket_of(codes[own], buckets), h1[own].view(np.int64), codes=codes[own].astype(np.uint32)):
                 nothing = [pa.nulls(out.num_rows, x) for x in (pa.int64(), row_type, pa.int64(), pa.int64(), pa.int64())]
                 yield pa.RecordBatch.from_arrays([*out.columns, *nothing], names)
 
         for batch in batches:
             data, offsets = arrow.flat(batch.column(2))
-            ids, row_type = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).type
-            sizes, first, second = (np.zeros(len(ids), k) for k in (np.int64, np.uint64, np.uint64))
+            n, row_type = batch.num_rows, batch.column(1).type
+            sizes, first = (np.zeros(n, k) for k in (np.int64, np.uint64))
             for i, j in arrow.pieces(offsets):
                 h, row = shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words)
                 cut = np.searchsorted(row, np.arange(j - i + 1))
@@ -258,49 +258,48 @@ def _describe(docs: DataFrame, words: int, t: Fraction, key: str, text: str) ->
                         continue
                     sizes[i + k] = len(own)
                     first[i + k] = arrow.mix(own.sum(keepdims=True) + np.uint64(len(own)))[0]
-                    second[i + k] = np.bitwise_xor.reduce(arrow.mix(own * np.uint64(0x9E3779B97F4A7C15)))
                     codes = keys(own, windows)
-                    if chunk.add(codes, np.full(len(codes), first[i + k]), np.full(len(codes), ids[i + k])):
+                    if chunk.add(codes, np.full(len(codes), first[i + k])):
                         yield from flush()
-            n = batch.num_rows
             nothing = [pa.nulls(n, x) for x in (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([2] * n, pa.int32()), *nothing, batch.column(0), batch.column(1), pa.array(sizes), pa.array(first.view(np.int64)), pa.array(second.view(np.int64))],
+                [pa.array([2] * n, pa.int32()), *nothing, batch.column(0), batch.column(1), pa.array(sizes), pa.array(first.view(np.int64)), batch.column(3)],
                 names,
             )
         if chunk.size:
             yield from flush()
 
-    rows = docs.select(packed.order_column(key).alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("row"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, f"{packed.SCHEMA}, id bigint, row {packed.row_type(docs, text)}, size bigint, h1 bigint, h2 bigint")
+    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    rows = docs.select(packed.order_column(key).alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("row"), whole.alias("text"), F.xxhash64(whole).alias("hash"))
+    return rows.mapInArrow(run, f"{packed.SCHEMA}, id bigint, row {packed.row_type(docs, text)}, size bigint, h1 bigint, hash bigint")
 
 
 def _nodes(rows: DataFrame) -> DataFrame:
-    """(node, id) of the top nodes with more than one document; nodes of the same documents in one bucket once."""
+    """(node, set) of the top nodes of at least two different sets; nodes of the same sets in one bucket once."""
 
     def run(batches):
         for _, held in packed.grouped(batches, 1):
             found = packed.numbers(held, codes=np.uint32)
             order = np.lexsort((found["ids"], found["codes"]))
-            codes, ids = found["codes"][order], found["ids"][order]
-            keep = ~same_as_before(codes, ids)
-            codes, ids = codes[keep], ids[keep]
+            codes, sets = found["codes"][order], found["ids"][order]
+            keep = ~same_as_before(codes, sets)
+            codes, sets = codes[keep], sets[keep]
             start = np.flatnonzero(~same_as_before(codes))
             size = np.diff(np.append(start, len(codes)))
-            whole = np.add.reduceat(arrow.mix(ids.astype(np.uint64) + np.uint64(1)), start) if len(start) else np.zeros(0, np.uint64)
-            name = arrow.join(whole, size.astype(np.uint64))  # by its documents
+            whole = np.add.reduceat(arrow.mix(sets.view(np.uint64) + np.uint64(1)), start) if len(start) else np.zeros(0, np.uint64)
+            name = arrow.join(whole, size.astype(np.uint64))  # by its sets
             _, some = np.unique(name, return_index=True)
             some = some[size[some] > 1]
             at = np.repeat(start[some] - (np.cumsum(size[some]) - size[some]), size[some]) + np.arange(size[some].sum())
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(name[some], size[some]).view(np.int64)), pa.array(ids[at])], ["node", "id"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(name[some], size[some]).view(np.int64)), pa.array(sets[at])], ["node", "set"])
 
     columns = ("kind", "part", "n", "ids", "codes", "checks", "places")
-    return packed.dealt(rows.where("kind = 0").select(*columns), "part").mapInArrow(run, "node bigint, id bigint").distinct()
+    return packed.dealt(rows.where("kind = 0").select(*columns), "part").mapInArrow(run, "node bigint, set bigint").distinct()
 
 
-def _members(rows: DataFrame, described: DataFrame) -> DataFrame:
+def _members(rows: DataFrame) -> DataFrame:
     """(node, members, center, set) of the top nodes of at least two different sets; nodes of the same sets once."""
-    by_set = _nodes(rows).join(described.select("id", F.col("h1").alias("set")).distinct(), "id").select("node", "set").distinct()
+    by_set = _nodes(rows)
     facts = by_set.groupBy("node").agg(F.count("*").alias("members"), F.min("set").alias("center"), F.max("set").alias("z"), F.expr("bit_xor(xxhash64(set))").alias("x"))
     once = facts.where("members > 1").groupBy("members", "center", "z", "x").agg(F.min("node").alias("node"))
     return by_set.join(once.select("node", "members", "center"), "node")
@@ -308,8 +307,19 @@ def _members(rows: DataFrame, described: DataFrame) -> DataFrame:
 
 def _with_text(docs: DataFrame, wanted: DataFrame, reps: DataFrame, key: str, text: str) -> DataFrame:
     """``wanted`` (set, ...) with the text of each set's representative."""
-    texts = docs.select(packed.order_column(key).alias("rep"), F.col(text).cast("string").alias("text")).where("text <> ''")
-    return wanted.join(reps.select("set", "rep"), "set").join(texts, "rep")
+    plain = F.col(text).cast("string")
+    texts = docs.select(packed.order_column(key).alias("rep"), F.xxhash64(plain).alias("hash"), plain.alias("text")).where("text <> ''")
+    again = reps.where("copies > 1").select("rep", "hash")
+    if not again.isEmpty():  # equal texts under one key, of which one is enough
+        one = texts.join(again, ["rep", "hash"], "left_semi").dropDuplicates(["rep", "hash"])
+        texts = texts.join(again, ["rep", "hash"], "left_anti").unionByName(one)
+    return wanted.join(reps.select("set", "rep", "hash"), "set").join(texts, ["rep", "hash"])
+
+
+def _representatives(described: DataFrame) -> DataFrame:
+    """(set, rep, hash, copies): the smallest key of each set and its text's hash, and how many rows have both."""
+    rows = described.where("size > 0").groupBy(F.col("h1").alias("set"), F.col("id").alias("rep"), "hash").agg(F.count("*").alias("copies"))
+    return rows.groupBy("set").agg(F.min(F.struct("rep", "hash", "copies")).alias("f")).select("set", "f.*")
 
 
 def _sets(column: pa.Array, words: int):
@@ -333,7 +343,7 @@ def _signed(docs: DataFrame, members: DataFrame, reps: DataFrame, words: int, ke
         for batch in batches:
             out = [[] for _ in range(7)]
             for name, notes_, (found, own) in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _sets(batch.column(2), words)):
-                if found != name:  # another text under the same key
+                if found != name:  # another text of the same hash under the same key
                     continue
                 bits = bitmap(own).tobytes()
                 for note in notes_:
@@ -398,7 +408,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, words: int, t:
                 a, b, name = (batch.column(c)[i].as_py() for c in range(3))
                 if name not in seen:
                     found, own = next(_sets(batch.column(3).slice(i, 1), words))
-                    if found != name:  # another text under the same key
+                    if found != name:  # another text of the same hash under the same key
                         continue
                     seen.clear()  # rows of one set often follow each other
                     seen[name] = own
@@ -428,9 +438,9 @@ def link(docs: DataFrame, words: int = 5, threshold: Fraction = Fraction(4, 5),
     """
     t = Fraction(threshold)
     rows = staged(_describe(docs, words, t, key, text), "shingles")
-    described = rows.where("kind = 2").select("id", "row", "size", "h1", "h2")
-    reps = described.where("size > 0").groupBy(F.col("h1").alias("set")).agg(F.min("id").alias("rep"))
-    signed = staged(_signed(docs, _members(rows, described), reps, words, key, text), "signed")
+    described = rows.where("kind = 2").select("id", "row", "size", "h1")
+    reps = staged(_representatives(rows.where("kind = 2")), "representatives")
+    signed = staged(_signed(docs, _members(rows), reps, words, key, text), "signed")
 
     def first(columns):
         nodes, sizes, centers, maps = _unique(columns, "set", "size", "center")

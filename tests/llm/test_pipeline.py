@@ -78,6 +78,13 @@ def test_near_copies(spark, docs, edge_rows, sf_dir):
     assert [r[0] for r in rows_of(kept, "doc_id")] == want
 
 
+def test_near_copies_under_one_key(spark):
+    words = [f"w{k}" for k in range(80)]
+    near = " ".join(["other", *words[1:]])
+    docs = spark.createDataFrame([(None, " ".join(words)), (None, near), (7, "v " + " ".join(words[::-1])), (7, " ".join(words[::-1]))], "doc_id long, text string")
+    assert rows_of(pipeline.join_near_copies(spark, docs, ""), "doc_id") == [(7,), (None,)]
+
+
 def test_repeats_are_cut(spark, docs, edge_rows, sf_dir):
     kept = pipeline.cut_repeats(spark, docs, sf_dir)
     assert kept.columns == COLUMNS

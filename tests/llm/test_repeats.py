@@ -68,6 +68,19 @@ def test_links(edge_docs, edge_rows, words, threshold):
     assert found.where("component IS NOT NULL").select("component").distinct().count() == len(with_shingles)
 
 
+def test_links_under_null_and_equal_keys(spark):
+    def text(name, *changed):
+        return " ".join(f"{name}{k}x" if k in changed else f"{name}{k}" for k in range(120))
+
+    rows = [(None, text("a", 20, 40)), (None, text("a")), (5, text("a", 80, 100))]  # the first and third are linked by the second
+    rows += [(9, text("b")), (9, text("b", 50)), (None, text("c")), (None, text("c", 50)), (None, text("c", 50))]
+    found = jaccard.link(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 3, Fraction(9, 10))
+    want, groups = brute.linked(rows, 3, Fraction(9, 10))
+    assert [w[2] for w in want] == [5, 5, 5, 9, 9, None, None, None] and len(set(groups)) == 3
+    assert rows_of(found, "doc_id", "n_shingles", "component_id") == sorted(want, key=repr)
+    assert found.select("component").distinct().count() == 3
+
+
 def test_links_of_documents(small, monkeypatch):
     docs, rows = small
     monkeypatch.setattr(jaccard, "MEMBERS", 3)  # nodes of several blocks
