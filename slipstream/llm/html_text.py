@@ -2,7 +2,7 @@
 
 A page becomes a tree of its block elements. Paragraphs pass points for their length and their commas to their ancestors,
 less at every level; a container's points are discounted by the share of its text that is links. The best container is kept,
-and those of its siblings that score like it or read like a part of it. Menus, headers, footers, sidebars, notices, adverts,
+or the whole article or main element that it lies in, and those of its siblings that score like it or read like a part of it. Menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments never take part.
 """
 
@@ -218,6 +218,16 @@ def _texts(node: _Node) -> list[str]:
     return out
 
 
+def _whole(node: _Node) -> _Node:
+    """The outermost article around a node, or else the outermost main element, or else the node itself."""
+    found, up = node, node
+    while up is not None:
+        if up.tag == "article" or up.tag == "main" and found.tag != "article":
+            found = up
+        up = up.up
+    return found
+
+
 def extract(page: str | None) -> str:
     """The main text of a page: its blocks in page order, one to a line; empty if there is none."""
     if not page:
@@ -254,6 +264,7 @@ def extract(page: str | None) -> str:
     best = max(scored.values(), key=lambda n: (final(n), n.letters))
     while best.up is not None and best.tag in ("p", "li", "ul", "ol", "dl", "tr", "tbody", "td", "dd", "dt", "figure"):
         best = best.up  # lists and tables belong to the container around them
+    best = _whole(best)
     if best.up is None:
         return "\n".join(_texts(best))
     least = max(10.0, SIBLING_SHARE * final(best))

@@ -92,6 +92,15 @@ def test_sides_are_dropped_without_an_article():
     assert extract(page) == "\n".join([" ".join(long.split())] * 2)
 
 
+@pytest.mark.parametrize("around", ["article", "main"])
+def test_uneven_sections_of_an_article(around):
+    part = "One, two, three, four, five and so on until the line has a good length, as lines do in a long section."
+    section = lambda n: "<section>" + f"<p>{part}</p>" * n + "</section>"
+    lists = "<h2>Then</h2><ul><li>first<li>second</ul><div>Loose text</div>"
+    page = f'<body><div class="top"><a href="/">menu</a></div><{around}><h1>Title</h1>{section(20)}{lists}{section(3)}<nav>more</nav></{around}></body>'
+    assert extract(page).split("\n") == ["Title", *[part] * 20, "Then", "first", "second", "Loose text", *[part] * 3]
+
+
 @pytest.mark.parametrize(
     "page, text",
     [
