@@ -133,3 +133,25 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from slipstream.llm.jaccard import link
 
     return link(_table(spark, sf_dir, "documents").select("doc_id", "text"), words=3, threshold=Fraction(9, 10)).drop("component")
+
+
+_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@_query(
+    "op12_line_dedup",
+    f"""WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    k AS (SELECT doc_id, lines, list_transform(lines, lambda x: translate(trim(x, {_SPACE}), '{_UPPER}', '{_LOWER}')) AS keys FROM d),
+    c AS (SELECT key FROM (SELECT doc_id, unnest(list_distinct(keys)) AS key FROM k) AS u WHERE key <> '' GROUP BY key HAVING count(*) >= 10),
+    e AS (SELECT doc_id, unnest(lines) AS line, unnest(keys) AS key, generate_subscripts(lines, 1) AS i FROM k)
+    SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+      sha256(coalesce(string_agg(e.line, chr(10) ORDER BY e.i) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
+    FROM e LEFT JOIN c ON e.key = c.key GROUP BY doc_id""",
+)
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from slipstream.llm.line_dedup import LineIndex, drop_common
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = drop_common(docs, LineIndex(spark, least=10).insert(docs))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
