@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slipstream.llm import vector_codes
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -155,3 +157,9 @@ def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = drop_common(docs, LineIndex(spark, least=10).insert(docs))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@_query("op11_vector_codes", vector_codes.twin())
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_codes.compress(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
