@@ -163,3 +163,10 @@ def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = vector_codes.compress(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
     return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+@_query("op13_conversation_repair")
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from slipstream.llm.conversation import damaged, repair
+
+    return repair(damaged(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")))
