@@ -568,22 +568,23 @@ def schema_diff(spark, sf_dir):
 # --- values and projections --------------------------------------------------------------------------
 
 
-# The twin has its own copy of the values, so that a wrong entry of the maps shows.
+# Fixed values, written out once more for the twin so that a wrong entry of the maps shows: tyre classes, former names of teams,
+# second names of places, and the braking level of each place, in the order of the levels.
 _VALUE_MAPS = """CASE WHEN "Compound" IN ('SOFT', 'ULTRASOFT', 'SUPERSOFT', 'HYPERSOFT') THEN 1 WHEN "Compound" = 'MEDIUM' THEN 2
         WHEN "Compound" = 'HARD' THEN 3 WHEN "Compound" IN ('WET', 'INTERMEDIATE') THEN 4 ELSE 0 END AS "CompoundFactor",
       replace(CASE WHEN "Team" IN ('Force India', 'Racing Point') THEN 'Aston Martin'
-        WHEN "Team" IN ('Sauber', 'Alfa Romeo', 'Alfa Romeo Racing') THEN 'Kick Sauber'
-        WHEN "Team" IN ('Toro Rosso', 'AlphaTauri', 'RB') THEN 'Racing Bulls'
+        WHEN "Team" IN ('Alfa Romeo', 'Alfa Romeo Racing', 'Sauber') THEN 'Kick Sauber'
+        WHEN "Team" IN ('AlphaTauri', 'Toro Rosso', 'RB') THEN 'Racing Bulls'
         WHEN "Team" = 'Renault' THEN 'Alpine' ELSE "Team" END, ' ', '') AS "Team",
       CASE "Location" WHEN 'Yas Island' THEN 'Yas Marina' WHEN 'Monte Carlo' THEN 'Monaco' WHEN 'Miami Gardens' THEN 'Miami'
         ELSE "Location" END AS "Location",
-      CASE WHEN "Location" IN ('Monza', 'Sakhir') THEN 5
-        WHEN "Location" IN ('Istanbul', 'Spielberg', 'Spa-Francorchamps', 'Montréal', 'Jeddah', 'Mexico City', 'Baku') THEN 4
-        WHEN "Location" IN ('Le Castellet', 'Portimão', 'Nürburgring', 'Sochi', 'Mugello', 'Singapore', 'Monte Carlo',
-          'Miami Gardens', 'Marina Bay', 'Shanghai', 'Monaco', 'Miami', 'Melbourne', 'Las Vegas', 'Imola', 'Budapest', 'Lusail',
-          'Austin', 'Yas Island') THEN 3
-        WHEN "Location" IN ('Hockenheim', 'Zandvoort', 'São Paulo', 'Barcelona') THEN 2
-        WHEN "Location" IN ('Suzuka', 'Silverstone') THEN 1 END AS "BrakingLevel","""
+      CASE WHEN "Location" IN ('Silverstone', 'Suzuka') THEN 1
+        WHEN "Location" IN ('Barcelona', 'São Paulo', 'Zandvoort', 'Hockenheim') THEN 2
+        WHEN "Location" IN ('Yas Island', 'Austin', 'Lusail', 'Budapest', 'Imola', 'Las Vegas', 'Melbourne', 'Miami', 'Monaco',
+          'Shanghai', 'Marina Bay', 'Miami Gardens', 'Monte Carlo', 'Singapore', 'Mugello', 'Sochi', 'Nürburgring', 'Portimão',
+          'Le Castellet') THEN 3
+        WHEN "Location" IN ('Baku', 'Mexico City', 'Jeddah', 'Montréal', 'Spa-Francorchamps', 'Spielberg', 'Istanbul') THEN 4
+        WHEN "Location" IN ('Monza', 'Sakhir') THEN 5 END AS "BrakingLevel","""
 
 
 @registry.add(

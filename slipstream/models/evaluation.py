@@ -88,18 +88,18 @@ def probability_metrics(df: DataFrame, label: str, score: str, clip: float = 1e-
     return df.agg(F.avg(loss).alias("log_loss"), F.avg(F.pow(F.col(score) - y, F.lit(2.0))).alias("brier"))
 
 
-def _by_score(df: DataFrame, label: str, score: str) -> DataFrame:
-    return df.groupBy(F.col(score).alias("score")).agg(
+def _by_score(df: DataFrame, label: str, score: str, keys: Sequence[str] = ()) -> DataFrame:
+    return df.groupBy(*keys, F.col(score).alias("score")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"), F.sum((1 - F.col(label)).cast("long")).alias("neg")
     )
 
 
-def roc_auc(df: DataFrame, label: str, score: str, spread: bool = True) -> DataFrame:
-    """Exact area under the ROC curve; a tie counts half."""
-    counts = _by_score(df, label, score)
-    ranked = ordered_scan(counts, [], ["score"], {"__below": running_total(F.col("neg"))}, spread)
+def roc_auc(df: DataFrame, label: str, score: str, spread: bool = True, keys: Sequence[str] = ()) -> DataFrame:
+    """Exact area under the ROC curve, of each group of ``keys``; a tie counts half."""
+    counts = _by_score(df, label, score, keys)
+    ranked = ordered_scan(counts, keys, ["score"], {"__below": running_total(F.col("neg"))}, spread)
     beaten = F.col("pos") * (F.col("__below") - F.col("neg") / 2)
-    return ranked.agg((F.sum(beaten) / (F.sum("pos") * F.sum("neg"))).alias("auc"))
+    return ranked.groupBy(*keys).agg(F.try_divide(F.sum(beaten), F.sum("pos") * F.sum("neg")).alias("auc"))
 
 
 def roc_points(df: DataFrame, label: str, score: str, spread: bool = True) -> DataFrame:

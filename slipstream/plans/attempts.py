@@ -13,7 +13,7 @@ from slipstream.plans import race
 from slipstream.plans.race import RACE, WEATHER
 from slipstream.session import staged
 
-# The columns both kinds of attempt are brought to, in order.
+# The columns both kinds of attempt are brought to, in order.
 MEASURES = [
     "LapNumber", "LapTimeCalculated", "Position", "Sector1", "Sector2", "Sector3",
     "DeltaLapTime", "DeltaS1Time", "DeltaS2Time", "DeltaS3Time",
@@ -21,6 +21,7 @@ MEASURES = [
     "SpeedI1", "SpeedI2", "SpeedFL", "SpeedST", "DeltaSpeedI1", "DeltaSpeedI2", "DeltaSpeedFL", "DeltaSpeedST",
     "Stint", "CompoundFactor", "FreshTyre", "TyreLife", "DeltaTyreLife", "DRS_OTSector", "DRS_Lap",
 ]
+# Columns of an event and of a track.
 EVENT = ["EventName", "Country", "Location", "EventDate"]
 TRACK = [
     "BrakingLevel", "OvertakingDifficulty", "SpeedDescription", "Corners",
