@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from slipstream.catalog import field
 from slipstream.catalog.field import table
 from slipstream.catalog.registry import Registry
-from slipstream.models import classifiers, evaluation, features
+from slipstream.models import boosting, classifiers, evaluation, features
 from slipstream.operators import sampling
 from slipstream.session import fresh_folder, staged
 from slipstream.sources import ingest, readers, sinks
@@ -233,6 +233,52 @@ def gbt_fit(spark, sf_dir):
     return classifiers.scored(_trees("held").fit(sliced), test)
 
 
+@registry.add(
+    "penalised_trees",
+    "i:doc_id label b:is_share",
+    """SELECT doc_id, quality AS label, true AS is_share FROM (SELECT *, count(*) OVER (PARTITION BY quality, toxic) AS n,
+      row_number() OVER (PARTITION BY quality, toxic ORDER BY md5(doc_id || '-42')) AS r FROM labels JOIN documents USING (doc_id))
+    WHERE r <= floor(n * 0.2 + 0.5)""",
+)
+def penalised_trees(spark, sf_dir):
+    """Second-order trees with native categories that stop with patience; the score of every test row is a probability."""
+    train, test = _train_test(_documents(spark, sf_dir))
+    sliced = sampling.stratified_split(train, ["Stratify"], "doc_id", 0.15, seed=7, out="held").withColumn("held", F.col("held") == 1)
+    settings = boosting.Settings(trees=TREES, depth=3, l1=0.1, min_gain=0.01, rows=0.8, columns=0.8, patience=5)
+    model = boosting.fit(sliced, settings, _NUMBERS, _CATEGORIES, key="doc_id", weight=classifiers.WEIGHT, held="held")
+    return model.score(test).withColumn("is_share", F.expr("p > 0 AND p < 1"))
+
+
+_STUMP = boosting.Settings(trees=1, depth=1, step=1.0, l1=5.0, l2=2.0, min_curvature=10.0)
+_STUMP_NUMBERS = ["l_quantity", "l_discount", "l_tax"]
+
+
+@registry.add(
+    "best_stump",
+    "s:column d:cut gain left_value right_value",
+    f"""WITH r AS (SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y, l_quantity, l_discount, l_tax FROM lineitem),
+    g AS (SELECT *, avg(y) OVER () - y AS g, avg(y) OVER () * (1 - avg(y) OVER ()) AS h FROM r),
+    c AS (SELECT name AS "column", v, sum(g) AS g, sum(h) AS h FROM (UNPIVOT g ON {", ".join(_STUMP_NUMBERS)} INTO NAME name VALUE v) GROUP BY 1, 2),
+    s AS (SELECT "column", v AS cut, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER p - sum(g) OVER w AS gr, sum(h) OVER p - sum(h) OVER w AS hr
+      FROM c WINDOW p AS (PARTITION BY "column"), w AS (PARTITION BY "column" ORDER BY v)),
+    t AS (SELECT *, greatest(abs(gl) - 5, 0) AS tl, greatest(abs(gr) - 5, 0) AS tr, greatest(abs(gl + gr) - 5, 0) AS tp FROM s WHERE hl >= 10 AND hr >= 10)
+    SELECT "column", cut, tl * tl / (hl + 2) + tr * tr / (hr + 2) - tp * tp / (hl + hr + 2) AS gain,
+      -sign(gl) * tl / (hl + 2) AS left_value, -sign(gr) * tr / (hr + 2) AS right_value
+    FROM t ORDER BY gain DESC, "column" LIMIT 1""",
+)
+def best_stump(spark, sf_dir):
+    """The first split of second-order trees over the order lines, as one row."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("label", F.expr("CAST(l_returnflag = 'R' AS DOUBLE)"))
+    model = boosting.fit(lines, _STUMP, _STUMP_NUMBERS, key="l_orderkey")
+    tree = model.trees[0]
+    if tree.left[0] < 0:
+        return spark.createDataFrame([], "column string, cut double, gain double, left_value double, right_value double")
+    codes = [k for k in range(1, boosting.BINS) if tree.sets[0][k >> 3] >> (k & 7) & 1]
+    name = model.codes.names[tree.column[0]]
+    row = (name, model.codes.numbers[name][max(codes) - 1], float(tree.gain[0]), *(float(tree.value[k]) for k in (tree.left[0], tree.right[0])))
+    return spark.createDataFrame([row], "column string, cut double, gain double, left_value double, right_value double")
+
+
 @registry.add("mlp_fit", _SCORES)
 def mlp_fit(spark, sf_dir):
     train, test = _train_test(_documents(spark, sf_dir))

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from slipstream.models import evaluation
+from slipstream.models.boosting import Booster
 from slipstream.models.features import feature_names
 from slipstream.operators.sampling import class_weights, hash_rank
 from slipstream.session import staged
@@ -106,6 +107,8 @@ def with_class_weights(df: DataFrame, label: str = LABEL, mode: str = "balanced"
 
 def scored(model, df: DataFrame) -> DataFrame:
     """Class and probability of the positive class for each row."""
+    if isinstance(model, Booster):
+        return model.score(df, PROBABILITY).withColumn("prediction", (F.col(PROBABILITY) >= 0.5).cast("double"))
     return model.transform(df).withColumn(PROBABILITY, vector_to_array("probability")[1])
 
 
@@ -207,6 +210,8 @@ def stacked_text(
 
 def model_size(model: PipelineModel) -> dict[str, int]:
     """Learned parameters: coefficients and intercept, leaves and splits, or network weights."""
+    if isinstance(model, Booster):
+        return model.size()
     last = model.stages[-1]
     if hasattr(last, "trees"):
         nodes = [t.numNodes for t in last.trees]
@@ -218,15 +223,18 @@ def model_size(model: PipelineModel) -> dict[str, int]:
 
 
 def importance(model: PipelineModel, df: DataFrame, sign: str = "elojel") -> DataFrame:
-    """Signed coefficients, or the gain share of each feature for trees, by feature name.
+    """Signed coefficients, or for trees the gain of each feature, by feature name.
 
     ``sign`` names the column of the sign; the default is a fixed value, the report's own name.
     """
-    last = model.stages[-1]
-    names = feature_names(model, model.transform(df.limit(0)))
-    values = last.featureImportances.toArray() if hasattr(last, "trees") else last.coefficients.toArray()
-    rows = [(n, float(v)) for n, v in zip(names, values)]
-    table = df.sparkSession.createDataFrame(rows, "feature string, coefficient double")
+    if isinstance(model, Booster):
+        table = model.importance(df)
+    else:
+        last = model.stages[-1]
+        names = feature_names(model, model.transform(df.limit(0)))
+        values = last.featureImportances.toArray() if hasattr(last, "trees") else last.coefficients.toArray()
+        rows = [(n, float(v)) for n, v in zip(names, values)]
+        table = df.sparkSession.createDataFrame(rows, "feature string, coefficient double")
     return table.withColumn(sign, F.when(F.col("coefficient") >= 0, "positive").otherwise("negative"))
 
 
