@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,35 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
+@functools.cache
+def _libc():
+    try:
+        library = ctypes.CDLL("libc.so.6")
+        library.malloc_trim(0)
+        return library
+    except (OSError, AttributeError):  # another C library
+        return None
+
+
+def release() -> None:
+    """Give free memory back to the system; a worker process lives on after its task."""
+    pa.default_memory_pool().release_unused()
+    if _libc() is not None:
+        _libc().malloc_trim(0)
+
+
+def lean(function: Callable) -> Callable:
+    """A function over batches, for mapInArrow, that leaves no memory behind when its task has ended."""
+
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            release()
+
+    return run
+
+
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

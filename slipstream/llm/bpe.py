@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slipstream.llm import arrow
 from slipstream.llm import unicode_classes as uc
 
 CACHED = 100_000  # pre-tokens a worker remembers
@@ -364,6 +365,7 @@ def round_trip(docs: DataFrame, tokenizer: str, text: str = "text", cached: int
             part = found.encode([t or "" for t in texts[at : at + 500]])
             ids += part
             decoded += map(found.decode, part)
+        arrow.release()
         return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], ["ids", "decoded"])
 
     name = "_round_trip"

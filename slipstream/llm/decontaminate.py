@@ -212,7 +212,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     out = None
     for block in blocks(benchmark, item, max_error=max_error):
         shared = spark.sparkContext.broadcast(block)  # BLOCK bytes of text and their index
-        found = rows.mapInArrow(_search(shared, benchmark.schema[item].dataType), f"k {kinds[0]}, i {kinds[1]}, start bigint, stop bigint, edits int")
+        found = rows.mapInArrow(arrow.lean(_search(shared, benchmark.schema[item].dataType)), f"k {kinds[0]}, i {kinds[1]}, start bigint, stop bigint, edits int")
         out = found if out is None else out.unionByName(found)
     if out is None:
         return spark.createDataFrame([], f"`{key}` {kinds[0]}, `{item}` {kinds[1]}, start bigint, stop bigint, edits int")

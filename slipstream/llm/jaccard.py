@@ -271,7 +271,7 @@ def _describe(docs: DataFrame, words: int, t: Fraction, key: str, text: str) ->
 
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(packed.order_column(key).alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("row"), whole.alias("text"), F.xxhash64(whole).alias("hash"))
-    return rows.mapInArrow(run, f"{packed.SCHEMA}, id bigint, row {packed.row_type(docs, text)}, size bigint, h1 bigint, hash bigint")
+    return rows.mapInArrow(arrow.lean(run), f"{packed.SCHEMA}, id bigint, row {packed.row_type(docs, text)}, size bigint, h1 bigint, hash bigint")
 
 
 def _nodes(rows: DataFrame) -> DataFrame:
@@ -294,7 +294,7 @@ def _nodes(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(name[some], size[some]).view(np.int64)), pa.array(sets[at])], ["node", "set"])
 
     columns = ("kind", "part", "n", "ids", "codes", "checks", "places")
-    return packed.dealt(rows.where("kind = 0").select(*columns), "part").mapInArrow(run, "node bigint, set bigint").distinct()
+    return packed.dealt(rows.where("kind = 0").select(*columns), "part").mapInArrow(arrow.lean(run), "node bigint, set bigint").distinct()
 
 
 def _members(rows: DataFrame) -> DataFrame:
@@ -354,7 +354,7 @@ def _signed(docs: DataFrame, members: DataFrame, reps: DataFrame, words: int, ke
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["node", "block", "blocks", "center", "set", "size", "bits"])
 
     joined = _with_text(docs, notes, reps, key, text).select("set", "notes", "text")
-    return joined.mapInArrow(run, "node bigint, block int, blocks int, center bigint, set bigint, size bigint, bits binary")
+    return joined.mapInArrow(arrow.lean(run), "node bigint, block int, blocks int, center bigint, set bigint, size bigint, bits binary")
 
 
 def _by_node(rows: DataFrame, order: list[str], function) -> DataFrame:
@@ -386,7 +386,7 @@ def _by_node(rows: DataFrame, order: list[str], function) -> DataFrame:
             yield from out()
 
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, *order).sortWithinPartitions(*order).mapInArrow(run, "a bigint, b bigint").distinct()
+    return rows.repartition(n, *order).sortWithinPartitions(*order).mapInArrow(arrow.lean(run), "a bigint, b bigint").distinct()
 
 
 def _unique(columns: dict, *names: str) -> tuple[np.ndarray, ...]:
@@ -417,7 +417,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, words: int, t:
             yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.list_(pa.int64()))], ["a", "b", "set", "own"])
 
     joined = _with_text(docs, sides, reps, key, text).select("a", "b", "set", "text")
-    held = joined.mapInArrow(run, "a bigint, b bigint, set bigint, own array<bigint>")
+    held = joined.mapInArrow(arrow.lean(run), "a bigint, b bigint, set bigint, own array<bigint>")
     both = held.groupBy("a", "b").agg(
         F.first(F.when(F.col("set") == F.col("a"), F.col("own")), True).alias("x"), F.first(F.when(F.col("set") == F.col("b"), F.col("own")), True).alias("y")
     )

@@ -114,7 +114,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", rows: int = T
                 packed = np.packbits(presence(part.column(2)).astype(np.uint8), axis=1)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([p.tobytes() for p in packed], pa.binary())], ["l", "h", "p"])
 
-    found = picked.mapInArrow(bits, "l string, h bigint, p binary").groupBy("l", "h").agg(F.min("p").alias("p")).collect()
+    found = picked.mapInArrow(arrow.lean(bits), "l string, h bigint, p binary").groupBy("l", "h").agg(F.min("p").alias("p")).collect()
     if not found:
         return None
     found.sort(key=lambda r: (r.l, r.h))

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slipstream.llm import arrow
+
 NULL_ID = np.int64(2**63 - 1)  # order of a null id: behind all others
 
 
@@ -160,7 +162,7 @@ def reduced(rows: DataFrame, function: Callable) -> DataFrame:
             if found:
                 yield from function(found)
 
-    return dealt(rows.select("kind", "part", "n", "ids", "codes", "checks", "places"), "part", "kind").mapInArrow(reduce_buckets, SCHEMA)
+    return dealt(rows.select("kind", "part", "n", "ids", "codes", "checks", "places"), "part", "kind").mapInArrow(arrow.lean(reduce_buckets), SCHEMA)
 
 
 def visited(docs: DataFrame, notes: DataFrame, function: Callable, schema: str, key: str, text: str, n: int) -> DataFrame:
@@ -178,7 +180,7 @@ def visited(docs: DataFrame, notes: DataFrame, function: Callable, schema: str,
 
         yield from function(blocks_of_documents())
 
-    return dealt(both, "part", "kind").mapInArrow(visit, schema)
+    return dealt(both, "part", "kind").mapInArrow(arrow.lean(visit), schema)
 
 
 def row_type(docs: DataFrame, text: str) -> str:

@@ -150,9 +150,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[n
     shards = max(1, -(-count // SHARD_ROWS))
     kind = docs.schema["doc_id"].dataType.simpleString()
     learnt = (
-        rows_in.mapInArrow(featurise, f"doc_id {kind}, label double, i binary, v binary")
+        rows_in.mapInArrow(arrow.lean(featurise), f"doc_id {kind}, label double, i binary, v binary")
         .repartition(shards, F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
-        .mapInArrow(fit, "n bigint, w binary, b double")
+        .mapInArrow(arrow.lean(fit), "n bigint, w binary, b double")
         .collect()  # one weight vector of fixed size from each learner
     )
     if not learnt:

@@ -199,7 +199,7 @@ def repeated_windows(docs: DataFrame, window: int, key: str, text: str) -> DataF
         yield from packed.rows_of(1, packed.block_of(ids[later], blocks), ids[later], codes=codes[later].astype(np.uint32), places=places[later])
 
     rows = docs.select(packed.order_column(key).alias("id"), docs[text].cast("string").alias("text"))
-    shared = packed.reduced(rows.mapInArrow(sample, packed.SCHEMA), reduce_anchors(blocks))
+    shared = packed.reduced(rows.mapInArrow(arrow.lean(sample), packed.SCHEMA), reduce_anchors(blocks))
     # written once: the exchanges before it are released, and both kinds of its rows are read
     extended = staged(packed.visited(docs, shared, extend, packed.SCHEMA, key, text, blocks), "windows")
     return packed.reduced(extended, settle)

@@ -239,7 +239,7 @@ def repeated_strings(docs: DataFrame, length: int, key: str, text: str) -> DataF
         )
 
     rows = docs.select(packed.order_column(key).alias("id"), docs[text].cast("string").alias("text"))
-    names = packed.reduced(rows.mapInArrow(sample, packed.SCHEMA), reduce_anchors(blocks))
+    names = packed.reduced(rows.mapInArrow(arrow.lean(sample), packed.SCHEMA), reduce_anchors(blocks))
     # written once: the exchanges before it are released, and both kinds of its rows are read
     stretches = staged(packed.visited(docs, names, extend, packed.SCHEMA, key, text, blocks), "stretches")
     return packed.reduced(stretches, merge)
