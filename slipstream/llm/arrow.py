@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 PIECE = 1 << 19  # bytes of text that are worked on at a time; a longer text is a piece by itself
 
@@ -46,6 +48,26 @@ def lean(function: Callable) -> Callable:
     return run
 
 
+def extended(docs: DataFrame, columns: dict[str, T.DataType], begin: Callable, *inputs: str) -> DataFrame:
+    """Rows with more columns, which replace columns of their names.
+
+    ``begin()`` is called once for each task and gives a function from the arrays of the inputs to those of the new columns. Unlike an
+    Arrow UDF it keeps nothing in the worker from task to task and loads no data frame library there.
+    """
+    kept = [f for f in docs.schema.fields if f.name not in columns]
+    schema = T.StructType([*kept, *(T.StructField(n, t) for n, t in columns.items())])
+
+    def run(batches):
+        function = None
+        for batch in batches:
+            if batch.num_rows:
+                function = function or begin()
+                new = function(*[batch.column(i) for i in inputs])
+                yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], *new], schema.names)
+
+    return docs.mapInArrow(lean(run), schema)
+
+
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

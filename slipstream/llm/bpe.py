@@ -14,7 +14,6 @@ import functools
 import json
 import re
 import unicodedata
-import uuid
 from collections import defaultdict
 from collections.abc import Iterable
 from pathlib import Path
@@ -23,11 +22,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slipstream.llm import arrow
 from slipstream.llm import unicode_classes as uc
 
-CACHED = 100_000  # pre-tokens a worker remembers
+CACHED = 50_000  # pre-tokens a worker remembers
 _NEVER = np.int32(2**31 - 1)
 
 
@@ -329,16 +329,6 @@ class Tokenizer:
         return self.decoder.whole(np.frombuffer(ids, "<u4").tolist())
 
 
-_WORKER: dict = {}  # the tokenizer that a worker process keeps from task to task
-
-
-def _tokenizer(key: str, shared, ahead: int, cached: int) -> Tokenizer:
-    if key not in _WORKER:
-        _WORKER.clear()
-        _WORKER[key] = Tokenizer(shared.value, ahead, cached)
-    return _WORKER[key]
-
-
 @functools.lru_cache(maxsize=4)
 def _ahead(content: str) -> int:
     spec = json.loads(content)["model"]
@@ -354,24 +344,21 @@ def round_trip(docs: DataFrame, tokenizer: str, text: str = "text", cached: int
     empty decoding. Columns of the same names are replaced, all others are kept, rows are neither merged nor dropped.
     """
     content = Path(tokenizer).read_text()
-    ahead, key = _ahead(content), uuid.uuid4().hex
+    ahead = _ahead(content)
     shared = docs.sparkSession.sparkContext.broadcast(content)  # one vocabulary file
 
-    @F.arrow_udf("struct<ids: binary, decoded: string>")
-    def both(column: pa.Array) -> pa.Array:
-        found = _tokenizer(key, shared, ahead, cached)
-        ids, decoded, texts = [], [], column.to_pylist()
-        for at in range(0, len(texts), 500):
-            part = found.encode([t or "" for t in texts[at : at + 500]])
-            ids += part
-            decoded += map(found.decode, part)
-        arrow.release()
-        return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], ["ids", "decoded"])
-
-    name = "_round_trip"
-    return (
-        docs.withColumn(name, both(F.col(text)))
-        .withColumn("ids", F.col(f"{name}.ids"))
-        .withColumn("decoded", F.col(f"{name}.decoded"))
-        .drop(name)
-    )
+    def begin():
+        found = Tokenizer(shared.value, ahead, cached)
+
+        def both(column: pa.Array) -> list[pa.Array]:
+            ids, decoded = [], []
+            for at in range(0, len(column), 250):
+                part = found.encode([t or "" for t in column.slice(at, 250).to_pylist()])
+                ids += part
+                decoded += map(found.decode, part)
+            return [pa.array(ids, pa.binary()), pa.array(decoded, pa.string())]
+
+        return both
+
+    plain = docs.withColumn(text, F.col(f"`{text}`").cast("string"))
+    return arrow.extended(plain, {"ids": T.BinaryType(), "decoded": T.StringType()}, begin, text)

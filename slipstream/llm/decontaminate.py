@@ -2,12 +2,15 @@
 
 An item of m characters that occurs in a text with at most e edits shares at least m - q + 1 - q * e of its q-grams with it,
 and all of them on e + 1 neighbouring diagonals (place in the text less place in the item). Shared q-grams are counted in
-overlapping diagonal bands twice that wide, half a band apart; only regions whose count reaches the bound are aligned, within
-their band. Case and the length of white space do not count; the alignment is over UTF-8 bytes.
+overlapping diagonal bands twice that wide, half a band apart. Regions whose count reaches the bound are held against it a second time
+with shorter q-grams, of which an edit spoils fewer, and those that remain are aligned within their band. Items take the longest q-grams
+for which the bound is positive, eight bytes at most, so the same share of edits holds for items of every length. Case and the length
+of white space do not count; the alignment is over UTF-8 bytes.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,13 +18,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slipstream.llm import arrow
+from slipstream.session import staged
 
-Q = 8  # bytes of a q-gram; it fills one 64-bit number
+Q = 8  # bytes of a q-gram at most; they fill one 64-bit number
+FINE = 4  # bytes of the q-grams that a region is held against before it is aligned
 MAX_ERROR = 0.1  # edits for each byte of an item
-BLOCK = 4 << 20  # bytes of benchmark text that are broadcast at a time
-_SIEVE = 22  # log2 of the bits that sort out most q-grams of a text
+BLOCK = 1 << 20  # bytes of benchmark text that are broadcast at a time; their index takes some thirty times as many
+ENTRIES = 1 << 21  # shared q-grams of texts and items that are unfolded at a time
+_SIEVE = 22  # log2 of the bits, at most, that sort out most q-grams of a text
 
 
 def folded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -43,50 +50,83 @@ def folded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def qgrams(data: np.ndarray) -> np.ndarray:
-    """The eight bytes from every place on as one number."""
-    if len(data) < Q:
-        return np.zeros(0, np.uint64)
-    return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, Q)).view("<u8").ravel()
+    """The eight bytes from every place on as one number, the first one lowest; zeros follow the last byte."""
+    padded = np.concatenate([data, np.zeros(Q - 1, np.uint8)])
+    return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, Q)).view("<u8").ravel()[: len(data)]
 
 
-def _sieve(grams: np.ndarray) -> np.ndarray:
-    return ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SIEVE)).astype(np.int64)
+def _mask(q: int) -> np.uint64:
+    """What leaves the first bytes of a q-gram."""
+    return np.uint64((1 << 8 * q) - 1)
 
 
 @dataclass
-class Block:
-    """Some benchmark items with an index of their q-grams."""
+class Grams:
+    """The q-grams of some items: sorted keys, and for each the items and places that hold it."""
 
-    ids: list
-    texts: list[bytes]
-    edits: np.ndarray
-    least: np.ndarray  # shared q-grams that an occurrence needs
+    q: int
     keys: np.ndarray
     first: np.ndarray
     item: np.ndarray
     offset: np.ndarray
     sieve: np.ndarray
 
+    @classmethod
+    def of(cls, q: int, numbers: list[int], texts: list[bytes]) -> Grams:
+        grams = [(qgrams(np.frombuffer(texts[k], np.uint8)) & _mask(q))[: len(texts[k]) - q + 1] for k in numbers]
+        every = np.concatenate(grams)
+        item = np.repeat(np.array(numbers, np.int64), [len(g) for g in grams])
+        offset = np.concatenate([np.arange(len(g)) for g in grams])
+        order = np.argsort(every, kind="stable")
+        keys, first = np.unique(every[order], return_index=True)
+        sieve = np.zeros(1 << min(_SIEVE, max(10, (32 * len(keys)).bit_length())), bool)
+        sieve[cls.slots(keys, len(sieve))] = True
+        return cls(q, keys, np.append(first, len(every)), item[order], offset[order], np.packbits(sieve))
+
+    @staticmethod
+    def slots(grams: np.ndarray, size: int) -> np.ndarray:
+        return ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - size.bit_length())).astype(np.int64)
+
+    def shared(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, number of the key) of the q-grams of a text that some item holds."""
+        grams = grams & _mask(self.q)
+        slot = self.slots(grams, 8 * len(self.sieve))
+        maybe = np.flatnonzero((self.sieve[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1)
+        at = np.searchsorted(self.keys, grams[maybe])
+        hit = self.keys[np.minimum(at, len(self.keys) - 1)] == grams[maybe]
+        return maybe[hit], at[hit]
+
+
+@dataclass
+class Block:
+    """Some benchmark items with indexes of their q-grams, by the length of these."""
+
+    ids: list
+    texts: list[bytes]
+    edits: np.ndarray
+    least: np.ndarray  # shared q-grams that an occurrence needs
+    groups: list[Grams]
+    fine: Grams | None  # short q-grams of all items that have some
+    fine_least: np.ndarray  # shared places that an occurrence needs; none if not positive
+
+
+def allowed(size: int, max_error: float = MAX_ERROR) -> int:
+    """Edits that an occurrence of an item of ``size`` bytes may have."""
+    return int(size * max_error)
+
 
 def index(ids: list, texts: list[str | None], max_error: float = MAX_ERROR) -> Block:
-    """Items of fewer than `Q` bytes (folded) or without a text are left out. Short items allow only so many edits that the
-    bound stays positive."""
+    """Items without a text, or of white space only, are left out."""
     data, offsets, _ = folded(*arrow.flat(pa.array(texts, pa.string())))
-    found = [(i, data[a:b].tobytes()) for i, a, b in zip(ids, offsets[:-1], offsets[1:]) if b - a >= Q]
+    found = [(i, data[a:b].tobytes()) for i, a, b in zip(ids, offsets[:-1], offsets[1:]) if b > a]
     sizes = np.array([len(t) for _, t in found], np.int64)
-    edits = np.minimum((sizes * max_error).astype(np.int64), (sizes - Q) // Q)
-    grams = [qgrams(np.frombuffer(t, np.uint8)) for _, t in found]
-    every = np.concatenate([np.zeros(0, np.uint64), *grams])
-    item = np.repeat(np.arange(len(found)), [len(g) for g in grams])
-    offset = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(g)) for g in grams)])
-    order = np.argsort(every, kind="stable")
-    keys, first = np.unique(every[order], return_index=True)
-    sieve = np.zeros(1 << _SIEVE, bool)
-    sieve[_sieve(keys)] = True
-    return Block(
-        [i for i, _ in found], [t for _, t in found], edits, sizes - Q + 1 - Q * edits, keys,
-        np.append(first, len(every)), item[order], offset[order], np.packbits(sieve),
-    )
+    edits = np.array([allowed(len(t), max_error) for _, t in found], np.int64)
+    q = np.minimum(Q, sizes // (edits + 1))
+    words = [t for _, t in found]
+    groups = [Grams.of(size, np.flatnonzero(q == size).tolist(), words) for size in np.unique(q).tolist()]
+    least = sizes - FINE + 1 - FINE * edits
+    some = np.flatnonzero(least > 0).tolist()
+    return Block([i for i, _ in found], words, edits, sizes - q + 1 - q * edits, groups, Grams.of(FINE, some, words) if some else None, least)
 
 
 def align(item: bytes, region: bytes, first: int, width: int, limit: int) -> tuple[int, int, int] | None:
@@ -127,59 +167,119 @@ def align(item: bytes, region: bytes, first: int, width: int, limit: int) -> tup
     return int(cost[best]), int(start[best]), int(column[best] + m)
 
 
+def _counted(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers in order, and how often each is there or the sum of its counts."""
+    if counts is None:
+        keys = np.sort(keys)
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+    edge = np.flatnonzero(np.concatenate([[True], np.diff(keys) != 0])) if len(keys) else np.zeros(0, np.int64)
+    if counts is None:
+        return keys[edge], np.diff(np.append(edge, len(keys)))
+    return keys[edge], np.add.reduceat(counts, edge) if len(edge) else counts
+
+
+def _bands(grams: np.ndarray, ends: np.ndarray, group: Grams, block: Block, low: int, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """Every band in which a text and an item share q-grams, as the number ((row, item), band - low), and how many they share."""
+    where, at = group.shared(grams)
+    row = row_of(ends, where)
+    fits = where + group.q <= ends[row + 1]
+    where, at, row = where[fits], at[fits], row[fits]
+    total = np.cumsum(group.first[at + 1] - group.first[at])
+    held, waiting, begin = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0, 0
+    while begin < len(where):  # a common phrase of many items unfolds to very many entries
+        upto = total[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(total, upto + ENTRIES, side="right")))
+        w, k, r = where[begin:end], at[begin:end], row[begin:end]
+        count = group.first[k + 1] - group.first[k]
+        entry = np.arange(total[end - 1] - upto) + np.repeat(group.first[k] - (total[begin:end] - upto - count), count)
+        item = group.item[entry]
+        diagonal = np.repeat(w - ends[r], count) - group.offset[entry]
+        # each diagonal lies in two bands: the one that begins at its half and the one before
+        band = np.floor_divide(diagonal, block.edits[item] + 1)
+        key = (np.repeat(r, count) * len(block.ids) + item) * span + (band - low)
+        held.append(_counted(np.concatenate([key, key - 1])))
+        waiting += len(held[-1][0])
+        begin = end
+        if waiting > max(2 * ENTRIES, len(held[0][0])) or begin == len(where):
+            held, waiting = [_counted(*(np.concatenate(x) for x in zip(*held)))], 0
+    return held[0]
+
+
+def _plausible(item: np.ndarray, start: np.ndarray, stop: np.ndarray, fine: np.ndarray, block: Block) -> np.ndarray:
+    """Which regions (bytes of the texts) share as many short q-grams with their item as an occurrence needs.
+
+    Regions of alike length that begin near each other are looked at together: all items at once are held against the q-grams
+    of their common span."""
+    need = block.fine_least[item]
+    out = need <= 0
+    size = np.log2(np.maximum(stop - start, 1)).astype(np.int64)
+    some = np.flatnonzero(~out)
+    some = some[np.lexsort((start[some], size[some]))]
+    index, begin = block.fine, 0
+    while begin < len(some):
+        first = some[begin]
+        same = begin + int(np.searchsorted(size[some[begin:]], size[first], side="right"))
+        end = begin + max(1, int(np.searchsorted(start[some[begin:same]], start[first] + max(1, (stop[first] - start[first]) // 2), side="left")))
+        cluster = some[begin:end]
+        grams = np.unique(fine[start[first] : max(start[first], stop[cluster].max() - FINE + 1)])
+        _, at = index.shared(grams)
+        count = index.first[at + 1] - index.first[at]
+        entry = np.arange(count.sum()) + np.repeat(index.first[at] - (np.cumsum(count) - count), count)
+        held = np.bincount(index.item[entry], minlength=len(block.ids))
+        out[cluster] = held[item[cluster]] >= need[cluster]
+        begin = end
+    return out
+
+
 def find(data: np.ndarray, offsets: np.ndarray, block: Block) -> Iterator[tuple[int, int, int, int, int]]:
     """(row, item number, start, stop, edits) of the occurrences of items; places are bytes of the row's own text.
 
-    Regions of one item that overlap count as one, with its best alignment.
+    Regions of one item that overlap count as one, with its best alignment. Items of fewer than `Q` bytes occur as whole words.
     """
     low, ends, place = folded(data, offsets)
-    grams = qgrams(low)
-    slot = _sieve(grams)
-    maybe = np.flatnonzero((block.sieve[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1)
-    if not len(maybe) or not len(block.keys):
+    if not len(low) or not block.ids:
         return
-    at = np.searchsorted(block.keys, grams[maybe])
-    hit = block.keys[np.minimum(at, len(block.keys) - 1)] == grams[maybe]
-    where, at = maybe[hit], at[hit]
-    row = np.searchsorted(ends, where, side="right") - 1
-    fits = where + Q <= ends[row + 1]
-    where, at, row = where[fits], at[fits], row[fits]
-    count = block.first[at + 1] - block.first[at]
-    total = np.cumsum(count)
-    entry = np.arange(total[-1] if len(total) else 0) + np.repeat(block.first[at] - (total - count), count)
-    item, row = block.item[entry], np.repeat(row, count)
-    diagonal = np.repeat(where - ends[row_of(ends, where)], count) - block.offset[entry]
-    half = block.edits[item] + 1
-    low_band = np.floor_divide(diagonal, half)
-    # each diagonal lies in two bands: the one that begins at its half and the one before
-    key_row, key_item = np.concatenate([row, row]), np.concatenate([item, item])
-    band = np.concatenate([low_band, low_band - 1])
-    order = np.lexsort((band, key_item, key_row))
-    key_row, key_item, band = key_row[order], key_item[order], band[order]
-    if not len(order):
+    grams = qgrams(low)
+    longest = max(map(len, block.texts))
+    lowest, span = -longest - 2, longest + int(np.diff(ends).max()) + 4  # bounds of the bands
+    keys, shared = (np.concatenate(x) for x in zip(*(_bands(grams, ends, g, block, lowest, span) for g in block.groups)))
+    pair, band = keys // span, keys % span + lowest
+    enough = np.flatnonzero(shared >= block.least[pair % len(block.ids)])
+    enough = enough[np.lexsort((band[enough], pair[enough]))]
+    pair, band = pair[enough], band[enough]
+    row, item = pair // len(block.ids), pair % len(block.ids)
+    e = block.edits[item]
+    first, last = band * (e + 1), (band + 2) * (e + 1) - 1
+    if not len(first):
         return
-    edge = np.flatnonzero(np.concatenate([[True], (np.diff(key_row) != 0) | (np.diff(key_item) != 0) | (np.diff(band) != 0)]))
-    shared = np.diff(np.append(edge, len(order)))
-    enough = shared >= block.least[key_item[edge]]
-    edge = edge[enough]
-    regions: list[list[int]] = []
-    for r, i, b in zip(key_row[edge].tolist(), key_item[edge].tolist(), band[edge].tolist()):
-        h = int(block.edits[i]) + 1
-        first, last = b * h, (b + 2) * h - 1
-        if regions and regions[-1][:2] == [r, i] and first <= regions[-1][3] + 1:
-            regions[-1][3] = last
+    edge = np.concatenate([[True], (pair[1:] != pair[:-1]) | (first[1:] > last[:-1] + 1)])  # overlapping bands are one region
+    begins = np.flatnonzero(edge)
+    row, item, e, first, last = row[begins], item[begins], e[begins], first[begins], last[np.append(begins[1:], len(edge)) - 1]
+    sizes = np.array([len(t) for t in block.texts])[item]
+    around = e + (sizes < Q)  # short items need the bytes beside them
+    begin = np.maximum(0, first - around)
+    stop = np.minimum(ends[row + 1] - ends[row], last + sizes + around + 1)
+    keep = _plausible(item, ends[row] + begin, ends[row] + np.maximum(begin, stop), grams & _mask(FINE), block)
+    for r, i, e, first, last, begin, stop in zip(*(x[keep].tolist() for x in (row, item, e, first, last, begin, stop))):
+        text, a, size = block.texts[i], int(ends[r]), int(ends[r + 1] - ends[r])
+        region = low[a + begin : a + stop].tobytes()
+        if len(text) < Q:
+            got = _whole_word(text, b" " * (begin == 0) + region + b" " * (stop == size), begin == 0)
         else:
-            regions.append([r, i, first, last])
-    for r, i, first, last in regions:
-        text, e = block.texts[i], int(block.edits[i])
-        a, size = int(ends[r]), int(ends[r + 1] - ends[r])
-        begin, stop = max(0, first - e), min(size, last + len(text) + e + 1)
-        got = align(text, low[a + begin : a + stop].tobytes(), first - e - begin, last - first + 1 + 2 * e, e)
+            got = align(text, region, first - e - begin, last - first + 1 + 2 * e, e)
         if got is not None and got[2] > got[1]:
             edits, s, t = got
             yield r, i, int(place[a + begin + s] - offsets[r]), int(place[a + begin + t - 1] + 1 - offsets[r]), edits
 
 
+def _whole_word(item: bytes, region: bytes, led: bool) -> tuple[int, int, int] | None:
+    """The first place where a short item stands between spaces; ``led``: a space has been put before the region."""
+    at = region.find(b" " + item + b" ")
+    return None if at < 0 else (0, at + 1 - led, at + 1 - led + len(item))
+
+
 def row_of(ends: np.ndarray, where: np.ndarray) -> np.ndarray:
     return np.searchsorted(ends, where, side="right") - 1
 
@@ -203,22 +303,40 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
 
     Result: the key, the item's id, start and stop (bytes of the document's UTF-8 text), edits. The benchmark is a set of
     queries: it is broadcast in blocks of bounded size, each against all documents. Null or empty texts hold nothing, items
-    that are null or shorter than `Q` bytes are not searched. Repeated rows and items give a row each; an empty benchmark or
+    that are null or blank are not searched; one shorter than `Q` bytes occurs where it stands as whole words. Repeated rows and items give a row each; an empty benchmark or
     table gives no rows.
     """
     spark = docs.sparkSession
     kinds = docs.schema[key].dataType.simpleString(), benchmark.schema[item].dataType.simpleString()
     rows = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t")).where("t <> ''")
-    out = None
-    for block in blocks(benchmark, item, max_error=max_error):
-        shared = spark.sparkContext.broadcast(block)  # BLOCK bytes of text and their index
-        found = rows.mapInArrow(arrow.lean(_search(shared, benchmark.schema[item].dataType)), f"k {kinds[0]}, i {kinds[1]}, start bigint, stop bigint, edits int")
-        out = found if out is None else out.unionByName(found)
+
+    def search(shared) -> DataFrame:
+        return rows.mapInArrow(arrow.lean(_search(shared, benchmark.schema[item].dataType)), f"k {kinds[0]}, i {kinds[1]}, start bigint, stop bigint, edits int")
+
+    out = _by_block(spark, blocks(benchmark, item, max_error=max_error), search, "leaks")
     if out is None:
         return spark.createDataFrame([], f"`{key}` {kinds[0]}, `{item}` {kinds[1]}, start bigint, stop bigint, edits int")
     return out.withColumnsRenamed({"k": key, "i": item})
 
 
+def _by_block(spark, found: Iterator[Block], search, name: str) -> DataFrame | None:
+    """The rows of ``search(broadcast block)`` of all blocks. A single one is searched when the rows are asked for; several are
+    broadcast and searched one after another, each given up before the next, and their rows are stored."""
+    block, following = next(found, None), next(found, None)
+    if block is None:
+        return None
+    if following is None:
+        return search(spark.sparkContext.broadcast(block))
+    out = None
+    while block is not None:
+        shared = spark.sparkContext.broadcast(block)
+        rows = staged(search(shared), name)
+        shared.destroy()
+        out = rows if out is None else out.unionByName(rows)
+        block, following = following, next(found, None)
+    return out
+
+
 def _search(shared, kind):
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -250,20 +368,30 @@ def _search(shared, kind):
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", max_error: float = MAX_ERROR) -> DataFrame:
     """The documents in which no benchmark item occurs, with all their columns; null and empty texts stay."""
-    spark, out = docs.sparkSession, docs
-    for block in blocks(benchmark, item, max_error=max_error):
-        out = out.where(~_holds(spark.sparkContext.broadcast(block))(F.col(text).cast("string")))
-    return out
-
-
-def _holds(shared):
-    @F.arrow_udf("boolean")
-    def holds(column: pa.Array) -> pa.Array:
-        data, offsets = arrow.flat(column)
-        out = np.zeros(len(column), bool)
-        for i, j in arrow.pieces(offsets):
-            for r, *_ in find(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], shared.value):
-                out[i + r] = True
-        return pa.array(out)
-
-    return holds
+    spark = docs.sparkSession
+    found = blocks(benchmark, item, max_error=max_error)
+    block, following = next(found, None), next(found, None)
+    if block is None:
+        return docs
+    if following is None:
+        shared = spark.sparkContext.broadcast(block)
+        return arrow.extended(docs, {"_leaks": T.BooleanType()}, lambda: lambda column: [_holds(column, shared.value)], text).where("NOT _leaks").drop("_leaks")
+    # whether a document goes depends on its text alone, so the texts that go are named by a hash
+    name = F.md5(F.col(f"`{text}`").cast("string"))
+    texts = docs.select(name.alias("name"), F.col(f"`{text}`").cast("string").alias("t")).where("t <> ''")
+
+    def search(shared) -> DataFrame:
+        held = arrow.extended(texts, {"leaks": T.BooleanType()}, lambda: lambda column: [_holds(column, shared.value)], "t")
+        return held.where("leaks").select("name").distinct()
+
+    gone = _by_block(spark, itertools.chain([block, following], found), search, "leaking")
+    return docs.withColumn("_name", name).join(gone.withColumnRenamed("name", "_gone").distinct(), F.col("_name") == F.col("_gone"), "left_anti").drop("_name")
+
+
+def _holds(column: pa.Array, block: Block) -> pa.Array:
+    data, offsets = arrow.flat(column)
+    out = np.zeros(len(column), bool)
+    for i, j in arrow.pieces(offsets):
+        for r, *_ in find(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], block):
+            out[i + r] = True
+    return pa.array(out)

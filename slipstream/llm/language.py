@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slipstream.llm import arrow
 
@@ -166,13 +167,15 @@ def claim(docs: DataFrame, model: Model, name: str, text: str = "text") -> DataF
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.arrow_udf("double")
-    def of(column: pa.Array) -> pa.Array:
-        out = []
-        for at in range(0, len(column), GROUP):
-            part = column.slice(at, GROUP).fill_null("")
-            letters = pc.match_substring_regex(part, r"\pL").to_numpy(zero_copy_only=False)
-            out += [float(c) if ok else None for c, ok in zip(shared.value.claims(presence(part)), letters)]
-        return pa.array(out, pa.float64())
+    def begin():
+        def of(column: pa.Array) -> list[pa.Array]:
+            out = []
+            for at in range(0, len(column), GROUP):
+                part = column.slice(at, GROUP).fill_null("")
+                letters = pc.match_substring_regex(part, r"\pL").to_numpy(zero_copy_only=False)
+                out += [float(c) if ok else None for c, ok in zip(shared.value.claims(presence(part)), letters)]
+            return [pa.array(out, pa.float64())]
+
+        return of
 
-    return docs.withColumn(name, of(F.col(text)))
+    return arrow.extended(docs, {name: T.DoubleType()}, begin, text)

@@ -165,16 +165,19 @@ def test_passages(spark, planted):
     found = decontaminate.leaks(docs, benchmark).collect()
     got = {(r.doc_id, r.item_id): r for r in found}
     assert set(truth) <= set(got)
-    block = decontaminate.index(list(range(len(items))), items)
     for k, text in enumerate(texts):
         low = _fold(text)
-        for i, item in enumerate(block.ids):
-            fewest = brute.occurs(block.texts[i], low, int(block.edits[i]))
-            assert ((k, item) in got) == (fewest is not None)
+        for i, item in enumerate(map(_fold, items)):
+            limit = len(item) // 10  # one edit in ten bytes, whatever the length
+            if len(item) < 8:
+                fewest = 0 if b" " + item + b" " in b" " + low + b" " else None
+            else:
+                fewest = brute.occurs(item, low, limit)
+            assert ((k, i) in got) == (fewest is not None), (item, low)
             if fewest is not None:
-                r = got[k, item]
+                r = got[k, i]
                 place = text.encode()[r.start : r.stop].decode()
-                assert r.edits == fewest and brute.occurs(_fold(place), block.texts[i], 99) is not None
+                assert r.edits == fewest and brute.occurs(_fold(place), item, 99) is not None
     kept = {r.doc_id for r in decontaminate.clean(docs, benchmark).collect()}
     assert kept == {*range(len(texts)), 100, 101} - {k for k, _ in got}
 
@@ -192,3 +195,60 @@ def test_blocks_do_not_matter(spark, planted):
     benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     found = [i for b in decontaminate.blocks(benchmark, size=60) for i in b.ids]
     assert sorted(found) == list(range(len(items)))
+
+
+def test_short_items_have_the_same_share_of_edits(spark):
+    """Items of 1 to 40 bytes, planted with as many edits as their length allows and with one more."""
+    import random
+
+    rng = random.Random(3)
+    items, texts, want = [], [], set()
+    for size in range(1, 41):
+        for _ in range(3):
+            item = "".join(rng.choice("bcdfghjklm") for _ in range(size))
+            for extra in (0, 1):
+                spoiled = list(item)
+                for at in rng.sample(range(size), min(size, size // 10 + extra)):
+                    spoiled[at] = "Z"
+                texts.append(f"one two {''.join(spoiled)} three")
+                if not extra:
+                    want.add((len(texts) - 1, len(items)))
+            items.append(item)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, benchmark).collect()}
+    assert want <= got
+    for k, text in enumerate(texts):
+        for i, item in enumerate(items):
+            if (k, i) in got - want:
+                assert f" {item} " in text if len(item) < 8 else brute.occurs(_fold(item), _fold(text), len(item) // 10) is not None
+
+
+def test_items_with_a_common_prompt(spark, monkeypatch):
+    """A thousand items begin with one phrase that texts repeat: few are aligned, and unfolding is bounded."""
+    import random
+    import time
+
+    rng = random.Random(6)
+    prompt = "answer the following question with one of the letters "
+    items = [prompt + "".join(rng.choice("abcdefghij ") for _ in range(60)) for _ in range(1000)]
+    texts = [(prompt + "".join(rng.choice("klmnopqrst ") for _ in range(80))) * 10 for _ in range(100)]
+    texts[7] += items[500]
+    block = decontaminate.index(list(range(len(items))), items)
+    monkeypatch.setattr(decontaminate, "ENTRIES", 100_000)
+    data, offsets = arrow.flat(pa.array(texts))
+    start = time.perf_counter()
+    assert [(r, block.ids[i], e) for r, i, _, _, e in decontaminate.find(data, offsets, block)] == [(7, 500, 0)]
+    assert time.perf_counter() - start < 30
+
+
+def test_several_blocks_are_searched_in_turn(spark, planted, monkeypatch):
+    items, texts, truth = planted
+    docs = spark.createDataFrame([*enumerate(texts), (100, None), (101, "")], "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    one = rows_of(decontaminate.leaks(docs, benchmark), "doc_id", "item_id", "start", "stop", "edits")
+    kept = rows_of(decontaminate.clean(docs, benchmark), "doc_id")
+    several = decontaminate.blocks
+    monkeypatch.setattr(decontaminate, "blocks", lambda *a, **b: several(*a, **{**b, "size": 60}))
+    assert rows_of(decontaminate.leaks(docs, benchmark), "doc_id", "item_id", "start", "stop", "edits") == one
+    assert rows_of(decontaminate.clean(docs, benchmark), "doc_id") == kept
