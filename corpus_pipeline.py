@@ -12,8 +12,9 @@ from fractions import Fraction
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from slipstream.llm import bpe, decontaminate, jaccard, language, suffix
+from slipstream.llm import arrow, bpe, decontaminate, jaccard, language, suffix
 from slipstream.llm.queries import held_out, prepare
 from slipstream.session import staged
 
@@ -61,16 +62,17 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     prepare(spark)
     found = suffix.remove_repeats(docs.withColumn("_null", F.col("text").isNull()), REPEAT_BYTES)
-    whole = F.when(~F.col("_null"), F.arrow_udf(_characters, "string")("kept"))
     cut = F.col("n_removed") > 0
-    out = found.withColumn("text", whole).where(~cut | (F.length("text") > 0))
+    whole = arrow.extended(found, {"text": T.StringType()}, lambda: _characters, "kept", "_null")
+    out = whole.where(~cut | (F.length("text") > 0))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(cut, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
 
-def _characters(column: pa.Array) -> pa.Array:
-    return pa.array([None if b is None else b.decode("utf-8", "ignore") for b in column.to_pylist()], pa.string())
+def _characters(column: pa.Array, null: pa.Array) -> list[pa.Array]:
+    texts = [None if n else b.decode("utf-8", "ignore") for b, n in zip(column.to_pylist(), null.to_pylist())]
+    return [pa.array(texts, pa.string())]
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
