@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from slipstream.llm import arrow
 
 NULL_ID = np.int64(2**63 - 1)  # order of a null id: behind all others
+NAMELESS = 2**62  # ids from here on are names of texts without a key
 
 
 def buckets(spark: SparkSession) -> int:
@@ -70,8 +71,22 @@ def order_column(key: str):
     return F.coalesce(F.col(key).cast("bigint"), F.lit(int(NULL_ID)))
 
 
+def named_column(key: str, text: str):
+    """The id as a 64-bit number. A row without one is named by its text, from `NAMELESS` on, so that such rows are told apart and
+    dealt out like all others; `rank` brings their order back. Keys themselves are smaller."""
+    own = F.col(f"`{key}`").cast("bigint")
+    name = F.lit(NAMELESS) + F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))), 2)
+    small = F.when(own < NAMELESS, own).otherwise(F.raise_error(F.lit("keys of 2^62 and more are not read")).cast("bigint"))
+    return F.when(own.isNull(), name).otherwise(small)
+
+
+def rank(ids: np.ndarray) -> np.ndarray:
+    """The order of ids made by `named_column`: rows without a key come behind all others, and none before another."""
+    return np.minimum(ids, NAMELESS)
+
+
 def block_column(key: str, n: int):
-    """The block of an id made by `order_column`."""
+    """The block of an id made by `named_column`."""
     return F.expr(f"CAST(((`{key}` ^ shiftrightunsigned(`{key}`, 17) ^ shiftrightunsigned(`{key}`, 34)) & {2**62 - 1}L) % {n} AS INT)")
 
 
@@ -169,7 +184,7 @@ def visited(docs: DataFrame, notes: DataFrame, function: Callable, schema: str,
     """Documents meet the notes of their block. ``function`` gets an iterator over (batch of id, row and text; the notes of
     the block as exchange rows) and yields record batches; ``row`` holds all columns but the text."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text])
-    ours = docs.select(order_column(key).alias("id"), row.alias("row"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    ours = docs.select(named_column(key, text).alias("id"), row.alias("row"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     ours = ours.withColumn("part", block_column("id", n)).withColumn("kind", F.lit(2))
     both = ours.select("part", "kind", "id", "row", "text").unionByName(notes.select("part", "kind", "n", "ids", "codes", "checks", "places"), True)
 

@@ -15,8 +15,8 @@ ORACLES: dict[str, str] = {}
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Arrow batches small enough that a batch of very long texts stays far below a worker's memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     # what an execution has shuffled goes when it ends: stages that write and read back never hold two exchanges of texts
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark

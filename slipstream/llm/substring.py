@@ -186,7 +186,7 @@ def repeated_windows(docs: DataFrame, window: int, key: str, text: str) -> DataF
     def settle_rows(codes, checks, ids, places):
         order = np.lexsort((ids, checks, codes))
         codes, checks, ids, places = codes[order], checks[order], ids[order], places[order]
-        later = _later(codes, checks, ids)
+        later = _later(codes, checks, packed.rank(ids))
         yield from packed.rows_of(1, packed.block_of(ids[later], blocks), ids[later], codes=codes[later].astype(np.uint32), places=places[later])
         here = ~later
         yield from packed.rows_of(0, packed.bucket_of(codes[here], buckets), ids[here], codes=codes[here], checks=checks[here], places=places[here])
@@ -195,10 +195,10 @@ def repeated_windows(docs: DataFrame, window: int, key: str, text: str) -> DataF
         found = packed.numbers(batches, codes=np.uint64, checks=np.uint32, places=np.uint32)
         order = np.lexsort((found["ids"], found["checks"], found["codes"]))
         codes, checks, ids, places = (found[c][order] for c in ("codes", "checks", "ids", "places"))
-        later = _later(codes, checks, ids)
+        later = _later(codes, checks, packed.rank(ids))
         yield from packed.rows_of(1, packed.block_of(ids[later], blocks), ids[later], codes=codes[later].astype(np.uint32), places=places[later])
 
-    rows = docs.select(packed.order_column(key).alias("id"), docs[text].cast("string").alias("text"))
+    rows = docs.select(packed.named_column(key, text).alias("id"), docs[text].cast("string").alias("text"))
     shared = packed.reduced(rows.mapInArrow(arrow.lean(sample), packed.SCHEMA), reduce_anchors(blocks))
     # written once: the exchanges before it are released, and both kinds of its rows are read
     extended = staged(packed.visited(docs, shared, extend, packed.SCHEMA, key, text, blocks), "windows")

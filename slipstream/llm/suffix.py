@@ -15,7 +15,7 @@ The order of suffixes is needed only up to their first `length` bytes, which sha
 from __future__ import annotations
 
 import functools
-import zlib
+import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +61,11 @@ def _smallest(names: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(names[: len(names) - (width - done)], names[width - done :]) if done < width else names
 
 
+def _name(text: np.ndarray) -> int:
+    """64 bits of a text's digest: rows of one key are told apart by them."""
+    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little")
+
+
 def _gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The bytes of all stretches, one after another."""
     ends = np.cumsum(lengths)
@@ -138,9 +143,9 @@ def repeated_strings(docs: DataFrame, length: int, key: str, text: str) -> DataF
         begin, sizes = starts[first], count + length - 1
         row = np.searchsorted(offsets, begin, side="right") - 1
         hashes = [arrow.spans_hash(part, begin, begin + sizes, w) for w in (0, 1)]
-        tags = np.zeros(len(ids), np.uint32)
+        tags = np.zeros(len(ids), np.uint64)
         for k in np.unique(row).tolist():
-            tags[k] = zlib.crc32(part[offsets[k] : offsets[k + 1]])
+            tags[k] = _name(part[offsets[k] : offsets[k + 1]])
         return smallest[first], ids[row], begin - offsets[row], count, tags[row], *hashes, begin, sizes
 
     def extend(pieces):
@@ -170,9 +175,10 @@ def repeated_strings(docs: DataFrame, length: int, key: str, text: str) -> DataF
         """Of equal stretches in the chunk only the earliest goes on; all suffixes of the others are repeats."""
         route, ids, places, count, tags, h1, h2, sizes, data = (np.concatenate(c) for c in zip(*held))
         begin = np.cumsum(sizes) - sizes
-        order = np.lexsort((places, ids, sizes, h2, h1))
+        rank = packed.rank(ids)
+        order = np.lexsort((places, rank, sizes, h2, h1))
         again = np.zeros(len(order), bool)
-        h1, h2, sizes_, ids_, places_ = h1[order], h2[order], sizes[order], ids[order], places[order]
+        h1, h2, sizes_, ids_, places_ = h1[order], h2[order], sizes[order], rank[order], places[order]
         same = same_as_before(h1, h2, sizes_)
         first = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
         again[order] = same & ((ids_ > ids_[first]) | (places_ > places_[first]))
@@ -197,12 +203,13 @@ def repeated_strings(docs: DataFrame, length: int, key: str, text: str) -> DataF
     def merge(batches):
         found = packed.numbers(batches, checks=np.uint32, places=np.uint32)
         rows = [(n, c) for b in batches for n, c in zip(b.column("n").to_pylist(), b.column("codes").to_pylist())]
-        tags = np.concatenate([np.frombuffer(c, np.uint32, n) for n, c in rows])
-        texts = np.frombuffer(b"".join([c[4 * n :] for n, c in rows]), np.uint8)
+        tags = np.concatenate([np.frombuffer(c, np.uint64, n) for n, c in rows])
+        texts = np.frombuffer(b"".join([c[8 * n :] for n, c in rows]), np.uint8)
         # in the order of documents and places, so that of equal prefixes the earliest comes first
-        sizes, order = found["checks"].astype(np.int64), np.lexsort((found["places"], found["ids"]))
+        sizes, order = found["checks"].astype(np.int64), np.lexsort((found["places"], packed.rank(found["ids"])))
         data = _gather(texts, (np.cumsum(sizes) - sizes)[order], sizes[order])
         sizes, ids, tags, places = sizes[order], found["ids"][order], tags[order], found["places"].astype(np.int64)[order]
+        rank = packed.rank(ids)
         offsets = np.concatenate([[0], np.cumsum(sizes)])
         repeated = np.zeros(len(data), bool)  # where a repeat starts
         rounds = 1 + len(data) // SORTED  # a bucket that is too large for one sort is sorted by parts of the names
@@ -228,7 +235,7 @@ def repeated_strings(docs: DataFrame, length: int, key: str, text: str) -> DataF
             at, source = at[same], source[same]
             row, before = (np.searchsorted(offsets, x, side="right") - 1 for x in (at, source))
             where, there = places[row] + at - offsets[row], places[before] + source - offsets[before]
-            repeated[at[(ids[row] > ids[before]) | (where > there)]] = True  # rows of one key are no earlier at the same byte
+            repeated[at[(rank[row] > rank[before]) | (where > there)]] = True  # rows of one key are no earlier at the same byte
         at = np.flatnonzero(repeated)
         row = np.searchsorted(offsets, at, side="right") - 1
         who, tag, where = ids[row], tags[row], places[row] + at - offsets[row]
@@ -238,7 +245,7 @@ def repeated_strings(docs: DataFrame, length: int, key: str, text: str) -> DataF
             codes=tag[first], places=where[first].astype(np.uint32), checks=count.astype(np.uint32),
         )
 
-    rows = docs.select(packed.order_column(key).alias("id"), docs[text].cast("string").alias("text"))
+    rows = docs.select(packed.named_column(key, text).alias("id"), docs[text].cast("string").alias("text"))
     names = packed.reduced(rows.mapInArrow(arrow.lean(sample), packed.SCHEMA), reduce_anchors(blocks))
     # written once: the exchanges before it are released, and both kinds of its rows are read
     stretches = staged(packed.visited(docs, names, extend, packed.SCHEMA, key, text, blocks), "stretches")
@@ -261,14 +268,14 @@ def remove_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text
         known, found = None, None
         for docs_, notes in pieces:
             if notes and notes is not known:
-                known, found = notes, noted(notes, codes=np.uint32, places=np.uint32, checks=np.uint32)
+                known, found = notes, noted(notes, codes=np.uint64, places=np.uint32, checks=np.uint32)
             data, offsets = arrow.flat(docs_.column(2))
             n_removed, n_spans, kept = [], [], []
             for k, key_ in enumerate(docs_.column(0).to_pylist()):
                 own = data[offsets[k] : offsets[k + 1]]
                 starts, own_notes = (), ()
                 if notes and len(for_id(found, "codes", key_)):  # another text under the same key has its own notes
-                    own_notes = for_id(found, "codes", key_) == zlib.crc32(own)
+                    own_notes = for_id(found, "codes", key_) == np.uint64(_name(own))
                     starts = for_id(found, "places", key_)[own_notes].astype(np.int64)
                 if not len(starts):
                     n_removed.append(0)

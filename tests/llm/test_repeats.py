@@ -1,10 +1,11 @@
 """Word windows and byte strings that repeat, near copies."""
 
+import random
 from fractions import Fraction
 
 import pytest
 
-from slipstream.llm import jaccard, substring, suffix
+from slipstream.llm import jaccard, packed, substring, suffix
 from slipstream.llm.components import components
 from slipstream.llm.queries import prepare
 from tests.llm import brute
@@ -124,3 +125,25 @@ def test_bitmaps_never_lose_a_pair():
             if shared * 5 >= (len(sets[i]) + len(sets[j]) - shared) * 4 and len(np.setxor1d(sets[i], sets[j])):
                 assert frozenset((i, j)) in found
                 assert np.isin(jaccard.keys(sets[i], windows), jaccard.keys(sets[j], windows)).any()
+
+
+def test_rows_without_a_key_keep_to_themselves(spark, monkeypatch):
+    """Texts under a null key whose names would be one number, one of them with a repeated string: the other loses nothing."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(9))
+    passage = " ".join(word() for _ in range(30))
+    rows = [(1, passage)]
+    for k in range(60):
+        own = " ".join(word() for _ in range(40))
+        rows.append((None if k % 3 else 7, own + " " + passage + word() if k % 4 == 1 else own))
+    rows += [(None, rows[5][1]), (None, passage + " " + passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = suffix.remove_repeats(docs)
+    assert rows_of(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept") == sorted(brute.repeated_bytes(rows), key=repr)
+    found = substring.remove_repeats(docs)
+    assert rows_of(found, "doc_id", "n_words", "n_removed", "kept") == sorted(brute.repeated_words(rows), key=repr)
+    # many rows without a key are dealt out over many blocks
+    many = spark.range(500).selectExpr("CAST(NULL AS LONG) AS doc_id", "concat('text ', id) AS text").withColumn("id", packed.named_column("doc_id", "text"))
+    assert many.select(packed.block_column("id", 65)).distinct().count() > 50
+    with pytest.raises(Exception, match="2\\^62"):
+        suffix.remove_repeats(spark.createDataFrame([(2**62, "x")], "doc_id long, text string")).collect()
