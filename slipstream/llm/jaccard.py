@@ -2,8 +2,10 @@
 
 Top of the tree. Sets that reach the threshold differ in at most d shingles (a bound from their sizes). Within each window of
 sizes the shingles are dealt into more than d segments, so two such sets agree wholly on some segment that is not empty: tree
-nodes at the top are (window, segment, its content), and node pairs with other content cannot reach the overlap. Equal sets
-form one class beforehand, equal nodes are kept once, and a large node is split into blocks.
+nodes at the top are (window, segment, its content), and node pairs with other content cannot reach the overlap. Small sets,
+whose segments hold a shingle or two, are dealt into d + 4 segments and agree on two, so their nodes are named by two segments and one
+common shingle brings nobody together. Equal sets form one class beforehand, equal nodes are kept once, and a large node is split
+into blocks.
 
 Inside. The members of a node carry bitmaps of their shingles. They are ordered by size and packed into leaves and inner
 nodes, which hold the OR and the AND of the bitmaps below and the range of sizes. Two nodes are traversed together; a pair is
@@ -12,7 +14,8 @@ that are left at the bottom are verified on their shingles.
 
 Rounds. The first traversal takes the node's first member against all others and then the rest of each block, and keeps only
 pairs that join something new; with those verified, the second one goes over all block pairs of the nodes whose members are
-not all in one component yet. Sets have 64-bit names.
+not all in one component yet. Sets travel under 64-bit names; a second hash of every set shows whether two share one, and then all
+are named anew.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from slipstream.llm import arrow, packed
 from slipstream.llm.components import components
 from slipstream.llm.substring import Chunk, same_as_before
-from slipstream.session import staged
+from slipstream.session import discard, staged
 
 RATIO = 1.25  # between the sizes that begin neighbouring windows
 SEEDS = 4  # dealings that are tried for a set whose shingles fall into too few segments
@@ -75,8 +78,9 @@ class Windows:
         while self.begins[-1] <= size:
             self.begins.append(max(self.begins[-1] + 1, int(self.begins[-1] * RATIO)))
 
-    def of(self, size: int) -> list[tuple[int, int, int]]:
-        """(window, d, segments) for each window of a set of this size; a linked pair shares the smaller one's own window."""
+    def of(self, size: int) -> list[tuple[int, int, int, bool]]:
+        """(window, d, segments, whether names are of two segments) for each window of a set of this size; a linked pair shares
+        the smaller one's own window."""
         self._until(size)
         own = int(np.searchsorted(self.begins, size, side="right")) - 1
         out = []
@@ -87,14 +91,16 @@ class Windows:
                 break
             d = int(self.gap * (most + largest))
             if d:  # else only equal sets are linked, which are one class
-                out.append((g, d, 4 * d + 8 if d <= 4 else d + 1 + max(4, d // 3)))
+                # few shingles make poor names: where a segment holds one or two, nodes are named by two segments
+                pairs = d <= 4 and self.begins[g] >= d + 3
+                out.append((g, d, d + 4 if pairs else 4 * d + 8 if d <= 4 else d + 1 + max(4, d // 3), pairs))
         return out
 
 
 def keys(own: np.ndarray, windows: Windows) -> np.ndarray:
     """The names of the top nodes that a set belongs to."""
     out = []
-    for g, d, segments in windows.of(len(own)):
+    for g, d, segments, pairs in windows.of(len(own)):
         for seed in range(SEEDS + 1):
             salt = np.uint64(((g * 16 + seed) << 32) + 1)
             if seed == SEEDS:  # in too few segments under every seed
@@ -105,8 +111,12 @@ def keys(own: np.ndarray, windows: Windows) -> np.ndarray:
             content = np.zeros(segments, np.uint64)
             np.add.at(content, segment, arrow.mix(own * np.uint64(0x9E3779B97F4A7C15)))
             some = np.flatnonzero(np.bincount(segment, minlength=segments))
-            out.append(arrow.join(arrow.mix(content[some] ^ salt), some.astype(np.uint64)))
-            if len(some) > d:  # an agreeing pair has a segment in common that is not empty
+            names = arrow.join(arrow.mix(content[some] ^ salt), some.astype(np.uint64))
+            if pairs:
+                i, j = np.triu_indices(len(names), 1)
+                names = arrow.mix(arrow.join(names[i], names[j]))
+            out.append(names)
+            if len(some) > d + pairs:  # two sets that reach the threshold agree on one segment, or two, that are not empty
                 break
     return np.concatenate([np.zeros(0, np.uint64), *out])
 
@@ -227,11 +237,11 @@ def _first_round(nodes: np.ndarray, sizes: np.ndarray, maps: np.ndarray, center:
                 yield i, j
 
 
-def _describe(docs: DataFrame, words: int, t: Fraction, key: str, text: str) -> DataFrame:
+def _describe(docs: DataFrame, words: int, t: Fraction, key: str, text: str, salt: int) -> DataFrame:
     """Exchange rows of top node names (kind 0) and one row for each document with its set's size and name and its text's hash (kind 2)."""
     spark = docs.sparkSession
     buckets = packed.buckets(spark)
-    names = ["kind", "part", "n", "ids", "codes", "checks", "places", "id", "row", "size", "h1", "hash"]
+    names = ["kind", "part", "n", "ids", "codes", "checks", "places", "id", "row", "size", "h1", "h2", "hash"]
 
     def run(batches):
         windows, chunk = Windows(t), Chunk()
@@ -242,13 +252,13 @@ def _describe(docs: DataFrame, words: int, t: Fraction, key: str, text: str) ->
             codes, h1 = codes[order], h1[order]
             own = np.flatnonzero(~same_as_before(codes, h1))  # equal sets of the chunk go as one
             for out in packed.rows_of(0, packed.bucket_of(codes[own], buckets), h1[own].view(np.int64), codes=codes[own].astype(np.uint32)):
-                nothing = [pa.nulls(out.num_rows, x) for x in (pa.int64(), row_type, pa.int64(), pa.int64(), pa.int64())]
+                nothing = [pa.nulls(out.num_rows, x) for x in (pa.int64(), row_type, pa.int64(), pa.int64(), pa.int64(), pa.int64())]
                 yield pa.RecordBatch.from_arrays([*out.columns, *nothing], names)
 
         for batch in batches:
             data, offsets = arrow.flat(batch.column(2))
             n, row_type = batch.num_rows, batch.column(1).type
-            sizes, first = (np.zeros(n, k) for k in (np.int64, np.uint64))
+            sizes, first, second = (np.zeros(n, k) for k in (np.int64, np.uint64, np.uint64))
             for i, j in arrow.pieces(offsets):
                 h, row = shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words)
                 cut = np.searchsorted(row, np.arange(j - i + 1))
@@ -257,13 +267,13 @@ def _describe(docs: DataFrame, words: int, t: Fraction, key: str, text: str) ->
                     if not len(own):
                         continue
                     sizes[i + k] = len(own)
-                    first[i + k] = arrow.mix(own.sum(keepdims=True) + np.uint64(len(own)))[0]
+                    first[i + k], second[i + k] = _name(own, salt)[0], _check(own)[0]
                     codes = keys(own, windows)
                     if chunk.add(codes, np.full(len(codes), first[i + k])):
                         yield from flush()
             nothing = [pa.nulls(n, x) for x in (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([2] * n, pa.int32()), *nothing, batch.column(0), batch.column(1), pa.array(sizes), pa.array(first.view(np.int64)), batch.column(3)],
+                [pa.array([2] * n, pa.int32()), *nothing, batch.column(0), batch.column(1), pa.array(sizes), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), batch.column(3)],
                 names,
             )
         if chunk.size:
@@ -271,7 +281,7 @@ def _describe(docs: DataFrame, words: int, t: Fraction, key: str, text: str) ->
 
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(packed.order_column(key).alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("row"), whole.alias("text"), F.xxhash64(whole).alias("hash"))
-    return rows.mapInArrow(arrow.lean(run), f"{packed.SCHEMA}, id bigint, row {packed.row_type(docs, text)}, size bigint, h1 bigint, hash bigint")
+    return rows.mapInArrow(arrow.lean(run), f"{packed.SCHEMA}, id bigint, row {packed.row_type(docs, text)}, size bigint, h1 bigint, h2 bigint, hash bigint")
 
 
 def _nodes(rows: DataFrame) -> DataFrame:
@@ -317,12 +327,25 @@ def _with_text(docs: DataFrame, wanted: DataFrame, reps: DataFrame, key: str, te
 
 
 def _representatives(described: DataFrame) -> DataFrame:
-    """(set, rep, hash, copies): the smallest key of each set and its text's hash, and how many rows have both."""
-    rows = described.where("size > 0").groupBy(F.col("h1").alias("set"), F.col("id").alias("rep"), "hash").agg(F.count("*").alias("copies"))
-    return rows.groupBy("set").agg(F.min(F.struct("rep", "hash", "copies")).alias("f")).select("set", "f.*")
+    """(set, rep, hash, copies, clash): the smallest key of each set and its text's hash, how many rows have both, and whether other
+    sets have the same name."""
+    own = F.struct("size", "h2")
+    rows = described.where("size > 0").groupBy(F.col("h1").alias("set"), F.col("id").alias("rep"), "hash").agg(F.count("*").alias("copies"), F.min(own).alias("p"), F.max(own).alias("q"))
+    sets = rows.groupBy("set").agg(F.min(F.struct("rep", "hash", "copies")).alias("f"), (F.min("p") != F.max("q")).alias("clash"))
+    return sets.select("set", "f.*", "clash")
 
 
-def _sets(column: pa.Array, words: int):
+def _name(own: np.ndarray, salt: int) -> np.ndarray:
+    """The name of a set of shingles."""
+    return arrow.mix(arrow.mix(own ^ np.uint64(salt * 0x9E3779B97F4A7C15 % 2**64)).sum(keepdims=True) + np.uint64(len(own))) if salt else arrow.mix(own.sum(keepdims=True) + np.uint64(len(own)))
+
+
+def _check(own: np.ndarray) -> np.ndarray:
+    """A second hash of a set, of other functions of its shingles."""
+    return arrow.mix(arrow.mix(own * np.uint64(0xD1342543DE82EF95)).sum(keepdims=True))
+
+
+def _sets(column: pa.Array, words: int, salt: int):
     """(set name, shingles) of every text."""
     data, offsets = arrow.flat(column)
     for i, j in arrow.pieces(offsets):
@@ -330,10 +353,10 @@ def _sets(column: pa.Array, words: int):
         cut = np.searchsorted(row, np.arange(j - i + 1))
         for k in range(j - i):
             own = h[cut[k] : cut[k + 1]]
-            yield int(arrow.mix(own.sum(keepdims=True) + np.uint64(len(own))).view(np.int64)[0]), own
+            yield int(_name(own, salt).view(np.int64)[0]), own
 
 
-def _signed(docs: DataFrame, members: DataFrame, reps: DataFrame, words: int, key: str, text: str) -> DataFrame:
+def _signed(docs: DataFrame, members: DataFrame, reps: DataFrame, words: int, salt: int, key: str, text: str) -> DataFrame:
     """Members with their block, size and bitmap; the first member of a node goes to all blocks."""
     block = F.pmod(F.xxhash64("set"), F.expr(f"1 + (members - 1) div {MEMBERS}")).cast("int")
     placed = members.withColumn("blocks", F.expr(f"CAST(1 + (members - 1) div {MEMBERS} AS INT)")).withColumn("block", block)
@@ -342,7 +365,7 @@ def _signed(docs: DataFrame, members: DataFrame, reps: DataFrame, words: int, ke
     def run(batches):
         for batch in batches:
             out = [[] for _ in range(7)]
-            for name, notes_, (found, own) in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _sets(batch.column(2), words)):
+            for name, notes_, (found, own) in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _sets(batch.column(2), words, salt)):
                 if found != name:  # another text of the same hash under the same key
                     continue
                 bits = bitmap(own).tobytes()
@@ -396,7 +419,7 @@ def _unique(columns: dict, *names: str) -> tuple[np.ndarray, ...]:
     return *(columns[c].to_numpy()[at] for c in names), _folded([np.frombuffer(maps[k], np.uint64) for k in at])
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, words: int, t: Fraction, key: str, text: str) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, words: int, salt: int, t: Fraction, key: str, text: str) -> DataFrame:
     """The pairs of sets (a, b) whose shingles reach the threshold."""
     sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("set"))
 
@@ -407,7 +430,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, words: int, t:
             for i in range(batch.num_rows):
                 a, b, name = (batch.column(c)[i].as_py() for c in range(3))
                 if name not in seen:
-                    found, own = next(_sets(batch.column(3).slice(i, 1), words))
+                    found, own = next(_sets(batch.column(3).slice(i, 1), words, salt))
                     if found != name:  # another text of the same hash under the same key
                         continue
                     seen.clear()  # rows of one set often follow each other
@@ -436,11 +459,16 @@ def link(docs: DataFrame, words: int = 5, threshold: Fraction = Fraction(4, 5),
     document reaches by links, itself included) and component (a number that the documents of one component share; null
     without shingles), which replace columns of their names; one row for each row.
     """
-    t = Fraction(threshold)
-    rows = staged(_describe(docs, words, t, key, text), "shingles")
+    t, salt = Fraction(threshold), 0
+    while True:
+        rows = staged(_describe(docs, words, t, key, text, salt), "shingles", ["kind"])
+        reps = staged(_representatives(rows.where("kind = 2")), "representatives")
+        if reps.where("clash").isEmpty():
+            break
+        salt += 1  # two sets have one name
     described = rows.where("kind = 2").select("id", "row", "size", "h1")
-    reps = staged(_representatives(rows.where("kind = 2")), "representatives")
-    signed = staged(_signed(docs, _members(rows), reps, words, key, text), "signed")
+    signed = staged(_signed(docs, _members(rows), reps, words, salt, key, text), "signed")
+    discard(rows, "kind=0")
 
     def first(columns):
         nodes, sizes, centers, maps = _unique(columns, "set", "size", "center")
@@ -448,9 +476,12 @@ def link(docs: DataFrame, words: int = 5, threshold: Fraction = Fraction(4, 5),
             yield nodes[i], nodes[j]
 
     tried = staged(_by_node(signed, ["node", "block"], first), "pairs")
-    links = staged(_verified(docs, tried, reps, words, t, key, text), "links")
-    rooted = staged(_rooted(signed, links), "rooted")
-    undone = rooted.groupBy("node").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("node")
+    links = staged(_verified(docs, tried, reps, words, salt, t, key, text), "links")
+    roots = components(links).select(F.col("node").alias("set"), "root")
+    placed = signed.select("node", "set").join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
+    undone = placed.groupBy("node").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("node")
+    # bitmaps are moved only of nodes whose members are not all in one component
+    rooted = signed.join(staged(undone, "undone"), "node").join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
 
     def second(columns):
         sides = []
@@ -468,10 +499,11 @@ def link(docs: DataFrame, words: int = 5, threshold: Fraction = Fraction(4, 5),
         for left, right in traverse(one[1], other[1], t):
             yield from zip(one[0][left].tolist(), other[0][right].tolist())
 
-    rest = rooted.join(undone, "node").withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rest = rooted.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rest = rest.withColumns({"low": F.least("block", "with"), "high": F.greatest("block", "with")})
     more = _by_node(rest, ["node", "low", "high"], second).join(tried, ["a", "b"], "left_anti")
-    every = links.unionByName(_verified(docs, more, reps, words, t, key, text))
+    every = staged(links.unionByName(_verified(docs, more, reps, words, salt, t, key, text)), "links")
+    discard(signed)
     found = components(every)
     least = found.join(reps, F.col("node") == F.col("set")).groupBy("root").agg(F.min("rep").alias("least"))
     of_set = reps.join(found, F.col("set") == F.col("node"), "left").join(least, "root", "left")
@@ -481,9 +513,3 @@ def link(docs: DataFrame, words: int = 5, threshold: Fraction = Fraction(4, 5),
     smallest = F.coalesce("least", "id")
     out = out.withColumns({"n_shingles": F.col("size"), "component_id": F.when(smallest != F.lit(int(packed.NULL_ID)), smallest)})
     return packed.unpacked(out, docs, text, "n_shingles", "component_id", "component")
-
-
-def _rooted(signed: DataFrame, links: DataFrame) -> DataFrame:
-    """Members with the component that the links so far put their set in."""
-    roots = components(links).select(F.col("node").alias("set"), "root")
-    return signed.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))

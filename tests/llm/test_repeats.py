@@ -147,3 +147,41 @@ def test_rows_without_a_key_keep_to_themselves(spark, monkeypatch):
     assert many.select(packed.block_column("id", 65)).distinct().count() > 50
     with pytest.raises(Exception, match="2\\^62"):
         suffix.remove_repeats(spark.createDataFrame([(2**62, "x")], "doc_id long, text string")).collect()
+
+
+def test_sets_of_one_name_are_named_anew(spark, small, monkeypatch):
+    """A hash under which all sets of one size share a name: the second hash shows it."""
+    import numpy as np
+
+    real = jaccard._name
+    monkeypatch.setattr(jaccard, "_name", lambda own, salt: real(own, salt) if salt > 1 else np.array([len(own) // 50], np.uint64))
+    docs, rows = small
+    found = jaccard.link(docs, 5, Fraction(4, 5))
+    assert rows_of(found, "doc_id", "n_shingles", "component_id") == sorted(brute.linked(rows, 5, Fraction(4, 5))[0], key=repr)
+
+
+def test_one_common_shingle_brings_nobody_together():
+    """Of small sets that share one shingle few share a node; pairs at the threshold always do."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for t, sizes in ((Fraction(4, 5), (8, 10, 12)), (Fraction(9, 10), (10, 14, 20, 30))):
+        for size in sizes:
+            windows = jaccard.Windows(t)
+            assert all(pairs for *_, pairs in windows.of(size))
+            common = rng.integers(0, 2**63, 1, dtype=np.uint64)
+            counts: dict[int, int] = {}
+            for _ in range(2000):
+                own = np.sort(np.concatenate([common, rng.integers(0, 2**63, size - 1, dtype=np.uint64)]))
+                for k in np.unique(jaccard.keys(own, windows)).tolist():
+                    counts[k] = counts.get(k, 0) + 1
+            assert max(counts.values()) <= 25
+    for _ in range(3000):
+        t = Fraction(int(rng.integers(6, 10)), 10)
+        windows = jaccard.Windows(t)
+        a = rng.integers(0, 2**63, int(rng.integers(2, 30)), dtype=np.uint64)
+        b = np.concatenate([a[int(rng.integers(0, 3)) :], rng.integers(0, 2**63, int(rng.integers(0, 3)), dtype=np.uint64)])
+        a, b = np.unique(a), np.unique(b)
+        shared = len(np.intersect1d(a, b))
+        if len(b) and shared * t.denominator >= (len(a) + len(b) - shared) * t.numerator and len(np.setxor1d(a, b)):
+            assert np.isin(jaccard.keys(a, windows), jaccard.keys(b, windows)).any()
