@@ -449,3 +449,27 @@ def model_input_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 def speed_imputed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The speed trap that was out in round 1 of 2025, filled from alike laps."""
     return attempts.impute_speed(staged(_attempt_laps(spark, sf_dir), "attempt-laps"), 2025, 1)
+
+
+@registry.add(
+    "speed_filled",
+    "s:AttemptID Role d:LapNumber KeptSpeedI2 KeptDelta b:filled observed",
+    f"""WITH {ATTEMPTS_SQL}, known AS (SELECT min("SpeedI2") AS lo, max("SpeedI2") AS hi FROM attempt_laps)
+    SELECT "AttemptID", "Role", "LapNumber", "SpeedI2" AS "KeptSpeedI2",
+      CASE WHEN "Season" <> 2025 OR "Round" <> 1 THEN "DeltaSpeedI2" END AS "KeptDelta",
+      "SpeedI2" IS NOT NULL OR ("Season" = 2025 AND "Round" = 1) AS filled,
+      CASE WHEN "SpeedI2" IS NOT NULL OR ("Season" = 2025 AND "Round" = 1) THEN true END AS observed
+    FROM attempt_laps, known""",
+)
+def speed_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What imputation leaves as it was, which rows have a speed afterwards, and whether it lies among the observed ones."""
+    laps = staged(_attempt_laps(spark, sf_dir), "attempt-laps")
+    chosen = (F.col("Season") == 2025) & (F.col("Round") == 1)
+    keys = ["AttemptID", "Role", "LapNumber"]
+    before = laps.select(*keys, F.col("SpeedI2").alias("KeptSpeedI2"))
+    after = attempts.impute_speed(laps, 2025, 1)
+    span = laps.agg(F.struct(F.min("SpeedI2").alias("lo"), F.max("SpeedI2").alias("hi"))).scalar()
+    found = after.join(before, keys).withColumns(
+        {"KeptDelta": F.when(~chosen, F.col("DeltaSpeedI2")), "filled": F.col("SpeedI2").isNotNull(), "span": span}
+    )
+    return found.withColumn("observed", F.expr("SpeedI2 >= span.lo - 1e-9 AND SpeedI2 <= span.hi + 1e-9"))

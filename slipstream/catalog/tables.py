@@ -728,6 +728,22 @@ def corr_pairs(spark, sf_dir):
     return statistics.correlation_pairs(table(spark, sf_dir, "lineitem"), _NUMBERS)
 
 
+_LOT = "CASE WHEN p_partkey % 3 = 0 THEN p_size END"
+
+
+@registry.add(
+    "strong_pairs",
+    "s:Variable_1 Variable_2 d:Correlation",
+    f"""WITH p AS (SELECT p_retailprice, p_size, p_partkey, 2 * p_size + p_partkey % 2 AS double_size, {_LOT} AS some_size FROM part),
+    r AS ({" UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS c FROM p" for a, b in (("double_size", "p_partkey"), ("double_size", "p_retailprice"), ("double_size", "p_size"), ("double_size", "some_size"), ("p_partkey", "p_retailprice"), ("p_partkey", "p_size"), ("p_partkey", "some_size"), ("p_retailprice", "p_size"), ("p_retailprice", "some_size"), ("p_size", "some_size")))})
+    SELECT a AS "Variable_1", b AS "Variable_2", c AS "Correlation" FROM r WHERE abs(c) > 0.95""",
+)
+def strong_pairs(spark, sf_dir):
+    """Pairs of columns that are correlated above 0.95, each on the rows where both are known."""
+    parts = table(spark, sf_dir, "part").selectExpr("p_retailprice", "p_size", "p_partkey", "2 * p_size + p_partkey % 2 AS double_size", f"{_LOT} AS some_size")
+    return statistics.correlation_pairs(parts, parts.columns, above=0.95)
+
+
 _R = "r12 AS (SELECT corr(l_quantity, l_extendedprice) AS a, corr(l_quantity, l_tax) AS b, corr(l_extendedprice, l_tax) AS c FROM lineitem)"
 _DET = "(1 + 2 * a * b * c - a * a - b * b - c * c)"
 
@@ -818,6 +834,34 @@ def strat_split(spark, sf_dir):
     return sampling.stratified_split(orders, ["o_orderstatus"], "o_orderkey", 0.2)
 
 
+_STEP = "('0x' || substr(md5('42-' || {k} || '-' || {half}), 1, 12))::BIGINT"
+_TURNS = {0: "(l + " + _STEP.format(k=0, half="r") + ") % high AS l, r", 1: "l, (r + " + _STEP.format(k=1, half="l") + ") % low AS r",
+          2: "(l + " + _STEP.format(k=2, half="r") + ") % high AS l, r", 3: "l, (r + " + _STEP.format(k=3, half="l") + ") % low AS r"}
+
+
+def _mixed_sql(rows: str) -> str:
+    """Rows (o_orderkey, pos, high, low, n) with ``pos`` after one pass of the bijection."""
+    out = f"SELECT *, pos // low AS l, pos % low AS r FROM {rows}"
+    for turn in _TURNS.values():
+        out = f"SELECT o_orderkey, high, low, n, {turn} FROM ({out})"
+    return f"SELECT o_orderkey, l * low + r AS pos, high, low, n FROM ({out})"
+
+
+@registry.add(
+    "permuted_rows",
+    "i:o_orderkey donor d:o_totalprice",
+    f"""WITH RECURSIVE s AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) - 1 AS number, count(*) OVER () AS n FROM orders),
+    b AS (SELECT o_orderkey, number AS pos, ceil(sqrt(n))::BIGINT AS high, ceil(n / ceil(sqrt(n)))::BIGINT AS low, n FROM s),
+    w AS ({_mixed_sql("b")} UNION ALL ({_mixed_sql("(SELECT * FROM w WHERE pos >= n)")}))
+    SELECT w.o_orderkey, s.o_orderkey AS donor, s.o_totalprice FROM w JOIN s ON w.pos = s.number WHERE w.pos < w.n""",
+)
+def permuted_rows(spark, sf_dir):
+    """Each order with the key and price of another one: an exact permutation."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    found = sampling.permuted(orders, "o_orderkey", ["o_orderkey", "o_totalprice"], "other")
+    return found.select("o_orderkey", F.col("other.o_orderkey").alias("donor"), F.col("other.o_totalprice").alias("o_totalprice"))
+
+
 @registry.add(
     "strat_kfold",
     "i:o_orderkey s:o_orderstatus i:fold",

@@ -109,8 +109,10 @@ def target_encode(
             ).alias("__code"),
         )
     )
-    same = F.col(column).eqNullSafe(F.col("__lv")) & (F.col(fold) == F.col("__f"))
-    encoded = df.join(others, same).withColumn(out, F.col("__code")).select(*df.columns, out)
+    # a level's codes travel together, one for each fold: the join is by level, and a frequent level is split like any skewed key
+    codes = others.groupBy("__lv").agg(F.map_from_entries(F.collect_list(F.struct("__f", "__code"))).alias("__codes"))
+    joined = df.join(codes, F.col(column).eqNullSafe(F.col("__lv")))
+    encoded = joined.withColumn(out, F.try_element_at("__codes", F.col(fold))).select(*df.columns, out)
     if test is None:
         return encoded
     mean_code = others.groupBy("__lv").agg(F.avg("__code").alias("__code"))

@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 from slipstream.models import evaluation
 from slipstream.models.boosting import Booster
 from slipstream.models.features import feature_names
-from slipstream.operators.sampling import class_weights, hash_rank
+from slipstream.operators.sampling import class_weights, permuted
 from slipstream.session import staged
 
 LABEL, WEIGHT, PROBABILITY = "label", "weight", "p"
@@ -239,17 +239,14 @@ def importance(model: PipelineModel, df: DataFrame, sign: str = "elojel") -> Dat
 
 
 def permutation_importance(
-    model, df: DataFrame, key: str, features: Sequence[str], seed: int = 42, spread: bool = False
+    model, df: DataFrame, key: str, features: Sequence[str], seed: int = 42, spread: bool = True
 ) -> DataFrame:
     """Loss of AUC when one input column is shuffled, for each column.
 
-    A shuffle is an exact permutation: rows are ranked in two independent hash orders and the values of
-    one order are joined to the other. One join shuffles all columns; each scoring uses one of them.
+    A shuffle is an exact permutation by a seeded bijection of row numbers. One join shuffles all columns; each scoring uses
+    one of them.
     """
-    options = {"spread": spread}
-    ranked = hash_rank(hash_rank(df, [], key, seed, "__a", **options), [], key, seed + 1, "__b", **options)
-    donor = ranked.select(F.col("__b").alias("__a"), F.struct(*features).alias("__other"))
-    paired = staged(ranked.join(donor, "__a").drop("__a", "__b"), "shuffled-columns")
+    paired = staged(permuted(df, key, features, "__other", seed, spread), "shuffled-columns")
     base = evaluation.roc_auc(scored(model, paired), LABEL, PROBABILITY)
     drops = None
     for f in features:

@@ -2,9 +2,12 @@
 
 A plain window function sends a whole group to one task. That is the right plan for groups that are
 bounded by what they are (the laps of a driver in a race) and the wrong one for any other. A spread
-scan deals rows out by ranges of (keys, order), so a group of any size lies in as many ranges as it
+scan cuts the order of (keys, order) into ranges, so a group of any size lies in as many ranges as it
 calls for; each range is scanned on its own, and what came before arrives as one small carry row for
 a group that crosses a border between ranges. There is one way for groups of every size.
+
+The borders are quantiles of a sample drawn by hash, which is a subquery of the plan: the same rows give the same borders however
+often and wherever they are read, so nothing is written and nothing runs before an action. Rows move once, to (keys, range).
 """
 
 from __future__ import annotations
@@ -16,9 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from slipstream.session import staged
-
-_RANGE = "__scan_range"
+_RANGE, _INDEX, _CUTS, _OFFSET = "__scan_range", "__scan_index", "__scan_cuts", "__scan_offset"
+SAMPLED = 32  # sampled rows for each range
 
 
 @dataclass(frozen=True)
@@ -29,19 +31,21 @@ class Scan:
               ``last``: latest non-null ``value`` at or before this row
               ``prev``: ``value`` of the row before, null included
     backward  scan from the end of the group to its start
+    placed    ``last`` only: a struct of the value ``v`` and the number ``i`` of its row in the group
     """
 
     kind: str
     value: Column
     backward: bool = False
+    placed: bool = False
 
 
 def running_total(value) -> Scan:
     return Scan("sum", value)
 
 
-def latest(value, backward: bool = False) -> Scan:
-    return Scan("last", value, backward)
+def latest(value, backward: bool = False, placed: bool = False) -> Scan:
+    return Scan("last", value, backward, placed)
 
 
 def previous(value) -> Scan:
@@ -69,10 +73,19 @@ def bin_index(value: Column, cuts: Column, most: int) -> Column:
     )
 
 
+def _found(scan: Scan) -> Column:
+    """What a ``last`` scan looks for: the value, with the row's number if it is placed."""
+    if not scan.placed:
+        return scan.value
+    return F.when(scan.value.isNotNull(), F.struct(scan.value.alias("v"), F.col(_INDEX).alias("i")))
+
+
 def _windowed(df: DataFrame, keys: list, order: list[Column], scans: dict[str, Scan]) -> DataFrame:
     """The plain form: window functions over whole groups (or the part of a group in one range)."""
     forward = Window.partitionBy(*keys).orderBy(*order)
     upto = forward.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if any(s.placed for s in scans.values()):
+        df = df.withColumn(_INDEX, F.row_number().over(forward).cast("long"))
     outputs = {}
     for name, scan in scans.items():
         # a frame from here to the end would be computed anew for every row: the order is turned round instead
@@ -80,7 +93,7 @@ def _windowed(df: DataFrame, keys: list, order: list[Column], scans: dict[str, S
         if scan.kind == "sum":
             outputs[name] = F.sum(F.coalesce(scan.value, F.lit(0))).over(frame)
         elif scan.kind == "last":
-            outputs[name] = F.last(scan.value, ignorenulls=True).over(frame)
+            outputs[name] = F.last(_found(scan), ignorenulls=True).over(frame)
         else:
             step = F.lead if scan.backward else F.lag
             # a struct is never null itself, so a missing row differs from a null value
@@ -94,7 +107,7 @@ def _reversed(keys: list, order: list[Column]):
 
 def _finish(df: DataFrame, scans: dict[str, Scan]) -> DataFrame:
     unwrap = {n: F.col(f"`{n}`.v") for n, s in scans.items() if s.kind == "prev"}
-    return df.withColumns(unwrap) if unwrap else df
+    return (df.withColumns(unwrap) if unwrap else df).drop(_INDEX)
 
 
 def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -108,17 +121,37 @@ class OrderedRows:
     """Rows in a total order inside groups, to which scans are added one after another.
 
     ``order`` is a total order inside a group, ascending, nulls first. ``spread=False`` states that
-    groups are bounded by what they are; the scans are then plain windows and nothing runs early.
-    Else the rows are dealt out by ranges and written once to the shared folder, so that all scans
-    agree on the ranges.
+    groups are bounded by what they are; the scans are then plain windows. Else the rows are cut into ranges
+    by borders that follow from the rows alone. Each call of `add` reads the rows of groups that cross a border once more,
+    for their carries, so scans that do not need each other's outputs belong in one call.
     """
 
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence, spread: bool = True):
         self.keys, self.order, self.spread = list(keys), [_column(c) for c in order], spread
+        self._columns = list(df.columns)
         self._rows = df
         if spread:
-            dealt = df.repartitionByRange(*[F.col(k) for k in self.keys], *self.order)
-            self._rows = self._stored = staged(dealt.withColumn(_RANGE, F.spark_partition_id()), "ranges")
+            self._cut(df)
+
+    def _cut(self, df: DataFrame) -> None:
+        """Number the ranges, and set apart the rows of groups that cross a border."""
+        ranges = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        own = F.struct(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(self.keys)])
+        place = F.struct(own.alias("k"), F.struct(*[c.alias(f"o{i}") for i, c in enumerate(self.order)]).alias("o")) if self.keys else F.struct(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(self.order)]).alias("o"))
+        # the first rows by hash are a sample that every reading of the rows gives again
+        sample = df.select(place.alias("p")).orderBy(F.xxhash64("p")).limit(SAMPLED * ranges)
+        quantile = F.transform(
+            F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.try_element_at(F.col("s"), F.ceil(i * F.size("s") / ranges).cast("int"))
+        )
+        cuts = sample.agg(F.sort_array(F.collect_list("p")).alias("s")).select(F.when(F.size("s") > 0, F.array_distinct(quantile)))
+        with_cuts = df.withColumn(_CUTS, cuts.scalar()).withColumn(_RANGE, F.coalesce(bin_index(place, F.col(_CUTS), ranges), F.lit(0)))
+        self._rows = with_cuts.drop(_CUTS)
+        crossing = F.col(_CUTS).isNotNull()
+        if self.keys:
+            # a group lies on both sides of a border only if the border next to the row is its own
+            below, above = (F.when(at > 0, F.try_element_at(F.col(_CUTS), at))["k"] for at in (F.col(_RANGE), F.col(_RANGE) + 1))
+            crossing = crossing & (below.eqNullSafe(own) | above.eqNullSafe(own))
+        self._edge = with_cuts.where(crossing).drop(_CUTS)
 
     @property
     def rows(self) -> DataFrame:
@@ -129,31 +162,35 @@ class OrderedRows:
         if not self.spread:
             self._rows = _finish(_windowed(self._rows, self.keys, self.order, scans), scans)
             return self
-        local = _windowed(self._rows, [*self.keys, _RANGE], self.order, scans)
         carry = self._carries(scans)
+        self._rows, self._edge = (self._carried(rows, carry, scans) for rows in (self._rows, self._edge))
+        return self
+
+    def _carried(self, rows: DataFrame, carry: DataFrame, scans: dict[str, Scan]) -> DataFrame:
+        """The scans inside each range, with what the ranges before it bring."""
+        local = _windowed(rows, [*self.keys, _RANGE], self.order, scans)
         matched = _same_key(local, carry, self.keys) & (local[_RANGE] == carry["__scan_k_range"])
-        joined = local.join(F.broadcast(carry), matched, "left")  # at most two rows for each range
+        joined = local.join(F.broadcast(carry), matched, "left")  # a range has at most two groups that cross its borders
         merged = {}
         for name, scan in scans.items():
             here, carried = F.col(f"`{name}`"), F.col(f"__scan_c_{name}")
-            merged[name] = here + F.coalesce(carried, F.lit(0)) if scan.kind == "sum" else F.coalesce(here, carried)
-        self._rows = _finish(joined.withColumns(merged).select(*[F.col(f"`{c}`") for c in local.columns]), scans)
-        return self
-
-    def _crossing(self) -> DataFrame:
-        """The parts of groups that lie in several ranges: such a group is the first or the last of each of its ranges."""
-        names = [f"__scan_k_{k}" for k in self.keys]
-        if not names:
-            return self._stored.select(F.col(_RANGE).alias("__scan_k_range")).distinct()
-        group = F.struct(*[F.col(k).alias(n) for k, n in zip(self.keys, names)])
-        ends = self._stored.groupBy(F.col(_RANGE).alias("__scan_k_range")).agg(F.min(group).alias("a"), F.max(group).alias("b"))
-        edge = ends.select("__scan_k_range", F.explode(F.array_distinct(F.array("a", "b"))).alias("g"))
-        several = edge.groupBy(F.col("g").alias("h")).agg(F.count("*").alias("n")).where("n > 1").select("h")
-        return edge.join(several, F.col("g").eqNullSafe(F.col("h"))).select("__scan_k_range", "g.*")
+            if scan.kind == "sum":
+                merged[name] = here + F.coalesce(carried, F.lit(0))
+            elif scan.placed:
+                moved = F.struct(here["v"].alias("v"), (here["i"] + F.coalesce(F.col(_OFFSET), F.lit(0))).alias("i"))
+                merged[name] = F.when(here.isNotNull(), moved).otherwise(carried)
+            else:
+                merged[name] = F.coalesce(here, carried)
+        return _finish(joined.withColumns(merged).select(*[F.col(f"`{c}`") for c in local.columns]), scans)
 
     def _carries(self, scans: dict[str, Scan]) -> DataFrame:
         """What the other ranges hold of each crossing group: one summary row per range, scanned per group."""
-        edges, names = self._crossing(), [f"__scan_k_{k}" for k in self.keys]
+        names = [f"__scan_k_{k}" for k in self.keys]
+        placed = any(s.placed for s in scans.values())
+        rows = self._edge
+        if placed:
+            forward = Window.partitionBy(*self.keys, _RANGE).orderBy(*self.order)
+            rows = rows.withColumn(_INDEX, F.row_number().over(forward).cast("long"))
         rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(self.order)])
         summaries = {}
         for name, scan in scans.items():
@@ -162,19 +199,27 @@ class OrderedRows:
             else:
                 pick = F.min_by if scan.backward else F.max_by
                 if scan.kind == "last":
-                    summaries[name] = pick(scan.value, F.when(scan.value.isNotNull(), rank))
+                    summaries[name] = pick(_found(scan), F.when(scan.value.isNotNull(), rank))
                 else:
                     summaries[name] = pick(F.struct(scan.value.alias("v")), rank)
-        inside = _same_key(self._rows, edges, self.keys) & (self._rows[_RANGE] == edges["__scan_k_range"])
-        parts = self._rows.join(F.broadcast(edges), inside)  # at most two rows for each range
-        per_part = parts.groupBy("__scan_k_range", *names).agg(*[v.alias(f"__scan_s_{n}") for n, v in summaries.items()])
-        carries = {}
+        grouped = rows.groupBy(F.col(_RANGE).alias("__scan_k_range"), *[F.col(f"`{k}`").alias(n) for k, n in zip(self.keys, names)])
+        per_part = grouped.agg(*[v.alias(f"__scan_s_{n}") for n, v in summaries.items()], F.count("*").alias("__scan_n"))
+        walks = {b: Window.partitionBy(*names).orderBy(F.col("__scan_k_range").desc() if b else F.col("__scan_k_range").asc()) for b in (False, True)}
+        before = {b: w.rowsBetween(Window.unboundedPreceding, -1) for b, w in walks.items()}
+        carries = {_OFFSET: F.sum("__scan_n").over(before[False])}
+        if placed:  # numbers inside a range become numbers inside the group
+            per_part = per_part.withColumns(carries)
+            moved = {}
+            for name, scan in scans.items():
+                if scan.placed:
+                    c = F.col(f"__scan_s_{name}")
+                    moved[f"__scan_s_{name}"] = F.when(c.isNotNull(), F.struct(c["v"].alias("v"), (c["i"] + F.coalesce(F.col(_OFFSET), F.lit(0))).alias("i")))
+            per_part, carries = per_part.withColumns(moved), {}
         for name, scan in scans.items():
-            walk = F.col("__scan_k_range").desc() if scan.backward else F.col("__scan_k_range").asc()
-            frame = Window.partitionBy(*names).orderBy(walk).rowsBetween(Window.unboundedPreceding, -1)
-            summary = F.col(f"__scan_s_{name}")
+            summary, frame = F.col(f"__scan_s_{name}"), before[scan.backward]
             carries[f"__scan_c_{name}"] = F.sum(summary).over(frame) if scan.kind == "sum" else F.last(summary, ignorenulls=True).over(frame)
-        return per_part.withColumns(carries).select("__scan_k_range", *names, *carries)
+        outputs = [f"__scan_c_{n}" for n in scans]
+        return per_part.withColumns(carries).select("__scan_k_range", _OFFSET, *names, *outputs)
 
 
 def ordered_scan(

@@ -22,7 +22,6 @@ from slipstream.operators.scans import (
     previous,
     running_total,
 )
-from slipstream.session import staged
 
 
 def interpolate(
@@ -36,13 +35,11 @@ def interpolate(
 
     Leading and trailing nulls stay null, as does everything in a group with one known value.
     """
-    ordered = OrderedRows(df, keys, order, spread).add({"__i": running_total(F.lit(1))})
-    scans = {}
+    scans = {"__i": running_total(F.lit(1).cast("long"))}
     for c in columns:
-        known = F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"), F.col("__i").alias("i")))
-        scans[f"__lo_{c}"] = latest(known)
-        scans[f"__hi_{c}"] = latest(known, backward=True)
-    around = ordered.add(scans).rows
+        scans[f"__lo_{c}"] = latest(F.col(f"`{c}`"), placed=True)
+        scans[f"__hi_{c}"] = latest(F.col(f"`{c}`"), backward=True, placed=True)
+    around = ordered_scan(df, keys, order, scans, spread)
     filled = {}
     for c in columns:
         lo, hi = f"__lo_{c}", f"__hi_{c}"
@@ -197,20 +194,22 @@ def group_median_fill(
     if not spread:
         group = Window.partitionBy(*keys)
         return df.withColumns({c: F.coalesce(F.col(c), F.median(c).over(group)) for c in columns})
-    out = df
-    for c in columns:
-        # stored, so that the join is planned by the size it has: broadcast if small, else sorted with skew handling
-        middle = staged(exact_median(df, keys, c, "__median", spread), "medians")
-        renamed = middle.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__median")
-        same = F.lit(True)
-        for k in keys:
-            same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-        out = (
-            out.join(renamed, same, "left")
-            .withColumn(c, F.coalesce(F.col(c), F.col("__median")))
-            .drop("__median", *[f"__k_{k}" for k in keys])
-        )
-    return out
+    kinds = dict(df.dtypes)
+    # all columns in one scan: a value is (group, column, value), whatever column it is from
+    values = F.array(*[F.col(f"`{c}`").cast("double") for c in columns])
+    long = df.select(*[F.col(f"`{k}`") for k in keys], F.posexplode(values).alias("__column", "__value"))
+    middle = exact_median(long, [*keys, "__column"], "__value", "__median", spread)
+    wide = middle.groupBy(*[F.col(f"`{k}`").alias(f"__k_{k}") for k in keys]).agg(
+        *[F.max(F.when(F.col("__column") == i, F.col("__median"))).alias(f"__median_{i}") for i in range(len(columns))]
+    )
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"__k_{k}"))
+    filled = {}
+    for i, c in enumerate(columns):
+        whole = kinds[c] in ("tinyint", "smallint", "int", "bigint")  # the middle of two whole numbers may be none
+        filled[c] = F.coalesce(F.col(f"`{c}`").cast("double") if whole else F.col(f"`{c}`"), F.col(f"__median_{i}"))
+    return df.join(wide, same, "left").withColumns(filled).select(*df.columns)
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], column: str, out: str, spread: bool = True) -> DataFrame:

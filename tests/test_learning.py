@@ -88,6 +88,46 @@ def test_imputation_takes_observed_values(spark):
     assert limited.where("y IS NULL").count() == df.where("y IS NULL AND id >= 50").count()
 
 
+def test_imputation_by_the_predictors_that_are_known(spark):
+    """Rows lacking any of the predictors are filled by a model of their own, each from the donors nearest to it."""
+    import numpy as np
+
+    rng = random.Random(8)
+    rows = []
+    for i in range(500):
+        a, b = rng.uniform(-3, 3), rng.choice([0.0, 1.0, 2.0])
+        y = 10 * a + 100 * b + rng.gauss(0, 0.01)
+        rows.append((i, None if i % 5 == 1 else a, None if i % 7 == 2 else b, None if i % 4 == 0 else y, y))
+    rows += [(1000, None, None, None, 0.0), (1001, None, None, None, 0.0)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y double, truth double").repartition(4)
+    got = {r["id"]: r for r in statistics.impute_by_matching(df, "id", "y", ["a", "b"], draws=4).collect()}
+    assert len(got) == len(rows) and all(r["y"] is not None for r in got.values())
+    assert got == {r["id"]: r for r in statistics.impute_by_matching(df.repartition(2), "id", "y", ["a", "b"], draws=4).collect()}
+    whole = [r for r in got.values() if r["id"] % 4 == 0 and r["a"] is not None and r["b"] is not None]
+    assert len(whole) > 50 and max(abs(r["y"] - r["truth"]) for r in whole) < 12  # the nearest donors are close
+    by_b = [r for r in got.values() if r["id"] % 4 == 0 and r["id"] < 1000 and r["a"] is None and r["b"] is not None]
+    assert by_b and max(abs(r["y"] - 100 * r["b"]) for r in by_b) < 45
+    # the models are least squares over the rows that hold their predictors
+    base = df.selectExpr("y", "true AS wanted", "a AS x0", "b AS x1", "IF(a IS NULL, 0, 1) + IF(b IS NULL, 0, 2) AS pattern")
+    models = statistics.matching_models(base, 2, 3, 5)
+    assert models.used == {p: p for p in range(4)}
+    for own, columns in ((3, (1, 2)), (1, (1,)), (2, (2,)), (0, ())):
+        known = [r for r in rows if r[3] is not None and all(r[c] is not None for c in columns)]
+        x = np.array([[1.0, *(r[c] - models.means[c - 1] for c in columns)] for r in known])
+        want = np.linalg.lstsq(x, np.array([r[3] for r in known]), rcond=None)[0]
+        assert np.allclose(models.fitted[own][[0, *columns]], want, rtol=1e-3, atol=0.2)
+        assert models.drawn[own].shape == (3, 3) and not np.array_equal(models.drawn[own][0], models.drawn[own][1])
+
+
+def test_imputation_without_common_donors(spark):
+    rows = [(1, 1.0, None, 5.0), (2, None, 2.0, 6.0), (3, 1.0, 2.0, None), (4, None, None, None)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y double")
+    got = {r["id"]: r["y"] for r in statistics.impute_by_matching(df, "id", "y", ["a", "b"]).collect()}
+    assert got[3] is not None and 5.0 <= got[4] <= 6.0
+    nothing = df.withColumn("y", F.lit(None).cast("double"))
+    assert statistics.impute_by_matching(nothing, "id", "y", ["a", "b"]).where("y IS NOT NULL").count() == 0
+
+
 def test_tfidf_formula(spark):
     import math
 
