@@ -1,9 +1,11 @@
 """Main text of web pages by tree scoring.
 
-A page becomes a tree of its block elements. Paragraphs pass points for their length and their commas to their ancestors,
-less at every level; a container's points are discounted by the share of its text that is links. The best container is kept,
-or the whole article or main element that it lies in, and those of its siblings that score like it or read like a part of it. Menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles and reader comments never take part.
+A page becomes a tree of its block elements. Every block of text has a point for each line of text and for each comma, less the share of
+it that is links; it gives them to the container around it, half of them to the next one out, and so on. A container's
+points are discounted by the share of links in all its text, and the best container is kept: the whole article or main
+element that it lies in, or else itself with all that stands among the siblings that read like text, at its own level and, if
+they weigh enough beside it, further out. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
+comments never take part.
 """
 
 from __future__ import annotations
@@ -14,18 +16,23 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-LEVELS = 5  # ancestors that a paragraph's points reach
-SIBLING_SHARE = 0.2  # of the best score, from which a sibling is kept
+from slipstream.llm import arrow
+
+LINE = 80  # characters of a line of text, which is worth as much as a comma
+LEVELS = 20  # ancestors that points reach; they are halved from one to the next
+LINKED = 0.5  # share of links from which text is a list of links
+BESIDE = 0.1  # of the best container's points: what a sibling of one of its ancestors needs to be part of the text
 
 _TOKEN = re.compile(
     r"<!--(?:.*?--!?>|.*\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)",
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>=]+|=\s*(?:\"[^\"]*\"|'[^']*')|=)*+)(?:>|\Z)",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'=<>`]+)))?")
 
-_RAW = {"script", "style", "title", "textarea", "noscript", "iframe", "xmp", "noembed", "noframes", "template", "svg", "math", "object"}
+_RAW = {"script", "style", "title", "textarea", "iframe", "xmp", "noembed", "noframes", "template", "svg"}
 _BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li listing main menu nav ol optgroup option p pre search section select summary "
@@ -45,9 +52,6 @@ _CLOSES = {  # start tags that end an open element of these, unless one of the s
     "option": ({"option"}, {"select"}),
 }
 _KEEPS_P = {"body", "div", "article", "section", "main", "td", "th", "table", "blockquote", "li", "aside", "nav", "header", "footer", "form", "button"}
-_BASE = {"article": 25, "main": 15, "section": 5, "div": 5, "pre": 3, "td": 3, "blockquote": 3, "ol": -3, "ul": -3, "dl": -3, "li": -3}
-_BASE |= {f"h{k}": -5 for k in range(1, 7)} | {"th": -5}
-
 _UNLIKELY = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|popup|pop-up|modal|overlay|"
     r"sidebar|side-bar|aside|menu|nav|navbar|navigation|breadcrumbs?|footer|foot|header|masthead|topbar|toolbar|comments?|commentlist|"
@@ -55,16 +59,17 @@ _UNLIKELY = re.compile(
     r"pagination|pager|skip|legal|copyright|teaser|outbrain|taboola|rail)(?=$|[\s_-]|\d)",
     re.I,
 )
-_LIKELY = re.compile(r"(?:^|[\s_-])(?:article|content|main|body|entry|story|text|post|page|blog|hentry)(?=$|[\s_-]|\d)", re.I)
+# names that say an element holds the text itself, whatever else they say
+_TEXT_NAMES = re.compile(r"(?:^|[\s_-])(?:article|content|entry|main|post|story|text)(?=$|[\s_-]|\d)", re.I)
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "alertdialog", "dialog", "menu", "menubar", "toolbar"}
 
 
 class _Node:
-    __slots__ = ("tag", "up", "order", "score", "letters", "linked", "blocks", "children", "names", "drop")
+    __slots__ = ("tag", "up", "order", "score", "total", "letters", "linked", "blocks", "children", "names", "drop")
 
     def __init__(self, tag: str, up, names: str = "", drop: bool = False):
         self.tag, self.up, self.names, self.drop = tag, up, names, drop
-        self.score, self.letters, self.linked = 0.0, 0, 0
+        self.score, self.total, self.letters, self.linked = 0.0, 0.0, 0, 0
         self.blocks, self.children = [], []  # texts of this element by itself; both in page order
         self.order = []
 
@@ -82,7 +87,7 @@ def _dropped(tag: str, attrs: str, within: bool) -> tuple[bool, str]:
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I):
         return True, names
     return tag not in ("body", "html", "article", "main") and bool(_UNLIKELY.search(names)) and not (
-        _LIKELY.search(names) and not re.search(r"comment|repl(?:y|ies)|disqus|sidebar|advert|(?:^|[\s_-])ads?(?:$|[\s_-])", names, re.I)
+        _TEXT_NAMES.search(names) and not re.search(r"comment|repl(?:y|ies)|disqus|sidebar|advert|(?:^|[\s_-])ads?(?:$|[\s_-])", names, re.I)
     ), names
 
 
@@ -132,7 +137,7 @@ def _tree(page: str) -> tuple[_Node, list[_Node]]:
         tag = (m["tag"] or "").lower()
         if not tag:
             if m[0].startswith("<![CDATA[") and not skipping:
-                text.append(m[0][9:-3])
+                text.append(m[0][9:].removesuffix("]]>"))
             continue
         ending = bool(m["end"])
         if tag in _RAW:
@@ -228,63 +233,71 @@ def _whole(node: _Node) -> _Node:
     return found
 
 
+_AROUND = set("p pre li td th blockquote dd dt figcaption caption summary h1 h2 h3 h4 h5 h6".split())  # their text counts for the element around
+_PARTS = set("p ul ol dl li dd dt table tr tbody thead td th figure pre blockquote".split())  # never the whole text
+_HEADING = re.compile(r"h[1-6]")
+_SENTENCE = re.compile(r"[.!?…:。！？]['\"»”’)\]]*$")
+
+
+def _reads(item) -> bool:
+    """Whether an element or a loose text reads like a part of a text: some block of it is a sentence, and it is no list of links."""
+    if isinstance(item, str):
+        return bool(_SENTENCE.search(item))
+    if not item.letters or item.linked > LINKED * item.letters:
+        return False
+    return any(_SENTENCE.search(t) for t in _texts(item))
+
+
+def _beside(node: _Node, least: float) -> list:
+    """A node with its siblings: all from the first to the last that read like text and have the least points, but lists of links; and
+    the headings right before them."""
+    items = node.up.order
+    at = next(k for k, item in enumerate(items) if item is node)
+    reading = [k for k, item in enumerate(items) if k == at or (least <= 0 or not isinstance(item, str) and item.total >= least) and _reads(item)]
+    first, last = reading[0], reading[-1]
+    while first and not isinstance(items[first - 1], str) and _HEADING.fullmatch(items[first - 1].tag):
+        first -= 1
+    return [item for item in items[first : last + 1] if item is node or isinstance(item, str) or item.linked <= LINKED * item.letters]
+
+
 def extract(page: str | None) -> str:
     """The main text of a page: its blocks in page order, one to a line; empty if there is none."""
     if not page:
         return ""
     root, nodes = _tree(page)
-    scored = {}
-    for node in reversed(nodes):  # children before their parents
+    for node in nodes:
         for words, linked in node.blocks:
+            linked = min(linked, len(words))
             node.letters += len(words)
-            node.linked += min(linked, len(words))
+            node.linked += linked
+            points = (len(words) / LINE + words.count(",")) * (1 - linked / len(words))
+            node.total += points
+            target = node.up if node.tag in _AROUND and node.up is not None else node
+            for _ in range(LEVELS):
+                if target is None or _HEADING.fullmatch(node.tag):
+                    break
+                target.score += points
+                points, target = points / 2, target.up
+    for node in reversed(nodes):  # children before their parents
         if node.up is not None:
             node.up.letters += node.letters
             node.up.linked += node.linked
-    for node in nodes:
-        if re.fullmatch(r"h[1-6]", node.tag):
-            continue
-        for words, linked in node.blocks:
-            points = (1 + words.count(",") + min(len(words) / 100, 3)) * (1 - min(linked, len(words)) / len(words))
-            target = node.up if node.tag in ("p", "pre", "li", "td", "blockquote", "dd", "figcaption") and node.up is not None else node
-            for level in range(LEVELS):
-                if target is None:
-                    break
-                if id(target) not in scored:
-                    scored[id(target)] = target
-                    target.score = _BASE.get(target.tag, 0) + (25 if target.names and _LIKELY.search(target.names) else 0)
-                target.score += points if level == 0 else points / 2 if level == 1 else points / (3 * level)
-                target = target.up
+            node.up.total += node.total
+    scored = [n for n in nodes if n.score]
     if not scored:
         return "\n".join(_texts(root))
-
-    def final(node: _Node) -> float:
-        return node.score * (1 - node.linked / node.letters) if node.letters else 0.0
-
-    best = max(scored.values(), key=lambda n: (final(n), n.letters))
-    while best.up is not None and best.tag in ("p", "li", "ul", "ol", "dl", "tr", "tbody", "td", "dd", "dt", "figure"):
-        best = best.up  # lists and tables belong to the container around them
-    best = _whole(best)
-    if best.up is None:
-        return "\n".join(_texts(best))
-    least = max(10.0, SIBLING_SHARE * final(best))
-    kept = []
-    for sibling in best.up.order:
-        if sibling is best:
-            kept.append(sibling)
-        elif isinstance(sibling, str):
-            if len(sibling) > 80:
-                kept.append(sibling)
-        elif id(sibling) in scored and final(sibling) >= least and sibling.tag == best.tag:
-            kept.append(sibling)
-        elif sibling.tag == "p" and sibling.letters:
-            density = sibling.linked / sibling.letters
-            words = " ".join(_texts(sibling))
-            if sibling.letters > 80 and density < 0.25 or sibling.letters <= 80 and not density and re.search(r"[.!?…](?:\s|$)", words):
-                kept.append(sibling)
-        elif sibling.tag == "h1":
-            kept.append(sibling)
-    return "\n".join(t for item in kept for t in (_texts(item) if isinstance(item, _Node) else [item]))
+    best = max(scored, key=lambda n: (n.score * (1 - n.linked / n.letters) if n.letters else 0.0, n.letters))
+    while best.up is not None and best.tag in _PARTS:
+        best = best.up
+    whole = _whole(best)
+    if whole is not best or best.tag in ("article", "main"):
+        return "\n".join(_texts(whole))
+    lines, least = _texts(best), 0.0
+    node = best
+    while node.up is not None:
+        lines = [t for item in _beside(node, least) for t in (lines if item is node else [item] if isinstance(item, str) else _texts(item))]
+        node, least = node.up, BESIDE * best.total
+    return "\n".join(lines)
 
 
 def main_text(pages: DataFrame, source: str = "html") -> DataFrame:
@@ -295,8 +308,8 @@ def main_text(pages: DataFrame, source: str = "html") -> DataFrame:
     neither merged nor dropped.
     """
 
-    @F.arrow_udf("string")
-    def of(column: pa.Array) -> pa.Array:
-        return pa.array([extract(page.as_py()) for page in column], pa.string())
+    def begin():
+        return lambda column: [pa.array([extract(page.as_py()) for page in column], pa.string())]
 
-    return pages.withColumn("text", of(F.col(source))).withColumn("n_chars", F.char_length("text").cast("bigint"))
+    found = arrow.extended(pages.withColumn(source, F.col(f"`{source}`").cast("string")), {"text": T.StringType()}, begin, source)
+    return found.withColumn("n_chars", F.char_length("text").cast("bigint"))

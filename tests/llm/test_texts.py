@@ -1,7 +1,10 @@
 """Fingerprints, page text and benchmark passages."""
 
 import hashlib
+import html
 import random
+import re
+from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
@@ -101,6 +104,88 @@ def test_uneven_sections_of_an_article(around):
     assert extract(page).split("\n") == ["Title", *[part] * 20, "Then", "first", "second", "Loose text", *[part] * 3]
 
 
+PARTS = "<h2>Then</h2><ul><li>first<li>second</ul><table><tr><td>A<td>B</table><blockquote>Said, he, so.</blockquote>"
+SEEN = ["Then", "first", "second", "A", "B", "Said, he, so."]
+
+
+@pytest.mark.parametrize("around", ["<body>{}</body>", "<body><div><div>{}</div></div></body>", "<body><div><ul><li><a href=x>menu</a></ul></div><div>{}</div></body>"])
+def test_all_blocks_of_a_page_without_an_article(around):
+    """A long block, then a heading, a list, a table, a quote and a short block: none of it goes."""
+    line = "One, two, three, four, five and so on until the line has a good length, as lines do."
+    block = lambda n: "<div>" + f"<p>{line}</p>" * n + "</div>"
+    page = around.format(f"<h1>Title</h1>{block(20)}{PARTS}{block(3)}")
+    assert extract(page).split("\n") == ["Title", *[line] * 20, *SEEN, *[line] * 3]
+    apart = around.format(f"<div>{block(5)}{PARTS}</div><div>{block(4)}</div>")
+    assert extract(apart).split("\n") == [*[line] * 5, *SEEN, *[line] * 4]
+
+
+def test_tags_end_as_in_browsers():
+    tail = "<p>More, text, here.</p>"
+    for tag in ("<p class=it's>", '<p title="abc>', "<p title='abc>", '<p a="x"">', "<p a='>' b=\">\">", "<p a = '1' b>", "<p/ >", "<p =>"):
+        found = extract(f"<body><div>{tag}Start, of, it.{tail}</div></body>")
+        assert found.split("\n") == ["Start, of, it.", "More, text, here."], tag
+    assert extract('<p><a href="x"">link</a> and, on, it goes.</p>') == "link and, on, it goes."
+    assert extract("<p>Let <math><mi>x</mi></math> be, <object>so</object> <noscript>far</noscript>.</p>") == "Let x be, so far."
+    assert extract("<p>a <![CDATA[b, c") == "a b, c" and extract("<p>a <![CDATA[b]]> c") == "a b c"
+
+
+class Reference(HTMLParser):
+    """Blocks of a well-formed page by the library's parser: texts of p, h1, h2, li, td, blockquote outside dropped elements."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.out, self.dropped, self.text = [], 0, None
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("nav", "footer", "aside", "form", "script", "style") or dict(attrs).get("class") == "ad":
+            self.dropped += 1
+        elif tag in ("p", "h1", "h2", "li", "td", "blockquote"):
+            self.text = []
+
+    def handle_endtag(self, tag):
+        if tag in ("nav", "footer", "aside", "form", "script", "style") or self.dropped and tag == "section":
+            self.dropped -= 1
+        elif tag in ("p", "h1", "h2", "li", "td", "blockquote") and self.text is not None:
+            if not self.dropped and " ".join("".join(self.text).split()):
+                self.out.append(" ".join("".join(self.text).split()))
+            self.text = None
+
+    def handle_data(self, data):
+        if self.text is not None:
+            self.text.append(data)
+
+
+@pytest.mark.parametrize("around", ["article", "main", "div"])
+def test_pages_by_an_independent_parser(around):
+    rng = random.Random(around)
+    words = "alpha, beta gamma; delta &amp; epsilon &lt;zeta&gt; eta, theta".split()
+    sentence = lambda: " ".join(rng.choice(words) for _ in range(rng.randint(6, 30))).capitalize() + "."
+    for _ in range(60):
+        body = [f"<h1>{sentence()}</h1>"]
+        for _ in range(rng.randint(3, 9)):
+            body.append(rng.choice([
+                f"<p>{sentence()} <b>{sentence()}</b></p>", f"<h2>Part</h2><p>{sentence()}</p>", f"<ul><li>{sentence()}</li><li>one</li></ul>",
+                f"<table><tr><td>{sentence()}</td><td>2</td></tr></table>", f"<blockquote>{sentence()}</blockquote>",
+                "<nav><p>menu, here, and there.</p></nav>", "<form><p>Subscribe, now.</p></form>", "<section class='ad'><p>Buy, this.</p></section>",
+            ]))
+        inner = "".join(body) + f"<p>{sentence()}</p>"
+        page = f"<html><body><nav><ul><li><a href='/'>Home, page</a></li></ul></nav><{around}>{inner}</{around}><aside><p>{sentence()}</p></aside><footer>f, g.</footer></body></html>"
+        reference = Reference()
+        reference.feed(page)
+        assert extract(page).split("\n") == reference.out
+
+
+def test_given_pages_by_an_independent_parser(spark):
+    """The article of every given page, by the library's parser."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").collect()
+    for r in rows:
+        assert extract(r.html) and not re.search(r"<(?:p|b|br|li|article)>", extract(r.html))
+        article = re.search(r"<article>(.*?)</article>", r.html, re.S)
+        if article and not re.search(r"<(?:nav|footer|aside|form|script|style|div|section|header|!--)", article[1]):
+            text = html.unescape(re.sub(r"<[^>]*>", " ", article[1]))
+            assert "".join(extract(r.html).split()) == "".join(text.split())
+
+
 @pytest.mark.parametrize(
     "page, text",
     [
