@@ -336,7 +336,14 @@ def model_size(spark, sf_dir):
     return spark.createDataFrame(rows, "model string, parameters long, leaves long, splits long")
 
 
-@registry.add("category_codes", "s:column level i:code")
+@registry.add(
+    "category_codes",
+    "s:column level i:code",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", {c} AS level, row_number() OVER (ORDER BY {c}) - 1 AS code FROM (SELECT DISTINCT {c} FROM documents WHERE {c} IS NOT NULL)"
+        for c in _CATEGORIES
+    ),
+)
 def category_codes(spark, sf_dir):
     stages, _ = features.category_stages(_CATEGORIES, one_hot=False)
     model = Pipeline(stages=stages).fit(table(spark, sf_dir, "documents").select(*_CATEGORIES))
@@ -391,6 +398,25 @@ def multi_file_scan(spark, sf_dir):
     return readers.read_seasons(spark, path).groupBy("Season").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("total"))
 
 
+@registry.add(
+    "skipped_files",
+    "s:file",
+    "SELECT 'broken-' || l_linenumber || '.parquet' AS file FROM lineitem GROUP BY l_linenumber HAVING l_linenumber % 3 = 0 UNION ALL SELECT 'cut.parquet'",
+)
+def skipped_files(spark, sf_dir):
+    """Files that a lenient scan leaves out: some that hold no table, and one that is cut off; an empty table is none of them."""
+    path = fresh_folder(spark, "landed")
+    lines = table(spark, sf_dir, "lineitem").select("l_linenumber", "l_quantity")
+    sinks.write_parquet(lines, path, [])
+    sinks.write_parquet(lines.where("l_quantity < 0"), f"{path}/empty", [])
+    broken = lines.groupBy("l_linenumber").count().where("l_linenumber % 3 = 0").collect()  # line numbers are few
+    for r in broken:
+        sinks.write_bytes(spark, b"no table" * r["count"], f"{path}/broken-{r['l_linenumber']}.parquet")
+    sinks.write_bytes(spark, b"PAR1" + bytes(40), f"{path}/cut.parquet")
+    assert readers.read_parquet(spark, path, ["l_quantity"], lenient=True, schema="l_quantity DOUBLE").count() == lines.count()
+    return readers.unreadable(spark, [path, f"{path}/empty"]).select(F.regexp_extract("path", "[^/]*$", 0).alias("file"))
+
+
 @registry.add(
     "feather_scan",
     "i:event_id user_id d:value",

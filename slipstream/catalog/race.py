@@ -364,6 +364,7 @@ flat AS (
     coalesce({_cell("DRS_OTSector", "Overtaker", 3)}, CASE
       WHEN abs({_cell("DeltaSector3SessionTime", "Overtaker", 2)}) < 1 THEN 1
       WHEN abs({_cell("DeltaSector3SessionTime", "Overtaker", 2)}) > 1 THEN 0 END, 0) AS "DRS_OTSector_Overtaker",
+    coalesce({_cell("DRS_OTSector", "Passed", 3)}, CASE WHEN ('0x' || substr(md5("AttemptID" || '-42'), 1, 8))::BIGINT % 100 < 33 THEN 1 ELSE 0 END) AS "DRS_OTSector_Passed",
     {", ".join(f'coalesce({_BASE.format(c=c)}, {"false" if k == "b" else 0}) AS "{c}"' for c, k in _WEATHER_KINDS)},
     {", ".join(f'coalesce({sql}, {"false" if k == "b" else 0}) AS "{n}"' for n, k, sql in _FLAT)}
   FROM indexed_laps
@@ -371,10 +372,10 @@ flat AS (
     "S1Description", "S2Description", "S3Description", "Era", "Sikeres")
 """
 
-# the passed car's flap flag is left out: where it is missing it is a seeded random draw
+# the passed car's flap flag is a seeded random draw where it is missing
 _FLAT_OUT = f"""s:AttemptID i:Season s:Location i:BrakingLevel s:OvertakingDifficulty SpeedDescription i:Corners
   s:S1Description S2Description S3Description Stratify Driver_Overtaker Driver_Passed Team_Overtaker Team_Passed
-  d:BaseLap BaseLap_Passed i:DRS_OTSector_Overtaker {" ".join(f"{k}:{c}" for c, k in _WEATHER_KINDS)}
+  d:BaseLap BaseLap_Passed i:DRS_OTSector_Overtaker DRS_OTSector_Passed {" ".join(f"{k}:{c}" for c, k in _WEATHER_KINDS)}
   {" ".join(f"{k}:{n}" for n, k, _ in _FLAT)} i:Sikeres"""
 
 
@@ -409,7 +410,7 @@ def _phrase(c: str) -> str:
 
 _CHARACTER_OUT = f"""i:Season s:Location i:BrakingLevel OvertakingDifficulty SpeedDescription Corners
   s:S1Description S2Description S3Description Stratify Driver_Overtaker Driver_Passed Team_Overtaker Team_Passed
-  d:BaseLap BaseLap_Passed i:DRS_OTSector_Overtaker {" ".join(f"{'i' if k == 'b' else k}:{c}" for c, k in _WEATHER_KINDS)}
+  d:BaseLap BaseLap_Passed i:DRS_OTSector_Overtaker DRS_OTSector_Passed {" ".join(f"{'i' if k == 'b' else k}:{c}" for c, k in _WEATHER_KINDS)}
   {" ".join(f"{'i' if k == 'b' else k}:{n}" for n, k, _ in _FLAT)} i:Sikeres"""
 
 

@@ -558,7 +558,20 @@ def set_equality(spark, sf_dir):
     )
 
 
-@registry.add("schema_diff", "s:Valtozo_Neve Tipus_Sikeres Tipus_Sikertelen")
+def _listed(table: str, names: dict[str, str]) -> str:
+    """Name, type and number of known values of each column of a table."""
+    kind = "CASE typeof(any_value({c})) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' ELSE 'string' END"
+    rows = [f"SELECT '{n}' AS name, {kind.format(c=c)} AS t, count({c}) AS n FROM {table}" for c, n in names.items()]
+    return " UNION ALL ".join(rows)
+
+
+@registry.add(
+    "schema_diff",
+    "s:Valtozo_Neve Tipus_Sikeres Tipus_Sikertelen i:known_Sikeres known_Sikertelen",
+    f"""SELECT name AS "Valtozo_Neve", a.t AS "Tipus_Sikeres", b.t AS "Tipus_Sikertelen", a.n AS "known_Sikeres", b.n AS "known_Sikertelen" FROM
+    ({_listed("customer", {"c_custkey": "c_custkey", "c_name": "name", "c_nationkey": "nationkey", "c_acctbal": "c_acctbal", "c_mktsegment": "c_mktsegment"})}) AS a
+    FULL JOIN ({_listed("supplier", {"s_suppkey": "s_suppkey", "s_name": "name", "s_nationkey": "nationkey", "s_acctbal": "s_acctbal"})}) AS b USING (name)""",
+)
 def schema_diff(spark, sf_dir):
     won = table(spark, sf_dir, "customer").withColumnsRenamed({"c_name": "name", "c_nationkey": "nationkey"})
     lost = table(spark, sf_dir, "supplier").withColumnsRenamed({"s_name": "name", "s_nationkey": "nationkey"})
@@ -758,7 +771,23 @@ def vif(spark, sf_dir):
     return statistics.variance_inflation(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_tax"])
 
 
-@registry.add("vif_prune", "s:Feature d:VIF")
+def _det(x: str, y: str, z: str) -> str:
+    """Determinant of the correlation matrix of three columns, from the correlations of their pairs."""
+    return f"(1 + 2 * {x}{y} * {x}{z} * {y}{z} - {x}{y} * {x}{y} - {x}{z} * {x}{z} - {y}{z} * {y}{z})"
+
+
+@registry.add(
+    "vif_prune",
+    "s:Feature d:VIF",
+    # the quantity follows exactly from the two prices and goes first; of the prices the one with the larger factor goes next
+    f"""WITH v AS (SELECT l_extendedprice, l_discount, l_tax, l_extendedprice * 2 + l_quantity AS double_price FROM lineitem),
+    r AS (SELECT corr(l_extendedprice, l_discount) AS pd, corr(l_extendedprice, l_tax) AS pt, corr(double_price, l_discount) AS bd,
+      corr(double_price, l_tax) AS bt, corr(l_discount, l_tax) AS dt FROM v),
+    k AS (SELECT dt, {_det("b", "d", "t")} >= {_det("p", "d", "t")} AS gone, CASE WHEN gone THEN bd ELSE pd END AS sd, CASE WHEN gone THEN bt ELSE pt END AS st,
+      {_det("s", "d", "t")} AS whole FROM r)
+    SELECT CASE WHEN gone THEN 'double_price' ELSE 'l_extendedprice' END AS "Feature", (1 - dt * dt) / whole AS "VIF" FROM k
+    UNION ALL SELECT 'l_discount', (1 - st * st) / whole FROM k UNION ALL SELECT 'l_tax', (1 - sd * sd) / whole FROM k""",
+)
 def vif_prune(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").withColumn("double_price", F.expr("l_extendedprice * 2 + l_quantity"))
     return statistics.prune_by_inflation(lines, [*_NUMBERS, "double_price"])

@@ -82,13 +82,13 @@ def same_values(left: DataFrame, right: DataFrame) -> DataFrame:
     return counts.withColumn("equal", (F.col("only_left") == 0) & (F.col("only_right") == 0))
 
 
-def schema_listing(df: DataFrame) -> DataFrame:
-    """Column names and types as rows."""
-    return df.sparkSession.createDataFrame(df.dtypes, "Valtozo_Neve string, Tipus string")
+def schema_listing(df: DataFrame, kind: str = "Tipus", known: str = "known") -> DataFrame:
+    """Name and type of each column, and how many of its values are known: one pass over the rows."""
+    columns = [F.struct(F.lit(c).alias("Valtozo_Neve"), F.lit(t).alias(kind), F.count(F.col(f"`{c}`")).alias(known)) for c, t in df.dtypes]
+    return df.agg(F.array(*columns).alias("c")).select(F.inline("c"))
 
 
 def schema_diff(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Columns of both frames side by side; a missing one is null on its side."""
-    a = schema_listing(left).withColumnRenamed("Tipus", "Tipus_Sikeres")
-    b = schema_listing(right).withColumnRenamed("Tipus", "Tipus_Sikertelen")
-    return a.join(b, "Valtozo_Neve", "full_outer")
+    """Columns of both frames side by side, with their types and numbers of known values; a missing one is null on its side."""
+    a = schema_listing(left, "Tipus_Sikeres", "known_Sikeres")
+    return a.join(schema_listing(right, "Tipus_Sikertelen", "known_Sikertelen"), "Valtozo_Neve", "full_outer")

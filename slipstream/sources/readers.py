@@ -50,11 +50,24 @@ def read_parquet(
 
 
 def unreadable(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Paths of files that a lenient scan skips: those that do not begin and end as Parquet files do."""
-    files = spark.read.format("binaryFile").load([paths] if isinstance(paths, str) else list(paths))
+    """Paths of files that a lenient scan skips.
+
+    Files that gave a row to such a scan are readable. Only of the others, broken or empty, the contents are looked at: a Parquet file begins
+    and ends with its mark.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    name = F.regexp_replace(F.col("path"), "^[a-z]+:/*", "/")
+    files = spark.read.format("binaryFile").load(paths)
+    files = files.where(F.regexp_extract("path", "[^/]*$", 0).rlike("^[^_.]")).withColumn("file", name)
+    scan = spark.read.schema("`__none` INT").option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").parquet(*paths)
+    good = scan.select(F.regexp_replace(F.col("_metadata.file_path"), "^[a-z]+:/*", "/").alias("file")).distinct()
+    # the driver lists the files of a scan anyway
+    doubtful = [r["path"] for r in files.select("path", "file").join(good, "file", "left_anti").collect()]
+    if not doubtful:
+        return files.select("path").limit(0)
     magic = F.lit(b"PAR1")
     whole = (F.col("length") >= 12) & (F.substring("content", 1, 4) == magic) & (F.substring("content", -4, 4) == magic)
-    return files.where(~whole).select("path")
+    return spark.read.format("binaryFile").load(doubtful).where(~whole).select("path")
 
 
 def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -34,6 +34,13 @@ def write_metrics(spark: SparkSession, metrics: dict, path: str) -> None:
     metrics_frame(spark, metrics).write.mode("overwrite").json(path)
 
 
+def write_bytes(spark: SparkSession, data: bytes, path: str) -> None:
+    """A small file as it is, wherever Spark can write."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    out.write(bytearray(data))
+    out.close()
+
 
 def write_feather(df: DataFrame, path: str) -> None:
     """Feather files written by the tasks that hold the rows, into a folder that executors reach as a file system of Arrow's
