@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from slipstream.catalog import field
 from slipstream.catalog.field import table
 from slipstream.catalog.registry import Registry
-from slipstream.models import boosting, classifiers, evaluation, features
+from slipstream.models import boosting, classifiers, evaluation, features, penalty_path
 from slipstream.operators import sampling
+from slipstream.plans import modelling
 from slipstream.session import fresh_folder, staged
 from slipstream.sources import ingest, readers, sinks
 
@@ -300,6 +301,17 @@ def random_search(spark, sf_dir):
     return classifiers.random_search(train, pipeline, space, n=DRAWS, folds=FOLDS, scoring="f1")[1]
 
 
+@registry.add("linear_search", "i:config s:params d:mean_test_score std_test_score i:rank_test_score")
+def linear_search(spark, sf_dir):
+    """The whole budget of the linear job, 300 settings on 5 folds, over the labelled documents: all in the same passes."""
+    train, _ = _train_test(_documents(spark, sf_dir))
+    folded = sampling.stratified_folds(train.drop("fold"), ["Stratify"], "doc_id", 5)
+    inputs = penalty_path.Inputs("text", _NUMBERS, _CATEGORIES, {})
+    space = modelling.LINEAR_SPACE | {"ngrams": classifiers.integer(1, 3)}
+    drawn = [penalty_path.Linear(**c) for c in classifiers.draw_configurations(space, 300)]
+    return penalty_path.search(folded, drawn, inputs, weight=classifiers.WEIGHT)[1]
+
+
 @registry.add("oof_stack", "i:doc_id is_test label d:text_p")
 def oof_stack(spark, sf_dir):
     train, test = _train_test(_documents(spark, sf_dir))

@@ -29,6 +29,7 @@ from pyspark.sql.window import Window
 from slipstream.models import evaluation
 from slipstream.models.boosting import Booster
 from slipstream.models.features import feature_names
+from slipstream.models.penalty_path import LinearModel
 from slipstream.operators.sampling import class_weights, permuted
 from slipstream.session import staged
 
@@ -107,7 +108,7 @@ def with_class_weights(df: DataFrame, label: str = LABEL, mode: str = "balanced"
 
 def scored(model, df: DataFrame) -> DataFrame:
     """Class and probability of the positive class for each row."""
-    if isinstance(model, Booster):
+    if isinstance(model, (Booster, LinearModel)):
         return model.score(df, PROBABILITY).withColumn("prediction", (F.col(PROBABILITY) >= 0.5).cast("double"))
     return model.transform(df).withColumn(PROBABILITY, vector_to_array("probability")[1])
 
@@ -210,7 +211,7 @@ def stacked_text(
 
 def model_size(model: PipelineModel) -> dict[str, int]:
     """Learned parameters: coefficients and intercept, leaves and splits, or network weights."""
-    if isinstance(model, Booster):
+    if isinstance(model, (Booster, LinearModel)):
         return model.size()
     last = model.stages[-1]
     if hasattr(last, "trees"):
@@ -227,7 +228,7 @@ def importance(model: PipelineModel, df: DataFrame, sign: str = "elojel") -> Dat
 
     ``sign`` names the column of the sign; the default is a fixed value, the report's own name.
     """
-    if isinstance(model, Booster):
+    if isinstance(model, (Booster, LinearModel)):
         table = model.importance(df)
     else:
         last = model.stages[-1]

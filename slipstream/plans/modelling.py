@@ -13,8 +13,7 @@ from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slipstream.functions import encoders
-from slipstream.models import boosting, classifiers, evaluation, features
+from slipstream.models import boosting, classifiers, evaluation, features, penalty_path
 from slipstream.models.classifiers import LABEL, PROBABILITY
 from slipstream.operators import reshape, sampling, statistics
 from slipstream.session import staged
@@ -25,7 +24,8 @@ TEAMS = ["Team_Overtaker", "Team_Passed"]
 PLACES = ["Location", "S1Description", "S2Description", "S3Description"]
 TEXT = "TrackDescription"
 
-#: What the search of the trees draws from.
+#: What the searches draw from.
+LINEAR_SPACE = {"strength": classifiers.log_uniform(1e-3, 1e2), "max_features": classifiers.choice(*range(50, 501, 10))}
 TREE_SPACE = {
     "depth": classifiers.integer(3, 12),
     "step": classifiers.log_uniform(0.005, 0.3),
@@ -104,37 +104,35 @@ def _text_space(stages: list, most: int = 500) -> dict:
 
 
 def linear_job(
-    df: DataFrame, n: int = 300, folds: int = 5, max_ngram: int = 2, limit: float = 10.0, seed: int = 42
+    df: DataFrame, n: int = 300, folds: int = 5, max_ngram: int = 3, limit: float = 10.0, seed: int = 42
 ) -> Result:
     """Logistic regression on columns that pass the inflation test, rare drivers pooled, track text as TF-IDF.
 
-    The longest n-gram, up to ``max_ngram``, is searched. The threshold is the best F1 of out-of-fold scores on the train rows.
+    The penalty, the size of the vocabulary and the longest n-gram, up to ``max_ngram``, are searched; all settings and folds are fitted in the
+    same passes. The threshold is the best F1 of out-of-fold scores on the train rows.
     """
     df = df.dropna(subset=[TEXT, *DRIVERS, *TEAMS, TARGET])
     train, test = _divide(df, 0.2, folds, TARGET, seed)
     kept = [r["Feature"] for r in statistics.prune_by_inflation(train, _numbers(train), limit).collect()]
-    own = [KEY, STRATUM, TARGET, LABEL, TEXT, *DRIVERS, *TEAMS, *kept]
-    train = train.dropna(subset=kept).select(*own, "fold", classifiers.WEIGHT)
-    test = test.dropna(subset=kept).select(*own)
-    frequent = {c: encoders.fit_frequent(train, c, 0.02) for c in DRIVERS}
-    train, test = (features.bucket_rare(d, DRIVERS, frequent) for d in (train, test))
-    rows = train.count()
-    numbers = [c for c in kept if c in train.columns]
-    stages = features.feature_stages(numbers, [*DRIVERS, *TEAMS], TEXT, max_features=500, max_ngram=max_ngram)
-    pipeline = Pipeline(stages=[*stages, classifiers.logistic(1.0, rows)])
-    strength = classifiers.log_uniform(1e-3, 1e2)
-    space = {pipeline.getStages()[-1].regParam: lambda rng: 1.0 / (strength(rng) * rows), **_text_space(stages)}
-    best, table = classifiers.random_search(train, pipeline, space, n, folds=folds, scoring="f1", seed=seed)
-    outside = classifiers.out_of_fold(train, _chosen(best, pipeline), folds=folds)
+    train, test = (d.dropna(subset=kept) for d in (train, test))
+    inputs = penalty_path.Inputs(TEXT, kept, [*DRIVERS, *TEAMS], {c: 0.02 for c in DRIVERS})
+    space = LINEAR_SPACE | {"ngrams": classifiers.integer(1, max_ngram + 1)}
+    drawn = [penalty_path.Linear(**c) for c in classifiers.draw_configurations(space, n, seed)]
+    best, table, by_fold = penalty_path.search(train, drawn, inputs, folds=folds, label=LABEL, weight=classifiers.WEIGHT)
+    outside = None
+    for f, model in enumerate(by_fold):
+        part = classifiers.scored(model, train.where(F.col("fold") == f))
+        outside = part if outside is None else outside.unionByName(part)
     cut = _best_cut(outside, evaluation.evenly_spaced(0.3, 0.7, 101))
-    scored = classifiers.scored(best.bestModel, test)
+    model = penalty_path.fit_many(train, [best], inputs, label=LABEL, weight=classifiers.WEIGHT)[0]
+    scored = classifiers.scored(model, test)
     metrics = {
-        **classifiers.model_size(best.bestModel),
+        **classifiers.model_size(model),
         **_search_metrics(table, "f1"),
         "best_threshold": cut,
         **score_metrics(scored, cut),
     }
-    return Result(best.bestModel, table, scored, metrics)
+    return Result(model, table, scored, metrics)
 
 
 def trees_job(
