@@ -18,7 +18,7 @@ from slipstream.llm import arrow, bpe, decontaminate, jaccard, language, suffix
 from slipstream.llm.queries import held_out, prepare
 from slipstream.session import staged
 
-LANGUAGE_CLAIMS = ((60, 0.25), (200, 0.4))  # a text of so many characters or more is rejected if `language.claim` is lower
+LANGUAGE_CLAIM = (0.4, 12.0)  # a text of n characters is rejected if `language.claim` is under the first less the second / n
 TOKENIZER = "word_bpe_49k.json"
 REPEAT_BYTES = 100  # strings of this many bytes that also start earlier are cut, as in op7; 51 words of one byte are 101 bytes
 
@@ -26,16 +26,16 @@ REPEAT_BYTES = 100  # strings of this many bytes that also start earlier are cut
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of no language: null texts, texts without letters, and texts that no learned language claims.
 
-    A text under 60 characters is too short to tell; of those, and with nothing to learn from, only null texts and texts
-    without letters go.
+    The fewer characters a text has, the less its claim tells, so the least claim falls with their number, by one rule for
+    texts of every length. With nothing to learn from, only null texts and texts without letters go.
     """
     prepare(spark)
     model = language.train(docs.where(~held_out()))
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     found = language.claim(docs, model, "_claim").where("_claim IS NOT NULL")
-    for size, least in LANGUAGE_CLAIMS:
-        found = found.where((F.char_length("text") < size) | (F.col("_claim") >= least))
+    least, slack = LANGUAGE_CLAIM
+    found = found.where(F.col("_claim") >= F.lit(least) - F.lit(slack) / F.char_length("text"))
     return found.select(*docs.columns)
 
 
