@@ -28,6 +28,7 @@ from pyspark.sql.window import Window
 
 from slipstream.models import evaluation
 from slipstream.models.boosting import Booster
+from slipstream.models.embedding_net import NetworkModel
 from slipstream.models.features import feature_names
 from slipstream.models.penalty_path import LinearModel
 from slipstream.operators.sampling import class_weights, permuted
@@ -108,7 +109,7 @@ def with_class_weights(df: DataFrame, label: str = LABEL, mode: str = "balanced"
 
 def scored(model, df: DataFrame) -> DataFrame:
     """Class and probability of the positive class for each row."""
-    if isinstance(model, (Booster, LinearModel)):
+    if isinstance(model, (Booster, LinearModel, NetworkModel)):
         return model.score(df, PROBABILITY).withColumn("prediction", (F.col(PROBABILITY) >= 0.5).cast("double"))
     return model.transform(df).withColumn(PROBABILITY, vector_to_array("probability")[1])
 
@@ -211,7 +212,7 @@ def stacked_text(
 
 def model_size(model: PipelineModel) -> dict[str, int]:
     """Learned parameters: coefficients and intercept, leaves and splits, or network weights."""
-    if isinstance(model, (Booster, LinearModel)):
+    if isinstance(model, (Booster, LinearModel, NetworkModel)):
         return model.size()
     last = model.stages[-1]
     if hasattr(last, "trees"):

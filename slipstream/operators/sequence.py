@@ -115,25 +115,30 @@ def stint_number(
     return counted.withColumn(stint, F.coalesce(F.col(stint).cast("double"), rebuilt)).drop("__flags")
 
 
-def retirement_lap(df: DataFrame, race: Sequence[str], driver: str, lap: str, out: str = "DNF") -> DataFrame:
+def retirement_lap(df: DataFrame, race: Sequence[str], driver: str, lap: str, out: str = "DNF", spread: bool = True) -> DataFrame:
     """0 for a driver who reached the last lap but one of the race, else the driver's last lap.
 
-    A driver with a missing lap number has no known last lap, so the code is null. Aggregated per
-    driver and joined back: no window over a race.
+    A driver with a missing lap number has no known last lap, so the code is null. A spread race is aggregated per driver and
+    joined back; else windows over the race do.
     """
+    if not spread:
+        by_driver, by_race = Window.partitionBy(*race, driver), Window.partitionBy(*race)
+        whole = F.count(lap).over(by_driver) == F.count("*").over(by_driver)
+        topped = df.withColumns({"__known": F.when(whole, F.max(lap).over(by_driver)), "__race_top": F.max(lap).over(by_race)})
+        return topped.withColumn(out, _retired(F.col("__known"), F.col("__race_top"))).drop("__known", "__race_top")
     per_driver = df.groupBy(*race, driver).agg(
         F.max(lap).alias("__top"), (F.count(lap) == F.count("*")).alias("__whole")
     )
     per_race = per_driver.groupBy(*race).agg(F.max("__top").alias("__race_top"))
     known = F.when(F.col("__whole"), F.col("__top"))
-    code = (
-        per_driver.join(per_race, list(race))
-        .withColumn(out, F.when(known >= F.col("__race_top") - 1, F.lit(0.0)).otherwise(known.cast("double")))
-        .select(*race, driver, out)
-    )
+    code = per_driver.join(per_race, list(race)).withColumn(out, _retired(known, F.col("__race_top"))).select(*race, driver, out)
     return df.join(code, [*race, driver], "left")
 
 
+def _retired(top: Column, race_top: Column) -> Column:
+    return F.when(top >= race_top - 1, F.lit(0.0)).otherwise(top.cast("double"))
+
+
 def position_change(
     df: DataFrame,
     keys: Sequence[str],

@@ -48,8 +48,8 @@ def repair_laps(laps: DataFrame, across_drivers: bool = False) -> DataFrame:
     if across_drivers:
         cars = Window.partitionBy(*RACE).orderBy("Driver")
         laps = laps.withColumn("__car", F.dense_rank().over(cars))
-    laps = sequence.interpolate(laps, keys, order, ["TyreLife", "SpeedI1", "SpeedI2", "SpeedST", "SpeedFL"], None)
-    laps = sequence.fill_down_up(laps, keys, order, ["TyreLife", "SpeedFL"], None).drop("__car")
+    laps = sequence.interpolate(laps, keys, order, ["TyreLife", "SpeedI1", "SpeedI2", "SpeedST", "SpeedFL"], spread=False)
+    laps = sequence.fill_down_up(laps, keys, order, ["TyreLife", "SpeedFL"], spread=False).drop("__car")
 
     lap = F.coalesce("LapTime", F.col("Sector1Time") + F.col("Sector2Time") + F.col("Sector3Time"))
     laps = laps.withColumn("LapTimeCalculated", lap)
@@ -60,7 +60,7 @@ def repair_laps(laps: DataFrame, across_drivers: bool = False) -> DataFrame:
     ]:
         rest = F.col("LapTimeCalculated") - F.col(first) - F.col(second)
         laps = laps.withColumn(target, F.coalesce(F.col(raw), rest))
-    return sequence.group_median_fill(laps, CAR, ["LapTimeCalculated", "Sector1", "Sector2", "Sector3"], None)
+    return sequence.group_median_fill(laps, CAR, ["LapTimeCalculated", "Sector1", "Sector2", "Sector3"], spread=False)
 
 
 def prepare_laps(laps: DataFrame, across_drivers: bool = False, count_stops_once: bool = False) -> DataFrame:
@@ -70,12 +70,7 @@ def prepare_laps(laps: DataFrame, across_drivers: bool = False, count_stops_once
     laps = sequence.stint_number(
         laps, CAR, ["LapNumber"], flag="PitOutLap" if count_stops_once else "Pit", spread=False
     )
-    by_car, by_race = Window.partitionBy(*CAR), Window.partitionBy(*RACE)
-    laps = laps.withColumn(
-        "__top", F.when(F.count("LapNumber").over(by_car) == F.count("*").over(by_car), F.max("LapNumber").over(by_car))
-    )
-    reached = F.col("__top") >= F.max("LapNumber").over(by_race) - 1
-    laps = laps.withColumn("DNF", F.when(reached, F.lit(0.0)).otherwise(F.col("__top").cast("double"))).drop("__top")
+    laps = sequence.retirement_lap(laps, RACE, "Driver", "LapNumber", spread=False)
     laps = sequence.position_change(laps, CAR, ["LapNumber"], spread=False)
     return laps.withColumns(
         {

@@ -45,7 +45,9 @@ def test_trees(spark, table, tmp_path):
 
 
 def test_network(spark, table, tmp_path):
-    check(modelling.network_job(table, n=1, folds=2, epochs=10), tmp_path, spark)
+    result = modelling.network_job(table, n=1, folds=2, search_epochs=3, epochs=10)
+    check(result, tmp_path, spark)
+    assert 0 < result.metrics["best_epoch"] <= 10 and 0 <= result.metrics["cv_accuracy_mean"] <= 1
 
 
 def test_draws_of_the_step_size_act(spark, table):

@@ -87,6 +87,8 @@ def test_first_per_group(rows):
         lambda d, s: sequence.streaks(d, ["k"], "id", 3, spread=s),
         lambda d, s: sequence.consecutive_runs(d, ["k"], "id", 2, 3, spread=s),
         lambda d, s: sequence.position_change(d, ["k"], ["t", "id"], "v", spread=s),
+        lambda d, s: sequence.retirement_lap(d.withColumn("lap", F.when(F.col("id") % 17 > 0, F.col("id"))), ["k"], "t", "lap", spread=s),
+        lambda d, s: sampling.permuted(d, "id", ["v"], "other", spread=s),
         lambda d, s: sampling.stratified_folds(d, ["k"], "id", 4, spread=s),
         lambda d, s: sampling.stratified_split(d, ["k"], "id", 0.3, spread=s),
         lambda d, s: profile.cumulative_frequency(d, "id", spread=s),
@@ -106,6 +108,35 @@ def test_operators_do_not_depend_on_the_spread(rows, operator):
     same(operator(rows, False), operator(rows, True))
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 100, 613])
+def test_permutations_are_exact(spark, n):
+    rows = spark.range(n).selectExpr("id * 3 AS id", "id AS v")
+    found = sampling.permuted(rows, "id", ["id", "v"], "other").collect()
+    assert sorted(r.id for r in found) == sorted(r.other.id for r in found) == [3 * i for i in range(n)]
+    assert n < 100 or sum(r.id == r.other.id for r in found) < 10
+    again = sampling.permuted(rows.repartition(3), "id", ["id", "v"], "other").collect()
+    assert {(r.id, r.other.id) for r in found} == {(r.id, r.other.id) for r in again}
+
+
+@pytest.mark.parametrize("fraction", [0.0, 0.001, 0.3, 1.0])
+def test_splits_by_selection(spark, rows, fraction):
+    found = sampling.stratified_split(rows, ["k"], "id", fraction)
+    same(sampling.stratified_split(rows, ["k"], "id", fraction, spread=False), found)
+    assert "SinglePartition" not in found._jdf.queryExecution().toString()
+
+
+def test_ordered_scans_write_nothing_and_read_thrice(spark, rows, tmp_path):
+    """One exchange of rows by (keys, range); borders and carries come from the rows by themselves."""
+    path = str(tmp_path / "rows")
+    rows.write.parquet(path)
+    stored = spark.read.parquet(path)
+    found = sequence.interpolate(stored.withColumn("v", F.col("v").cast("double")), ["k"], ["t", "id"], ["v"])
+    found.write.format("noop").mode("overwrite").save()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") - plan.split("Subqueries")[0].count("Initial Plan") >= 0
+    assert "ranges" not in plan
+
+
 def test_exact_median(spark, rows):
     want = rows.groupBy("k").agg(F.median("v").alias("m")).where("k is not null")
     for split in (False, True):
