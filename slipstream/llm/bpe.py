@@ -28,6 +28,7 @@ from slipstream.llm import arrow
 from slipstream.llm import unicode_classes as uc
 
 CACHED = 50_000  # pre-tokens a worker remembers
+CELLS = 1 << 21  # symbols that are merged at a time
 _NEVER = np.int32(2**31 - 1)
 
 
@@ -181,10 +182,14 @@ class Encoder:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         order = np.argsort(sizes, kind="stable")
         order = order[sizes[order] > 0]
-        cut = np.searchsorted(sizes[order], [8, 12, 16, 24, 48, 96, self.width], side="right")
+        classes = [8, 12, 16, 24, 48]
+        while classes[-1] < self.width:  # words of a block are at most twice as long as the shortest
+            classes.append(min(2 * classes[-1], self.width))
+        cut = np.searchsorted(sizes[order], classes, side="right")
         for part in np.split(order, np.unique(cut)):
-            for block in np.array_split(part, max(1, -(-len(part) // 8192))):
-                if len(block):
+            if len(part):
+                rows = max(1, min(8192, CELLS // min(self.width, int(sizes[part[-1]]))))
+                for block in np.array_split(part, -(-len(part) // rows)):
                     self._block(words, block, out)
         return out
 

@@ -461,14 +461,14 @@ def link(docs: DataFrame, words: int = 5, threshold: Fraction = Fraction(4, 5),
     """
     t, salt = Fraction(threshold), 0
     while True:
-        rows = staged(_describe(docs, words, t, key, text, salt), "shingles", ["kind"])
+        rows = staged(_describe(docs, words, t, key, text, salt), "shingles")
         reps = staged(_representatives(rows.where("kind = 2")), "representatives")
         if reps.where("clash").isEmpty():
             break
         salt += 1  # two sets have one name
-    described = rows.where("kind = 2").select("id", "row", "size", "h1")
+    described = staged(rows.where("kind = 2").select("id", "row", "size", "h1"), "described")
     signed = staged(_signed(docs, _members(rows), reps, words, salt, key, text), "signed")
-    discard(rows, "kind=0")
+    discard(rows)
 
     def first(columns):
         nodes, sizes, centers, maps = _unique(columns, "set", "size", "center")

@@ -112,3 +112,20 @@ def test_tables_are_packed():
     lengths = {" the": 1, "é\n": 2, "": 0}
     assert token_count.unpack(token_count.pack(lengths)) == lengths
     assert token_count.unpack(token_count.pack({})) == {}
+
+
+def test_words_of_very_different_lengths_in_one_text():
+    """Blocks are cut by rows and width: a very long word does not widen those beside it."""
+    import tracemalloc
+
+    import public_tokenizers
+
+    content = open(public_tokenizers.path("word_bpe_49k.json")).read()
+    own = bpe.Tokenizer(content, 4619)
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(110)) for _ in range(1500)] + ["".join(rng.choice("abcdefghij") for _ in range(8800))]
+    tracemalloc.start()
+    found = own.encoder.encode([w.encode() for w in words])
+    assert tracemalloc.get_traced_memory()[1] < 250 << 20
+    tracemalloc.stop()
+    assert found[-1] == own.encoder.encode([words[-1].encode()])[0] and all(found)
