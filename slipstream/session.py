@@ -79,23 +79,23 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
-def staged(df, name: str, folders: list[str] | None = None):
+def staged(df, name: str):
     """Write a frame that several branches read to the shared folder, and read it back.
 
     Unlike a checkpoint the stored copy is columnar, so each branch reads only its own columns. The
-    folder is new on every call and goes when the driver's JVM ends. With ``folders`` rows lie in a folder for each value of these columns.
+    folder is new on every call and goes when the driver's JVM ends, or before by `discard`.
     """
     spark = df.sparkSession
     path = fresh_folder(spark, name)
-    (df.write.partitionBy(*folders) if folders else df.write).parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(df, folder: str | None = None) -> None:
-    """Delete the stored rows of a staged frame that nothing reads any more, or those in one of its folders (``column=value``)."""
+def discard(df) -> None:
+    """Delete the stored rows of a staged frame that nothing reads any more."""
     spark = df.sparkSession
     shared = checkpoint_folder(spark).split(":", 1)[-1].lstrip("/")
-    for found in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if found.split(":", 1)[-1].lstrip("/").startswith(shared) and folder in (None, found.rsplit("/", 1)[-1]):
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(found)
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if folder.split(":", 1)[-1].lstrip("/").startswith(shared):
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
