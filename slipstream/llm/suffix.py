@@ -26,6 +26,7 @@ from slipstream.llm.substring import Chunk, cover, for_id, noted, pack_anchors,
 from slipstream.session import staged
 
 BLOCK = 24  # bytes of the blocks whose smallest name decides where a suffix is merged
+KEPT = 6_000_000  # suffixes whose names a task holds at a time; a bucket of more is hashed several times
 SORTED = 1_000_000  # suffixes that are sorted at a time
 COMPARED = 1_000_000  # bytes that are compared at a time
 
@@ -200,6 +201,25 @@ def repeated_strings(docs: DataFrame, length: int, key: str, text: str) -> DataF
             )
         yield packed.batch_of(out)
 
+    def named(data, offsets, sizes):
+        """(name of the first bytes, place) of all suffixes, in parts by the name that can be sorted."""
+        total = int((sizes - length + 1).sum())
+        passes = 1 + total // KEPT
+        for turn in range(passes):
+            names, places = [], []
+            for i, j in arrow.pieces(offsets):
+                name = arrow.mix(arrow.windows(data[offsets[i] : offsets[j]].astype(np.uint64), length))
+                last = np.repeat(offsets[i + 1 : j + 1] - length, sizes[i:j])[: len(name)]
+                take = np.arange(len(name)) + offsets[i] <= last
+                if passes > 1:
+                    take &= (name % np.uint64(passes)) == turn
+                places.append((np.flatnonzero(take) + offsets[i]).astype(np.uint32 if len(data) < 1 << 32 else np.int64))
+                names.append(name[take])
+            parts = np.uint64(1 + sum(map(len, names)) // SORTED)
+            for part in range(int(parts)):
+                some = [(n >> np.uint64(32)) % parts == part for n in names] if parts > 1 else [slice(None)] * len(names)
+                yield np.concatenate([n[k] for n, k in zip(names, some)]), np.concatenate([p[k] for p, k in zip(places, some)]).astype(np.int64)
+
     def merge(batches):
         found = packed.numbers(batches, checks=np.uint32, places=np.uint32)
         rows = [(n, c) for b in batches for n, c in zip(b.column("n").to_pylist(), b.column("codes").to_pylist())]
@@ -212,18 +232,7 @@ def repeated_strings(docs: DataFrame, length: int, key: str, text: str) -> DataF
         rank = packed.rank(ids)
         offsets = np.concatenate([[0], np.cumsum(sizes)])
         repeated = np.zeros(len(data), bool)  # where a repeat starts
-        rounds = 1 + len(data) // SORTED  # a bucket that is too large for one sort is sorted by parts of the names
-        for turn in range(rounds):
-            names, at = [], []
-            for i, j in arrow.pieces(offsets):
-                name = arrow.mix(arrow.windows(data[offsets[i] : offsets[j]].astype(np.uint64), length))
-                last = np.repeat(offsets[i + 1 : j + 1] - length, sizes[i:j])[: len(name)]
-                take = np.arange(len(name)) + offsets[i] <= last
-                if rounds > 1:
-                    take &= (name % np.uint64(rounds)) == turn
-                at.append(np.flatnonzero(take) + offsets[i])
-                names.append(name[take])
-            name, at = np.concatenate(names), np.concatenate(at)
+        for name, at in named(data, offsets, sizes):
             order = np.argsort(name, kind="stable")
             name, at = name[order], at[order]
             same = same_as_before(name)

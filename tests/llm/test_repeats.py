@@ -56,6 +56,7 @@ def test_byte_strings_of_documents(small):
 def test_large_buckets_are_sorted_in_parts(small, monkeypatch):
     docs, rows = small
     monkeypatch.setattr(suffix, "SORTED", 3000)
+    monkeypatch.setattr(suffix, "KEPT", 10_000)
     found = suffix.remove_repeats(docs.where("doc_id < 60"))
     assert rows_of(found, "doc_id", "n_removed") == sorted(((r[0], r[2]) for r in brute.repeated_bytes([r for r in rows if r[0] < 60])), key=repr)
 
