@@ -22,6 +22,7 @@ from slipstream.operators.scans import (
     previous,
     running_total,
 )
+from slipstream.session import staged
 
 
 def interpolate(
@@ -224,6 +225,7 @@ def exact_median(df: DataFrame, keys: Sequence[str], column: str, out: str, spre
     built-in aggregate, whose buffer keeps every distinct value of a group.
     """
     counts = df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count("*").alias("__n"))
+    counts = staged(counts, "counts") if spread else counts  # borders, carries and ranks all read them
     scans = {"__upto": running_total(F.col("__n")), "__onward": Scan("sum", F.col("__n"), backward=True)}
     ranked = ordered_scan(counts, keys, [column], scans, spread)
     rows = F.col("__upto") + F.col("__onward") - F.col("__n")

@@ -69,6 +69,7 @@ def interval_flags(
     keys = list(keys)
     bounds = F.array(*[F.col(high) for high in dict.fromkeys(high for _, high in intervals.values())])
     asked = rows.select(*keys, F.explode(bounds).alias("__until")).where(_all_known([*keys, "__until"])).distinct()
+    asked = staged(asked, "asked") if spread else asked  # the scan reads it for its borders and carries too
     seen = asof_left(asked, samples.select(*keys, sample_time), keys, "__until", sample_time, {sample_time: "__seen"}, spread)
     seen = staged(seen.where(F.col("__seen").isNotNull()), "bounds")
     out = rows
