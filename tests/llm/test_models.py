@@ -71,3 +71,54 @@ def test_held_out_is_the_remainder_of_the_hash(spark):
 
     rows = spark.range(200).select("id", held_out("id").alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in rows)
+
+
+def test_learner_is_the_plain_loop():
+    """Follow-the-regularised-leader, coordinate by coordinate."""
+    import math
+
+    rng = np.random.default_rng(5)
+    rows = []
+    for k in range(40):
+        index = np.unique(rng.integers(0, 30, 6)).astype(np.int32)
+        rows.append((float(k % 3 == 0), index, rng.random(len(index)).astype(np.float32) + (index < 8) * (k % 3 == 0)))
+    found, bias = quality.learn(rows, epochs=3)
+    z, n = {}, {}
+
+    def weight(i):
+        s = z.get(i, 0.0)
+        if abs(s) <= quality.L1:
+            return 0.0
+        return -(s - math.copysign(quality.L1, s)) / ((quality.BETA + math.sqrt(n.get(i, 0.0))) / quality.ALPHA + quality.L2)
+
+    order = np.random.default_rng(3)
+    for _ in range(3):
+        for k in order.permutation(len(rows)):
+            label, index, value = rows[k]
+            features = [*zip(index.tolist(), value.tolist()), ("bias", 1.0)]
+            own = {i: weight(i) for i, _ in features}
+            p = 1 / (1 + math.exp(-sum(own[i] * x for i, x in features)))
+            for i, x in features:
+                g = (p - label) * x
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / quality.ALPHA * own[i]
+                n[i] = n.get(i, 0.0) + g * g
+    assert bias == pytest.approx(weight("bias"), rel=1e-6)
+    for i in range(40):
+        assert found[i] == pytest.approx(weight(i), rel=1e-5, abs=1e-7)
+    assert not found[40:].any()
+
+
+def test_ridge_is_the_plain_solve():
+    """With every text a landmark the model is kernel ridge regression, solved in its dual."""
+    texts = ["the cat sat on the mat", "a dog ran over the hill", "this is the other one", "le chat est sur la table", "un chien court sur la colline", "ceci est une autre chose", "der hund", "die katze"]
+    label = np.array([0, 0, 0, 1, 1, 1, 2, 2])
+    rows = language.presence(pa.array(texts))
+    model = language.fit(["en", "fr", "de"], label, rows, marks=10)
+    k = language.kernel(rows, rows).astype(np.float64)
+    root = np.sqrt(1 / np.bincount(label)[label] / 3)
+    y = np.where(label[:, None] == np.arange(3), 1.0, -1.0)
+    dual = np.linalg.solve(root[:, None] * k * root + language.RIDGE / len(texts) * np.eye(len(texts)), root[:, None] * y)
+    other = language.presence(pa.array(["the hill", "la chose", "katze und hund", "zzz"]))
+    want = (language.kernel(other, rows) * root) @ dual
+    assert np.allclose(model.values(other), want, atol=1e-3)
+    assert model.values(other)[:3].argmax(axis=1).tolist() == [0, 1, 2]
