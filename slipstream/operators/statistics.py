@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slipstream.operators.scans import ordered_scan, running_total
-from slipstream.session import staged
+from slipstream.session import growing, staged
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str], above: float | None = None) -> DataFrame:
@@ -213,8 +213,8 @@ def impute_by_matching(
     near = ranked.where("late = 1").select("model", "key", "draw", F.col("at").alias("own"), around.alias("rank"))
     candidate = F.struct(F.abs(F.col("donor_at") - F.col("own")).alias("gap"), "rank", "value")
     # at most 2 * donors rows for each draw of a missing row
-    pools = near.join(donor, ["model", "rank"]).groupBy("key", "draw").agg(F.slice(F.array_sort(F.collect_list(candidate)), 1, donors).alias("pool"))
+    pools = near.join(growing(donor), ["model", "rank"]).groupBy("key", "draw").agg(F.slice(F.array_sort(F.collect_list(candidate)), 1, donors).alias("pool"))
     pick = (F.pmod(_digits(F.col("key"), F.col("draw"), seed), F.size("pool")) + 1).cast("int")
     filled = pools.select("key", F.element_at("pool", pick)["value"].alias("value")).groupBy(F.col("key").alias("__key")).agg(F.avg("value").alias("__drawn"))
-    joined = df.join(filled, F.col(key) == F.col("__key"), "left")
+    joined = df.join(growing(filled), F.col(key) == F.col("__key"), "left")
     return joined.withColumn(target, F.coalesce(F.col(target), F.col("__drawn"))).select(*df.columns)

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from slipstream.operators import roles, sequence
+from slipstream.operators import roles, sequence, statistics, temporal
 from slipstream.plans import race
 
 SCHEMA = """Season int, Round int, EventName string, Country string, Location string, EventDate timestamp, Driver string,
@@ -215,3 +215,17 @@ def test_drs_and_weather(spark):
     wet = race.attach_weather(rows, weather, "OvertakeIntervall_Bottom")
     assert {(r["LapNumber"], r["Weather_Time"], r["AirTemp"]) for r in wet.collect()} == {(3.0, 270.0, 20.0), (2.0, None, None), (1.0, None, None)}
     assert wet.agg(F.count("*")).head()[0] == 6
+
+
+def test_growing_sides_are_not_broadcast(spark):
+    """Sides that grow with the input are shuffled, however small their files look to the optimizer."""
+    laps = frame(spark, swap_race())
+    asked = spark.createDataFrame([("a", 1.0, 2.0)], "k string, low double, high double")
+    samples = spark.createDataFrame([("a", 1.5)], "k string, at double")
+    flagged = temporal.interval_flags(asked, samples, ["k"], "at", {"hit": ("low", "high")}, spread=False)
+    values = spark.createDataFrame([(i, None if i % 5 == 0 else float(i), float(i)) for i in range(40)], "id int, y double, x double")
+    filled = statistics.impute_by_matching(values, "id", "y", ["x"], draws=2, spread=False)
+    for found in (race.find_overtakes(laps), race.find_failed_attempts(laps), flagged, filled):
+        found.collect()
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert flagged.head()["hit"] == 1 and filled.where("y IS NULL").count() == 0
