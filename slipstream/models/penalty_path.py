@@ -99,6 +99,7 @@ def fit_encoders(df: DataFrame, inputs: Inputs, longest: int, most: int, fold: s
         counts = rows.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("level")).agg(
             F.count("*").alias("n"), *[F.count(F.when(F.col("__fold") == f, 1)).alias(f"f{f}") for f in folds]
         )
+        counts = staged(counts, "levels") if folds else counts
         for f in every:
             n = F.col("n") if f == _EVERY else F.col("n") - F.col(f"f{f}")
             least = max(1.0, inputs.frequent.get(c, 0.0) * outside(f, "n"))
@@ -110,12 +111,14 @@ def fit_encoders(df: DataFrame, inputs: Inputs, longest: int, most: int, fold: s
         words = _terms(rows, inputs, longest)
         for k in range(1, longest + 1):
             gram = F.concat(*[F.col(f"__t_w{n}") for n in range(1, k + 1)])
-            own = words.select("__fold", gram.alias("all")).select("__fold", F.explode(F.array_distinct("all")).alias("term"), "all")
-            times = F.size(F.filter("all", lambda t: t == F.col("term")))
-            counts = own.withColumn("tf", times).groupBy("term").agg(
-                F.sum("tf").alias("tf"), F.count("*").alias("df"),
-                *[F.sum(F.when(F.col("__fold") == f, F.col("tf")).otherwise(0)).alias(f"tf{f}") for f in folds],
-                *[F.count(F.when(F.col("__fold") == f, 1)).alias(f"df{f}") for f in folds],
+            # each occurrence counts in tf and each text once in df, so the work follows the length of a text and not its square
+            seen = lambda terms, first: F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(first).alias("first")))
+            both = F.concat(seen(F.col("all"), 0), seen(F.array_distinct("all"), 1))
+            own = words.select("__fold", gram.alias("all")).select("__fold", F.inline(both))
+            counts = own.groupBy("term").agg(
+                F.count(F.when(F.col("first") == 0, 1)).alias("tf"), F.count(F.when(F.col("first") == 1, 1)).alias("df"),
+                *[F.count(F.when((F.col("__fold") == f) & (F.col("first") == 0), 1)).alias(f"tf{f}") for f in folds],
+                *[F.count(F.when((F.col("__fold") == f) & (F.col("first") == 1), 1)).alias(f"df{f}") for f in folds],
             )
             counts = staged(counts, "terms") if folds else counts
             for f in every:

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -111,3 +112,15 @@ def test_without_text_or_rows(spark, table):
     assert none.score(table).where("p <> 0.5").count() == 0
     odd = spark.createDataFrame([(None, None, None, "never seen")], "text string, a double, b double, c string")
     assert 0 < fit_many(table, [Linear()], INPUTS)[0].score(odd).head()["p"] < 1
+
+
+def test_terms_of_one_long_text_take_linear_time(spark):
+    words = [f"w{i}" for i in range(30000)]
+    texts = [(" ".join(words + words[:2] + words[:1]), 0), ("w0 w1 w0", 1)]
+    df = spark.createDataFrame(texts, "text string, fold int")
+    began = time.perf_counter()
+    found = penalty_path.fit_encoders(df, penalty_path.Inputs("text", [], [], {}), 1, 2, "fold")
+    assert time.perf_counter() - began < 60
+    assert {f: e.terms[1] for f, e in found.items()} == {-1: ["w0", "w1"], 0: ["w0", "w1"], 1: ["w0", "w1"]}
+    assert found[-1].weights[1].tolist() == [1.0, 1.0]
+    assert found[0].weights[1].tolist() == [1.0, 1.0]
