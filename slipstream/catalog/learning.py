@@ -209,7 +209,7 @@ def _trees(validation: str | None = None, trees: int = TREES, **more) -> Pipelin
 
 def _fit_and_score(spark: SparkSession, sf_dir: str, pipeline) -> DataFrame:
     train, test = _train_test(_documents(spark, sf_dir))
-    return classifiers.scored(pipeline(train).fit(train), test)
+    return classifiers.scored(classifiers.fitted(pipeline(train), train), test)
 
 
 _SCORES = "i:doc_id label d:p i:prediction"
@@ -324,7 +324,7 @@ def oof_stack(spark, sf_dir):
 @registry.add("importance", "s:feature elojel d:coefficient")
 def importance(spark, sf_dir):
     train, _ = _train_test(_documents(spark, sf_dir))
-    return evaluation.top_by_magnitude(classifiers.importance(_linear(train).fit(train), train), "coefficient", "feature", 15)
+    return evaluation.top_by_magnitude(classifiers.importance(classifiers.fitted(_linear(train), train), train), "coefficient", "feature", 15)
 
 
 @registry.add("tree_importance", "s:feature d:coefficient")
@@ -343,7 +343,7 @@ def permutation_importance(spark, sf_dir):
 @registry.add("model_size", "s:model i:parameters leaves splits")
 def model_size(spark, sf_dir):
     train, _ = _train_test(_documents(spark, sf_dir))
-    sizes = [{"model": n, **classifiers.model_size(p.fit(train))} for n, p in (("linear", _linear(train)), ("trees", _trees()))]
+    sizes = [{"model": n, **classifiers.model_size(classifiers.fitted(p, train))} for n, p in (("linear", _linear(train)), ("trees", _trees()))]
     rows = [(s["model"], s["parameters"], s.get("leaves"), s.get("splits")) for s in sizes]
     return spark.createDataFrame(rows, "model string, parameters long, leaves long, splits long")
 

@@ -19,6 +19,7 @@ from pyspark.ml.classification import (
     NaiveBayes,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
@@ -107,6 +108,33 @@ def with_class_weights(df: DataFrame, label: str = LABEL, mode: str = "balanced"
     return df.join(F.broadcast(weights), F.col(label) == F.col("__label")).drop("__label")
 
 
+def _prepared(pipeline: Pipeline, df: DataFrame, kept: Sequence[str], searched: Sequence = ()) -> tuple[list, Pipeline, DataFrame]:
+    """The leading stages on words, which learn nothing, the pipeline of all others, and the rows that the first ones give, stored.
+
+    Texts are cut into words once, however many fits and passes follow. Of the rows the ``kept`` columns stay, and what the others
+    take; a stage with a ``searched`` param is no leading one.
+    """
+    stages, owners = pipeline.getStages(), {p.parent for p in searched}
+    n = next((i for i, s in enumerate(stages) if isinstance(s, (Estimator, VectorAssembler)) or s.uid in owners), len(stages))
+    if not n:
+        return [], pipeline, df
+    first, rest = stages[:n], stages[n:]
+    taken = set(kept)
+    for stage in rest:
+        taken |= {stage.getOrDefault("inputCol")} if stage.hasParam("inputCol") and stage.isDefined("inputCol") else set()
+        taken |= set(stage.getOrDefault("inputCols")) if stage.hasParam("inputCols") and stage.isDefined("inputCols") else set()
+    if any(not s.hasParam("inputCol") and not s.hasParam("inputCols") and not s.hasParam("featuresCol") for s in rest):
+        taken = None  # a stage that doesn't name what it takes
+    rows = PipelineModel(first).transform(df)
+    return first, Pipeline(stages=rest), staged(rows if taken is None else rows.select(*[c for c in rows.columns if c in taken]), "words")
+
+
+def fitted(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
+    """The same model as ``pipeline.fit``, for which texts are cut into words once."""
+    first, rest, rows = _prepared(pipeline, df, df.columns)
+    return PipelineModel([*first, *rest.fit(rows).stages])
+
+
 def scored(model, df: DataFrame) -> DataFrame:
     """Class and probability of the positive class for each row."""
     if isinstance(model, (Booster, LinearModel, NetworkModel)):
@@ -164,8 +192,10 @@ def random_search(
     ``space`` maps Spark ML params of the pipeline's stages to draws.
     """
     grid = draw_configurations(space, n, seed)
+    unread = {s.getOrDefault("inputCol") for s in pipeline.getStages()[:1] if s.hasParam("inputCol")}
+    first, rest, rows = _prepared(pipeline, df, [c for c in df.columns if c not in unread], list(space))
     search = CrossValidator(
-        estimator=pipeline,
+        estimator=rest,
         estimatorParamMaps=grid,
         evaluator=evaluator(scoring),
         numFolds=folds,
@@ -173,7 +203,8 @@ def random_search(
         parallelism=parallelism,
         seed=seed,
     )
-    best = search.fit(df)
+    best = search.fit(rows)
+    best.bestModel = PipelineModel([*first, *best.bestModel.stages])
     rows = [
         (i, "; ".join(f"{p.name}={v}" for p, v in sorted(grid[i].items(), key=lambda e: e[0].name)), float(m), float(s))
         for i, (m, s) in enumerate(zip(best.avgMetrics, best.stdMetrics))
@@ -190,10 +221,15 @@ def random_search(
 
 def out_of_fold(df: DataFrame, pipeline: Pipeline, fold: str = "fold", folds: int = 5) -> DataFrame:
     """Every row scored by a model that did not see its fold."""
+    _, rest, rows = _prepared(pipeline, df, df.columns)
+    return _out_of_fold(df, rest, rows, fold, folds)
+
+
+def _out_of_fold(df: DataFrame, pipeline: Pipeline, rows: DataFrame, fold: str, folds: int) -> DataFrame:
     parts = None
     for f in range(folds):
-        model = pipeline.fit(df.where(F.col(fold) != f))
-        part = scored(model, df.where(F.col(fold) == f)).select(*df.columns, PROBABILITY)
+        model = pipeline.fit(rows.where(F.col(fold) != f))
+        part = scored(model, rows.where(F.col(fold) == f)).select(*df.columns, PROBABILITY)
         parts = part if parts is None else parts.unionByName(part)
     return parts
 
@@ -202,8 +238,9 @@ def stacked_text(
     train: DataFrame, test: DataFrame, pipeline: Pipeline, out: str, fold: str = "fold", folds: int = 5
 ) -> tuple[DataFrame, DataFrame]:
     """A text model's probability as one number: out of fold on train, from the full fit on test."""
-    inside = out_of_fold(train, pipeline, fold, folds).withColumnRenamed(PROBABILITY, out)
-    outside = scored(pipeline.fit(train), test).select(*test.columns, F.col(PROBABILITY).alias(out))
+    first, rest, rows = _prepared(pipeline, train, train.columns)
+    inside = _out_of_fold(train, rest, rows, fold, folds).withColumnRenamed(PROBABILITY, out)
+    outside = scored(PipelineModel([*first, *rest.fit(rows).stages]), test).select(*test.columns, F.col(PROBABILITY).alias(out))
     return inside, outside
 
 

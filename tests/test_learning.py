@@ -4,6 +4,7 @@ import random
 
 import pytest
 from pyspark.ml import Pipeline
+from pyspark.ml.feature import RegexTokenizer
 from pyspark.sql import functions as F
 
 from slipstream.functions import encoders
@@ -156,3 +157,20 @@ def test_rare_levels_share_a_bucket(spark):
     fitted = encoders.fit_frequent(df, "d", 0.02)
     new = spark.createDataFrame([("often",), ("unseen",), (None,)], "d string")
     assert [r["o"] for r in encoders.apply_frequent(new, fitted, "d", "o").orderBy(F.desc("o")).collect()] == ["often", encoders.INFREQUENT, encoders.INFREQUENT]
+
+
+def test_texts_are_cut_into_words_once(spark, monkeypatch):
+    rows = [(i, "good fast lap" if i % 3 else "bad slow lap", float(i % 3 > 0), i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, text string, label double, fold int")
+    pipeline = Pipeline(stages=[*features.feature_stages(text="text", max_ngram=2), classifiers.logistic(weighted=False, maxIter=5)])
+    plain = {r["id"]: r["p"] for r in classifiers.scored(pipeline.fit(df), df).collect()}
+    cuts, cut = [], RegexTokenizer._transform
+    monkeypatch.setattr(RegexTokenizer, "_transform", lambda self, rows: cuts.append(1) or cut(self, rows))
+    last = pipeline.getStages()[-1]
+    best, table = classifiers.random_search(df, pipeline, {last.regParam: classifiers.choice(0.1, 0.01)}, n=2, folds=2)
+    assert len(cuts) == 1 and table.count() == 2
+    assert classifiers.out_of_fold(df, pipeline, folds=2).count() == 40 and len(cuts) == 2
+    model = classifiers.fitted(pipeline, df)
+    assert len(cuts) == 3
+    assert {r["id"]: r["p"] for r in classifiers.scored(model, df).collect()} == pytest.approx(plain)
+    assert best.bestModel.transform(df).count() == 40
