@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from slipstream.operators import scans
 from slipstream.operators import profile, sampling, scans, sequence, temporal
 from slipstream.operators.scans import (
     bin_index,
@@ -166,3 +167,17 @@ def test_texts_with_one_prefix_are_spread(spark):
     got = {r.t: r for r in profile.cumulative_frequency(rows, "t").collect()}
     names = sorted(got)
     assert [round(got[n].Kumulativ_Szazalek, 6) for n in names] == [round(0.5 * (i + 1), 6) for i in range(200)]
+
+
+def test_a_row_is_compared_with_few_borders_however_many_ranges(spark):
+    rows = spark.createDataFrame([(i % 3, i) for i in range(300)], "k int, v int")
+    kept, compared = spark.conf.get("spark.sql.shuffle.partitions"), {}
+    try:
+        for parts in (4, 800):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            placed = scans.OrderedRows(rows, ["k"], ["v"])._rows
+            compared[parts] = placed._jdf.queryExecution().analyzed().toString().count("element_at")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+    assert compared[800] < 4 * compared[4]
+    assert scans.numbered(rows, ["k"], ["v"], "n").where("n <> (v - k) / 3 + 1").count() == 0
