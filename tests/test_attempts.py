@@ -55,6 +55,14 @@ def test_track_join_keeps_rows(spark):
     assert [(r["OvertakingDifficulty"], r["BrakingLevel"], r["Stratify"]) for r in got] == [("Good", 3, "1_0"), (None, None, "0_1")]
 
 
+def test_plans_hold_each_step_once(spark):
+    """The stacked rows are stored before each step that reads them often, so the driver's plan has nothing of the steps before."""
+    plan = queries._attempt_laps(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") <= 8 and "OTable" not in plan
+    character = attempts.model_variant(attempts.flatten(queries._wide_input(spark, SF)), **attempts.VARIANTS["character"])
+    assert len(character._jdf.queryExecution().executedPlan().toString()) < 200_000
+
+
 def test_one_row_per_attempt(spark, flat):
     long = queries._wide_input(spark, SF)
     assert flat.count() == long.select("AttemptID").distinct().count() == flat.select("AttemptID").distinct().count()
