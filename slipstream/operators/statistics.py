@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import combinations
@@ -189,21 +190,21 @@ def impute_by_matching(
         parts = [F.coalesce(F.col(f"x{i}") - F.lit(float(m)), F.lit(0.0)) * coefficients[i + 1] for i, m in enumerate(models.means)]
         return functools.reduce(lambda a, b: a + b, parts, coefficients[0])
 
-    def literal(values: np.ndarray) -> Column:
-        return F.array(*[F.lit(float(v)) for v in values])
-
-    fitted = F.create_map(*[x for own, c in models.fitted.items() for x in (F.lit(own), literal(c))])
-    drawn = F.create_map(*[x for own, c in models.drawn.items() for x in (F.lit(own), F.array(*[literal(d) for d in c]))])
+    # a row for each model, at most one for each pattern: as literals they would stand in the plan at every use
+    table = [{"model": own, "fitted": c.tolist(), "drawn": models.drawn[own].tolist()} for own, c in models.fitted.items()]
+    told = F.from_json(F.lit(json.dumps(table)), "array<struct<model int, fitted array<double>, drawn array<array<double>>>>")
+    told = staged(df.sparkSession.range(1).select(F.inline(told)), "coefficients")
     used = F.create_map(*[x for p, own in models.used.items() for x in (F.lit(p), F.lit(own))])
     known = rows.where("y IS NOT NULL")
     holds = F.filter(F.array(*[F.lit(own) for own in models.fitted]), lambda own: F.col("pattern").bitwiseAND(own) == own)
-    giving = known.withColumn("model", F.explode(holds)).select(
-        "model", predicted(F.element_at(fitted, F.col("model"))).alias("at"), F.md5(F.col("key").cast("string")).alias("tie"), F.lit(0).alias("late"), "y"
+    giving = known.withColumn("model", F.explode(holds)).join(F.broadcast(told.drop("drawn")), "model").select(
+        "model", predicted(F.col("fitted")).alias("at"), F.md5(F.col("key").cast("string")).alias("tie"), F.lit(0).alias("late"), "y"
     )
     numbers = F.array(*[F.lit(m) for m in range(draws)])
     missing = rows.where("y IS NULL AND wanted").withColumn("model", F.element_at(used, F.col("pattern"))).withColumn("draw", F.explode(numbers))
     tie = F.md5(F.concat_ws("-", F.col("key").cast("string"), F.col("draw").cast("string"), F.lit(f"{seed}-place")))
-    asking = missing.select("model", predicted(F.element_at(F.element_at(drawn, F.col("model")), F.col("draw") + 1)).alias("at"), tie.alias("tie"), F.lit(1).alias("late"), "key", "draw")
+    missing = missing.join(F.broadcast(told.drop("fitted")), "model").withColumn("drawn", F.element_at("drawn", F.col("draw") + 1))
+    asking = missing.select("model", predicted(F.col("drawn")).alias("at"), tie.alias("tie"), F.lit(1).alias("late"), "key", "draw")
     stacked = giving.unionByName(asking, allowMissingColumns=True)
     # stored, as donors and askers are both taken from it
     ranked = ordered_scan(stacked, ["model"], ["at", "tie", "late", "key", "draw"], {"rank": running_total((F.col("late") == 0).cast("long"))}, spread)

@@ -120,6 +120,22 @@ def test_imputation_by_the_predictors_that_are_known(spark):
         assert models.drawn[own].shape == (3, 3) and not np.array_equal(models.drawn[own][0], models.drawn[own][1])
 
 
+def test_plan_of_imputation_does_not_hold_the_coefficients(spark, monkeypatch):
+    """Eight patterns of known predictors with ten draws each: the models are read as rows, not written out at every use."""
+    texts, keep = {}, statistics.staged
+
+    def noted(df, name):
+        texts[name] = df._jdf.queryExecution().executedPlan().toString()
+        return keep(df, name)
+
+    monkeypatch.setattr(statistics, "staged", noted)
+    xs = [f"CASE WHEN id % {5 + i} <> {i} THEN id * {i + 3} % 17 + 0.5D END AS x{i}" for i in range(3)]
+    df = spark.range(600).selectExpr("id", *xs, "CASE WHEN id % 4 <> 0 THEN 3D * id END AS y")
+    got = statistics.impute_by_matching(df, "id", "y", ["x0", "x1", "x2"])
+    assert got.where("y IS NULL").count() == 0
+    assert len(texts["ranked"]) < 60_000
+
+
 def test_imputation_without_common_donors(spark):
     rows = [(1, 1.0, None, 5.0), (2, None, 2.0, 6.0), (3, 1.0, 2.0, None), (4, None, None, None)]
     df = spark.createDataFrame(rows, "id long, a double, b double, y double")
