@@ -7,6 +7,7 @@ from slipstream.catalog import field
 from slipstream.catalog import race as queries
 from slipstream.functions import maps, text
 from slipstream.plans import attempts
+from slipstream.session import staged
 
 SF = "/root/testdata/sf0.001"
 
@@ -65,6 +66,28 @@ def test_plans_hold_each_step_once(spark):
         assert len(variant._jdf.queryExecution().executedPlan().toString()) < 200_000, name
 
 
+def test_rows_of_attempts_are_stored_by_small_plans(spark, monkeypatch):
+    """The two kinds of attempt are stored one after the other, and the rows again after the weather."""
+    exchanges, keep = {}, attempts.staged
+
+    def noted(df, name, *more):
+        plans = [d._jdf.queryExecution().executedPlan().toString() for d in (df, *more)]
+        exchanges[name] = [plan.count("Exchange") for plan in plans]
+        return keep(df, name, *more)
+
+    monkeypatch.setattr(attempts, "staged", noted)
+    plan = queries._attempt_laps(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(exchanges["attempt-rows"]) == 2 and max(exchanges["attempt-rows"]) <= 12
+    assert "Window [" not in plan and "Join" not in plan
+
+
+def test_parts_of_a_stored_table_have_the_same_columns(spark):
+    both = staged(spark.range(2), "parts", spark.range(2, 5))
+    assert sorted(r["id"] for r in both.collect()) == [0, 1, 2, 3, 4]
+    with pytest.raises(ValueError):
+        staged(spark.range(2), "parts", spark.range(2).select(F.col("id").cast("int")))
+
+
 def test_one_row_per_attempt(spark, flat):
     long = queries._wide_input(spark, SF)
     assert flat.count() == long.select("AttemptID").distinct().count() == flat.select("AttemptID").distinct().count()
