@@ -177,13 +177,15 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").selectExpr(
         "doc_id", "CAST(quality AS DOUBLE) AS label", "concat_ws('_', quality, toxic) AS Stratify"
     )
-    documents = table(spark, sf_dir, "documents").selectExpr(
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    # texts are looked through after the join, so only those with a label
+    joined = documents.join(labels, "doc_id").selectExpr(
         "doc_id", "text", "lang", "source", "CAST(n_chars AS DOUBLE) AS n_chars",
         "CAST(size(split(text, '\\\\n')) AS DOUBLE) AS n_lines",
         "CAST(length(regexp_replace(text, '[^0-9]', '')) AS DOUBLE) AS n_digits",
         "CAST(n_chars AS DOUBLE) / size(split(text, '\\\\s+')) AS mean_word",
+        "label", "Stratify",
     )
-    joined = documents.join(labels, "doc_id")
     split = sampling.stratified_split(joined, ["Stratify"], "doc_id", 0.2)
     folded = sampling.stratified_folds(split, ["Stratify", "is_test"], "doc_id", FOLDS)
     return staged(classifiers.with_class_weights(folded), "labelled")
@@ -305,7 +307,7 @@ def random_search(spark, sf_dir):
 def linear_search(spark, sf_dir):
     """The whole budget of the linear job, 300 settings on 5 folds, over the labelled documents: all in the same passes."""
     train, _ = _train_test(_documents(spark, sf_dir))
-    folded = sampling.stratified_folds(train.drop("fold"), ["Stratify"], "doc_id", 5)
+    folded = staged(sampling.stratified_folds(train.drop("fold"), ["Stratify"], "doc_id", 5), "folded")
     inputs = penalty_path.Inputs("text", _NUMBERS, _CATEGORIES, {})
     space = modelling.LINEAR_SPACE | {"ngrams": classifiers.integer(1, 3)}
     drawn = [penalty_path.Linear(**c) for c in classifiers.draw_configurations(space, 300)]

@@ -124,3 +124,46 @@ def test_terms_of_one_long_text_take_linear_time(spark):
     assert {f: e.terms[1] for f, e in found.items()} == {-1: ["w0", "w1"], 0: ["w0", "w1"], 1: ["w0", "w1"]}
     assert found[-1].weights[1].tolist() == [1.0, 1.0]
     assert found[0].weights[1].tolist() == [1.0, 1.0]
+
+
+def test_strong_fits_end_after_few_passes(table, rows, monkeypatch):
+    passes = []
+    real = penalty_path._Models.losses
+    monkeypatch.setattr(penalty_path._Models, "losses", lambda self, stored, points: passes.append(len(points)) or real(self, stored, points))
+    settings = [Linear(s, 10 * k, n, fold=f) for s in (1e-3, 1.0, 100.0) for k in (1, 3, 6) for n in (1, 2) for f in range(3)]
+    fitted = fit_many(table, settings, INPUTS, weight="w", fold="fold", tolerance=1e-6)
+    assert passes[0] == len(settings) and len(passes) < 40
+    for s, model in zip(settings, fitted):
+        known = [r for r in rows if r[7] != s.fold]
+        x, names = plain_matrix(known, known, s)
+        assert model.names == names
+        y, w = (np.array([r[i] for r in known]) for i in (5, 6))
+        penalty = np.append(model.coefficients[:-1], 0)
+        slope = s.strength * x.T @ (w * (1 / (1 + np.exp(-x @ model.coefficients)) - y)) + penalty
+        assert np.abs(slope).max() < 1e-3 * max(1, s.strength)
+
+
+@pytest.mark.parametrize("few", [None, 2])
+def test_long_terms_are_counted_among_frequent_words(spark, monkeypatch, few):
+    if few is not None:
+        monkeypatch.setattr(penalty_path, "FEW", few)  # too many words to name: all n-grams are counted
+    stored = []
+    real = penalty_path.staged
+    monkeypatch.setattr(penalty_path, "staged", lambda df, name, *more: stored.append(real(df, name, *more)) or stored[-1])
+    rng = random.Random(8)
+    texts = [([rng.choice(["aa", "bb", "cc", "dd"]) for _ in range(12)] + [f"r{rng.randint(0, 400)}x" for _ in range(40)], i % 3) for i in range(60)]
+    for words, _ in texts:
+        rng.shuffle(words)
+    texts += [([], 0), (["aa", "bb", "aa", "bb", "aa"] * 30, 1)]
+    df = spark.createDataFrame([(" ".join(words) or None, f) for words, f in texts], "text string, fold int").repartition(3)
+    found = penalty_path.fit_encoders(df, Inputs("text", [], [], {}), 3, 7, "fold")
+    for f, encoder in found.items():
+        known = [words for words, own in texts if own != f]
+        for k in (1, 2, 3):
+            grams = [[" ".join(words[i : i + n]) for n in range(1, k + 1) for i in range(len(words) - n + 1)] for words in known]
+            tf = {g: sum(own.count(g) for own in grams) for g in {g for own in grams for g in own}}
+            top = sorted(tf, key=lambda g: (-tf[g], g))[:7]
+            assert encoder.terms[k] == top
+            assert encoder.weights[k].tolist() == [math.log((len(known) + 1) / (sum(g in own for own in grams) + 1)) + 1 for g in top]
+    pairs = {" ".join(words[i : i + 2]) for words, _ in texts for i in range(len(words) - 1)}
+    assert (sum(df.where("term LIKE '% %'").count() for df in stored) < len(pairs) / 2) == (few is None)
