@@ -34,8 +34,8 @@ ROUNDS = 300  # passes at most
 SHRINK = 0.5  # of a step that does not lower the loss enough
 CURVED = (0, 4, 16, 32, 64, 128, 256)  # passes before which curvatures are taken
 KNOTS = 5  # sizes of the vocabulary with a curvature of their own, for each n-gram length
-TILE = 1024  # rows that are worked on at a time
-BLOCK = 48  # models that are worked on at a time
+TILE = 512  # rows that are worked on at a time
+BLOCK = 32  # models that are worked on at a time
 PIECE = 1 << 19  # words that are counted at a time; a longer text is a piece by itself
 FEW = 20_000  # words that are named to the tasks
 _EVERY = -1  # the encoder that is fitted on all rows
@@ -244,15 +244,21 @@ class _Rows:
         self.inputs, self.encoders = inputs, encoders
         self.terms = sorted({t for e in encoders.values() for own in e.terms.values() for t in own})
         self.levels = {c: sorted({lv for e in encoders.values() for lv in e.levels[c]}) for c in inputs.categories}
-        at = {t: i for i, t in enumerate(self.terms)}
+        self.at = {t: i for i, t in enumerate(self.terms)}
         self.words, self.tree = _tree(self.terms)
-        self.columns = {(f, k): np.array([at[t] for t in own], np.int64) for f, e in encoders.items() for k, own in e.terms.items()}
+        self.places = {(f, k): self.ordered(own) for f, e in encoders.items() for k, own in e.terms.items()}
         self.codes = {}  # of each encoder's levels, by the place among all levels; the last one is for all others
         for f, e in encoders.items():
             for c in inputs.categories:
                 own = {lv: i for i, lv in enumerate(e.levels[c])}
                 self.codes[f, c] = np.array([own.get(lv, len(own)) for lv in [*self.levels[c], None]])
 
+    def ordered(self, terms: Sequence[str]) -> np.ndarray:
+        """The place of each of all terms among these; their number stands for none."""
+        places = np.full(len(self.terms), len(terms))
+        places[[self.at[t] for t in terms]] = np.arange(len(terms))
+        return places
+
     def coded(self, df: DataFrame, longest: int, label: str | None, weight: str | None, fold: str | None, keep: Sequence[str] = ()) -> DataFrame:
         """(the kept columns as one, y, w, fold, ids, values): pairs of a term and how often it occurs, then the numbers and the levels' places."""
         words = df if self.inputs.text is None else _words(df, self.inputs)
@@ -312,22 +318,13 @@ class _Rows:
                 yield part, *self.read(part)
 
     def read(self, batch: pa.RecordBatch):
+        """(y, w, fold, the row, the term and the number of each count, the numbers and the levels' places)."""
         y, w, fold = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "w", "fold"))
         ids, held = _bytes(batch.column("ids"))
-        pairs, size = ids.view(np.int32).reshape(-1, 2), len(self.terms)
-        place = np.repeat(np.arange(len(y)), held // 8) * size + pairs[:, 0]
-        counts = np.zeros((len(y), size))
-        counts.reshape(-1)[place] = pairs[:, 1]
+        pairs = ids.view(np.int32).reshape(-1, 2)
+        counts = np.repeat(np.arange(len(y)), held // 8), pairs[:, 0], pairs[:, 1]
         return y, w, fold, counts, _bytes(batch.column("values"))[0].view(np.float64).reshape(len(y), -1)
 
-    def text(self, counts: np.ndarray, f: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(weighted counts by frequency of the terms, squared length of each row for every size of the vocabulary)."""
-        if not self.terms or not len(self.columns[f, k]):
-            return np.zeros((len(counts), 0)), np.ones((len(counts), 1))
-        x = np.take(counts, self.columns[f, k], axis=1)
-        x *= self.encoders[f].weights[k]
-        return x, np.cumsum(x * x, axis=1)
-
     def dense(self, values: np.ndarray, f: int) -> np.ndarray:
         """Scaled numbers, a column for each level and one for all others, and ones."""
         e, n = self.encoders[f], len(self.inputs.numbers)
@@ -359,11 +356,12 @@ class _Models:
         for own in self.groups.values():
             own.sort(key=lambda m: self.vocabulary[m])
 
-    def blocks(self, coefficients: dict[int, np.ndarray]) -> list[tuple[int, int, list]]:
-        """For each group (its fold, its n-gram length, its models in blocks of vocabularies of like size, with their coefficients)."""
+    def blocks(self, coefficients: dict[int, np.ndarray]) -> list[tuple[int, int, np.ndarray, list]]:
+        """For each group (its fold, its n-gram length, its vocabularies' sizes, its models in blocks of like sizes, with their coefficients)."""
         out = []
-        for (f, k), every in self.groups.items():
+        for (f, k), every in sorted(self.groups.items()):
             models, parts = [m for m in every if m in coefficients], []
+            sizes = np.unique([self.vocabulary[m] for m in models])
             for i in range(0, len(models), BLOCK):
                 own = models[i : i + BLOCK]
                 cap = np.array([self.vocabulary[m] for m in own])
@@ -372,19 +370,25 @@ class _Models:
                     text[: cap[j], j] = coefficients[m][: cap[j]]
                 parts.append((own, cap, text, np.stack([coefficients[m][c:] for m, c in zip(own, cap)], axis=1)))
             if parts:
-                out.append((f, k, parts))
+                out.append((f, k, sizes, parts))
         return out
 
     def margins(self, counts, values, blocks, rows):
         """For each block (its fold and n-gram length, its models, the rows that ``rows`` gives for the fold, their parts, the margins)."""
-        for f, k, parts in blocks:
-            at = rows(f)
+        last = None
+        for f, k, sizes, parts in blocks:
+            if f != last:
+                last, at = f, rows(f)
+                new = np.full(len(values), -1)
+                new[at] = np.arange(len(at))
+                row = new[counts[0]]
+                own_counts = tuple(c[row >= 0] for c in (row, *counts[1:]))
+                dense = self.rows.dense(values[at], f)
             if not len(at):
                 continue
-            x, squares = self.rows.text(counts[at], f, k)
-            dense = self.rows.dense(values[at], f)
+            x, lengths = _text(own_counts, len(at), self.rows.places[f, k], self.rows.encoders[f].weights[k], sizes) if self.rows.terms else _no_text(len(at), sizes)
             for own, cap, text, others in parts:
-                scale = _lengths(squares, cap)
+                scale = lengths[:, np.searchsorted(sizes, cap)]
                 z = x[:, : len(text)] @ text
                 z /= scale
                 z += dense @ others
@@ -404,7 +408,7 @@ class _Models:
                     rest = (np.where(z >= 0, 1.0, e) / (1 + e) - known) * held[:, None]
                     found = [total, dense.T @ rest, x.T @ (rest / scale)]
                     sums[own[0]] = [a + b for a, b in zip(sums[own[0]], found)] if own[0] in sums else found
-            for _, _, parts in blocks:
+            for *_, parts in blocks:
                 for own, cap, *_ in parts:
                     if own[0] in sums:
                         total, others, text = sums[own[0]]
@@ -456,13 +460,13 @@ class _Models:
                     spread[k][at] += (p * (1 - p)).sum(axis=1)
                     n[k][at] += len(own)
                 dense = self.rows.dense(values, _EVERY)
-                for k, (_, at, weights) in columns.items():
+                for k, (_, places, weights) in columns.items():
                     root = np.sqrt(np.maximum(w, 0) * np.where(n[k] > 0, spread[k] / np.maximum(n[k], 1), 0.25))[:, None]
-                    x = counts[:, at] * weights
-                    squares = np.cumsum(x * x, axis=1) if len(at) else np.ones((len(y), 1))
                     for (of, i), (cap, size, _) in knots.items():
                         if of == k:
-                            a = np.concatenate([x[:, :size] / _lengths(squares, np.array([cap])), dense], axis=1)
+                            sizes = np.unique([cap, size])
+                            x, lengths = _text(counts, len(y), places, weights, sizes) if self.rows.terms else _no_text(len(y), sizes)
+                            a = np.concatenate([x[:, :size] / lengths[:, np.searchsorted(sizes, [cap])], dense], axis=1)
                             a = (a * root).astype(np.float32)
                             sums[i] = sums.get(i, 0) + a.T @ a
             found = {i: g[np.triu_indices(len(g))].astype(np.float64) for i, g in sums.items()}
@@ -492,14 +496,13 @@ class _Models:
         return len(e.means) + sum(len(lv) + 1 for lv in e.levels.values()) + 1
 
     def _shared(self, k: int) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
-        """The terms of all encoders in one order, those of the encoder of all rows first: (their places, their columns, their weights)."""
+        """The terms of all encoders in one order, those of the encoder of all rows first: (their places by term, the places of all terms, their weights)."""
         if k not in self._orders:
             weight = {}
             for e in [self.rows.encoders[_EVERY], *self.rows.encoders.values()]:
                 for t, v in zip(e.terms.get(k, []), e.weights.get(k, [])):
                     weight.setdefault(t, v)
-            column = {t: i for i, t in enumerate(self.rows.terms)}
-            self._orders[k] = {t: i for i, t in enumerate(weight)}, np.array([column[t] for t in weight], np.int64), np.array(list(weight.values()))
+            self._orders[k] = {t: i for i, t in enumerate(weight)}, self.rows.ordered(list(weight)), np.array(list(weight.values()))
         return self._orders[k]
 
     def _places(self, m: int) -> tuple[np.ndarray, np.ndarray]:
@@ -514,11 +517,24 @@ class _Models:
         return np.array([place[t] for t in own.terms.get(k, [])[: self.vocabulary[m]]], np.int64), np.array([*dense, end])
 
 
-def _lengths(squares: np.ndarray, cap: np.ndarray) -> np.ndarray:
-    """The length of each row for these sizes of the vocabulary; 1 for a row without terms."""
-    length = np.sqrt(squares[:, np.maximum(cap, 1) - 1])
-    length[length == 0] = 1.0
-    return length
+def _text(counts: tuple[np.ndarray, np.ndarray, np.ndarray], n: int, places: np.ndarray, weights: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(weighted counts by the places of the terms, the length of each row for each size of the vocabulary, 1 if it has no terms)."""
+    row, term, times = counts
+    place = places[term]
+    known = place < min(sizes[-1], len(weights))
+    row, place = row[known], place[known]
+    value = times[known] * weights[place]
+    x = np.zeros((n, sizes[-1]))
+    x.reshape(-1)[row * sizes[-1] + place] = value
+    part = np.searchsorted(sizes, np.arange(sizes[-1]), "right")
+    squares = np.bincount(row * len(sizes) + part[place], value * value, n * len(sizes)).reshape(n, -1)
+    lengths = np.sqrt(np.cumsum(squares, axis=1))
+    lengths[lengths == 0] = 1.0
+    return x, lengths
+
+
+def _no_text(n: int, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.zeros((n, 0)), np.ones((n, len(sizes)))
 
 
 @dataclass(frozen=True)
