@@ -33,7 +33,7 @@ HELD = 8  # pairs of steps and gradient changes that a model keeps
 ROUNDS = 300  # passes at most
 SHRINK = 0.5  # of a step that does not lower the loss enough
 CURVED = (0, 4, 16, 32, 64, 128, 256)  # passes before which curvatures are taken
-KNOTS = 5  # sizes of the vocabulary with a curvature of their own, for each n-gram length
+KNOTS = 3  # sizes of the vocabulary with a curvature of their own, for each n-gram length
 TILE = 512  # rows that are worked on at a time
 BLOCK = 32  # models that are worked on at a time
 PIECE = 1 << 19  # words that are counted at a time; a longer text is a piece by itself
@@ -469,15 +469,15 @@ class _Models:
                             a = np.concatenate([x[:, :size] / lengths[:, np.searchsorted(sizes, [cap])], dense], axis=1)
                             a = (a * root).astype(np.float32)
                             sums[i] = sums.get(i, 0) + a.T @ a
-            found = {i: g[np.triu_indices(len(g))].astype(np.float64) for i, g in sums.items()}
+            found = {i: g[np.triu_indices(len(g))] for i, g in sums.items()}  # in half the digits: they only guide steps
             yield _sums(part, dict.fromkeys(found, 0.0), found)
 
-        found = _summed(stored, run, points)
+        found = _summed(stored, run, points, np.float32)
         others, out = self._dense_size(_EVERY), {}
         for (k, i), (_, size, part) in knots.items():
             products = np.zeros((size + others, size + others))
             if i in found:
-                products[np.triu_indices(size + others)] = found[i][1]
+                products[np.triu_indices(size + others)] = found.pop(i)[1]
             for cap in sorted({self.vocabulary[m] for m in part}):
                 own = [m for m in part if self.vocabulary[m] == cap]
                 kept = np.concatenate([np.unique(np.concatenate([places[m][0] for m in own])), np.arange(size, size + others)])
@@ -597,16 +597,16 @@ def _sums(part: int, loss: dict[int, float], slope: dict[int, np.ndarray]) -> pa
     )
 
 
-def _summed(stored: DataFrame, run: Callable, points: dict[int, np.ndarray]) -> dict[int, tuple[float, np.ndarray]]:
+def _summed(stored: DataFrame, run: Callable, points: dict[int, np.ndarray], kind: type = np.float64) -> dict[int, tuple[float, np.ndarray]]:
     """The sums of one pass. The points go to each executor once, and nothing of them stays in the JVMs when the pass has ended."""
     sent = stored.sparkSession.sparkContext.broadcast(points)
     try:
-        return _added(stored.select("y", "w", "fold", "ids", "values").mapInArrow(lambda batches: run(batches, sent.value), _SUMS))
+        return _added(stored.select("y", "w", "fold", "ids", "values").mapInArrow(lambda batches: run(batches, sent.value), _SUMS), kind)
     finally:
         sent.destroy()
 
 
-def _added(parts: DataFrame) -> dict[int, tuple[float, np.ndarray]]:
+def _added(parts: DataFrame, kind: type = np.float64) -> dict[int, tuple[float, np.ndarray]]:
     """The tasks' sums by model, in the order of the tasks, so that they do not depend on what ends first."""
 
     def run(batches):
@@ -615,11 +615,11 @@ def _added(parts: DataFrame) -> dict[int, tuple[float, np.ndarray]]:
             for m, loss, slope in zip(*(batch.column(c).to_pylist() for c in ("model", "loss", "slope"))):
                 own = held.setdefault(m, [0.0, 0.0])
                 own[0] += loss
-                own[1] = own[1] + np.frombuffer(slope)
+                own[1] = own[1] + np.frombuffer(slope, kind)
         yield _sums(0, {m: v[0] for m, v in held.items()}, {m: v[1] for m, v in held.items()})
 
     summed = parts.repartition("model").sortWithinPartitions("model", "part").mapInArrow(run, _SUMS)
-    return {r["model"]: (r["loss"], np.frombuffer(bytes(r["slope"])).copy()) for r in summed.collect()}  # a row for each model
+    return {r["model"]: (r["loss"], np.frombuffer(bytes(r["slope"]), kind).copy()) for r in summed.collect()}  # a row for each model
 
 
 class _Descent:
